@@ -10,6 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopledger import Tables
 
+# The test tables' own columns, given so that reading them needs no inference job.
+SOURCES: dict[str, str] = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+        l_shipdate timestamp_ntz""",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 # Business table -> the test tables it reads. Those without one are short fixed lookups.
 READS: dict[str, tuple[str, ...]] = {
     "sales_invoice_header": ("orders",),
@@ -114,14 +128,18 @@ def in_duckdb(name: str) -> str:
     return DERIVATIONS[name].replace("TSNTZ", "timestamp")
 
 
+def source(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    return spark.read.schema(SOURCES[name]).parquet(f"{directory}/{name}.parquet")
+
+
 def fixture_tables(spark: SparkSession, directory: str) -> Tables:
     """The business tables over the test parquet in ``directory``."""
 
     def load(name: str) -> DataFrame:
-        sources = {s: spark.read.parquet(f"{directory}/{s}.parquet") for s in READS[name]}
+        sources = {s: source(spark, directory, s) for s in READS[name]}
         sql = DERIVATIONS[name].replace("TSNTZ", "timestamp_ntz")
-        for source in sources:
-            sql = sql.replace(f"from {source}", f"from {{{source}}}").replace(f"join {source}", f"join {{{source}}}")
+        for table in sources:
+            sql = sql.replace(f"from {table}", f"from {{{table}}}").replace(f"join {table}", f"join {{{table}}}")
         return spark.sql(sql, **sources)
 
     return Tables(load)

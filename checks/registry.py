@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import params as P
-from checks.fixtures import fixture_tables
+from checks.fixtures import fixture_tables, source
 from shopledger import ReportParams, Tables
 from shopledger.functions.calendar import ntz
 from shopledger.operators.ranking import preview
@@ -80,8 +80,8 @@ REPORTS: dict[str, tuple[Report, ReportParams, ReportParams]] = {
 def _brand_flags(t: Tables, spark: SparkSession, directory: str) -> DataFrame:
     """The flag table after one flag per part brand was inserted."""
     brand = F.col("p_brand")
-    source = (
-        spark.read.parquet(f"{directory}/part.parquet")
+    per_brand = (
+        source(spark, directory, "part")
         .select(
             (F.regexp_extract(brand, r"(\d+)$", 1).cast("int") + 100).alias("id"),
             brand.alias("feature_name"),
@@ -90,12 +90,12 @@ def _brand_flags(t: Tables, spark: SparkSession, directory: str) -> DataFrame:
         )
         .distinct()
     )
-    return insert_if_absent(t["feature_flags"], source, ["feature_name"])
+    return insert_if_absent(t["feature_flags"], per_brand, ["feature_name"])
 
 
 def _enable_busy_brands(t: Tables, spark: SparkSession, directory: str) -> DataFrame:
     """Switch on the flags of brands whose parts are at least a sixth PROMO."""
-    parts = spark.read.parquet(f"{directory}/part.parquet").groupBy(F.col("p_brand").alias("feature_name"))
+    parts = source(spark, directory, "part").groupBy(F.col("p_brand").alias("feature_name"))
     promo = F.count(F.when(F.col("p_type") == "PROMO", 1))
     busy = parts.agg((promo * 6 >= F.count(F.lit(1))).alias("enabled")).where("enabled")
     flags = _brand_flags(t, spark, directory).withColumn("updated_at", ntz(P.CREATED))

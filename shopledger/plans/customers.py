@@ -156,18 +156,11 @@ def top_sales(t: Tables, p: ReportParams, k: int = 5) -> DataFrame:
 
 
 def top_sales_inline(t: Tables, p: ReportParams, k: int = 5) -> DataFrame:
-    """The same report over invoices joined to customers row by row, without the view.
+    """The same report without the customer view and its class filter.
 
-    Kept as the independent form that ``top_sales`` is checked against.
+    Customers are attached with their names before the total is taken.
     """
-    people = t.customers.select(F.col("id").alias("customer_id"), "first_name", "last_name")
-    sales = (
-        with_store(settled(scoped_invoices(t.invoices, p)), store_ids(t.stores, p))
-        .join(people, "customer_id")
-        .groupBy("customer_id", "first_name", "last_name")
-        .agg(F.sum(signed(F.col("net_amount"))).alias("amount"))
-        .select(F.col("customer_id").alias("id"), full_name(F.col("first_name"), F.col("last_name")).alias("name"), "amount")
-    )
+    sales = _sales_per_customer(t, p, scoped_invoices(t.invoices, p)).join(_names(t), "id").select("id", "name", "amount")
     return top(
         with_totals(sales, totalSum=F.sum("amount")), k, largest_first("amount"), smallest_first("id"), smallest_first("name")
     )

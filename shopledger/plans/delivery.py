@@ -14,11 +14,10 @@ from shopledger.functions.amounts import RETURNS, SALES, is_sale_or_return, only
 from shopledger.functions.calendar import iso_weekday, seconds_between, within
 from shopledger.functions.flags import live_unless_deleted
 from shopledger.functions.ratios import average_or_zero
-from shopledger.operators.documents import as_json, list_by, null_if_empty
-from shopledger.operators.ranking import smallest_first
+from shopledger.operators.documents import as_json, list_by
 from shopledger.operators.scope import in_periods, scope, scoped_invoices
 from shopledger.operators.stores import store_ids, with_store
-from shopledger.operators.totals import with_totals
+from shopledger.operators.totals import calendar_with_totals
 from shopledger.operators.weekdays import on_every_weekday
 from shopledger.params import ReportParams
 from shopledger.sources.tables import Tables
@@ -103,7 +102,7 @@ def delivery_time_hourly(t: Tables, p: ReportParams) -> DataFrame:
     hours = _per_hour(t, p, _LIVE)
     sums = {f"all_{c}": F.sum(c) for c in ("seconds", "n", "old_seconds", "old_n")}
     return (
-        with_totals(hours, **sums)
+        calendar_with_totals(hours, "hour", **sums)
         .where(F.col("n") > 0)
         .select(
             "hour",
@@ -112,7 +111,6 @@ def delivery_time_hourly(t: Tables, p: ReportParams) -> DataFrame:
             F.col("all_n").alias("total_completed_deliveries"),
             _minutes_double("all_old_seconds", "all_old_n").alias("prev_avg_time"),
         )
-        .orderBy("hour")
     )
 
 
@@ -120,24 +118,28 @@ def delivery_time_hourly(t: Tables, p: ReportParams) -> DataFrame:
 
 
 def _per_weekday_money(t: Tables, p: ReportParams, live: Column | None) -> DataFrame:
-    """Sales of all delivery types, and figures of plain deliveries, per weekday."""
-    amount = F.col("invoice_amount")
-    plain = F.col("fulfilment_type") == "DELIVERY"
-    rows = scoped_invoices(t.invoices, p).where(
-        is_sale_or_return() & F.col("fulfilment_type").isin("DELIVERY", "HOME_DELIVERY")
-    )
-    per_store = rows.groupBy("store_id", iso_weekday(_TIME).alias("day_num")).agg(
-        F.sum(only_on(SALES, amount)).alias("sales"),
-        F.sum(F.when(plain, only_on(SALES, amount))).alias("delivered"),
-        F.count(F.when(plain & (F.col("invoice_type") == SALES), F.col("id"))).alias("orders"),
-        F.sum(F.when(plain, only_on(RETURNS, amount))).alias("returned"),
-        F.sum(F.when(plain, signed(amount))).alias("net"),
+    """Sales of all delivery types, and figures of plain deliveries, per weekday.
+
+    One sum per store, day, invoice type and delivery type; the figures split it up.
+    """
+    per_store = (
+        scoped_invoices(t.invoices, p)
+        .where(is_sale_or_return() & F.col("fulfilment_type").isin("DELIVERY", "HOME_DELIVERY"))
+        .groupBy("store_id", iso_weekday(_TIME).alias("day_num"), "invoice_type", "fulfilment_type")
+        .agg(F.sum("invoice_amount").alias("amount"), F.count("id").alias("invoices"))
     )
-    columns = ("sales", "delivered", "orders", "returned", "net")
+    amount = F.col("amount")
+    plain = F.col("fulfilment_type") == "DELIVERY"
     per_day = (
         with_store(per_store, store_ids(t.stores, p, live))
         .groupBy("day_num")
-        .agg(*[F.sum(c).alias(c) for c in columns])
+        .agg(
+            F.sum(only_on(SALES, amount)).alias("sales"),
+            F.sum(F.when(plain, only_on(SALES, amount))).alias("delivered"),
+            F.sum(F.when(plain, only_on(SALES, F.col("invoices")))).alias("orders"),
+            F.sum(F.when(plain, only_on(RETURNS, amount))).alias("returned"),
+            F.sum(F.when(plain, signed(amount))).alias("net"),
+        )
     )
     return on_every_weekday(per_day)
 
@@ -169,15 +171,12 @@ def financial_weekdays(t: Tables, p: ReportParams) -> DataFrame:
         "total_returns_value": "returned",
         "total_sale_value": "net",
     }
-    return (
-        with_totals(days, **{name: or_zero(F.sum(c)) for name, c in totals.items()})
-        .select(
-            "day_num",
-            F.col("day_name").alias("day_of_week"),
-            F.round(or_zero(F.col("sales")), 2).alias("sales_value"),
-            *totals,
-        )
-        .orderBy("day_num")
+    sums = {name: or_zero(F.sum(c)) for name, c in totals.items()}
+    return calendar_with_totals(days, "day_num", **sums).select(
+        "day_num",
+        F.col("day_name").alias("day_of_week"),
+        F.round(or_zero(F.col("sales")), 2).alias("sales_value"),
+        *totals,
     )
 
 
@@ -201,14 +200,11 @@ def deliveries_per_weekday(t: Tables, p: ReportParams) -> DataFrame:
         .agg(F.sum("n").alias("n"), F.sum("old_n").alias("old_n"))
     )
     daily = or_zero(F.col("n"))
-    return (
-        with_totals(on_every_weekday(per_day), _all=F.sum("n"), _old=or_zero(F.sum("old_n")))
-        .select(
-            "day_num",
-            F.col("day_name").alias("day_of_week"),
-            daily.alias("daily_deliveries"),
-            F.when(daily > 0, F.col("_all")).otherwise(F.lit(0)).alias("total_current"),
-            F.col("_old").alias("total_previous"),
-        )
-        .orderBy("day_num")
+    sums = {"_all": F.sum("n"), "_old": or_zero(F.sum("old_n"))}
+    return calendar_with_totals(on_every_weekday(per_day), "day_num", **sums).select(
+        "day_num",
+        F.col("day_name").alias("day_of_week"),
+        daily.alias("daily_deliveries"),
+        F.when(daily > 0, F.col("_all")).otherwise(F.lit(0)).alias("total_current"),
+        F.col("_old").alias("total_previous"),
     )

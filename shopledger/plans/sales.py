@@ -11,10 +11,12 @@ from shopledger.functions.ratios import quotient
 from shopledger.operators.ranking import smallest_first
 from shopledger.operators.scope import in_periods, scope, scoped_invoices, settled
 from shopledger.operators.stores import store_ids, with_store
-from shopledger.params import Period, ReportParams
-from shopledger.plans.views import lost_sales, master, master_with_lost
+from shopledger.params import ReportParams
+from shopledger.plans.views import LOST, lost_sales
 from shopledger.sources.tables import Tables
 
+_WIDE = "decimal(28,2)"
+
 
 def invoice_rows(t: Tables, p: ReportParams) -> DataFrame:
     """The settled invoices themselves, for callers that add them up on their own."""
@@ -23,35 +25,66 @@ def invoice_rows(t: Tables, p: ReportParams) -> DataFrame:
     )
 
 
-def _kpi_columns() -> list[Column]:
-    """The eight figures over the master view.
+def _per_store(invoices: DataFrame, *keys: str) -> DataFrame:
+    """Unsigned sums per store and invoice type (and ``keys``).
+
+    The type decides the sign, so signs wait until the rows are few: one decimal sum
+    per measure and invoice row instead of one per reported figure.
+    """
+    return invoices.groupBy(*keys, "store_id", "invoice_type").agg(
+        F.sum("net_amount").alias("net"),
+        F.sum(with_tax()).alias("gross"),
+        F.sum("total_discount").alias("discount"),
+        F.sum("tax").alias("tax"),
+        F.count("id").alias("invoices"),
+        F.lit(0).cast(_WIDE).alias("lost"),
+    )
+
 
-    An invoice id occurs once, so orders are counted without a distinct; only the
-    stores need one, and those collapse before the shuffle.
+def _lost_per_store(orders: DataFrame, *keys: str) -> DataFrame:
+    """Lost orders in the shape of ``_per_store``: zeros and a type of their own."""
+    zero = F.lit(0).cast(_WIDE)
+    per_store = orders.where(F.col("order_type") == LOST).groupBy(*keys, "store_id")
+    return per_store.agg(F.sum("net_amount").alias("lost")).select(
+        *keys,
+        "store_id",
+        F.lit(LOST).alias("invoice_type"),
+        *[zero.alias(c) for c in ("net", "gross", "discount", "tax")],
+        F.lit(0).cast("bigint").alias("invoices"),
+        "lost",
+    )
+
+
+def _figures(sold: str) -> list[Column]:
+    """The figures from per-store sums, ``sold`` naming the amount that counts.
+
+    An invoice id occurs once, so orders are a count of sales invoices.
     """
+    amount = F.col(sold)
     return [
-        F.sum("sale_amount").alias("totalSales"),
-        F.sum("return_amount").alias("totalReturns"),
-        F.sum("net_amount").alias("netSales"),
-        F.sum("net_discount").alias("totalDiscount"),
-        F.sum("net_tax").alias("tax"),
-        F.count("sale_order_id").alias("orders"),
+        F.sum(only_on(SALES, amount)).alias("totalSales"),
+        F.sum(only_on(RETURNS, amount)).alias("totalReturns"),
+        F.sum(signed(amount)).alias("netSales"),
+        F.sum(signed(F.col("discount"))).alias("totalDiscount"),
+        F.sum(signed(F.col("tax"))).alias("tax"),
+        or_zero(F.sum(only_on(SALES, F.col("invoices")))).alias("orders"),
         F.count_distinct("store_id").alias("activeStores"),
-        F.sum("lost_sale_amount").alias("lostSaledata"),
     ]
 
 
-def _master_rows(t: Tables, p: ReportParams, *periods: Period, with_lost: bool, settled_only: bool) -> DataFrame:
-    invoices = in_periods(scope(t.invoices, p), "invoice_date_time", *periods)
-    if settled_only:
-        invoices = settled(invoices)
-    if not with_lost:
-        return master(invoices)
-    return master_with_lost(invoices, in_periods(scope(t.orders, p), "order_date_time", *periods))
+def _kpi_columns() -> list[Column]:
+    return [*_figures("gross"), F.sum("lost").alias("lostSaledata")]
 
 
 def kpis(t: Tables, p: ReportParams, *, with_lost: bool = True, settled_only: bool = False) -> DataFrame:
-    rows = _master_rows(t, p, p.period, with_lost=with_lost, settled_only=settled_only)
+    """Sales, returns, discount and tax (amounts with tax), orders, stores, lost sales.
+
+    The figures of the master view, with or without its lost orders.
+    """
+    invoices = scoped_invoices(t.invoices, p)
+    rows = _per_store(settled(invoices) if settled_only else invoices)
+    if with_lost:
+        rows = rows.unionByName(_lost_per_store(in_periods(scope(t.orders, p), "order_date_time", p.period)))
     return rows.agg(*_kpi_columns())
 
 
@@ -61,18 +94,23 @@ def kpis_with_average(t: Tables, p: ReportParams, *, with_lost: bool = False) ->
 
 
 def kpis_year_over_year(t: Tables, p: ReportParams) -> DataFrame:
-    """The eight figures for the period and for the year before, from one scan.
+    """The figures of settled invoices for the period and the year before, from one scan.
 
     The two may overlap (a period longer than a year), so a row is repeated for each
     period it lies in.
     """
     spans = {"current": p.period, "previous": p.year_before}
-    rows = _master_rows(t, p, *spans.values(), with_lost=True, settled_only=True)
-    tags = F.array_compact(
-        F.array(*[F.when(within(F.col("event_date"), span), F.lit(tag)) for tag, span in spans.items()])
-    )
-    figures = rows.withColumn("period", F.explode(tags)).groupBy("period").agg(*_kpi_columns())
-    spine = t.invoices.sparkSession.range(0, len(spans), 1, 1).select(
+
+    def tagged(frame: DataFrame, time_column: str) -> DataFrame:
+        ts = F.col(time_column)
+        hits = F.array(*[F.when(within(ts, span), F.lit(tag)) for tag, span in spans.items()])
+        rows = in_periods(scope(frame, p), time_column, *spans.values())
+        return rows.withColumn("period", F.explode(F.array_compact(hits)))
+
+    rows = _per_store(settled(tagged(t.invoices, "invoice_date_time")), "period")
+    rows = rows.unionByName(_lost_per_store(tagged(t.orders, "order_date_time"), "period"))
+    figures = rows.groupBy("period").agg(*_kpi_columns())
+    spine = figures.sparkSession.range(0, len(spans), 1, 1).select(
         F.element_at(F.array(*[F.lit(tag) for tag in spans]), F.col("id").cast("int") + 1).alias("period")
     )
     # Two rows at most on the broadcast side; a period without rows still shows up.
@@ -80,17 +118,8 @@ def kpis_year_over_year(t: Tables, p: ReportParams) -> DataFrame:
 
 
 def net_totals(t: Tables, p: ReportParams) -> DataFrame:
-    """Totals without tax, straight from the settled invoices."""
-    net = F.col("net_amount")
-    return settled(scoped_invoices(t.invoices, p)).agg(
-        F.sum(only_on(SALES, net)).alias("totalSales"),
-        F.sum(only_on(RETURNS, net)).alias("totalReturns"),
-        F.sum(signed(net)).alias("netSales"),
-        F.sum(signed(F.col("total_discount"))).alias("totalDiscount"),
-        F.sum(signed(F.col("tax"))).alias("tax"),
-        F.count(F.when(F.col("invoice_type") == SALES, F.col("id"))).alias("orders"),
-        F.count_distinct("store_id").alias("activeStores"),
-    )
+    """Totals of the settled invoices without tax."""
+    return _per_store(settled(scoped_invoices(t.invoices, p))).agg(*_figures("net"))
 
 
 def lost_total(t: Tables, p: ReportParams) -> DataFrame:
@@ -103,31 +132,34 @@ def gross_total(t: Tables, p: ReportParams) -> DataFrame:
 
 
 def gross_returns_net(t: Tables, p: ReportParams) -> DataFrame:
-    return settled(scoped_invoices(t.invoices, p)).agg(
-        F.sum(only_on(SALES, with_tax())).alias("gross_sales"),
-        F.sum(only_on(RETURNS, with_tax())).alias("total_returns"),
-        F.sum(signed(with_tax())).alias("net_sales"),
+    per_type = settled(scoped_invoices(t.invoices, p)).groupBy("invoice_type").agg(F.sum(with_tax()).alias("gross"))
+    gross = F.col("gross")
+    return per_type.agg(
+        F.sum(only_on(SALES, gross)).alias("gross_sales"),
+        F.sum(only_on(RETURNS, gross)).alias("total_returns"),
+        F.sum(signed(gross)).alias("net_sales"),
     )
 
 
 def monthly_graph(t: Tables, p: ReportParams) -> DataFrame:
     """Net, returned and sold amount per month over stores in the wanted regions.
 
-    Summed per store and month first: the store table meets that small frame only.
+    Summed per store, month and type first: the store table meets that small frame only.
     """
-    net = F.col("net_amount")
     per_store = (
         settled(scoped_invoices(t.invoices, p))
         .where(is_sale_or_return())
-        .groupBy("store_id", month_start(F.col("invoice_date_time")).alias("month"))
-        .agg(
-            F.sum(signed(net)).alias("netSales"),
-            F.sum(only_on(RETURNS, net)).alias("returns"),
-            F.sum(only_on(SALES, net)).alias("totalSales"),
-        )
+        .groupBy("store_id", month_start(F.col("invoice_date_time")).alias("month"), "invoice_type")
+        .agg(F.sum("net_amount").alias("net"))
+    )
+    net = F.col("net")
+    figures = {"netSales": signed(net), "returns": only_on(RETURNS, net), "totalSales": only_on(SALES, net)}
+    return (
+        with_store(per_store, store_ids(t.stores, p))
+        .groupBy("month")
+        .agg(*[F.round(F.sum(x), 2).alias(name) for name, x in figures.items()])
+        .orderBy(smallest_first("month"))
     )
-    sums = [F.round(F.sum(c), 2).alias(c) for c in ("netSales", "returns", "totalSales")]
-    return with_store(per_store, store_ids(t.stores, p)).groupBy("month").agg(*sums).orderBy(smallest_first("month"))
 
 
 def monthly_graph_signed(t: Tables, p: ReportParams) -> DataFrame:

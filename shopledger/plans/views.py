@@ -26,6 +26,7 @@ from shopledger.operators.stores import store_ids, with_store
 from shopledger.sources.tables import Tables
 
 SCOPE_COLUMNS = ("company_id", "tenant_id", "legal_entity_id", "store_id")
+LOST = "LOST_SALES"
 _NO_MONEY = F.lit(0).cast("decimal(18,2)")
 
 
@@ -65,7 +66,7 @@ def invoice_amounts(invoices: DataFrame) -> DataFrame:
 
 
 def lost_sales(orders: DataFrame) -> DataFrame:
-    return orders.where(F.col("order_type") == "LOST_SALES").select(
+    return orders.where(F.col("order_type") == LOST).select(
         F.col("net_amount").alias("lost_sale_amount"),
         F.col("order_date_time").alias("event_date"),
         *SCOPE_COLUMNS,

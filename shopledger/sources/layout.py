@@ -1,13 +1,8 @@
-"""Writing the big tables so that report filters prune and fact joins stay local.
+"""Writing the big tables so that scope and period filters skip data.
 
-Two layouts, both optional (reports give the same rows on any layout):
-
-* ``write_tables``: invoices and orders partitioned by company, tenant and month
-  and sorted by legal entity and time inside each file; lines and payments
-  range-clustered by invoice id. Scope and period filters then skip directories
-  and row groups.
-* ``save_colocated``: invoices, lines and payments bucketed by invoice id, so
-  that the joins between them need no shuffle.
+Invoices and orders are partitioned by company, tenant and month and sorted by legal
+entity and time inside each file; lines and payments are range-clustered by invoice
+id. Optional: reports give the same rows on any layout.
 """
 
 from __future__ import annotations
@@ -69,21 +64,3 @@ def write_tables(tables: Tables, directory: str) -> None:
             .write.mode("overwrite")
             .parquet(f"{directory}/{name}")
         )
-
-
-def save_colocated(tables: Tables, database: str, buckets: int) -> None:
-    """Save the three fact tables as catalog tables bucketed by invoice id.
-
-    Choose ``buckets`` so that one bucket of the largest table fits an executor
-    task. Keep to ``write_tables`` when single invoices are very hot: a bucket
-    cannot be split at read time.
-    """
-    for name, key in INVOICE_KEYS.items():
-        (
-            tables[name]
-            .repartition(buckets, key)
-            .write.mode("overwrite")
-            .bucketBy(buckets, key)
-            .sortBy(key)
-            .saveAsTable(f"{database}.{name}")
-        )

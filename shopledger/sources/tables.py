@@ -40,7 +40,7 @@ class Tables:
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str) -> Tables:
-        """Tables of a catalog database (for example the co-located ones of ``layout``)."""
+        """Tables of a catalog database."""
         return cls(lambda name: spark.table(f"{database}.{name}"))
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -1,0 +1,31 @@
+from conftest import at
+
+from shopledger import Period, ReportParams
+
+
+def test_previous_period_skips_one_day_and_keeps_the_length():
+    period = Period(at("1970-01-01 00:00:00"), at("2026-01-05 23:59:59"))
+    assert period.previous() == Period(at("1913-12-26 00:00:00"), at("1969-12-30 23:59:59"))
+
+
+def test_previous_of_three_years():
+    period = Period(at("1996-01-01 00:00:00"), at("1998-12-31 23:59:59"))
+    assert period.previous() == Period(at("1992-12-30 00:00:00"), at("1995-12-30 23:59:59"))
+
+
+def test_year_before_shifts_local_dates_first():
+    p = ReportParams(at("2025-12-01 00:00:00"), at("2025-12-31 23:59:59"), utc_offset_hours=3)
+    assert p.period == Period(at("2025-11-30 21:00:00"), at("2025-12-31 20:59:59"))
+    assert p.year_before == Period(at("2024-11-30 21:00:00"), at("2024-12-31 20:59:59"))
+
+
+def test_leap_day_a_year_before():
+    assert Period(at("2024-02-29 00:00:00"), at("2024-02-29 23:59:59")).year_before() == Period(
+        at("2023-02-28 00:00:00"), at("2023-02-28 23:59:59")
+    )
+
+
+def test_but_leaves_the_original():
+    p = ReportParams(at("2025-01-01"), at("2025-01-31"), company_ids=(1,))
+    assert p.but(company_ids=()).company_ids == ()
+    assert p.company_ids == (1,)
