@@ -22,8 +22,13 @@ from shopledger.operators.weekdays import on_every_weekday
 from shopledger.params import ReportParams
 from shopledger.sources.tables import Tables
 
-_LIVE = live_unless_deleted(F.col("is_deleted"))
-_TIME = F.col("invoice_date_time")
+
+def _live() -> Column:
+    return live_unless_deleted(F.col("is_deleted"))
+
+
+def _time() -> Column:
+    return F.col("invoice_date_time")
 
 
 def _deliveries(t: Tables, p: ReportParams) -> DataFrame:
@@ -34,7 +39,7 @@ def _deliveries(t: Tables, p: ReportParams) -> DataFrame:
         & (F.col("invoice_type") == SALES)
         & (F.col("fulfilment_status") == "DELIVERED")
     )
-    return both.where(delivered).withColumn("current", within(_TIME, p.period))
+    return both.where(delivered).withColumn("current", within(_time(), p.period))
 
 
 # --- delivery time ------------------------------------------------------------------
@@ -48,7 +53,7 @@ def _per_hour(t: Tables, p: ReportParams, live: Column | None) -> DataFrame:
     left, arrived = F.col("on_in_transit_time"), F.col("on_delivered_time")
     timed = _deliveries(t, p).where(arrived > left).withColumn("seconds", seconds_between(left, arrived))
     now = F.col("current")
-    per_store = timed.groupBy("store_id", F.hour(_TIME).alias("hour")).agg(
+    per_store = timed.groupBy("store_id", F.hour(_time()).alias("hour")).agg(
         F.sum(F.when(now, F.col("seconds"))).alias("seconds"),
         F.count(F.when(now, F.lit(1))).alias("n"),
         F.sum(F.when(~now, F.col("seconds"))).alias("old_seconds"),
@@ -99,7 +104,7 @@ def delivery_time_hourly(t: Tables, p: ReportParams) -> DataFrame:
 
     Live stores only; no rows if nothing was delivered in the period.
     """
-    hours = _per_hour(t, p, _LIVE)
+    hours = _per_hour(t, p, _live())
     sums = {f"all_{c}": F.sum(c) for c in ("seconds", "n", "old_seconds", "old_n")}
     return (
         calendar_with_totals(hours, "hour", **sums)
@@ -125,7 +130,7 @@ def _per_weekday_money(t: Tables, p: ReportParams, live: Column | None) -> DataF
     per_store = (
         scoped_invoices(t.invoices, p)
         .where(is_sale_or_return() & F.col("fulfilment_type").isin("DELIVERY", "HOME_DELIVERY"))
-        .groupBy("store_id", iso_weekday(_TIME).alias("day_num"), "invoice_type", "fulfilment_type")
+        .groupBy("store_id", iso_weekday(_time()).alias("day_num"), "invoice_type", "fulfilment_type")
         .agg(F.sum("invoice_amount").alias("amount"), F.count("id").alias("invoices"))
     )
     amount = F.col("amount")
@@ -164,7 +169,7 @@ def financial_document(t: Tables, p: ReportParams) -> DataFrame:
 
 def financial_weekdays(t: Tables, p: ReportParams) -> DataFrame:
     """Seven rows, Monday first, with the totals of live stores repeated; totals over nothing are 0."""
-    days = _per_weekday_money(t, p, _LIVE)
+    days = _per_weekday_money(t, p, _live())
     totals = {
         "total_order_value": "delivered",
         "total_orders": "orders",
@@ -191,11 +196,11 @@ def deliveries_per_weekday(t: Tables, p: ReportParams) -> DataFrame:
     now = F.col("current")
     per_store = (
         _deliveries(t, p)
-        .groupBy("store_id", iso_weekday(_TIME).alias("day_num"))
+        .groupBy("store_id", iso_weekday(_time()).alias("day_num"))
         .agg(F.count(F.when(now, F.col("id"))).alias("n"), F.count(F.when(~now, F.col("id"))).alias("old_n"))
     )
     per_day = (
-        with_store(per_store, store_ids(t.stores, p, _LIVE))
+        with_store(per_store, store_ids(t.stores, p, _live()))
         .groupBy("day_num")
         .agg(F.sum("n").alias("n"), F.sum("old_n").alias("old_n"))
     )

@@ -19,7 +19,9 @@ from shopledger.params import ReportParams
 from shopledger.plans.views import customer_loyalty
 from shopledger.sources.tables import Tables
 
-_TIME = F.col("invoice_date_time")
+
+def _time() -> Column:
+    return F.col("invoice_date_time")
 
 
 def _label(existing: Column) -> Column:
@@ -41,13 +43,13 @@ def _per_customer(rows: DataFrame, counted: Column, earlier: Column) -> DataFram
 
 
 def _before(p: ReportParams) -> Column:
-    return _TIME < ntz(p.period.start)
+    return _time() < ntz(p.period.start)
 
 
 def pie_by_earlier_invoice(t: Tables, p: ReportParams) -> DataFrame:
     """Existing if there is an earlier invoice in the same scope; never for a NULL customer."""
     rows = with_store(until(scope(t.invoices, p), "invoice_date_time", p.period), store_ids(t.stores, p))
-    buyers = _per_customer(rows, within(_TIME, p.period), _before(p))
+    buyers = _per_customer(rows, within(_time(), p.period), _before(p))
     existing = F.col("had_earlier") & F.col("customer_id").isNotNull()
     return buyers.select("customer_id", _label(existing).alias("customertype"), "sales")
 
@@ -58,7 +60,7 @@ def pie_by_earlier_invoice_loose(t: Tables, p: ReportParams) -> DataFrame:
     known = store_ids(t.stores, p).withColumn("_known_store", F.lit(True))
     counted = all_of(
         [
-            within(_TIME, p.period),
+            within(_time(), p.period),
             F.coalesce(F.col("_known_store"), F.lit(False)),
             among("legal_entity_id", p.legal_entity_ids),
             among("store_id", p.store_ids),
@@ -77,7 +79,7 @@ def pie_by_first_date(t: Tables, p: ReportParams) -> DataFrame:
     over all invoices up to the end of the period.
     """
     rows = with_store(until(t.invoices, "invoice_date_time", p.period), store_ids(t.stores, p))
-    counted = within(_TIME, p.period) & companies_of(p)
+    counted = within(_time(), p.period) & companies_of(p)
     return (
         _per_customer(rows, counted, _before(p))
         .select("customer_id", "sales", _label(F.col("had_earlier")).alias("customertype"))

@@ -16,7 +16,10 @@ from shopledger.plans.views import with_display
 from shopledger.sources.tables import Tables
 
 _METHOD = ("payment_method_type", "payment_method_id", "sub_payment_method_id")
-_CASH = F.col("payment_method_type") == "CASH"
+
+
+def _cash() -> Column:
+    return F.col("payment_method_type") == "CASH"
 
 
 def _paid(payments: DataFrame) -> DataFrame:
@@ -52,7 +55,7 @@ def share_per_group(t: Tables, p: ReportParams) -> DataFrame:
     """Change comes off once per invoice and cash method, after its payments are added up."""
     grouped = _paid(t.payments).groupBy("sales_invoice_header_id", *_METHOD).agg(F.sum("amount").alias("paid"))
     invoices = with_store(settled(scoped_invoices(t.invoices, p)), store_ids(t.stores, p))
-    amount = F.when(_CASH, _less_change(F.col("paid"))).otherwise(F.col("paid"))
+    amount = F.when(_cash(), _less_change(F.col("paid"))).otherwise(F.col("paid"))
     return _share(t, _for_invoices(invoices, grouped).select(*_METHOD, amount.alias("amount")))
 
 
@@ -61,7 +64,7 @@ def share_every_cash_row(t: Tables, p: ReportParams, *, settled_only: bool) -> D
     invoices = scoped_invoices(t.invoices, p)
     if settled_only:
         invoices = settled(invoices)
-    amount = F.when(_CASH, _less_change(F.col("amount"))).otherwise(F.col("amount"))
+    amount = F.when(_cash(), _less_change(F.col("amount"))).otherwise(F.col("amount"))
     return _share(t, _for_invoices(invoices, _paid(t.payments)).select(*_METHOD, amount.alias("amount")))
 
 
@@ -77,8 +80,8 @@ def share_first_cash_row(t: Tables, p: ReportParams, *, negative_returns: bool)
         F.sum(F.when(paid, F.col("amount"))).alias("paid"),
         F.sum(F.when(paid, F.abs(F.col("amount")))).alias("paid_size"),
         F.count(F.when(paid, F.lit(1))).alias("paid_rows"),
-        F.min(F.when(_CASH, F.col("id"))).alias("first_cash"),
-        F.min(F.when(_CASH & paid & F.col("amount").isNotNull(), F.col("id"))).alias("first_paid_cash"),
+        F.min(F.when(_cash(), F.col("id"))).alias("first_cash"),
+        F.min(F.when(_cash() & paid & F.col("amount").isNotNull(), F.col("id"))).alias("first_paid_cash"),
     )
     of_invoice = Window.partitionBy("sales_invoice_header_id")
     ranked = _for_invoices(scoped_invoices(t.invoices, p), per_method).withColumn(
@@ -118,7 +121,7 @@ def _collected(t: Tables, p: ReportParams) -> DataFrame:
 def net_cash(t: Tables, p: ReportParams) -> DataFrame:
     """Cash less change. Equal change amounts count once: that is the report's rule."""
     total = F.sum("amount") - F.sum_distinct("change_amount")
-    return _collected(t, p).where(_CASH).agg(total.alias("total_cash_collected"))
+    return _collected(t, p).where(_cash()).agg(total.alias("total_cash_collected"))
 
 
 def collection_breakdown(t: Tables, p: ReportParams) -> DataFrame:
@@ -129,7 +132,7 @@ def collection_breakdown(t: Tables, p: ReportParams) -> DataFrame:
 
     change = F.sum_distinct("change_amount")
     return _collected(t, p).agg(
-        (part(_CASH) - change).alias("net_cash_amount"),
+        (part(_cash()) - change).alias("net_cash_amount"),
         part(method == "CARD").alias("card_amount"),
         part(~method.isin("CASH", "CARD")).alias("other_amount"),
         (F.sum("amount") - change).alias("total_collected"),

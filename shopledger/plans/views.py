@@ -27,7 +27,10 @@ from shopledger.sources.tables import Tables
 
 SCOPE_COLUMNS = ("company_id", "tenant_id", "legal_entity_id", "store_id")
 LOST = "LOST_SALES"
-_NO_MONEY = F.lit(0).cast("decimal(18,2)")
+
+
+def _no_money() -> Column:
+    return F.lit(0).cast("decimal(18,2)")
 
 
 def _net() -> Column:
@@ -90,7 +93,7 @@ def sales_summary(invoices: DataFrame) -> DataFrame:
 
 
 def master(invoices: DataFrame) -> DataFrame:
-    return sales_summary(invoices).withColumn("lost_sale_amount", _NO_MONEY)
+    return sales_summary(invoices).withColumn("lost_sale_amount", _no_money())
 
 
 def master_with_lost(invoices: DataFrame, orders: DataFrame) -> DataFrame:
@@ -101,7 +104,7 @@ def master_with_lost(invoices: DataFrame, orders: DataFrame) -> DataFrame:
         "customer_id": F.lit(None).cast("bigint"),
         "payment_status": F.lit("PAID"),
         "sale_order_id": F.lit(None).cast("bigint"),
-        **{c: _NO_MONEY for c in ("sale_amount", "return_amount", "net_amount", "net_discount", "net_tax")},
+        **{c: _no_money() for c in ("sale_amount", "return_amount", "net_amount", "net_discount", "net_tax")},
     }
     return sales.unionByName(lost.withColumns(padding))
 
