@@ -220,15 +220,16 @@ def customer_loyalty(invoices: DataFrame, stores: DataFrame) -> DataFrame:
 def customer_activity(customers: DataFrame, invoices: DataFrame) -> DataFrame:
     """Every customer beside each of their invoices (one row of NULLs if there is none).
 
-    Company and tenant are the customer's: customers without invoices count too.
+    Company and tenant are the customer's: customers without invoices count too. An
+    inner join plus the customers it leaves out, because an outer join could not be
+    split where one customer has very many invoices.
     """
-    visits = invoices.select("customer_id", "invoice_date_time", "payment_status")
+    visits = invoices.select("customer_id", "invoice_date_time", "payment_status").where(F.col("customer_id").isNotNull())
     people = customers.select(
         F.col("id").alias("customer_id"), "is_deleted", "customer_created_on", "company_id", "tenant_id"
     )
-    return people.join(visits, "customer_id", "left").select(
-        "customer_id", "is_deleted", "customer_created_on", "company_id", "tenant_id", "invoice_date_time", "payment_status"
-    )
+    idle = people.join(visits.select("customer_id").distinct(), "customer_id", "left_anti")
+    return people.join(visits, "customer_id").unionByName(idle, allowMissingColumns=True)
 
 
 # --- payments -------------------------------------------------------------------

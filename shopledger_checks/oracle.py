@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import re
 
-from checks import params as P
-from checks.fixtures import DERIVATIONS, in_duckdb
-from checks.registry import REPORTS, UNSCOPED, WRITES
+from shopledger_checks import params as P
+from shopledger_checks.fixtures import DERIVATIONS, in_duckdb
+from shopledger_checks.registry import REPORTS, UNSCOPED, WRITES
 from shopledger import Period, ReportParams
 
 # Invoices with a sign and the amount with tax.

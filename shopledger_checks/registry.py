@@ -8,8 +8,8 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import params as P
-from checks.fixtures import fixture_tables, source
+from shopledger_checks import params as P
+from shopledger_checks.fixtures import fixture_tables, source
 from shopledger import ReportParams, Tables
 from shopledger.functions.calendar import ntz
 from shopledger.operators.ranking import preview
@@ -104,7 +104,7 @@ def _enable_busy_brands(t: Tables, spark: SparkSession, directory: str) -> DataF
 
 def _missing_stores(t: Tables, spark: SparkSession, directory: str) -> DataFrame:
     """Add the stores that invoices name and the store table lacks."""
-    named = t.invoices.select(F.col("store_id").alias("id"), F.lit("from invoices").alias("name"))
+    named = t.invoices.select(F.col("store_id").alias("id"), F.lit("from invoices").alias("name")).distinct()
     return insert_if_absent(t.stores, named, ["id"])
 
 

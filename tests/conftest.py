@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from checks.compare import connect  # noqa: E402
-from checks.fixtures import fixture_tables  # noqa: E402
+from shopledger_checks.compare import connect  # noqa: E402
+from shopledger_checks.fixtures import fixture_tables  # noqa: E402
 from shopledger import Tables  # noqa: E402
 from shopledger.sources.schemas import SCHEMAS  # noqa: E402
 

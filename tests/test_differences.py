@@ -6,7 +6,7 @@ import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
-from checks import params as P
+from shopledger_checks import params as P
 from shopledger import ReportParams
 from shopledger.functions import flags
 from shopledger.plans import catalog, cities, customers, delivery, loyalty, payments, sales, views

@@ -5,8 +5,8 @@ from conftest import at
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from checks import params as P
-from checks.registry import REPORTS
+from shopledger_checks import params as P
+from shopledger_checks.registry import REPORTS
 from shopledger.operators.scope import scoped_invoices, settled
 from shopledger.operators.stores import store_ids, with_store
 from shopledger.plans import cities, customers, delivery, payments, sales, views

@@ -4,8 +4,8 @@ import pytest
 from conftest import SMALL, TINY
 
 import __spark_entry__ as entry
-from checks.compare import SAME_TYPE, duckdb_rows, duckdb_types, spark_rows
-from checks.registry import REPORTS
+from shopledger_checks.compare import SAME_TYPE, duckdb_rows, duckdb_types, spark_rows
+from shopledger_checks.registry import REPORTS
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()

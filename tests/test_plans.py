@@ -6,8 +6,8 @@ import pytest
 from conftest import SMALL, at
 
 import __spark_entry__ as entry
-from checks import params as P
-from checks.registry import REPORTS
+from shopledger_checks import params as P
+from shopledger_checks.registry import REPORTS
 from shopledger import Tables
 from shopledger.operators.scope import scoped_invoices
 from shopledger.plans import catalog, sales

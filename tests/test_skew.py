@@ -125,7 +125,23 @@ def test_walk_in_customers_are_split_in_the_first_date_join(tight, hot):
 
 
 def test_walk_in_customers_in_the_pie(tight, hot):
-    rows = {r.customer_id: r for r in loyalty.pie_by_first_date(hot, YEAR).collect()}
+    frame = loyalty.pie_by_first_date(hot, YEAR)
+    rows = {r.customer_id: r for r in frame.collect()}
+    # Store 7 holds a third of the invoices, and its semi join is split.
+    assert "skew=true" in plan_of(frame)
     assert rows[None].customertype == "Existing Customer"
     naive = hot.invoices.where("customer_id is null and invoice_date_time >= timestamp_ntz'2024-01-01 00:00:00'")
     assert rows[None].sales == naive.agg(F.sum("net_amount")).first()[0] > Decimal(0)
+
+
+def test_busy_customer_is_split_in_the_activity_view(tight, hot):
+    i = F.col("id")
+    busy = hot.invoices.withColumn("customer_id", F.coalesce("customer_id", F.lit(7).cast("bigint")))
+    people = tight.range(2000).select(
+        i, F.lit(False).alias("is_deleted"), F.lit(None).cast("timestamp_ntz").alias("customer_created_on"),
+        F.lit(1).alias("company_id"), F.lit(1).alias("tenant_id"),
+    )
+    frame = views.customer_activity(people, busy).groupBy("payment_status").agg(F.count("*").alias("n"))
+    idle = 2000 - busy.select("customer_id").distinct().count()
+    assert {r.payment_status: r.n for r in frame.collect()} == {"PAID": N, None: idle}
+    assert "skew=true" in plan_of(frame)
