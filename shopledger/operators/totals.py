@@ -1,35 +1,51 @@
-"""Grand totals next to grouped rows."""
+"""Grand totals next to grouped rows, in one pass over them.
+
+A total taken by a second query over the same plan can cost a second run of the joins
+below it, whenever the adaptive planner changes one copy and not the other. Neither
+function here reads its input twice.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopledger.operators.ranking import top
+
 
-def with_totals(grouped: DataFrame, **totals: Column) -> DataFrame:
-    """Add aggregates over all rows of ``grouped`` as columns.
+def few_in_order(rows: DataFrame, order: Sequence[str], **totals: Column) -> DataFrame:
+    """``rows`` sorted by the columns ``order``, aggregates over all of them as columns.
 
-    The totals are one scalar subquery over the same plan, so its shuffle is reused,
-    each total is summed in parallel, and no window pulls the rows into one task.
+    Only for frames bounded by the calendar (hours, weekdays, months) or by the list
+    of payment methods: they are folded into one row next to their totals and
+    unfolded again, which takes one small exchange and no further sort.
     """
-    packed = grouped.agg(F.struct(*[agg.alias(name) for name, agg in totals.items()])).scalar()
-    # Named apart first, so that the subquery is planned once for all totals.
-    return (
-        grouped.withColumn("_totals", packed)
-        .select(*grouped.columns, *[F.col("_totals")[name].alias(name) for name in totals])
+    others = [c for c in rows.columns if c not in order]
+    folded = rows.agg(
+        F.sort_array(F.collect_list(F.struct(*order, *others))).alias("_rows"),
+        *[total.alias(name) for name, total in totals.items()],
     )
+    return folded.select(F.inline("_rows"), *totals)
 
 
-def calendar_with_totals(rows: DataFrame, key: str, **totals: Column) -> DataFrame:
-    """``rows`` in ``key`` order with aggregates over all of them as columns.
+def top_with_totals(
+    rows: DataFrame, k: int, order: Callable[[str], list[Column]], sums: dict[str, str]
+) -> DataFrame:
+    """The first ``k`` rows beside sums over all of them; for any number of distinct rows.
 
-    Only for frames bounded by the calendar (24 hours, seven weekdays): they are
-    folded into one row next to their totals and unfolded again, which takes one
-    small exchange and no further sort.
+    ``order`` gives the sort columns for a column prefix, ``sums`` maps each total to
+    the column it adds up. A rollup yields the rows and one more with the totals; the
+    totals sort first, so ``k + 1`` rows are all that leave the sorted limit.
     """
-    others = [c for c in rows.columns if c != key]
-    folded = rows.agg(
-        F.sort_array(F.collect_list(F.struct(key, *others))).alias("_rows"),
-        *[total.alias(name) for name, total in totals.items()],
+    with_total = rows.rollup(F.struct(*rows.columns).alias("_row")).agg(
+        F.grouping_id().alias("_level"), *[F.sum(column).alias(name) for name, column in sums.items()]
     )
-    return folded.select(F.inline("_rows"), *totals)
+    is_total = F.col("_level") == 1
+    kept = top(with_total, k + 1, F.col("_level").desc(), *order("_row."))
+    folded = kept.agg(
+        F.collect_list(F.when(~is_total, F.col("_row"))).alias("_rows"),
+        *[F.max(F.when(is_total, F.col(name))).alias(name) for name in sums],
+    )
+    return folded.select(F.inline("_rows"), *sums).orderBy(*order(""))

@@ -14,7 +14,7 @@ from shopledger.functions.amounts import is_sale_or_return, signed
 from shopledger.operators.ranking import largest_first, smallest_first, top
 from shopledger.operators.scope import scoped_invoices, settled
 from shopledger.operators.stores import store_ids, with_store
-from shopledger.operators.totals import with_totals
+from shopledger.operators.totals import top_with_totals
 from shopledger.params import ReportParams
 from shopledger.sources.tables import Tables
 
@@ -72,8 +72,11 @@ def top_categories(t: Tables, p: ReportParams, k: int = 5) -> DataFrame:
     """Line amounts of the best-selling categories beside the totals over all."""
     invoices = settled(scoped_invoices(t.invoices, p, legal_entity=False))
     rows = _per_category(t, _per_product(invoices, t.lines), "line_amount")
-    ranked = top(
-        with_totals(rows, totalQty=F.sum("qty"), totalAmount=F.sum("amount")), k, largest_first("qty"), smallest_first("id")
+    ranked = top_with_totals(
+        rows,
+        k,
+        lambda prefix: [largest_first(f"{prefix}qty"), smallest_first(f"{prefix}id")],
+        {"totalQty": "qty", "totalAmount": "amount"},
     )
     return ranked.select(
         "id",

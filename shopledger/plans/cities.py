@@ -59,27 +59,25 @@ def _city_months(t: Tables, p: ReportParams, form: Form) -> DataFrame:
 
 
 def _top_cities(months: DataFrame) -> DataFrame:
-    totals = months.groupBy("city_id", "city_code", "city_name").agg(F.sum("order_count").alias("total_orders"))
+    """The cities with the most orders, each with its months (as many as the calendar has)."""
+    totals = months.groupBy("city_id", "city_code", "city_name").agg(
+        F.sum("order_count").alias("total_orders"),
+        F.collect_list(F.struct("order_month", "order_count")).alias("months"),
+    )
     return top(totals, TOP_CITIES, largest_first("total_orders"), smallest_first("city_id"))
 
 
 def monthly_rows(t: Tables, p: ReportParams) -> DataFrame:
     """A row per month and top city."""
-    months = _city_months(t, p, Form())
-    # Five rows are broadcast; the city-month counts are shuffled once and reused.
-    best = F.broadcast(_top_cities(months).select("city_id"))
-    return (
-        months.join(best, "city_id", "left_semi")
-        .select(
-            "city_id",
-            "city_code",
-            "city_name",
-            iso_text(F.col("order_month")).alias("order_month_str"),
-            F.col("order_month").alias("order_month_raw"),
-            "order_count",
-        )
-        .orderBy("order_month_raw", "city_id")
-    )
+    rows = _top_cities(_city_months(t, p, Form())).select("city_id", "city_code", "city_name", F.inline("months"))
+    return rows.select(
+        "city_id",
+        "city_code",
+        "city_name",
+        iso_text(F.col("order_month")).alias("order_month_str"),
+        F.col("order_month").alias("order_month_raw"),
+        "order_count",
+    ).orderBy("order_month_raw", "city_id")
 
 
 def monthly_document(t: Tables, p: ReportParams, form: Form = Form()) -> DataFrame:
@@ -87,22 +85,14 @@ def monthly_document(t: Tables, p: ReportParams, form: Form = Form()) -> DataFra
 
     Cities of the same name share one member of that object.
     """
-    months = _city_months(t, p, form)
-    best = _top_cities(months)
+    best = _top_cities(_city_months(t, p, form))
+    city = F.struct(
+        F.col("city_id").alias("id"), F.col("city_code").alias("code"), F.col("city_name").alias("name"), "total_orders"
+    )
     rank = F.struct(-F.col("total_orders"), F.col("city_id"))
-    cities = best.agg(
-        null_if_empty(
-            list_by(
-                rank,
-                F.col("city_id").alias("id"),
-                F.col("city_code").alias("code"),
-                F.col("city_name").alias("name"),
-                "total_orders",
-            )
-        )
-    ).scalar()
+    cities = list_by(rank, city.alias("city"))
     per_name = (
-        months.join(F.broadcast(best.select("city_id")), "city_id", "left_semi")
+        best.select("city_name", F.inline("months"))
         .groupBy("order_month", "city_name")
         .agg(F.sum("order_count").alias("orders"))
     )
@@ -117,6 +107,8 @@ def monthly_document(t: Tables, p: ReportParams, form: Form = Form()) -> DataFra
     )
     if not form.empty_list:
         listed = null_if_empty(listed)
+    # Five rows, read a second time for the list of cities.
+    top_list = best.agg(null_if_empty(F.transform(cities, lambda c: c["city"]))).scalar()
     return per_month.agg(listed.alias("monthly_data")).select(
-        as_json(F.struct(cities.alias("cities"), "monthly_data")).alias("result")
+        as_json(F.struct(top_list.alias("cities"), "monthly_data")).alias("result")
     )

@@ -9,10 +9,10 @@ from shopledger.functions.amounts import is_sale_or_return, signed
 from shopledger.functions.calendar import within
 from shopledger.functions.flags import full_name, known_live
 from shopledger.functions.ratios import rate_or_zero
-from shopledger.operators.ranking import largest_first, smallest_first, top
+from shopledger.operators.ranking import largest_first, smallest_first
 from shopledger.operators.scope import all_of, among, companies_of, company_scope, in_periods, keep_ids, scoped_invoices, settled
 from shopledger.operators.stores import store_ids, with_store
-from shopledger.operators.totals import with_totals
+from shopledger.operators.totals import top_with_totals
 from shopledger.params import ReportParams
 from shopledger.sources.tables import Tables
 
@@ -140,6 +140,10 @@ def all_sales(t: Tables, p: ReportParams) -> DataFrame:
     )
 
 
+def _best_first(prefix: str) -> list[Column]:
+    return [largest_first(f"{prefix}amount"), smallest_first(f"{prefix}id")]
+
+
 def top_sales(t: Tables, p: ReportParams, k: int = 5) -> DataFrame:
     """The best customers beside the total of all; other invoice types count as 0.
 
@@ -147,12 +151,10 @@ def top_sales(t: Tables, p: ReportParams, k: int = 5) -> DataFrame:
     """
     known = keep_ids(t.customers, "customer_class_id", p.customer_class_ids).select("id")
     sales = _sales_per_customer(t, p, scoped_invoices(t.invoices, p)).join(known, "id", "left_semi")
-    order = (largest_first("amount"), smallest_first("id"))
-    best = top(with_totals(sales, totalSum=F.sum("amount")), k, *order)
+    best = top_with_totals(sales, k, _best_first, {"totalSum": "amount"})
     # At most k rows are broadcast.
-    return (
-        _names(t).join(F.broadcast(best), "id").select("id", "name", "amount", "totalSum").orderBy(*order)
-    )
+    named = _names(t).join(F.broadcast(best), "id").select("id", "name", "amount", "totalSum")
+    return named.orderBy(*_best_first(""))
 
 
 def top_sales_inline(t: Tables, p: ReportParams, k: int = 5) -> DataFrame:
@@ -161,6 +163,6 @@ def top_sales_inline(t: Tables, p: ReportParams, k: int = 5) -> DataFrame:
     Customers are attached with their names before the total is taken.
     """
     sales = _sales_per_customer(t, p, scoped_invoices(t.invoices, p)).join(_names(t), "id").select("id", "name", "amount")
-    return top(
-        with_totals(sales, totalSum=F.sum("amount")), k, largest_first("amount"), smallest_first("id"), smallest_first("name")
+    return top_with_totals(
+        sales, k, lambda prefix: [*_best_first(prefix), smallest_first(f"{prefix}name")], {"totalSum": "amount"}
     )

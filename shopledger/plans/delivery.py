@@ -17,7 +17,7 @@ from shopledger.functions.ratios import average_or_zero
 from shopledger.operators.documents import as_json, list_by
 from shopledger.operators.scope import in_periods, scope, scoped_invoices
 from shopledger.operators.stores import store_ids, with_store
-from shopledger.operators.totals import calendar_with_totals
+from shopledger.operators.totals import few_in_order
 from shopledger.operators.weekdays import on_every_weekday
 from shopledger.params import ReportParams
 from shopledger.sources.tables import Tables
@@ -107,7 +107,7 @@ def delivery_time_hourly(t: Tables, p: ReportParams) -> DataFrame:
     hours = _per_hour(t, p, _live())
     sums = {f"all_{c}": F.sum(c) for c in ("seconds", "n", "old_seconds", "old_n")}
     return (
-        calendar_with_totals(hours, "hour", **sums)
+        few_in_order(hours, ["hour"], **sums)
         .where(F.col("n") > 0)
         .select(
             "hour",
@@ -177,7 +177,7 @@ def financial_weekdays(t: Tables, p: ReportParams) -> DataFrame:
         "total_sale_value": "net",
     }
     sums = {name: or_zero(F.sum(c)) for name, c in totals.items()}
-    return calendar_with_totals(days, "day_num", **sums).select(
+    return few_in_order(days, ["day_num"], **sums).select(
         "day_num",
         F.col("day_name").alias("day_of_week"),
         F.round(or_zero(F.col("sales")), 2).alias("sales_value"),
@@ -206,7 +206,7 @@ def deliveries_per_weekday(t: Tables, p: ReportParams) -> DataFrame:
     )
     daily = or_zero(F.col("n"))
     sums = {"_all": F.sum("n"), "_old": or_zero(F.sum("old_n"))}
-    return calendar_with_totals(on_every_weekday(per_day), "day_num", **sums).select(
+    return few_in_order(on_every_weekday(per_day), ["day_num"], **sums).select(
         "day_num",
         F.col("day_name").alias("day_of_week"),
         daily.alias("daily_deliveries"),

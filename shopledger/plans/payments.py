@@ -10,7 +10,7 @@ from shopledger.functions.ratios import percent
 from shopledger.operators.ranking import largest_first, smallest_first
 from shopledger.operators.scope import scoped_invoices, settled
 from shopledger.operators.stores import store_ids, with_store
-from shopledger.operators.totals import with_totals
+from shopledger.operators.totals import few_in_order
 from shopledger.params import ReportParams
 from shopledger.plans.views import with_display
 from shopledger.sources.tables import Tables
@@ -41,7 +41,7 @@ def _share(t: Tables, effective: DataFrame) -> DataFrame:
     shown = with_display(per_method, t.payment_methods, t.sub_payment_methods)
     per_name = shown.groupBy("name", "image").agg(F.sum("amount").alias("amount"))
     return (
-        with_totals(per_name, _all=F.sum("amount"))
+        few_in_order(per_name, ["name", "image"], _all=F.sum("amount"))
         .select("name", "image", "amount", percent(F.col("amount"), F.col("_all")).alias("percentage"))
         .orderBy(largest_first("amount"), smallest_first("name"), smallest_first("image"))
     )

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from shopledger.functions.amounts import RETURNS, SALES, is_sale_or_return, only_on, or_zero, signed, with_tax
 from shopledger.functions.calendar import month_start, within
 from shopledger.functions.ratios import quotient
-from shopledger.operators.ranking import smallest_first
 from shopledger.operators.scope import in_periods, scope, scoped_invoices, settled
 from shopledger.operators.stores import store_ids, with_store
+from shopledger.operators.totals import few_in_order
 from shopledger.params import ReportParams
 from shopledger.plans.views import LOST, lost_sales
 from shopledger.sources.tables import Tables
@@ -154,19 +154,19 @@ def monthly_graph(t: Tables, p: ReportParams) -> DataFrame:
     )
     net = F.col("net")
     figures = {"netSales": signed(net), "returns": only_on(RETURNS, net), "totalSales": only_on(SALES, net)}
-    return (
+    per_month = (
         with_store(per_store, store_ids(t.stores, p))
         .groupBy("month")
         .agg(*[F.round(F.sum(x), 2).alias(name) for name, x in figures.items()])
-        .orderBy(smallest_first("month"))
     )
+    return few_in_order(per_month, ["month"])
 
 
 def monthly_graph_signed(t: Tables, p: ReportParams) -> DataFrame:
     """Signed amount per month; no store or payment condition."""
-    return (
+    per_month = (
         scoped_invoices(t.invoices, p)
         .groupBy(month_start(F.col("invoice_date_time")).alias("month"))
         .agg(F.round(F.sum(signed(F.col("net_amount"))), 2).alias("totalSales"))
-        .orderBy(smallest_first("month"))
     )
+    return few_in_order(per_month, ["month"])

@@ -12,9 +12,9 @@ def settings(total_cores: int) -> dict[str, str]:
 
     The shuffle starts with many partitions, so that none outgrows a task at any
     data size, and the adaptive planner merges them to the advisory size. Joins of
-    two large tables are left to it as well: it splits skewed partitions, turns a
-    join whose side proved small into a broadcast, and skips the sort where every
-    partition is small enough to hash.
+    two large tables are left to it as well: it splits skewed partitions and turns a
+    join whose side proved small into a broadcast. A broadcast planned from file
+    sizes alone is trusted less: files count four times their compressed size.
     """
     return {
         "spark.sql.adaptive.enabled": "true",
@@ -22,10 +22,11 @@ def settings(total_cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * MIB),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * MIB),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.shuffle.partitions": str(max(8, min(50_000, 10 * total_cores))),
-        "spark.sql.autoBroadcastJoinThreshold": str(32 * MIB),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 * MIB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * MIB),
+        "spark.sql.sources.fileCompressionFactor": "4.0",
         "spark.sql.files.maxPartitionBytes": str(256 * MIB),
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shopledger.functions import amounts, calendar, flags, ratios
 from shopledger.operators.documents import as_json, list_by
 from shopledger.operators.ranking import largest_first, preview, top
-from shopledger.operators.totals import calendar_with_totals, with_totals
+from shopledger.operators.totals import few_in_order, top_with_totals
 from shopledger.operators.weekdays import on_every_weekday, weekday_spine
 
 
@@ -104,13 +104,20 @@ def test_preview_is_repeatable(spark):
 
 def test_totals_before_a_limit(spark):
     frame = spark.range(1, 11).select("id", (F.col("id") * 10).alias("v"))
-    rows = top(with_totals(frame, s=F.sum("v"), n=F.count("id")), 2, largest_first("v")).collect()
-    assert [tuple(r) for r in rows] == [(10, 100, 550, 10), (9, 90, 550, 10)]
+    rows = top_with_totals(frame, 2, lambda prefix: [largest_first(f"{prefix}v")], {"s": "v", "ids": "id"}).collect()
+    assert [tuple(r) for r in rows] == [(10, 100, 550, 55), (9, 90, 550, 55)]
 
 
-def test_calendar_totals_keep_the_order(spark):
+def test_totals_of_nothing_and_of_null_keys(spark):
+    frame = spark.sql("select * from values (cast(null as int), 5), (1, null) as t(id, v)")
+    rows = top_with_totals(frame, 3, lambda prefix: [largest_first(f"{prefix}v")], {"s": "v"}).collect()
+    assert [tuple(r) for r in rows] == [(1, None, 5), (None, 5, 5)]
+    assert top_with_totals(frame.limit(0), 3, lambda prefix: [largest_first(f"{prefix}v")], {"s": "v"}).count() == 0
+
+
+def test_few_rows_keep_the_order(spark):
     frame = spark.sql("select * from values (3, 'c', 1), (1, 'a', null), (2, 'b', 5) as t(k, name, v)")
-    rows = calendar_with_totals(frame, "k", s=F.sum("v")).collect()
+    rows = few_in_order(frame, ["k"], s=F.sum("v")).collect()
     assert [tuple(r) for r in rows] == [(1, "a", None, 6), (2, "b", 5, 6), (3, "c", 1, 6)]
 
 

@@ -109,10 +109,13 @@ def test_rows_survive_the_layout(half_year, partitioned):
         assert half_year[name].count() == partitioned[name].count()
 
 
-def test_grand_total_reuses_the_shuffle(plain):
-    frame = catalog.top_categories(plain, P.WHOLE)
-    frame.collect()
-    assert "ReusedExchange" in plan_of(frame)
+@pytest.mark.parametrize("key", ["category_sales_top5", "customer_sales_top5", "payment_share_view_v2", "financial_summary_weekday"])
+def test_grand_totals_read_the_facts_once(plain, key):
+    report, whole, _ = REPORTS[key]
+    plan = plan_of(report(plain, whole))
+    tree = plan.split("\n\n")[0]
+    assert "Subquery" not in plan
+    assert plan.count("/sales_invoice_header]") == 1 and tree.count("Scan parquet") <= 5
 
 
 def test_product_table_never_meets_the_lines(plain, spark):
