@@ -96,8 +96,8 @@ def kpis_with_average(t: Tables, p: ReportParams, *, with_lost: bool = False) ->
 def kpis_year_over_year(t: Tables, p: ReportParams) -> DataFrame:
     """The figures of settled invoices for the period and the year before, from one scan.
 
-    The two may overlap (a period longer than a year), so a row is repeated for each
-    period it lies in.
+    The two may overlap (a period longer than a year). Rows are summed by the set of
+    periods they lie in, and only those sums are repeated for each of them.
     """
     spans = {"current": p.period, "previous": p.year_before}
 
@@ -105,11 +105,11 @@ def kpis_year_over_year(t: Tables, p: ReportParams) -> DataFrame:
         ts = F.col(time_column)
         hits = F.array(*[F.when(within(ts, span), F.lit(tag)) for tag, span in spans.items()])
         rows = in_periods(scope(frame, p), time_column, *spans.values())
-        return rows.withColumn("period", F.explode(F.array_compact(hits)))
+        return rows.withColumn("periods", F.array_compact(hits))
 
-    rows = _per_store(settled(tagged(t.invoices, "invoice_date_time")), "period")
-    rows = rows.unionByName(_lost_per_store(tagged(t.orders, "order_date_time"), "period"))
-    figures = rows.groupBy("period").agg(*_kpi_columns())
+    rows = _per_store(settled(tagged(t.invoices, "invoice_date_time")), "periods")
+    rows = rows.unionByName(_lost_per_store(tagged(t.orders, "order_date_time"), "periods"))
+    figures = rows.withColumn("period", F.explode("periods")).groupBy("period").agg(*_kpi_columns())
     spine = figures.sparkSession.range(0, len(spans), 1, 1).select(
         F.element_at(F.array(*[F.lit(tag) for tag in spans]), F.col("id").cast("int") + 1).alias("period")
     )

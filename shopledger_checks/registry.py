@@ -151,12 +151,26 @@ def plain_numbers(frame: DataFrame) -> DataFrame:
     )
 
 
+_open: dict[tuple[str, int, str], tuple[SparkSession, Tables]] = {}
+
+
+def tables_of(spark: SparkSession, directory: str) -> Tables:
+    """The tables of a directory, opened once per session as an application would.
+
+    Only plans are kept, no rows. The session is held too, so that its id stays its own.
+    """
+    key = (spark.sparkContext.applicationId, id(spark), directory)
+    if key not in _open:
+        _open[key] = (spark, fixture_tables(spark, directory))
+    return _open[key][1]
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
     def add(key: str, build: Callable[[Tables, SparkSession, str], DataFrame]) -> None:
         def run(spark: SparkSession, directory: str) -> DataFrame:
-            return plain_numbers(build(fixture_tables(spark, directory), spark, directory))
+            return plain_numbers(build(tables_of(spark, directory), spark, directory))
 
         found[key] = run
 
