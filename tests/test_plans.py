@@ -4,6 +4,7 @@ import re
 
 import pytest
 from conftest import SMALL, at
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from shopledger_checks import params as P
@@ -11,7 +12,7 @@ from shopledger_checks.registry import REPORTS
 from shopledger import Tables
 from shopledger.operators.scope import scoped_invoices
 from shopledger.plans import catalog, sales
-from shopledger.sources.layout import write_tables
+from shopledger.sources.layout import write_monthly, write_tables
 from shopledger.sources.schemas import SCHEMAS
 
 
@@ -124,3 +125,21 @@ def test_product_table_never_meets_the_lines(plain, spark):
     tree = plan.split("\n\n")[0]
     # Read from the result down: product join, per-product sum, line join.
     assert re.search(r"Join.*HashAggregate.*HashAggregate.*Join", tree, re.S) and tree.count("Join") == 2
+
+
+def test_layout_splits_a_large_company_month(spark, tmp_path):
+    """One company-month with most of the rows is written by several tasks, each file sorted."""
+    rows = spark.range(60_000).selectExpr(
+        "id", "1L as company_id", "1L as tenant_id", "id % 5 as legal_entity_id", "repeat(uuid(), 4) as source",
+        "timestamp_ntz'2024-01-01 00:00:00' + (id % 28) * interval '1' day as invoice_date_time",
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "500KB")
+    try:
+        write_monthly(rows.repartition(16), "invoice_date_time", str(tmp_path / "t"))
+    finally:
+        spark.conf.unset(key)
+    written = spark.read.parquet(str(tmp_path / "t"))
+    assert written.count() == 60_000
+    per_file = written.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n")).collect()
+    assert len(per_file) > 3 and max(r.n for r in per_file) < 60_000 / 2

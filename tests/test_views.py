@@ -1,3 +1,4 @@
+from shopledger import Tables
 from shopledger.plans import querylog, views
 
 
@@ -33,3 +34,10 @@ def test_own_table_is_not_load(made):
     assert [(r["query"], r.hit_ratio_pct if r.hit_ratio_pct is None else float(r.hit_ratio_pct)) for r in rows] == [("a", 33.33), ("b", None)]
     assert [(r["query"], r.rows_per_call) for r in querylog.rows_per_call(t).collect()] == [("a", 2), ("b", 1)]
     assert [tuple(r) for r in querylog.database_cache(t, "x").collect()] == [("x", 66, 9, 4, 5)]
+
+
+def test_tables_of_a_catalog(spark, small):
+    spark.sql("create database if not exists shop")
+    small.cities.write.mode("overwrite").saveAsTable("shop.ent_city")
+    assert Tables.from_catalog(spark, "shop").cities.count() == 25
+    spark.sql("drop database shop cascade")
