@@ -25,7 +25,8 @@ def spark(tmp_path_factory):
         .appName("shopledger-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.showConsoleProgress", "false")
         # Not UTC on purpose: no result may depend on the session's zone.
         .config("spark.sql.session.timeZone", "America/New_York")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
