@@ -1,0 +1,89 @@
+import re
+
+import pytest
+import xxhash
+
+from shopledger.llm import simhash
+
+SCHEMA = "doc_id long, text string, fingerprint string, id long, node int"
+
+
+def brute_print(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(len(words) - 3)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute(rows):
+    """{(id, text): (fingerprint, component)} by comparing all pairs."""
+    prints = [brute_print(text) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 4:
+                root[find(i)] = find(j)
+    found = []
+    for i, (doc, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if find(j) == find(i) and rows[j][0] is not None]
+        found.append((doc, f"{prints[i]:016x}", min(ids, default=None)))
+    return found
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(d, t, "x", 7, 1) for d, t in rows], SCHEMA)
+
+
+def key(row):
+    return tuple((v is None, v if v is not None else 0) for v in row)
+
+
+def test_edges_and_near_copies_against_all_pairs(spark):
+    words = [f"w{i * 7919 % 1000}" for i in range(400)]
+    rows = [(i + 10, " ".join(words[:k] + [f"new{i}"] + words[k:])) for i, k in enumerate(range(0, 400, 9))]
+    rows += [(5, None), (6, ""), (7, " \t\n"), (8, "One"), (9, "one"), (9, "one"), (None, "one"), (None, "alone here")]
+    rows += [(3, "É Straße " * 5000), (4, "é straße " * 5000), (1, "a b c"), (2, "A  B\tc")]
+    got = [tuple(r) for r in simhash.near_duplicates(frame(spark, rows)).collect()]
+    assert sorted(got, key=key) == sorted(brute(rows), key=key)
+    assert len({c for _, _, c in got}) < len(rows) - 20
+
+
+def test_pairs_up_to_the_distance_are_all_found_once(spark):
+    base, marks = 0x0F1E2D3C4B5A6978, set()
+    marks.add(base)
+    for i in range(64):
+        for d in range(1, 6):
+            m = base
+            for k in range(d):
+                m ^= 1 << (i + k * 11) % 64
+            marks.add(m)
+    signed = sorted(m - (1 << 64) if m >> 63 else m for m in marks)
+    frame = spark.createDataFrame([(m,) for m in signed], "fingerprint long")
+    got = [tuple(r) for r in simhash.links(frame).collect()]
+    want = {(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) % (1 << 64)).bit_count() <= 4}
+    assert len(got) == len(set(got))
+    assert set(got) == want
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, "a"), (1, "a"), (1, "a")]])
+def test_one_of_each_keeps_all_columns(spark, rows):
+    kept = simhash.one_of_each(frame(spark, rows))
+    assert kept.columns == ["doc_id", "text", "fingerprint", "id", "node"]
+    assert kept.count() == len({t for _, t in rows})
+
+
+def test_one_of_each_keeps_the_smallest_and_rows_without_an_id(spark):
+    rows = [(4, "same words in here"), (2, "same words in here"), (None, "same words in here")]
+    rows += [(None, "first text of none"), (None, "second text of none"), (None, "second text of none")]
+    kept = simhash.one_of_each(frame(spark, rows)).select("doc_id", "text").collect()
+    assert sorted((tuple(r) for r in kept), key=key) == [
+        (2, "same words in here"), (None, "first text of none"), (None, "second text of none"),
+    ]
