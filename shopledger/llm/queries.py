@@ -6,19 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopledger.llm import simhash
+from shopledger.llm import htmlextract, licenses, pii, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_htmlextract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlextract.extract(_table(spark, sf_dir, "pages"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_simhash,)}
+    return {f.__name__: f for f in (op2_licenses, op5_pii, op6_simhash, op9_htmlextract)}
 
 
 def all_oracles() -> dict[str, str]:
