@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopledger.llm import htmlextract, licenses, pii, simhash
+from shopledger.llm import htmlextract, langid, licenses, pieces, pii, simhash
+
+
+def public_model() -> str:
+    """The installed public vocabulary; its place is only the default of a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return langid.predict(documents, langid.train(langid.labelled_part(documents)))
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -29,8 +41,12 @@ def op9_htmlextract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmlextract.extract(_table(spark, sf_dir, "pages"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:
+    return pieces.encode(_table(spark, sf_dir, "documents"), pieces.load(model_file or public_model()))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_licenses, op5_pii, op6_simhash, op9_htmlextract)}
+    return {f.__name__: f for f in (op1_langid, op2_licenses, op5_pii, op6_simhash, op9_htmlextract, op10_sentencepiece)}
 
 
 def all_oracles() -> dict[str, str]:

@@ -1,0 +1,130 @@
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+from sentencepiece import sentencepiece_model_pb2
+
+from shopledger.llm import pieces, queries
+
+SCHEMA = "doc_id long, text string, part string, token_ids int, row int"
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return pieces.load(queries.public_model())
+
+
+@pytest.fixture(scope="module")
+def library(vocabulary):
+    """The library's own search for the best segmentation, over the same pieces and scores."""
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(queries.public_model(), "rb") as file:
+        model.ParseFromString(file.read())
+    model.trainer_spec.model_type = 1
+    for piece, score in zip(model.pieces, vocabulary.scores):
+        piece.score = score
+    return sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+
+
+def total(vocabulary, ids):
+    return sum(vocabulary.scores[i] if vocabulary.usable[i] else 0.0 for i in ids)
+
+
+TEXTS = [
+    "The cat sat on the mat, and nothing else happened.", "Élan vital; straße 12,5 % ünïcode", "a", " two  spaces   three", "x\ny\t\tz\r\n",
+    "日本語のテキスト 모두 ☃ 🙂", "supercalifragilisticexpialidocious" * 3, "    ", "tail ",
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_scores_equal_the_library(vocabulary, library, text):
+    ours = pieces.Encoder(vocabulary).encode([" " + text])[0].tolist()
+    theirs = library.encode(text)
+    assert total(vocabulary, ours) == pytest.approx(total(vocabulary, theirs), abs=1e-3)
+    assert sum(not vocabulary.usable[i] for i in ours) == sum(not vocabulary.usable[i] for i in theirs)
+
+
+def test_same_ids_as_the_library_but_for_ties(spark, vocabulary, library):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    encoder = pieces.Encoder(vocabulary)
+    words = sorted({w for t in texts for w in t.split()})
+    for word, ours in zip(words, encoder.encode([" " + w for w in words])):
+        theirs = library.encode(word)
+        assert ours.tolist() == theirs or total(vocabulary, ours) == pytest.approx(total(vocabulary, theirs), abs=1e-4)
+
+
+def brute_path(vocabulary, text):
+    """Best score of a text, by all segmentations of its prefixes."""
+    best = [0.0]
+    for end in range(1, len(text) + 1):
+        found = [best[end - 1] + vocabulary.unknown] if text[end - 1] not in vocabulary.ids else []
+        for start in range(end):
+            if text[start:end] in vocabulary.ids:
+                found.append(best[start] + vocabulary.scores[vocabulary.ids[text[start:end]]])
+        best.append(max(found))
+    return best[-1]
+
+
+def test_scan_over_chunks_is_the_best_path():
+    rng = random.Random(5)
+    made = {"".join(rng.choice("abc") for _ in range(rng.randint(2, 5))) for _ in range(30)} | {"a", "b", " ", " a", " ab", "  "}
+    names = sorted(made)
+    vocabulary = pieces.Vocabulary(names, [-rng.random() * 9 for _ in names], [], [True] * len(names))
+    vocabulary.byte_ids = [0] * 256
+    encoder, back = pieces.Encoder(vocabulary), vocabulary.longest - 1
+    for _ in range(60):
+        text = "".join(rng.choice("aaabbbc " if rng.random() < 0.5 else "abc") for _ in range(rng.randint(30, 120)))
+        chunk = rng.randint(vocabulary.longest, 25)
+        cuts = range(0, len(text), chunk)
+        matrices = [encoder.transfer(text[max(0, a - back) : a], text[a : a + chunk]) for a in cuts]
+        if len(text) - cuts[-1] < vocabulary.longest:
+            continue
+        whole = matrices[0]
+        for m in matrices[1:]:
+            whole = pieces.product(whole, m)
+        assert whole[0, 0] == pytest.approx(brute_path(vocabulary, text))
+        states = pieces.path(matrices, 0, 0)
+        spans = [text[a - s : min(a + chunk, len(text)) - t] for a, s, t in zip(cuts, states, states[1:])]
+        assert "".join(spans) == text
+        assert sum(encoder.score_of(s) for s in spans) == pytest.approx(brute_path(vocabulary, text))
+
+
+ROWS = [
+    (1, "Plain words here, 12 of them."), (2, None), (3, ""), (4, "▁ literal and \x00 null"), (5, " " * 700), (6, "nospace" * 300),
+    (7, "many words " * 300 + "☃" * 50), (7, "many words " * 300 + "☃" * 50), (None, "日本語" * 200), (8, "x" * 101), (9, "y" * 100),
+]
+
+
+@pytest.mark.parametrize("chunk", [100, 128, 100_000])
+def test_round_trip_of_whole_and_chunked_texts(spark, vocabulary, chunk):
+    frame = spark.createDataFrame([(d, t, "p", 1, 2) for d, t in ROWS], SCHEMA)
+    found = pieces.encode(frame, vocabulary, chunk)
+    rows = found.collect()
+    assert all(r.exact and r.n_tokens == len(r.token_ids) for r in rows)
+    texts = {}
+    for r in sorted(pieces.decode(found, vocabulary).collect(), key=lambda r: r.part):
+        texts.setdefault(r.doc_id, {}).setdefault(r.part, set()).add(r.text)
+    for doc, text in ROWS:
+        assert "".join(next(iter(t)) for _, t in sorted(texts[doc].items())) == (text or "")
+    expected = sum(max(1, -(-(len(t or "") + 1) // chunk)) if len(t or "") > chunk else 1 for _, t in ROWS)
+    assert len(rows) == expected
+
+
+def test_chunked_scores_equal_whole_scores_through_several_levels(spark, vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces, "FAN_IN", 3)
+    frame = spark.createDataFrame([(d, t, "p", 1, 2) for d, t in ROWS if d], SCHEMA)
+    sums = []
+    for chunk in (64, 100_000):
+        by_doc = {}
+        for r in pieces.encode(frame, vocabulary, chunk).collect():
+            by_doc[r.doc_id] = by_doc.get(r.doc_id, 0.0) + total(vocabulary, r.token_ids)
+        sums.append(by_doc)
+    assert sums[0] == pytest.approx(sums[1])
+
+
+def test_empty_table_and_null_ids(spark, vocabulary):
+    assert pieces.encode(spark.createDataFrame([], SCHEMA), vocabulary).count() == 0
+    frame = spark.createDataFrame([(1, 0, None)], "doc_id long, part int, token_ids array<int>")
+    assert pieces.decode(frame, vocabulary).collect()[0].text is None
+    assert np.array_equal(pieces.Encoder(vocabulary).encode([""])[0], [])
