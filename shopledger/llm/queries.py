@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopledger.llm import htmlextract, langid, licenses, pieces, pii, simhash
+from shopledger.llm import decontamination, htmlextract, langid, licenses, oracles, pieces, pii, simhash
 
 
 def public_model() -> str:
@@ -29,6 +30,13 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", F.array_min("items").alias("first_item"), F.size("items").cast("long").alias("n_items"), "coverage", "n_windows"
+    )
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(_table(spark, sf_dir, "documents"))
 
@@ -46,8 +54,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_langid, op2_licenses, op5_pii, op6_simhash, op9_htmlextract, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_langid, op2_licenses, op4_decontamination, op5_pii, op6_simhash, op9_htmlextract, op10_sentencepiece)}
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {"op4_decontamination": oracles.decontamination()}
