@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import decontamination, htmlextract, langid, licenses, oracles, pieces, pii, simhash
+from shopledger.llm import decontamination, htmlextract, langid, licenses, oracles, pieces, pii, sharding, simhash, warc
+from shopledger.llm.common import shared_folder
 
 
 def public_model() -> str:
@@ -30,6 +32,10 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.placements(_table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -45,6 +51,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.captures(_table(spark, sf_dir, "pages"), shared_folder(spark))
+
+
 def op9_htmlextract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmlextract.extract(_table(spark, sf_dir, "pages"))
 
@@ -54,7 +64,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_langid, op2_licenses, op4_decontamination, op5_pii, op6_simhash, op9_htmlextract, op10_sentencepiece)}
+    return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
 
 def all_oracles() -> dict[str, str]:
