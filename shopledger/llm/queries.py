@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import decontamination, htmlextract, langid, licenses, oracles, pieces, pii, sharding, simhash, warc
+from shopledger.llm import decontamination, embeddings, htmlextract, langid, licenses, oracles, pieces, pii, sharding, simhash, warc
 from shopledger.llm.common import shared_folder
 
 
@@ -51,6 +51,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.captures(_table(spark, sf_dir, "pages"), shared_folder(spark))
 
