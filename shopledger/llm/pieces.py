@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 from shopledger.llm.common import stored
 
 # Characters in a chunk, and matrices multiplied by one task at a time.
-CHUNK = 1 << 15
+CHUNK = 1 << 16
 FAN_IN = 64
 # Words up to this length are solved many at a time, and kept for the next text.
 SHORT = 40
-TOGETHER = 4_096
+TOGETHER = 2_048
 MEMO_WORDS = 300_000
 # Texts whose words are solved together.
 TEXTS = 500
@@ -96,7 +96,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.memo: dict[str, tuple[bytes, float]] = {}
+        self.memo: dict[str, bytes] = {}
         self._index()
 
     # --- words, many at a time -------------------------------------------------------
@@ -110,6 +110,10 @@ class Encoder:
         self.keys = np.zeros(len(self.v.pieces) + 1, np.uint64)
         self.keys[ids] = keys
         self.score = np.append(np.array(self.v.scores), LOW)
+        # What an id adds to a score: an unknown character counts once, at its first byte.
+        self.cost = self.score.copy()
+        for value, i in enumerate(self.v.byte_ids):
+            self.cost[i] = 0.0 if value & 0xC0 == 0x80 else self.v.unknown
         self.first = np.full(1 << _TABLE_BITS, len(self.v.pieces), np.int32)
         self.second = np.full(1 << _TABLE_BITS, len(self.v.pieces), np.int32)
         at = _slot(keys, _MIX_1)
@@ -150,49 +154,64 @@ class Encoder:
         """Segmentations of words of one length, into the memory."""
         size, count, none = len(words[0]), len(words), len(self.v.pieces)
         codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(count, size).T.astype(np.uint64) + np.uint64(1)
-        best = np.full((size + 1, count), LOW)
-        best[0] = 0.0
-        piece = np.full((size + 1, count), none, np.int32)
-        back = np.zeros((size + 1, count), np.int32)
-        # Hash of the piece of n characters from each place, grown by one character a round.
-        hashes, grown, power = np.zeros((size, count), np.uint64), [], np.uint64(1)
-        for n in range(1, min(self.v.longest, size) + 1):
+        # Piece and score by its characters less one and its first place; hashes grow by one
+        # character a round.
+        longest = min(self.v.longest, size)
+        pieces = np.full((longest, size, count), none, np.int32)
+        hashes, power = np.zeros((size, count), np.uint64), np.uint64(1)
+        for n in range(1, longest + 1):
             with np.errstate(over="ignore"):
                 hashes = hashes[: size - n + 1] + codes[n - 1 :] * power
                 power = power * np.uint64(_BASE)
-            grown.append(self._numbers(hashes))
+            pieces[n - 1, : size - n + 1] = self._numbers(hashes)
+        scores = self.score[pieces]
+        scores[0][pieces[0] == none] = self.v.unknown
+        best = np.zeros((size + 1, count))
+        piece = np.zeros((size + 1, count), np.int32)
+        back = np.zeros((size + 1, count), np.int32)
+        every = np.arange(count)
         for end in range(1, size + 1):
-            for n in range(min(self.v.longest, end), 0, -1):
-                number = grown[n - 1][end - n]
-                score = self.score[number]
-                if n == 1:
-                    score = np.where(number == none, self.v.unknown, score)
-                total = best[end - n] + score
-                better = total > best[end]
-                best[end][better] = total[better]
-                piece[end][better] = number[better]
-                back[end][better] = n
-        for word, score, steps, numbers in zip(words, best[size].tolist(), back.T.tolist(), piece.T.tolist()):
-            ids, at = [], size
-            while at:
-                if numbers[at] != none:
-                    ids.append(numbers[at])
-                else:
-                    ids += self._bytes(word[at - 1])
-                at -= steps[at]
-            ids.reverse()
-            self.memo[word] = (_pack(ids), score)
-
-    def _bytes(self, character: str) -> list[int]:
-        """Pieces of an unknown character's bytes, last first."""
-        return [self.v.byte_ids[b] for b in reversed(character.encode())]
+            # Longest first: among equal sums the longer last piece wins.
+            n = np.arange(min(longest, end), 0, -1)
+            total = scores[n - 1, end - n] + best[end - n]
+            how = total.argmax(axis=0)
+            best[end] = total[how, every]
+            back[end] = n[how]
+            piece[end] = pieces[back[end] - 1, end - back[end], every]
+        # All backtraces at once, from the right; a word's ids are the last ones of its row.
+        ids, at, counts = np.zeros((count, size), np.int32), np.full(count, size), np.zeros(count, np.int32)
+        for step in range(1, size + 1):
+            open_ = at > 0
+            if not open_.any():
+                break
+            ids[open_, size - step] = piece[at, every][open_]
+            at -= back[at, every]
+            counts += open_
+        strange = ((ids == none) & (np.arange(size) >= size - counts[:, None])).any(axis=1)
+        raw = ids.tobytes()
+        ends = range(4 * size, 4 * size * (count + 1), 4 * size)
+        self.memo.update((w, raw[e - 4 * c : e]) for w, e, c in zip(words, ends, counts.tolist()))
+        for k in np.flatnonzero(strange).tolist():
+            self.memo[words[k]] = self._with_bytes(words[k], ids[k, size - counts[k] :].tolist())
+
+    def _with_bytes(self, word: str, numbers: list[int]) -> bytes:
+        """Ids of a word in which unknown characters still stand as the number of pieces."""
+        ids, at = [], 0
+        for number in numbers:
+            if number < len(self.v.pieces):
+                ids.append(number)
+                at += len(self.v.pieces[number])
+            else:
+                ids += [self.v.byte_ids[b] for b in word[at].encode()]
+                at += 1
+        return _pack(ids)
 
     def _learn(self, texts: list[list[str]]) -> None:
         """Solves the words of several texts that are not in the memory yet."""
         words = set(chain.from_iterable(texts))
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
-        new = [w for w in words if w not in self.memo]
+        new = words.difference(self.memo)
         by_size: dict[int, list[str]] = {}
         for word in new:
             by_size.setdefault(len(word), []).append(word)
@@ -204,7 +223,7 @@ class Encoder:
                 for word in alike:
                     self.memo[word] = self._long_word(word)
 
-    def _long_word(self, word: str) -> tuple[bytes, float]:
+    def _long_word(self, word: str) -> bytes:
         """A word of any length, piece by piece."""
         best, back = [0.0], [(0, -1)]
         get, scores, longest = self.v.ids.get, self.v.scores, self.v.longest
@@ -216,12 +235,11 @@ class Encoder:
                     top, how = best[start] + scores[number], (start, number)
             best.append(top)
             back.append(how)
-        ids, at = [], len(word)
+        numbers, at = [], len(word)
         while at:
-            start, number = back[at]
-            ids += [number] if number >= 0 else self._bytes(word[at - 1])
-            at = start
-        return _pack(ids[::-1]), best[-1]
+            at, number = back[at]
+            numbers.append(number if number >= 0 else len(self.v.pieces))
+        return self._with_bytes(word, numbers[::-1])
 
     # --- texts -----------------------------------------------------------------------
 
@@ -232,13 +250,14 @@ class Encoder:
         """Ids of texts that start and end at piece ends; they hold their spaces as they are."""
         words = [self.words(t) for t in texts]
         self._learn(words)
-        memo = self.memo
-        return [np.frombuffer(b"".join([memo[w][0] for w in own]), np.int32) for own in words]
+        ids = self.memo.__getitem__
+        return [np.frombuffer(b"".join(map(ids, own)), np.int32) for own in words]
+
+    def learn(self, texts: list[str]) -> None:
+        self._learn([self.words(t) for t in texts])
 
     def score_of(self, text: str) -> float:
-        words = self.words(text)
-        self._learn([words])
-        return math.fsum(self.memo[w][1] for w in words)
+        return math.fsum(self.cost[self.encode([text])[0]])
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.v.raw.__getitem__, ids.tolist()))
@@ -395,7 +414,11 @@ def _scan(large: DataFrame, vocabulary: Vocabulary, chunk: int) -> DataFrame:
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for batch in batches:
-            found = [encoder.transfer(b, c).tobytes() for b, c in zip(*[batch.column(n).to_pylist() for n in ("before", "chunk")])]
+            texts = list(zip(*[batch.column(n).to_pylist() for n in ("before", "chunk")]))
+            found = []
+            for at in range(0, len(texts), FAN_IN):
+                encoder.learn([b + c for b, c in texts[at : at + FAN_IN]])
+                found += [encoder.transfer(b, c).tobytes() for b, c in texts[at : at + FAN_IN]]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("part"), pa.array(found, pa.binary())], ["row", "place", "matrix"])
 
     levels = [stored(chunks.select("row", "part", "before", "chunk").mapInArrow(matrices, "row string, place int, matrix binary"))]

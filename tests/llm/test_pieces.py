@@ -70,8 +70,11 @@ def test_scan_over_chunks_is_the_best_path():
     rng = random.Random(5)
     made = {"".join(rng.choice("abc") for _ in range(rng.randint(2, 5))) for _ in range(30)} | {"a", "b", " ", " a", " ab", "  "}
     names = sorted(made)
-    vocabulary = pieces.Vocabulary(names, [-rng.random() * 9 for _ in names], [], [True] * len(names))
-    vocabulary.byte_ids = [0] * 256
+    count = len(names)
+    vocabulary = pieces.Vocabulary(
+        names + [f"<{b}>" for b in range(256)], [-rng.random() * 9 for _ in names] + [0.0] * 256,
+        list(range(count, count + 256)), [True] * count + [False] * 256,
+    )
     encoder, back = pieces.Encoder(vocabulary), vocabulary.longest - 1
     for _ in range(60):
         text = "".join(rng.choice("aaabbbc " if rng.random() < 0.5 else "abc") for _ in range(rng.randint(30, 120)))
