@@ -1,20 +1,52 @@
-"""A corpus from raw documents: five stages, each on all that the one before has kept."""
+"""A tokenised corpus from raw documents: five stages, each on all that the one before has kept.
+
+Every stage takes ``(spark, docs, sf_dir)``. All but the last return the columns of ``docs``.
+Null, empty and very long texts, repeated rows, empty tables and extra columns are treated as
+the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopledger.llm import simhash
+from shopledger.llm import decontamination, langid, pieces, pii, queries, simhash
 from shopledger.llm.common import stored
 
+# Below this probability no learned language fits a text; short texts of a known one lie above.
+MIN_LANGUAGE_SCORE = 0.3
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or of no language learned from the labelled rows, go."""
+    return langid.identified(docs, langid.train(langid.labelled_part(docs)), MIN_LANGUAGE_SCORE)
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return simhash.one_of_each(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; all documents stay."""
+    return pii.redacted(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, long ones in parts."""
+    return pieces.encode(docs, pieces.load(queries.public_model()))
+
+
 STAGES = [
-    ("simhash", near_duplicates),
+    ("language identification", identify_language),
+    ("simhash near duplicates", drop_near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("personal data", redact_personal_data),
+    ("sentencepiece encoding", encode),
 ]
 
 
