@@ -6,20 +6,35 @@ so that they reach the parquet scan.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from functools import reduce
+from collections.abc import Callable, Iterable
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.functions.calendar import ntz, within
 from shopledger.params import Period, ReportParams
-from shopledger.sources.layout import MONTH_COLUMN
+from shopledger.sources.layout import INVOICE_COMPANY, INVOICE_TENANT, MONTH_COLUMN
 
-# Longer id lists become a semi join with a broadcast list instead of an IN predicate.
-MAX_IN_LIST = 1_000
-# Beyond this many ids (8 bytes each) the list is left for Spark to size and place.
-MAX_BROADCAST_IDS = 1_000_000
+# Lists beside company and tenant, which every report with a scope takes.
+OPTIONAL_LISTS = ("legal_entity_ids", "store_ids", "region_ids", "customer_class_ids", "driver_ids")
+
+
+def takes(*lists: str) -> Callable:
+    """Marks a report with the optional lists it applies; a call with any other list is refused."""
+
+    def mark(report: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(report)
+        def checked(t, p: ReportParams, *args, **kwargs) -> DataFrame:
+            for name in OPTIONAL_LISTS:
+                if getattr(p, name) and name not in lists:
+                    raise ValueError(f"{report.__name__} does not take {name}")
+            return report(t, p, *args, **kwargs)
+
+        checked.takes = lists
+        return checked
+
+    return mark
 
 
 def all_of(conditions: Iterable[Column]) -> Column:
@@ -31,25 +46,28 @@ def any_of(conditions: Iterable[Column]) -> Column:
 
 
 def among(column: str, ids: tuple[int, ...]) -> Column:
-    """``column`` is in ``ids``; always true when ``ids`` is empty."""
-    return F.col(column).isin(*ids) if ids else F.lit(True)
+    """``column`` is in ``ids``; always true when ``ids`` is empty.
+
+    One predicate at every length, so that a long list prunes partitions like a short
+    one; it is handed over as text, not id by id.
+    """
+    return _in(column, ids) if ids else F.lit(True)
+
+
+def _in(column: str, ids: Iterable[int]) -> Column:
+    return F.expr(f"`{column}` in ({', '.join(str(int(i)) for i in sorted(set(ids)))})")
 
 
 def keep_ids(frame: DataFrame, column: str, ids: tuple[int, ...]) -> DataFrame:
     """Rows whose ``column`` is in ``ids``; every row when ``ids`` is empty."""
-    if len(ids) <= MAX_IN_LIST:
-        return frame.where(among(column, ids)) if ids else frame
-    wanted = frame.sparkSession.createDataFrame([(i,) for i in set(ids)], f"{column} bigint")
-    if len(ids) <= MAX_BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    return frame.join(wanted, column, "left_semi")
+    return frame.where(among(column, ids)) if ids else frame
 
 
 def companies_of(p: ReportParams, column: str = "company_id") -> Column:
     """The requested companies, cut down to the allowed ones."""
     if p.allowed_company_ids is None:
         return among(column, p.company_ids)
-    allowed = F.col(column).isin(*p.allowed_company_ids) if p.allowed_company_ids else F.lit(False)
+    allowed = _in(column, p.allowed_company_ids) if p.allowed_company_ids else F.lit(False)
     return among(column, p.company_ids) & allowed
 
 
@@ -58,13 +76,21 @@ def company_scope(frame: DataFrame, p: ReportParams) -> DataFrame:
 
 
 def scope(frame: DataFrame, p: ReportParams, *, legal_entity: bool = True) -> DataFrame:
-    """Company, tenant, store, driver and (unless switched off) legal entity."""
+    """Company, tenant, store and (unless switched off) legal entity."""
     scoped = keep_ids(company_scope(frame, p), "store_id", p.store_ids)
-    if legal_entity:
-        scoped = keep_ids(scoped, "legal_entity_id", p.legal_entity_ids)
-    if "delivery_partner_id" in frame.columns:
-        scoped = keep_ids(scoped, "delivery_partner_id", p.driver_ids)
-    return scoped
+    return keep_ids(scoped, "legal_entity_id", p.legal_entity_ids) if legal_entity else scoped
+
+
+def of_scoped_invoices(frame: DataFrame, p: ReportParams) -> DataFrame:
+    """Lines or payments of invoices in the scope and period, where the layout tells.
+
+    Only skips what the join with the scoped invoices would drop; a frame of another
+    layout comes back as it is.
+    """
+    if INVOICE_COMPANY not in frame.columns:
+        return frame
+    kept = keep_ids(frame.where(companies_of(p, INVOICE_COMPANY)), INVOICE_TENANT, p.tenant_ids)
+    return kept.where(_months(F.col(MONTH_COLUMN), p.period))
 
 
 def in_periods(frame: DataFrame, time_column: str, *periods: Period) -> DataFrame:

@@ -18,6 +18,11 @@ def store_ids(stores: DataFrame, p: ReportParams | None = None, live: Column | N
     return stores.select(F.col("id").alias("store_id"))
 
 
+def in_regions(frame: DataFrame, stores: DataFrame, p: ReportParams) -> DataFrame:
+    """Rows of stores in the wanted regions; every row when no region is asked for."""
+    return with_store(frame, store_ids(stores, p)) if p.region_ids else frame
+
+
 def with_store(frame: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose store is in ``ids``.
 

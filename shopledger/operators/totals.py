@@ -1,13 +1,8 @@
-"""Grand totals next to grouped rows, in one pass over them.
-
-A total taken by a second query over the same plan can cost a second run of the joins
-below it, whenever the adaptive planner changes one copy and not the other. Neither
-function here reads its input twice.
-"""
+"""Grand totals next to grouped rows, with one read of the facts below them."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +13,9 @@ from shopledger.operators.ranking import top
 def few_in_order(rows: DataFrame, order: Sequence[str], **totals: Column) -> DataFrame:
     """``rows`` sorted by the columns ``order``, aggregates over all of them as columns.
 
-    Only for frames bounded by the calendar (hours, weekdays, months) or by the list
-    of payment methods: they are folded into one row next to their totals and
-    unfolded again, which takes one small exchange and no further sort.
+    Only for frames bounded by the calendar (hours, weekdays, months): they are folded
+    into one row next to their totals and unfolded again, which takes one small exchange
+    and no further sort.
     """
     others = [c for c in rows.columns if c not in order]
     folded = rows.agg(
@@ -30,22 +25,18 @@ def few_in_order(rows: DataFrame, order: Sequence[str], **totals: Column) -> Dat
     return folded.select(F.inline("_rows"), *totals)
 
 
-def top_with_totals(
-    rows: DataFrame, k: int, order: Callable[[str], list[Column]], sums: dict[str, str]
-) -> DataFrame:
-    """The first ``k`` rows beside sums over all of them; for any number of distinct rows.
+def with_totals(rows: DataFrame, sums: dict[str, str], source: DataFrame | None = None) -> DataFrame:
+    """``rows`` beside sums over all rows of ``source`` (of ``rows`` itself by default).
 
-    ``order`` gives the sort columns for a column prefix, ``sums`` maps each total to
-    the column it adds up. A rollup yields the rows and one more with the totals; the
-    totals sort first, so ``k + 1`` rows are all that leave the sorted limit.
+    The totals are a one-row subquery over the aggregate that also feeds the rows. Both
+    share its exchange, so the facts below it are read once; ``tests/test_plans.py`` holds
+    the executed plans to that.
     """
-    with_total = rows.rollup(F.struct(*rows.columns).alias("_row")).agg(
-        F.grouping_id().alias("_level"), *[F.sum(column).alias(name) for name, column in sums.items()]
-    )
-    is_total = F.col("_level") == 1
-    kept = top(with_total, k + 1, F.col("_level").desc(), *order("_row."))
-    folded = kept.agg(
-        F.collect_list(F.when(~is_total, F.col("_row"))).alias("_rows"),
-        *[F.max(F.when(is_total, F.col(name))).alias(name) for name in sums],
-    )
-    return folded.select(F.inline("_rows"), *sums).orderBy(*order(""))
+    totals = F.struct(*[F.sum(column).alias(name) for name, column in sums.items()])
+    total = (rows if source is None else source).agg(totals).scalar()
+    return rows.select("*", *[total[name].alias(name) for name in sums])
+
+
+def top_with_totals(rows: DataFrame, k: int, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """The first ``k`` rows beside sums over all of them; ``rows`` must end in an aggregate or a join of one."""
+    return with_totals(top(rows, k, *order), sums, rows)

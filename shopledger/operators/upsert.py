@@ -28,12 +28,19 @@ def one_per_key(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _known_columns(target: DataFrame, given: DataFrame) -> None:
+    if unknown := [c for c in given.columns if c not in target.columns]:
+        raise ValueError(f"the table has no column {', '.join(unknown)}")
+
+
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``target`` plus the rows of ``source`` whose key it lacks; existing rows win.
 
     Columns that ``source`` lacks become NULL. A key with a NULL in it never equals
-    another, so such rows are all inserted, as a unique constraint would allow.
+    another, so such rows are all inserted, as a unique constraint would allow. Columns
+    that ``target`` lacks are refused.
     """
+    _known_columns(target, source)
     open_key = any_of([F.col(k).isNull() for k in keys])
     fresh = one_per_key(source.where(~open_key), keys).join(target.select(*keys), list(keys), "left_anti")
     arriving = fresh.unionByName(source.where(open_key))
@@ -50,8 +57,9 @@ def update_touch(
     """``target`` with the columns of ``updates`` taken over where the key matches.
 
     Matched rows also get ``now`` in ``touched``. The job time is an argument, so a
-    task that is run again writes the same value.
+    task that is run again writes the same value. Columns that ``target`` lacks are refused.
     """
+    _known_columns(target, updates)
     changed = [c for c in updates.columns if c not in keys]
     incoming = one_per_key(updates, keys).select(
         *keys, *[F.col(c).alias(f"_new_{c}") for c in changed], F.lit(True).alias("_matched")

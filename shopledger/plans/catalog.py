@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from shopledger.functions.amounts import is_sale_or_return, signed
 from shopledger.operators.ranking import largest_first, smallest_first, top
-from shopledger.operators.scope import scoped_invoices, settled
-from shopledger.operators.stores import store_ids, with_store
+from shopledger.operators.scope import of_scoped_invoices, scoped_invoices, settled, takes
+from shopledger.operators.stores import in_regions, store_ids, with_store
 from shopledger.operators.totals import top_with_totals
 from shopledger.params import ReportParams
 from shopledger.sources.tables import Tables
@@ -52,11 +52,12 @@ def _per_category(t: Tables, per_product: DataFrame, amount: str) -> DataFrame:
     return per_id.join(t.categories, "id")
 
 
+@takes("store_ids", "region_ids")
 def category_header_amounts(t: Tables, p: ReportParams) -> DataFrame:
     """Invoice amount counted once per line, over invoices of known stores."""
     invoices = with_store(settled(scoped_invoices(t.invoices, p, legal_entity=False)), store_ids(t.stores, p))
     return (
-        _per_category(t, _per_product(invoices, t.lines), "header_amount")
+        _per_category(t, _per_product(invoices, of_scoped_invoices(t.lines, p)), "header_amount")
         .select(
             "id",
             "name",
@@ -68,14 +69,15 @@ def category_header_amounts(t: Tables, p: ReportParams) -> DataFrame:
     )
 
 
+@takes("store_ids", "region_ids")
 def top_categories(t: Tables, p: ReportParams, k: int = 5) -> DataFrame:
     """Line amounts of the best-selling categories beside the totals over all."""
-    invoices = settled(scoped_invoices(t.invoices, p, legal_entity=False))
-    rows = _per_category(t, _per_product(invoices, t.lines), "line_amount")
+    invoices = in_regions(settled(scoped_invoices(t.invoices, p, legal_entity=False)), t.stores, p)
+    rows = _per_category(t, _per_product(invoices, of_scoped_invoices(t.lines, p)), "line_amount")
     ranked = top_with_totals(
         rows,
         k,
-        lambda prefix: [largest_first(f"{prefix}qty"), smallest_first(f"{prefix}id")],
+        [largest_first("qty"), smallest_first("id")],
         {"totalQty": "qty", "totalAmount": "amount"},
     )
     return ranked.select(
@@ -89,9 +91,10 @@ def top_categories(t: Tables, p: ReportParams, k: int = 5) -> DataFrame:
     )
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def top_products(t: Tables, p: ReportParams, classification: str, k: int = 5) -> DataFrame:
     """Best products of one classification by signed amount; returned pieces still add up."""
-    invoices = settled(scoped_invoices(t.invoices, p))
+    invoices = in_regions(settled(scoped_invoices(t.invoices, p)), t.stores, p)
     wanted = t.products.where(F.col("product_classification") == classification).select(
         F.col("id").alias("product_id"),
         F.col("short_name").alias("name"),
@@ -101,7 +104,7 @@ def top_products(t: Tables, p: ReportParams, classification: str, k: int = 5) ->
         F.col("hex_code").alias("productHexCode"),
     )
     rows = (
-        _per_product(invoices, t.lines)
+        _per_product(invoices, of_scoped_invoices(t.lines, p))
         .join(wanted, "product_id")
         .select(
             F.col("product_id").alias("id"),

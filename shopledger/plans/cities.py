@@ -12,7 +12,7 @@ from shopledger.functions.calendar import iso_text, month_name, month_start
 from shopledger.functions.flags import known_live, live_unless_deleted
 from shopledger.operators.documents import as_json, list_by, null_if_empty
 from shopledger.operators.ranking import largest_first, smallest_first, top
-from shopledger.operators.scope import keep_ids, scoped_invoices, settled
+from shopledger.operators.scope import keep_ids, scoped_invoices, settled, takes
 from shopledger.params import ReportParams
 from shopledger.sources.tables import Tables
 
@@ -38,7 +38,7 @@ def _city_months(t: Tables, p: ReportParams, form: Form) -> DataFrame:
 
     Counted per store and month first, so that stores and cities join counts only.
     """
-    invoices = scoped_invoices(t.invoices, p).where(
+    invoices = keep_ids(scoped_invoices(t.invoices, p), "delivery_partner_id", p.driver_ids).where(
         (F.col("fulfilment_type") == "DELIVERY") & (F.col("invoice_type") == SALES)
     )
     if form.settled_only:
@@ -67,6 +67,7 @@ def _top_cities(months: DataFrame) -> DataFrame:
     return top(totals, TOP_CITIES, largest_first("total_orders"), smallest_first("city_id"))
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids", "driver_ids")
 def monthly_rows(t: Tables, p: ReportParams) -> DataFrame:
     """A row per month and top city."""
     rows = _top_cities(_city_months(t, p, Form())).select("city_id", "city_code", "city_name", F.inline("months"))
@@ -80,6 +81,7 @@ def monthly_rows(t: Tables, p: ReportParams) -> DataFrame:
     ).orderBy("order_month_raw", "city_id")
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids", "driver_ids")
 def monthly_document(t: Tables, p: ReportParams, form: Form = Form()) -> DataFrame:
     """The same as one JSON document: the cities, and per month a city-to-orders object.
 

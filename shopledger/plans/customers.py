@@ -10,7 +10,7 @@ from shopledger.functions.calendar import within
 from shopledger.functions.flags import full_name, known_live
 from shopledger.functions.ratios import rate_or_zero
 from shopledger.operators.ranking import largest_first, smallest_first, top
-from shopledger.operators.scope import all_of, among, companies_of, company_scope, in_periods, keep_ids, scoped_invoices, settled
+from shopledger.operators.scope import all_of, among, companies_of, company_scope, in_periods, keep_ids, scoped_invoices, settled, takes
 from shopledger.operators.stores import store_ids, with_store
 from shopledger.operators.totals import top_with_totals
 from shopledger.params import ReportParams
@@ -49,6 +49,7 @@ def _marked(t: Tables, buyers: DataFrame) -> DataFrame:
     return t.customers.join(buyers.withColumn("_bought", F.lit(True)), "id", "left")
 
 
+@takes()
 def conversion(t: Tables, p: ReportParams) -> DataFrame:
     """Total, active, new and converted customers and the conversion rate.
 
@@ -69,6 +70,7 @@ def conversion(t: Tables, p: ReportParams) -> DataFrame:
     )
 
 
+@takes()
 def base_counts(t: Tables, p: ReportParams) -> DataFrame:
     m = _Marks(p)
     return company_scope(t.customers, p).agg(
@@ -77,6 +79,7 @@ def base_counts(t: Tables, p: ReportParams) -> DataFrame:
     )
 
 
+@takes()
 def activity_counts(t: Tables, p: ReportParams) -> DataFrame:
     """Active and converted customers; the invoice's company decides for both."""
     m = _Marks(p)
@@ -86,6 +89,7 @@ def activity_counts(t: Tables, p: ReportParams) -> DataFrame:
     )
 
 
+@takes()
 def counts_from_activity(t: Tables, p: ReportParams) -> DataFrame:
     """The four counts over the customer activity view, in the customer's own scope.
 
@@ -102,6 +106,7 @@ def counts_from_activity(t: Tables, p: ReportParams) -> DataFrame:
     )
 
 
+@takes()
 def counts_side_by_side(t: Tables, p: ReportParams) -> DataFrame:
     """Base counts in the customer's scope beside activity counts in the invoice's."""
     m = _Marks(p)
@@ -117,18 +122,24 @@ def counts_side_by_side(t: Tables, p: ReportParams) -> DataFrame:
 
 
 def _sales_per_customer(t: Tables, p: ReportParams, invoices: DataFrame) -> DataFrame:
-    """``id, amount``: summed before customers are attached, so no customer is hot later."""
-    return (
-        with_store(settled(invoices), store_ids(t.stores, p))
-        .groupBy(F.col("customer_id").alias("id"))
+    """``id, amount``: summed before customers are attached, so no customer is hot later.
+
+    Summed per customer and store first: the store list meets these sums, so that a store
+    with very many invoices is merged before any shuffle.
+    """
+    per_store = (
+        settled(invoices)
+        .groupBy(F.col("customer_id").alias("id"), "store_id")
         .agg(F.sum(signed(F.col("net_amount"))).alias("amount"))
     )
+    return with_store(per_store, store_ids(t.stores, p)).groupBy("id").agg(F.sum("amount").alias("amount"))
 
 
 def _names(t: Tables) -> DataFrame:
     return t.customers.select("id", full_name(F.col("first_name"), F.col("last_name")).alias("name"))
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def all_sales(t: Tables, p: ReportParams) -> DataFrame:
     """Every customer with a sale or return, largest amount first."""
     invoices = scoped_invoices(t.invoices, p).where(is_sale_or_return())
@@ -140,10 +151,16 @@ def all_sales(t: Tables, p: ReportParams) -> DataFrame:
     )
 
 
-def _best_first(prefix: str) -> list[Column]:
-    return [largest_first(f"{prefix}amount"), smallest_first(f"{prefix}id")]
+def _best(t: Tables, sales: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` of ``sales`` with their names, beside the total of all."""
+    order = [largest_first("amount"), smallest_first("id")]
+    best = top_with_totals(sales, k, order, {"totalSum": "amount"})
+    # At most k rows are broadcast; a limit sorts them without the sampling pass of a full sort.
+    named = _names(t).join(F.broadcast(best), "id").select("id", "name", "amount", "totalSum")
+    return top(named, k, *order)
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids", "customer_class_ids")
 def top_sales(t: Tables, p: ReportParams, k: int = 5) -> DataFrame:
     """The best customers beside the total of all; other invoice types count as 0.
 
@@ -151,18 +168,11 @@ def top_sales(t: Tables, p: ReportParams, k: int = 5) -> DataFrame:
     """
     known = keep_ids(t.customers, "customer_class_id", p.customer_class_ids).select("id")
     sales = _sales_per_customer(t, p, scoped_invoices(t.invoices, p)).join(known, "id", "left_semi")
-    best = top_with_totals(sales, k, _best_first, {"totalSum": "amount"})
-    # At most k rows are broadcast; a limit sorts them without the sampling pass of a full sort.
-    named = _names(t).join(F.broadcast(best), "id").select("id", "name", "amount", "totalSum")
-    return top(named, k, *_best_first(""))
+    return _best(t, sales, k)
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def top_sales_inline(t: Tables, p: ReportParams, k: int = 5) -> DataFrame:
-    """The same report without the customer view and its class filter.
-
-    Customers are attached with their names before the total is taken.
-    """
-    sales = _sales_per_customer(t, p, scoped_invoices(t.invoices, p)).join(_names(t), "id").select("id", "name", "amount")
-    return top_with_totals(
-        sales, k, lambda prefix: [*_best_first(prefix), smallest_first(f"{prefix}name")], {"totalSum": "amount"}
-    )
+    """The same report without the customer view and its class filter."""
+    sales = _sales_per_customer(t, p, scoped_invoices(t.invoices, p)).join(t.customers.select("id"), "id", "left_semi")
+    return _best(t, sales, k)

@@ -15,7 +15,7 @@ from shopledger.functions.calendar import iso_weekday, seconds_between, within
 from shopledger.functions.flags import live_unless_deleted
 from shopledger.functions.ratios import average_or_zero
 from shopledger.operators.documents import as_json, list_by
-from shopledger.operators.scope import in_periods, scope, scoped_invoices
+from shopledger.operators.scope import in_periods, keep_ids, scope, scoped_invoices, takes
 from shopledger.operators.stores import store_ids, with_store
 from shopledger.operators.totals import few_in_order
 from shopledger.operators.weekdays import on_every_weekday
@@ -31,9 +31,13 @@ def _time() -> Column:
     return F.col("invoice_date_time")
 
 
+def _of_drivers(invoices: DataFrame, p: ReportParams) -> DataFrame:
+    return keep_ids(invoices, "delivery_partner_id", p.driver_ids)
+
+
 def _deliveries(t: Tables, p: ReportParams) -> DataFrame:
     """Delivered sales of the period and of the previous one, flagged ``current``."""
-    both = in_periods(scope(t.invoices, p), "invoice_date_time", p.period, p.previous_period)
+    both = in_periods(_of_drivers(scope(t.invoices, p), p), "invoice_date_time", p.period, p.previous_period)
     delivered = (
         (F.col("fulfilment_type") == "DELIVERY")
         & (F.col("invoice_type") == SALES)
@@ -77,6 +81,7 @@ def _minutes_double(seconds: str, n: str) -> Column:
     return F.col(seconds).cast("double") / F.nullif(F.col(n) * 60, F.lit(0)).cast("double")
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids", "driver_ids")
 def delivery_time_document(t: Tables, p: ReportParams) -> DataFrame:
     """Average minutes, change on the previous period, and the hourly trend as JSON.
 
@@ -99,6 +104,7 @@ def delivery_time_document(t: Tables, p: ReportParams) -> DataFrame:
     )
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids", "driver_ids")
 def delivery_time_hourly(t: Tables, p: ReportParams) -> DataFrame:
     """A row per hour with deliveries, beside the overall and the previous average.
 
@@ -128,7 +134,7 @@ def _per_weekday_money(t: Tables, p: ReportParams, live: Column | None) -> DataF
     One sum per store, day, invoice type and delivery type; the figures split it up.
     """
     per_store = (
-        scoped_invoices(t.invoices, p)
+        _of_drivers(scoped_invoices(t.invoices, p), p)
         .where(is_sale_or_return() & F.col("fulfilment_type").isin("DELIVERY", "HOME_DELIVERY"))
         .groupBy("store_id", iso_weekday(_time()).alias("day_num"), "invoice_type", "fulfilment_type")
         .agg(F.sum("invoice_amount").alias("amount"), F.count("id").alias("invoices"))
@@ -149,6 +155,7 @@ def _per_weekday_money(t: Tables, p: ReportParams, live: Column | None) -> DataF
     return on_every_weekday(per_day)
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids", "driver_ids")
 def financial_document(t: Tables, p: ReportParams) -> DataFrame:
     """Totals of plain deliveries and the weekday sales as JSON; totals over nothing are NULL."""
     days = _per_weekday_money(t, p, live=None)
@@ -167,6 +174,7 @@ def financial_document(t: Tables, p: ReportParams) -> DataFrame:
     )
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids", "driver_ids")
 def financial_weekdays(t: Tables, p: ReportParams) -> DataFrame:
     """Seven rows, Monday first, with the totals of live stores repeated; totals over nothing are 0."""
     days = _per_weekday_money(t, p, _live())
@@ -188,6 +196,7 @@ def financial_weekdays(t: Tables, p: ReportParams) -> DataFrame:
 # --- deliveries per weekday -------------------------------------------------------------
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids", "driver_ids")
 def deliveries_per_weekday(t: Tables, p: ReportParams) -> DataFrame:
     """Seven rows with the day's deliveries, the period's total and the previous total.
 

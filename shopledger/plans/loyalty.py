@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shopledger.functions.amounts import signed
 from shopledger.functions.calendar import ntz, within
 from shopledger.operators.ranking import largest_first
-from shopledger.operators.scope import all_of, among, companies_of, company_scope, scope, until
+from shopledger.operators.scope import all_of, among, companies_of, company_scope, scope, takes, until
 from shopledger.operators.stores import store_ids, with_store
 from shopledger.params import ReportParams
 from shopledger.plans.views import customer_loyalty
@@ -46,6 +46,7 @@ def _before(p: ReportParams) -> Column:
     return _time() < ntz(p.period.start)
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def pie_by_earlier_invoice(t: Tables, p: ReportParams) -> DataFrame:
     """Existing if there is an earlier invoice in the same scope; never for a NULL customer."""
     rows = with_store(until(scope(t.invoices, p), "invoice_date_time", p.period), store_ids(t.stores, p))
@@ -54,6 +55,7 @@ def pie_by_earlier_invoice(t: Tables, p: ReportParams) -> DataFrame:
     return buyers.select("customer_id", _label(existing).alias("customertype"), "sales")
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def pie_by_earlier_invoice_loose(t: Tables, p: ReportParams) -> DataFrame:
     """As above, but the earlier invoice need not have a store or the legal entity."""
     rows = until(company_scope(t.invoices, p), "invoice_date_time", p.period)
@@ -71,6 +73,7 @@ def pie_by_earlier_invoice_loose(t: Tables, p: ReportParams) -> DataFrame:
     return buyers.select("customer_id", "sales", _label(existing).alias("customertype"))
 
 
+@takes("region_ids")
 def pie_by_first_date(t: Tables, p: ReportParams) -> DataFrame:
     """Existing if the customer's first invoice in any company or tenant is earlier.
 

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from shopledger.functions.amounts import RETURNS, or_zero
 from shopledger.functions.ratios import percent
 from shopledger.operators.ranking import largest_first, smallest_first
-from shopledger.operators.scope import scoped_invoices, settled
-from shopledger.operators.stores import store_ids, with_store
-from shopledger.operators.totals import few_in_order
+from shopledger.operators.scope import of_scoped_invoices, scoped_invoices, settled, takes
+from shopledger.operators.stores import in_regions, store_ids, with_store
+from shopledger.operators.totals import with_totals
 from shopledger.params import ReportParams
 from shopledger.plans.views import with_display
 from shopledger.sources.tables import Tables
@@ -41,7 +41,7 @@ def _share(t: Tables, effective: DataFrame) -> DataFrame:
     shown = with_display(per_method, t.payment_methods, t.sub_payment_methods)
     per_name = shown.groupBy("name", "image").agg(F.sum("amount").alias("amount"))
     return (
-        few_in_order(per_name, ["name", "image"], _all=F.sum("amount"))
+        with_totals(per_name, {"_all": "amount"})
         .select("name", "image", "amount", percent(F.col("amount"), F.col("_all")).alias("percentage"))
         .orderBy(largest_first("amount"), smallest_first("name"), smallest_first("image"))
     )
@@ -51,23 +51,27 @@ def _less_change(amount: Column) -> Column:
     return amount - or_zero(F.col("change_amount"))
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def share_per_group(t: Tables, p: ReportParams) -> DataFrame:
     """Change comes off once per invoice and cash method, after its payments are added up."""
-    grouped = _paid(t.payments).groupBy("sales_invoice_header_id", *_METHOD).agg(F.sum("amount").alias("paid"))
+    grouped = _paid(of_scoped_invoices(t.payments, p)).groupBy("sales_invoice_header_id", *_METHOD).agg(F.sum("amount").alias("paid"))
     invoices = with_store(settled(scoped_invoices(t.invoices, p)), store_ids(t.stores, p))
     amount = F.when(_cash(), _less_change(F.col("paid"))).otherwise(F.col("paid"))
     return _share(t, _for_invoices(invoices, grouped).select(*_METHOD, amount.alias("amount")))
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def share_every_cash_row(t: Tables, p: ReportParams, *, settled_only: bool) -> DataFrame:
     """Change comes off every cash payment (the first view version, and its raw form)."""
-    invoices = scoped_invoices(t.invoices, p)
+    invoices = in_regions(scoped_invoices(t.invoices, p), t.stores, p)
     if settled_only:
         invoices = settled(invoices)
     amount = F.when(_cash(), _less_change(F.col("amount"))).otherwise(F.col("amount"))
-    return _share(t, _for_invoices(invoices, _paid(t.payments)).select(*_METHOD, amount.alias("amount")))
+    payments = _paid(of_scoped_invoices(t.payments, p))
+    return _share(t, _for_invoices(invoices, payments).select(*_METHOD, amount.alias("amount")))
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def share_first_cash_row(t: Tables, p: ReportParams, *, negative_returns: bool) -> DataFrame:
     """Change comes off the invoice's first cash payment, if that one was paid.
 
@@ -76,7 +80,7 @@ def share_first_cash_row(t: Tables, p: ReportParams, *, negative_returns: bool)
     is merged map-side; the window then sees one row per method of an invoice.
     """
     paid = F.col("transaction_status") == "PAID"
-    per_method = t.payments.groupBy("sales_invoice_header_id", *_METHOD).agg(
+    per_method = of_scoped_invoices(t.payments, p).groupBy("sales_invoice_header_id", *_METHOD).agg(
         F.sum(F.when(paid, F.col("amount"))).alias("paid"),
         F.sum(F.when(paid, F.abs(F.col("amount")))).alias("paid_size"),
         F.count(F.when(paid, F.lit(1))).alias("paid_rows"),
@@ -84,7 +88,8 @@ def share_first_cash_row(t: Tables, p: ReportParams, *, negative_returns: bool)
         F.min(F.when(_cash() & paid & F.col("amount").isNotNull(), F.col("id"))).alias("first_paid_cash"),
     )
     of_invoice = Window.partitionBy("sales_invoice_header_id")
-    ranked = _for_invoices(scoped_invoices(t.invoices, p), per_method).withColumn(
+    invoices = in_regions(scoped_invoices(t.invoices, p), t.stores, p)
+    ranked = _for_invoices(invoices, per_method).withColumn(
         "invoice_first_cash", F.min("first_cash").over(of_invoice)
     )
     amount = F.when(
@@ -115,15 +120,17 @@ def reconciliation(t: Tables) -> DataFrame:
 
 
 def _collected(t: Tables, p: ReportParams) -> DataFrame:
-    return _for_invoices(scoped_invoices(t.invoices, p), _paid(t.payments))
+    return _for_invoices(scoped_invoices(t.invoices, p), _paid(of_scoped_invoices(t.payments, p)))
 
 
+@takes("legal_entity_ids", "store_ids")
 def net_cash(t: Tables, p: ReportParams) -> DataFrame:
     """Cash less change. Equal change amounts count once: that is the report's rule."""
     total = F.sum("amount") - F.sum_distinct("change_amount")
     return _collected(t, p).where(_cash()).agg(total.alias("total_cash_collected"))
 
 
+@takes("legal_entity_ids", "store_ids")
 def collection_breakdown(t: Tables, p: ReportParams) -> DataFrame:
     method, amount = F.col("payment_method_type"), F.col("amount")
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from shopledger.functions.amounts import RETURNS, SALES, is_sale_or_return, only_on, or_zero, signed, with_tax
 from shopledger.functions.calendar import month_start, within
 from shopledger.functions.ratios import quotient
-from shopledger.operators.scope import in_periods, scope, scoped_invoices, settled
-from shopledger.operators.stores import store_ids, with_store
+from shopledger.operators.scope import in_periods, scope, scoped_invoices, settled, takes
+from shopledger.operators.stores import in_regions, store_ids, with_store
 from shopledger.operators.totals import few_in_order
 from shopledger.params import ReportParams
 from shopledger.plans.views import LOST, lost_sales
@@ -18,9 +18,10 @@ from shopledger.sources.tables import Tables
 _WIDE = "decimal(28,2)"
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def invoice_rows(t: Tables, p: ReportParams) -> DataFrame:
     """The settled invoices themselves, for callers that add them up on their own."""
-    return settled(scoped_invoices(t.invoices, p)).select(
+    return in_regions(settled(scoped_invoices(t.invoices, p)), t.stores, p).select(
         "id", "tax", "invoice_type", "net_amount", "source", "total_discount", "invoice_amount", "gross_amount", "store_id"
     )
 
@@ -76,6 +77,7 @@ def _kpi_columns() -> list[Column]:
     return [*_figures("gross"), F.sum("lost").alias("lostSaledata")]
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def kpis(t: Tables, p: ReportParams, *, with_lost: bool = True, settled_only: bool = False) -> DataFrame:
     """Sales, returns, discount and tax (amounts with tax), orders, stores, lost sales.
 
@@ -85,14 +87,16 @@ def kpis(t: Tables, p: ReportParams, *, with_lost: bool = True, settled_only: bo
     rows = _per_store(settled(invoices) if settled_only else invoices)
     if with_lost:
         rows = rows.unionByName(_lost_per_store(in_periods(scope(t.orders, p), "order_date_time", p.period)))
-    return rows.agg(*_kpi_columns())
+    return in_regions(rows, t.stores, p).agg(*_kpi_columns())
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def kpis_with_average(t: Tables, p: ReportParams, *, with_lost: bool = False) -> DataFrame:
     average = F.round(or_zero(quotient(F.col("netSales"), F.col("orders"))), 2)
     return kpis(t, p, with_lost=with_lost).withColumn("avgSale", average)
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def kpis_year_over_year(t: Tables, p: ReportParams) -> DataFrame:
     """The figures of settled invoices for the period and the year before, from one scan.
 
@@ -109,7 +113,7 @@ def kpis_year_over_year(t: Tables, p: ReportParams) -> DataFrame:
 
     rows = _per_store(settled(tagged(t.invoices, "invoice_date_time")), "periods")
     rows = rows.unionByName(_lost_per_store(tagged(t.orders, "order_date_time"), "periods"))
-    figures = rows.withColumn("period", F.explode("periods")).groupBy("period").agg(*_kpi_columns())
+    figures = in_regions(rows, t.stores, p).withColumn("period", F.explode("periods")).groupBy("period").agg(*_kpi_columns())
     spine = figures.sparkSession.range(0, len(spans), 1, 1).select(
         F.element_at(F.array(*[F.lit(tag) for tag in spans]), F.col("id").cast("int") + 1).alias("period")
     )
@@ -117,22 +121,27 @@ def kpis_year_over_year(t: Tables, p: ReportParams) -> DataFrame:
     return spine.join(F.broadcast(figures), "period", "left").fillna(0, ["orders", "activeStores"])
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def net_totals(t: Tables, p: ReportParams) -> DataFrame:
     """Totals of the settled invoices without tax."""
-    return _per_store(settled(scoped_invoices(t.invoices, p))).agg(*_figures("net"))
+    return in_regions(_per_store(settled(scoped_invoices(t.invoices, p))), t.stores, p).agg(*_figures("net"))
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def lost_total(t: Tables, p: ReportParams) -> DataFrame:
     orders = in_periods(scope(t.orders, p), "order_date_time", p.period)
-    return lost_sales(orders).agg(or_zero(F.sum("lost_sale_amount")).alias("lostSaledata"))
+    return in_regions(lost_sales(orders), t.stores, p).agg(or_zero(F.sum("lost_sale_amount")).alias("lostSaledata"))
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def gross_total(t: Tables, p: ReportParams) -> DataFrame:
-    return settled(scoped_invoices(t.invoices, p)).agg(F.sum(signed(with_tax())).alias("total_sales"))
+    return in_regions(settled(scoped_invoices(t.invoices, p)), t.stores, p).agg(F.sum(signed(with_tax())).alias("total_sales"))
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def gross_returns_net(t: Tables, p: ReportParams) -> DataFrame:
-    per_type = settled(scoped_invoices(t.invoices, p)).groupBy("invoice_type").agg(F.sum(with_tax()).alias("gross"))
+    invoices = in_regions(settled(scoped_invoices(t.invoices, p)), t.stores, p)
+    per_type = invoices.groupBy("invoice_type").agg(F.sum(with_tax()).alias("gross"))
     gross = F.col("gross")
     return per_type.agg(
         F.sum(only_on(SALES, gross)).alias("gross_sales"),
@@ -141,6 +150,7 @@ def gross_returns_net(t: Tables, p: ReportParams) -> DataFrame:
     )
 
 
+@takes("legal_entity_ids", "store_ids", "region_ids")
 def monthly_graph(t: Tables, p: ReportParams) -> DataFrame:
     """Net, returned and sold amount per month over stores in the wanted regions.
 
@@ -162,6 +172,7 @@ def monthly_graph(t: Tables, p: ReportParams) -> DataFrame:
     return few_in_order(per_month, ["month"])
 
 
+@takes("legal_entity_ids", "store_ids")
 def monthly_graph_signed(t: Tables, p: ReportParams) -> DataFrame:
     """Signed amount per month; no store or payment condition."""
     per_month = (

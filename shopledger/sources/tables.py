@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopledger.sources.layout import MONTH_COLUMN, MONTHLY_TABLES
+from shopledger.sources.layout import INVOICE_COMPANY, INVOICE_KEYS, INVOICE_TENANT, MONTH_COLUMN, MONTHLY_TABLES
 from shopledger.sources.schemas import SCHEMAS
 
 
@@ -28,12 +28,14 @@ class Tables:
 
     @classmethod
     def from_layout(cls, spark: SparkSession, directory: str) -> Tables:
-        """Tables written by ``layout.write_tables``: the big ones carry a month partition."""
+        """Tables written by ``layout.write_tables``: the big ones carry scope and month partitions."""
 
         def load(name: str) -> DataFrame:
             schema = SCHEMAS[name]
             if name in MONTHLY_TABLES:
                 schema += f", {MONTH_COLUMN} date"
+            if name in INVOICE_KEYS:
+                schema += f", {INVOICE_COMPANY} bigint, {INVOICE_TENANT} bigint, {MONTH_COLUMN} date"
             return spark.read.schema(schema).parquet(f"{directory}/{name}")
 
         return cls(load)

@@ -99,7 +99,7 @@ def both(conditions: list[str]) -> str:
 
 def invoices(p: ReportParams, *more: str, legal: bool = True, time: bool = True, drivers: bool = True) -> str:
     """CTE ``sc``: the invoices in scope."""
-    conditions = scope(p, legal=legal) + list(more)
+    conditions = scope(p, legal=legal) + regions(p) + list(more)
     if drivers:
         conditions += ids("delivery_partner_id", p.driver_ids)
     if time:
@@ -112,6 +112,10 @@ def stored(p: ReportParams, rule: str = "true") -> str:
     return f"store_id in (select id from ent_stores where {both(ids('region_id', p.region_ids) + [rule])})"
 
 
+def regions(p: ReportParams) -> list[str]:
+    return [stored(p)] if p.region_ids else []
+
+
 PAID_UP = "payment_status is not null"
 LIVE = "(is_deleted is null or not is_deleted)"
 KNOWN_LIVE = "is_deleted = false"
@@ -123,10 +127,10 @@ KNOWN_LIVE = "is_deleted = false"
 def kpi_rows(p: ReportParams, period: Period, lost: bool, *more: str) -> str:
     rows = f"""select store_id, {sales('gross')} as s, {returns('gross')} as r, {signed('gross')} as n,
         {signed('total_discount')} as d, {signed('tax')} as t, case when sgn = 1 then id end as o, 0 as l
-        from inv where {both(scope(p) + [inside('invoice_date_time', period), *more])}"""
+        from inv where {both(scope(p) + regions(p) + [inside('invoice_date_time', period), *more])}"""
     if lost:
         rows += f""" union all select store_id, 0, 0, 0, 0, 0, null, net_amount from sales_order_header
-        where order_type = 'LOST_SALES' and {both(scope(p) + [inside('order_date_time', period)])}"""
+        where order_type = 'LOST_SALES' and {both(scope(p) + regions(p) + [inside('order_date_time', period)])}"""
     return rows
 
 
@@ -168,7 +172,7 @@ def sales_data_net_raw(p):
 
 
 def lost_sales_total(p):
-    where = both(scope(p) + [inside("order_date_time", p.period), "order_type = 'LOST_SALES'"])
+    where = both(scope(p) + regions(p) + [inside("order_date_time", p.period), "order_type = 'LOST_SALES'"])
     return build(f'select {num("coalesce(sum(net_amount), 0)")} as "lostSaledata" from sales_order_header where {where}')
 
 
@@ -334,46 +338,45 @@ def loyalty_rows():
     return build(f"select * exclude (amount), {num('amount')} as effective_amount from loyal", _LOYAL)
 
 
-def _people(p):
-    """CTEs: customers with flags, and the buyers under the invoice's company."""
-    where = both(company(p) + ids("tenant_id", p.tenant_ids) + [inside("invoice_date_time", p.period), PAID_UP])
-    return (
-        f"buyers as (select distinct customer_id as b from inv where {where})",
-        f"""people as (select *, {inside('customer_created_on', p.period)} as fresh, is_deleted = false as live,
-        {both(company(p) + ids('tenant_id', p.tenant_ids))} as own, id in (select b from buyers where b is not null) as bought
-        from ent_customer)""",
-    )
+def _buyers(p, extra="true"):
+    """Customers of invoices in the invoice's scope and the period, counted distinctly."""
+    where = company(p, "s.") + ids("s.tenant_id", p.tenant_ids) + [inside("s.invoice_date_time", p.period), "s.payment_status is not null"]
+    return f"(select count(distinct s.customer_id) from inv s join ent_customer c on s.customer_id = c.id where {both([*where, extra])})"
+
+
+def _own(p, at="c."):
+    return both(company(p, at) + ids(f"{at}tenant_id", p.tenant_ids))
+
+
+def _fresh(p):
+    return inside("c.customer_created_on", p.period)
+
+
+def _customers(p, extra="true"):
+    return f"(select count(*) from ent_customer c where c.is_deleted = false and {_own(p)} and {extra})"
 
 
 def customer_counts_cte(p):
+    rate = f"coalesce({half_up('converted_customer * 100', 'new_customer', 2)}, 0)"
     return build(
-        f"""select total_customer, active_customer, new_customer, converted_customer, new_customer as total_visitors,
-        {num('coalesce(' + half_up('converted_customer * 100', 'new_customer', 2) + ', 0)')} as conversion_rate from (
-        select count(*) filter (own and live) as total_customer, count(*) filter (bought) as active_customer,
-        count(*) filter (own and live and fresh) as new_customer,
-        count(*) filter (bought and own and fresh) as converted_customer from people)""",
-        *_people(p),
+        f"""select *, new_customer as total_visitors, {num(rate)} as conversion_rate from (
+        select {_customers(p)} as total_customer, {_buyers(p)} as active_customer, {_customers(p, _fresh(p))} as new_customer,
+        {_buyers(p, f"{_own(p)} and {_fresh(p)}")} as converted_customer)""",
     )
 
 
 def customer_base_counts(p):
-    return build(
-        """select count(*) filter (live) as "totalCustomer", count(*) filter (live and fresh) as "newCustomer" from people where own""",
-        *_people(p),
-    )
+    return build(f"""select {_customers(p)} as "totalCustomer", {_customers(p, _fresh(p))} as "newCustomer" """)
 
 
 def customer_activity_counts(p):
-    return build(
-        """select count(*) as "activeCustomer", count(*) filter (fresh) as "convertedCustomer" from people where bought""", *_people(p)
-    )
+    return build(f"""select {_buyers(p)} as "activeCustomer", {_buyers(p, _fresh(p))} as "convertedCustomer" """)
 
 
 def customer_counts_subqueries(p):
     return build(
-        """select count(*) filter (own and live) as "totalCustomer", count(*) filter (own and live and fresh) as "newCustomer",
-        count(*) filter (bought) as "activeCustomer", count(*) filter (bought and fresh) as "convertedCustomer" from people""",
-        *_people(p),
+        f"""select {_customers(p)} as "totalCustomer", {_customers(p, _fresh(p))} as "newCustomer",
+        {_buyers(p)} as "activeCustomer", {_buyers(p, _fresh(p))} as "convertedCustomer" """
     )
 
 
@@ -640,13 +643,13 @@ VIEWS = {
         f"""select {num('net_amount')} as lost_sale_amount, order_date_time as event_date, company_id, tenant_id, legal_entity_id, store_id
         from sales_order_header where order_type = 'LOST_SALES'"""
     ),
-    "view_sales_by_customer_performance": build(
+    "view_sales_by_customer_rows": build(
         f"""select n.id, n.name, i.company_id, i.tenant_id, i.legal_entity_id, i.store_id, i.pos_id, i.invoice_date_time, i.payment_status,
         {num(signed('net_amount'))} as amount, n.customer_class_id, st.region_id
         from inv i join named n on n.id = i.customer_id join ent_stores st on st.id = i.store_id""",
         _NAMED,
     ),
-    "view_category_sales_performance": build(
+    "view_category_sales_rows": build(
         f"""select c.id as category_id, c.name as category_name, c.alt_name as category_alt_name, {_LINE_VIEW},
         {_MOVED} as quantity from sold join prd_product_categories c on c.id = product_category_id""".replace("company_id", "sold.company_id"),
         _ALL_INVOICES,
@@ -654,9 +657,9 @@ VIEWS = {
     ),
     "view_customer_loyalty_analytics": loyalty_rows(),
     "view_customer_activity_summary": build("select * from activity", _ACTIVITY),
-    "view_sales_by_payment_performance_v1": _payment_view("v1"),
-    "view_sales_by_payment_performance_v2": _payment_view("v2"),
-    "view_sales_by_payment_performance_v3": _payment_view("v3"),
+    "view_sales_by_payment_rows_v1": _payment_view("v1"),
+    "view_sales_by_payment_rows_v2": _payment_view("v2"),
+    "view_sales_by_payment_rows_v3": _payment_view("v3"),
     "view_dashboard_sales_summary": build(f"{_SUMMARY} from inv"),
     "view_dashboard_master_analytics": build(f"{_SUMMARY}, 0::double as lost_sale_amount from inv"),
     "view_dashboard_master_analytics_with_lost": build(
@@ -675,27 +678,32 @@ def preview(sql: str, columns: list[str]) -> str:
 # Column order of each view, which is the preview's sort order.
 _S4 = ["company_id", "tenant_id", "legal_entity_id", "store_id"]
 _LINE = ["store_id", "invoice_date_time", "company_id", "tenant_id", "legal_entity_id", "payment_status", "customer_id", "net_amount", "quantity"]
+_INVOICE = ["store_id", "company_id", "tenant_id", "legal_entity_id", "customer_id", "invoice_date_time", "payment_status"]
+_CATEGORY = ["store_id", "customer_id", "invoice_date_time", "payment_status", "company_id", "tenant_id", "legal_entity_id", "net_amount", "quantity"]
 _SUM = [*_S4, "customer_id", "event_date", "payment_status", "sale_amount", "return_amount", "net_amount", "net_discount", "net_tax", "sale_order_id"]
-_PAYMENT = ["name", "image", "amount", *_S4, "customer_id", "invoice_date_time", "payment_status", "transaction_status"]
+_PAYMENT = [
+    "name", "image", "amount", "store_id", "customer_id", "invoice_date_time", "company_id", "tenant_id", "legal_entity_id",
+    "payment_status", "transaction_status",
+]
 VIEW_COLUMNS = {
     "v_product_sales_enriched": ["product_id", "name", "altName", "code", "productImage", "productHexCode", *_LINE],
     "view_sales_graph_analytics": [*_S4, "customer_id", "invoice_date_time", "month_date", "raw_sales", "raw_returns", "net_amount"],
     "view_sales_invoice_analytics": [
-        "invoice_id", "invoice_type", *_S4, "customer_id", "invoice_date_time", "payment_status", "net_amount",
+        "invoice_id", "invoice_type", *_INVOICE, "net_amount",
         "effective_net_amount", "tax_amount", "discount_amount", "effective_discount",
     ],
     "view_dashboard_lost_sales": ["lost_sale_amount", "event_date", *_S4],
-    "view_sales_by_customer_performance": [
+    "view_sales_by_customer_rows": [
         "id", "name", *_S4, "pos_id", "invoice_date_time", "payment_status", "amount", "customer_class_id", "region_id",
     ],
-    "view_category_sales_performance": ["category_id", "category_name", "category_alt_name", *_LINE],
+    "view_category_sales_rows": ["category_id", "category_name", "category_alt_name", *_CATEGORY],
     "view_customer_loyalty_analytics": ["customer_id", *_S4, "invoice_date_time", "effective_amount", "first_purchase_date"],
     "view_customer_activity_summary": [
         "customer_id", "is_deleted", "customer_created_on", "company_id", "tenant_id", "invoice_date_time", "payment_status",
     ],
-    "view_sales_by_payment_performance_v1": _PAYMENT,
-    "view_sales_by_payment_performance_v2": _PAYMENT,
-    "view_sales_by_payment_performance_v3": _PAYMENT,
+    "view_sales_by_payment_rows_v1": _PAYMENT,
+    "view_sales_by_payment_rows_v2": _PAYMENT,
+    "view_sales_by_payment_rows_v3": _PAYMENT,
     "view_dashboard_sales_summary": _SUM,
     "view_dashboard_master_analytics": [*_SUM, "lost_sale_amount"],
     "view_dashboard_master_analytics_with_lost": [*_SUM, "lost_sale_amount"],
@@ -741,6 +749,11 @@ LOGS = {
         {big('tup_returned')} as tup_returned, {big('tup_fetched')} as tup_fetched, {big('tup_returned - tup_fetched')} as inefficient_full_scans
         from db_stats"""
     ),
+    "log_db_cache_one": build(
+        f"""select datname, {big('100 * blks_hit // nullif(blks_hit + blks_read, 0)')} as global_cache_hit_ratio,
+        {big('tup_returned')} as tup_returned, {big('tup_fetched')} as tup_fetched, {big('tup_returned - tup_fetched')} as inefficient_full_scans
+        from db_stats where datname = '{P.DATABASE}'"""
+    ),
     "log_scan": build(
         "select query, calls, "
         + ", ".join(
@@ -786,6 +799,10 @@ SCOPED = {
     "sales_data_invoice_rows": sales_data_invoice_rows,
     "sales_data_kpis": sales_data_kpis,
     "sales_data_kpis_settled": lambda p: sales_data_kpis(p, more=(PAID_UP,)),
+    "sales_data_kpis_region": sales_data_kpis,
+    "payment_share_view_v2_region": lambda p: payment_share_first(p, "v2"),
+    "category_sales_top5_region": category_sales_top5,
+    "top_products_standard_region": lambda p: top_products(p, "STANDARD_PRODUCT"),
     "sales_data_kpis_avg": sales_data_kpis_avg,
     "sales_data_kpis_avg_with_lost": lambda p: sales_data_kpis_avg(p, lost=True),
     "sales_data_year_over_year": sales_data_year_over_year,

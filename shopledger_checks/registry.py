@@ -23,6 +23,7 @@ REPORTS: dict[str, tuple[Report, ReportParams, ReportParams]] = {
     "sales_data_invoice_rows": (sales.invoice_rows, P.WHOLE, P.DEFAULT),
     "sales_data_kpis": (sales.kpis, P.WHOLE, P.DEFAULT),
     "sales_data_kpis_settled": (partial(sales.kpis, settled_only=True), P.WHOLE, P.STORE),
+    "sales_data_kpis_region": (sales.kpis, P.WHOLE_REGION, P.REGION),
     "sales_data_kpis_avg": (sales.kpis_with_average, P.WHOLE, P.DEFAULT),
     "sales_data_kpis_avg_with_lost": (partial(sales.kpis_with_average, with_lost=True), P.WHOLE, P.SHIFTED),
     "sales_data_year_over_year": (sales.kpis_year_over_year, P.WHOLE, P.STORE),
@@ -36,22 +37,33 @@ REPORTS: dict[str, tuple[Report, ReportParams, ReportParams]] = {
     "payment_share_view_v1": (partial(payments.share_every_cash_row, settled_only=False), P.WHOLE, P.DEFAULT),
     "payment_share_view_v2": (partial(payments.share_first_cash_row, negative_returns=False), P.WHOLE, P.DEFAULT),
     "payment_share_view_v3": (partial(payments.share_first_cash_row, negative_returns=True), P.WHOLE, P.DEFAULT),
+    "payment_share_view_v2_region": (
+        partial(payments.share_first_cash_row, negative_returns=False),
+        P.WHOLE_REGION,
+        P.REGION,
+    ),
     "payment_share_raw": (partial(payments.share_every_cash_row, settled_only=True), P.WHOLE, P.DEFAULT),
     "net_cash_collected": (payments.net_cash, P.WHOLE, P.ONE_STORE),
     "collection_breakdown": (payments.collection_breakdown, P.WHOLE, P.ONE_STORE),
     "customer_pie_exists": (loyalty.pie_by_earlier_invoice, P.SPLIT, P.DEFAULT),
     "customer_pie_exists_loose": (loyalty.pie_by_earlier_invoice_loose, P.SPLIT, P.DEFAULT),
     "customer_pie_first_date": (loyalty.pie_by_first_date, P.SPLIT, P.WIDE),
-    "customer_counts_cte": (customers.conversion, P.SPLIT, P.DEFAULT),
-    "customer_base_counts": (customers.base_counts, P.SPLIT, P.DEFAULT),
-    "customer_activity_counts": (customers.activity_counts, P.SPLIT, P.DEFAULT),
-    "customer_counts_activity_view": (customers.counts_from_activity, P.SPLIT, P.DEFAULT),
-    "customer_counts_subqueries": (customers.counts_side_by_side, P.SPLIT, P.DEFAULT),
+    "customer_counts_cte": (customers.conversion, P.SPLIT, P.TENANT),
+    "customer_base_counts": (customers.base_counts, P.SPLIT, P.TENANT),
+    "customer_activity_counts": (customers.activity_counts, P.SPLIT, P.TENANT),
+    "customer_counts_activity_view": (customers.counts_from_activity, P.SPLIT, P.TENANT),
+    "customer_counts_subqueries": (customers.counts_side_by_side, P.SPLIT, P.TENANT),
     "customer_sales_all": (customers.all_sales, P.WHOLE, P.DEFAULT),
     "customer_sales_top5": (customers.top_sales, P.WHOLE, P.CLASSES),
     "customer_sales_top5_raw": (customers.top_sales_inline, P.WHOLE, P.DEFAULT),
-    "category_sales_header_amount": (catalog.category_header_amounts, P.WHOLE, P.DEFAULT),
-    "category_sales_top5": (catalog.top_categories, P.WHOLE, P.DEFAULT),
+    "category_sales_header_amount": (catalog.category_header_amounts, P.WHOLE, P.TENANT),
+    "category_sales_top5": (catalog.top_categories, P.WHOLE, P.TENANT),
+    "category_sales_top5_region": (catalog.top_categories, P.WHOLE_REGION, P.TENANT_REGION),
+    "top_products_standard_region": (
+        partial(catalog.top_products, classification="STANDARD_PRODUCT"),
+        P.WHOLE_REGION,
+        P.REGION,
+    ),
     "top_products_standard": (partial(catalog.top_products, classification="STANDARD_PRODUCT"), P.WHOLE, P.DEFAULT),
     "top_products_service": (partial(catalog.top_products, classification="SERVICE_PRODUCT"), P.WHOLE, P.DEFAULT),
     "avg_delivery_time_json": (delivery.delivery_time_document, P.SPLIT, P.DRIVER),
@@ -135,6 +147,7 @@ UNSCOPED: dict[str, Callable[[Tables], DataFrame]] = {
     "log_io_wait": querylog.io_wait,
     "log_rows_per_call": querylog.rows_per_call,
     "log_db_cache": querylog.database_cache,
+    "log_db_cache_one": lambda t: querylog.database_cache(t, P.DATABASE),
     "log_scan": querylog.statements,
     **views.VIEWS,
     **{f"preview_{name}": (lambda t, build=build: preview(build(t))) for name, build in views.VIEWS.items()},

@@ -115,7 +115,7 @@ def test_a_failed_first_cash_row_keeps_the_change(made):
         payment_transactions=[payment(1, 1, "60.00", status="FAILED"), payment(2, 1, "50.00")],
     )
     assert shares(payments.share_first_cash_row(t, JAN, negative_returns=False)) == {"CASH": Decimal("50.00")}
-    rows = views.VIEWS["view_sales_by_payment_performance_v2"](t).where("transaction_status = 'PAID'")
+    rows = views.VIEWS["view_sales_by_payment_rows_v2"](t).where("transaction_status = 'PAID'")
     assert [r.amount for r in rows.collect()] == [Decimal("50.00")]
 
 
@@ -246,7 +246,7 @@ def test_total_is_taken_before_the_limit(made):
 
 def test_header_amount_fans_out_over_lines(small):
     p = P.WHOLE
-    lines = views.VIEWS["view_category_sales_performance"](small).where("payment_status is not null")
+    lines = views.VIEWS["view_category_sales_rows"](small).where("payment_status is not null")
     total = catalog.top_categories(small, p).first().totalAmount
     assert total == lines.agg(F.sum("net_amount")).first()[0]
     header = catalog.category_header_amounts(small, p).agg(F.sum("amount")).first()[0]

@@ -104,15 +104,15 @@ def test_preview_is_repeatable(spark):
 
 def test_totals_before_a_limit(spark):
     frame = spark.range(1, 11).select("id", (F.col("id") * 10).alias("v"))
-    rows = top_with_totals(frame, 2, lambda prefix: [largest_first(f"{prefix}v")], {"s": "v", "ids": "id"}).collect()
+    rows = top_with_totals(frame, 2, [largest_first("v")], {"s": "v", "ids": "id"}).collect()
     assert [tuple(r) for r in rows] == [(10, 100, 550, 55), (9, 90, 550, 55)]
 
 
 def test_totals_of_nothing_and_of_null_keys(spark):
     frame = spark.sql("select * from values (cast(null as int), 5), (1, null) as t(id, v)")
-    rows = top_with_totals(frame, 3, lambda prefix: [largest_first(f"{prefix}v")], {"s": "v"}).collect()
+    rows = top_with_totals(frame, 3, [largest_first("v")], {"s": "v"}).collect()
     assert [tuple(r) for r in rows] == [(1, None, 5), (None, 5, 5)]
-    assert top_with_totals(frame.limit(0), 3, lambda prefix: [largest_first(f"{prefix}v")], {"s": "v"}).count() == 0
+    assert top_with_totals(frame.limit(0), 3, [largest_first("v")], {"s": "v"}).count() == 0
 
 
 def test_few_rows_keep_the_order(spark):

@@ -5,10 +5,11 @@ from conftest import SMALL, TINY
 
 import __spark_entry__ as entry
 from shopledger_checks.compare import SAME_TYPE, duckdb_rows, duckdb_types, spark_rows
-from shopledger_checks.registry import REPORTS
+from shopledger_checks.oracle import all_oracles
+from shopledger_checks.registry import REPORTS, all_queries
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 def check(spark, con, key, directory):
@@ -19,6 +20,7 @@ def check(spark, con, key, directory):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))

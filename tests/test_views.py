@@ -1,5 +1,8 @@
+import pytest
+
 from shopledger import Tables
 from shopledger.plans import querylog, views
+from shopledger_checks.oracle import VIEW_COLUMNS
 
 
 def test_register_replace_and_drop(spark, small):
@@ -7,8 +10,8 @@ def test_register_replace_and_drop(spark, small):
     assert names == views.register(spark, small)
     for name in names:
         assert spark.catalog.tableExists(name)
-    current = spark.table("view_sales_by_payment_performance")
-    assert current.columns == spark.table("view_sales_by_payment_performance_v2").columns
+    current = spark.table("view_sales_by_payment_rows")
+    assert current.columns == spark.table("view_sales_by_payment_rows_v2").columns
     got = spark.sql("select sum(net_amount) from view_dashboard_master_analytics").first()[0]
     assert got == spark.sql("select sum(net_amount) from view_dashboard_sales_summary").first()[0]
     views.drop(spark)
@@ -41,3 +44,8 @@ def test_tables_of_a_catalog(spark, small):
     small.cities.write.mode("overwrite").saveAsTable("shop.ent_city")
     assert Tables.from_catalog(spark, "shop").cities.count() == 25
     spark.sql("drop database shop cascade")
+
+
+@pytest.mark.parametrize("name", sorted(views.VIEWS))
+def test_columns_come_in_the_documented_order(small, name):
+    assert views.VIEWS[name](small).columns == VIEW_COLUMNS[name]
