@@ -4,7 +4,8 @@ Texts become templates: numbers, names and units are replaced by a placeholder o
 kind. Windows of five template tokens are joined by hash. A window that meets counts
 only if its slots are consistent: across all windows of a document and an item, what stands
 for one value of the item must be one value of the document. A document with enough of
-an item's windows holds that item.
+an item's windows holds that item. Items are also indexed with their names folded to
+lower case, so that a copy in lower or upper case, which shows no names, is met as well.
 
 Everything is built-in expressions. Windows of all documents are not shuffled: a bitmap of
 the benchmark's window hashes, of bounded size, lets pass those that can meet, and few
@@ -58,50 +59,73 @@ def _template(token: Column) -> Column:
     return F.coalesce(_kind(token), F.lower(token))
 
 
-def _windows(texts: DataFrame, *keys: str) -> DataFrame:
-    """``keys, tokens, hashes``: tokens of each block of ``text`` and the hash of each window."""
+def _folded(token: Column) -> Column:
+    """The template of a token in a text that shows no names."""
+    kind = _kind(token)
+    return F.when(kind == "@", F.lower(token)).otherwise(F.coalesce(kind, F.lower(token)))
+
+
+def _blocks(texts: DataFrame, *keys: str) -> DataFrame:
+    """``keys, tokens``: the tokens of each block of ``text``."""
     length = F.length("text")
     starts = F.sequence(F.lit(0), F.floor((length - 1) / BLOCK).cast("int"))
     cut = F.transform(starts, lambda i: F.col("text").substr(i * BLOCK + 1, F.lit(BLOCK + OVERLAP)))
     blocks = F.when(length <= BLOCK + OVERLAP, F.array("text")).otherwise(cut)
-    # Outer generators and no condition on an array: Spark would push such a condition below
-    # the steps that make the array, and make it again there.
-    tokens = texts.where(length > 0).select(*keys, F.explode_outer(blocks).alias("block")).select(
+    # Outer generators and no condition on an array, here and below: Spark would push such a
+    # condition below the steps that make the array, and make it again there.
+    return texts.where(length > 0).select(*keys, F.explode_outer(blocks).alias("block")).select(
         *keys, F.regexp_extract_all("block", F.lit(TOKEN), F.lit(0)).alias("tokens")
     )
-    hashed = tokens.withColumn("marks", F.transform("tokens", lambda t: F.xxhash64(_template(t))))
+
+
+def _hashes(marks: str) -> Column:
+    """Hash of each window over an array of token hashes; null if there is none."""
     each = F.transform(
-        F.sequence(F.lit(0), F.size("marks") - WINDOW), lambda i: F.xxhash64(*[F.get("marks", i + k) for k in range(WINDOW)])
+        F.sequence(F.lit(0), F.size(marks) - WINDOW), lambda i: F.xxhash64(*[F.get(marks, i + k) for k in range(WINDOW)])
     )
-    return hashed.select(*keys, "tokens", F.when(F.size("marks") >= WINDOW, each).alias("hashes"))
+    return F.when(F.size(marks) >= WINDOW, each)
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """``item_id, item_hash, n_windows, place, hash, slots`` of each window with enough literal words.
 
-    A window that an item repeats counts once, at its first place.
+    A template that an item repeats counts once, at its first place. Each place comes once more
+    with its names folded, where it has any.
     """
+    item = ["item_id", "item_hash"]
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("item_hash"), "text").distinct()
-    found = (
-        _windows(items, "item_id", "item_hash")
-        .select("item_id", "item_hash", "tokens", F.posexplode_outer("hashes").alias("place", "hash"))
+    marked = _blocks(items, *item).select(
+        *item, "tokens",
+        F.transform("tokens", lambda t: F.xxhash64(_template(t))).alias("marks"),
+        F.transform("tokens", lambda t: F.xxhash64(_folded(t))).alias("plain"),
+    )
+    places = (
+        marked.select(*item, "tokens", _hashes("plain").alias("folded"), _hashes("marks").alias("hashes"))
+        .select(*item, "tokens", "folded", F.posexplode_outer("hashes").alias("place", "hash"))
         .where(F.col("hash").isNotNull())
-        .select("item_id", "item_hash", "place", "hash", F.slice("tokens", F.col("place") + 1, F.lit(WINDOW)).alias("words"))
+        .select(
+            *item, "place", "hash", F.get("folded", F.col("place")).alias("folded"),
+            F.slice("tokens", F.col("place") + 1, F.lit(WINDOW)).alias("words"),
+        )
         .where(F.size(F.filter("words", lambda t: _kind(t).isNull())) >= MIN_LITERALS)
-        .groupBy("item_id", "item_hash", "hash")
-        .agg(F.min(F.struct("place", "words")).alias("first"))
-        .select("item_id", "item_hash", "hash", "first.place", _slots(F.col("first.words")).alias("slots"))
+        .groupBy(*item, "hash")
+        .agg(F.min(F.struct("place", "words", "folded")).alias("first"))
+        .select(*item, "hash", "first.*")
+    )
+    both = F.array(
+        F.struct("hash", _slots(F.col("words")).alias("slots")),
+        F.struct(F.col("folded").alias("hash"), _slots(F.col("words"), names=False).alias("slots")),
     )
-    sizes = found.groupBy(F.col("item_id").alias("i"), F.col("item_hash").alias("h")).agg(F.count("*").alias("n_windows"))
+    found = places.select(*item, "place", F.explode_outer(F.array_distinct(both)).alias("form")).select(*item, "place", "form.*")
+    sizes = places.groupBy(F.col("item_id").alias("i"), F.col("item_hash").alias("h")).agg(F.count("*").alias("n_windows"))
     same = found["item_id"].eqNullSafe(sizes["i"]) & (found["item_hash"] == sizes["h"])
     return found.join(sizes, same).drop("i", "h")
 
 
-def _slots(words: Column) -> Column:
+def _slots(words: Column, names: bool = True) -> Column:
     """Kind and value of each placeholder, in order."""
-    return F.transform(
-        F.filter(words, lambda t: _kind(t).isNotNull()), lambda t: F.concat(_kind(t), F.lower(t))
-    )
+    kinds = ["#", "~", "@"] if names else ["#", "~"]
+    return F.transform(F.filter(words, lambda t: _kind(t).isin(kinds)), lambda t: F.concat(_kind(t), F.lower(t)))
 
 
 def _bitmap(index: DataFrame, words: int) -> DataFrame:
@@ -132,8 +156,9 @@ def hits(documents: DataFrame, index: DataFrame) -> DataFrame:
         word = F.get(bitmap, F.shiftright(bit, 6).cast("int"))
         passes &= F.call_function("getbit", word, bit.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    marked = _blocks(texts, "doc_id", "text_hash").withColumn("marks", F.transform("tokens", lambda t: F.xxhash64(_template(t))))
     passed = (
-        _windows(texts, "doc_id", "text_hash")
+        marked.select("doc_id", "text_hash", "tokens", _hashes("marks").alias("hashes"))
         .select("doc_id", "text_hash", "tokens", F.posexplode_outer("hashes").alias("at", "hash"))
         .where(passes)
         .select("doc_id", "text_hash", "hash", _slots(F.slice("tokens", F.col("at") + 1, F.lit(WINDOW))).alias("doc_slots"))

@@ -17,17 +17,22 @@ def decontamination() -> str:
     windows = f"""select * exclude (t), t[i + 1 : i + {d.WINDOW}] as words from (
         select *, unnest(range(len(t) - {d.WINDOW - 1})) as i from (
             select *, regexp_extract_all(text, '{d.TOKEN}') as t from {{source}} where length(text) > 0) where len(t) >= {d.WINDOW})"""
+    folded = f"case when ({kind}) = '@' then lower(x) else coalesce({kind}, lower(x)) end"
     marked = f"""select * exclude (words), array_to_string(list_transform(words, lambda x: coalesce({kind}, lower(x))), ' ') as mark,
+        array_to_string(list_transform(words, lambda x: {folded}), ' ') as plain,
         list_transform(list_filter(words, lambda x: ({kind}) is not null), lambda x: ({kind}) || lower(x)) as slots from ({windows})"""
     pair = "doc_id, text, item_id, item"
     same = " and ".join(f"h.{c} is not distinct from b.{c}" for c in pair.split(", "))
     return f"""with
         items as (select distinct item_id, text, text as item from benchmark),
         docs as (select distinct doc_id, text from documents),
-        theirs as (
-            select item_id, item, mark, min(i) as place, arg_min(slots, i) as slots from ({marked.replace("{source}", "items")})
+        places as (
+            select item_id, item, mark, min(i) as place, arg_min(slots, i) as slots, arg_min(plain, i) as plain from ({marked.replace("{source}", "items")})
             where len(slots) <= {d.WINDOW - d.MIN_LITERALS} group by all),
-        sizes as (select item_id, item, count(*) as size from theirs group by all),
+        sizes as (select item_id, item, count(*) as size from places group by all),
+        theirs as (
+            select item_id, item, place, mark, slots from places union
+            select item_id, item, place, plain, list_filter(slots, lambda x: x[1] <> '@') from places),
         ours as (select distinct doc_id, text, mark, slots as doc_slots from ({marked.replace("{source}", "docs")})
             where mark in (select mark from theirs)),
         hits as (select doc_id, text, t.item_id, t.item, place, slots, doc_slots, size

@@ -26,10 +26,11 @@ def test_copies_and_re_parameterised_questions(spark):
     docs = [
         (1, "Before. " + QUESTION + " And after it much other text."), (2, OTHER), (3, "unrelated words " * 40), (4, None), (5, ""),
         (6, QUESTION.replace(" ", "\n\t  ")), (7, OTHER), (7, OTHER), (None, QUESTION), (8, "Tom walked 12 km to the old market square instead"),
+        (11, QUESTION.lower()), (12, "and " + QUESTION.upper()), (13, OTHER.lower().replace("lisa", "tom").replace("omar", "anna")),
         (9, "filler word here " * 6000 + QUESTION + " filler" * 9000),
     ]
     items = [(100, QUESTION), (100, QUESTION), (101, None), (102, ""), (103, "too short"), (None, "another question about the number of ships in port")]
-    assert flagged(spark, docs, items) == {(d, (100,)) for d in (1, 2, 6, 7, None, 9)}
+    assert flagged(spark, docs, items) == {(d, (100,)) for d in (1, 2, 6, 7, None, 9, 11, 12, 13)}
     frame = spark.createDataFrame([(1, OTHER, "x", "y", 1), (2, inconsistent, "x", "y", 1)], DOCS)
     bench = spark.createDataFrame([(100, QUESTION, 0)], ITEMS)
     rows = {r.doc_id: r.coverage for r in decontamination.contaminated(frame, bench, 0.0).collect()}
