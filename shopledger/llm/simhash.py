@@ -130,9 +130,12 @@ def classes(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
         .agg(F.min("first_id").alias("component_id"))
     )
     named = linked.join(names, "root").select("node", "component_id")
-    known = marks.join(named, F.col("fingerprint") == F.col("node"), "left").select(
-        F.col("fingerprint").alias("mark"),
-        F.when(F.col("node").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"),
+    # Stored, so that the last join stands between exchanges and splits a fingerprint of very many copies.
+    known = stored(
+        marks.join(named, F.col("fingerprint") == F.col("node"), "left").select(
+            F.col("fingerprint").alias("mark"),
+            F.when(F.col("node").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"),
+        )
     )
     return prints.join(known, F.col("fingerprint") == F.col("mark")).drop("mark")
 
