@@ -48,3 +48,29 @@ def decontamination() -> str:
             having coverage >= {d.MIN_COVERAGE} or n >= {d.LONG_RUN})
         select doc_id, min(item_id) as first_item, count(distinct item_id) as n_items, max(coverage) as coverage, max(n) as n_windows
         from held group by doc_id, text"""
+
+
+def embeddings() -> str:
+    """Links by all cosines, and the smallest id reachable through them."""
+    finite = "list_filter(embedding, lambda x: x is null or not isfinite(x)) = [] and list_filter(embedding, lambda x: x <> 0) <> []"
+    return f"""with recursive
+        numbered as (select row_number() over () as row, vec_id, embedding::double[] as v, coalesce({finite}, false) as usable from embeddings),
+        links as (select a.row as a, b.row as b from numbered a join numbered b on a.row <> b.row and a.usable and b.usable
+            and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.9),
+        reached as (select row, vec_id from numbered union select b, vec_id from reached join links on a = row),
+        roots as (select row, min(vec_id) as component_id from reached group by row),
+        degrees as (select a as row, count(*) as n_links from links group by a)
+        select vec_id, coalesce(n_links, 0) as n_links, component_id, coalesce(vec_id = component_id, false) as kept
+        from numbered join roots using (row) left join degrees using (row)"""
+
+
+def warc() -> str:
+    """Sizes and digests of the payloads; a digest's 160 bits are read five at a time."""
+    five = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * i + 1, 5))::integer >> {shift}) & 31) + 1, 1)"
+    letters = " || ".join(five.format(shift=shift) for shift in (15, 10, 5, 0))
+    return f"""with payloads as (select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as h from pages),
+        firsts as (select *, min(page_id) over (partition by payload) as first from payloads)
+        select page_id, strlen(payload) as payload_bytes,
+        array_to_string(list_transform(range(8), lambda i: {letters}), '') as payload_digest,
+        case when page_id is distinct from first then 'revisit' else 'response' end as record_type,
+        case when page_id is distinct from first then first end as refers_to from firsts"""

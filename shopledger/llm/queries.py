@@ -72,4 +72,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op4_decontamination": oracles.decontamination()}
+    return {
+        "op4_decontamination": oracles.decontamination(),
+        "op7_embeddings": oracles.embeddings(),
+        "op8_warc": oracles.warc(),
+    }

@@ -1,0 +1,39 @@
+"""Whole tables, and odd rows, against the SQL that is registered beside the queries."""
+
+import duckdb
+import pytest
+
+from shopledger.llm import queries
+from shopledger_checks.compare import duckdb_rows, spark_rows
+
+SMALL = "/root/testdata/sf0.01"
+TABLE = {"op7_embeddings": "embeddings", "op8_warc": "pages"}
+
+
+def both(spark, key, folder, files):
+    con = duckdb.connect()
+    con.execute(f"create view {TABLE[key]} as select * from '{files}'")
+    return spark_rows(queries.all_queries()[key](spark, folder)), duckdb_rows(con, queries.all_oracles()[key])
+
+
+@pytest.mark.parametrize("key", sorted(TABLE))
+def test_whole_table(spark, key):
+    got, want = both(spark, key, SMALL, f"{SMALL}/{TABLE[key]}.parquet")
+    assert got == want and len(got[1]) > 200
+
+
+def test_embeddings_with_links(spark, tmp_path):
+    table = spark.read.parquet(f"{SMALL}/embeddings.parquet").limit(120)
+    near = table.selectExpr("vec_id + 1000 as vec_id", "transform(embedding, (x, i) -> float(x * 2 + if(i = vec_id % 64, 0.05, 0))) as embedding", "label")
+    odd = spark.sql("select 9000L as vec_id, cast(null as array<float>) as embedding, 0 as label union all select 9001L, array(0f, 0f), 0")
+    rows = table.unionByName(near).unionByName(near.where("vec_id % 7 = 0")).unionByName(odd)
+    rows.write.parquet(f"{tmp_path}/embeddings.parquet")
+    got, want = both(spark, "op7_embeddings", str(tmp_path), f"{tmp_path}/embeddings.parquet/*.parquet")
+    assert got == want and sum(r[want[0].index("n_links")] for r in want[1]) > 200
+
+
+def test_pages_with_copies(spark, tmp_path):
+    rows = [(1, "u", None), (2, "u", ""), (3, "v", "é"), (4, "v", "é"), (5, None, "x" * 5000)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got, want = both(spark, "op8_warc", str(tmp_path), f"{tmp_path}/pages.parquet/*.parquet")
+    assert got == want
