@@ -10,7 +10,7 @@ template is a span of that licence.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -57,9 +57,23 @@ _WORD_BYTES = bytes(
 )
 
 
+# A long text is read in pieces of about so many bytes, which bounds the memory of a task.
+PIECE = 1 << 20
+
+
+def pieces_of(text: bytes | str | None) -> Iterator[list[bytes]]:
+    """The words of a text, piece by piece; a piece ends between words."""
+    raw = (text.encode() if isinstance(text, str) else text or b"").translate(_WORD_BYTES)
+    at = 0
+    while at < len(raw):
+        cut = raw.find(b" ", at + PIECE)
+        end = len(raw) if cut < 0 else cut
+        yield raw[at:end].split()
+        at = end
+
+
 def words_of(text: bytes | str | None) -> list[bytes]:
-    raw = text.encode() if isinstance(text, str) else text or b""
-    return raw.translate(_WORD_BYTES).split()
+    return [word for piece in pieces_of(text) for word in piece]
 
 
 @dataclass
@@ -146,22 +160,35 @@ class Automaton:
             states.append(state)
         return lengths, states
 
-    def known_runs(self, words: list[bytes], least: int) -> Iterator[tuple[int, list[int]]]:
-        """Runs of at least ``least`` template words: first position and word numbers."""
-        get = self.ids.get
-        ids = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
-        inside = np.concatenate(([False], ids >= 0, [False]))
-        edges = np.flatnonzero(inside[1:] != inside[:-1])
-        for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            if end - start >= least:
-                yield start, ids[start:end].tolist()
-
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, float]]]:
-        """Base phrases ``(first, end, label)`` and template spans ``(first, end, label, coverage)``."""
+    def known_runs(self, pieces: Iterable[list[bytes]], least: int) -> Iterator[tuple[int, list[int]]]:
+        """Runs of at least ``least`` template words: first position and word numbers.
+
+        Last comes the number of all words, with an empty run.
+        """
+        get, done, held = self.ids.get, 0, np.zeros(0, np.int32)
+        for words in pieces:
+            # A run at the end of a piece goes on in the next one.
+            ids = np.concatenate((held, np.fromiter((get(w, -1) for w in words), np.int32, len(words))))
+            offset, done = done - len(held), done + len(words)
+            inside = np.concatenate(([False], ids >= 0, [False]))
+            edges = np.flatnonzero(inside[1:] != inside[:-1])
+            held = ids[edges[-2] :] if len(edges) and edges[-1] == len(ids) else ids[:0]
+            for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                if end - start >= least and end < len(ids):
+                    yield offset + start, ids[start:end].tolist()
+        if len(held) >= least:
+            yield done - len(held), held.tolist()
+        yield done, []
+
+    def scan(
+        self, pieces: Iterable[list[bytes]]
+    ) -> tuple[int, list[tuple[int, int, str]], list[tuple[int, int, str, float]]]:
+        """Number of words, base phrases ``(first, end, label)``, template spans ``(first, end, label, coverage)``."""
         base: list[tuple[int, int, str]] = []
+        offset = 0
         chains = _Chains([len(w) for _, w in self.phrases + self.templates])
         shortest = min((len(w) for _, w in self.phrases), default=MIN_MATCH)
-        for offset, ids in self.known_runs(words, min(shortest, MIN_MATCH)):
+        for offset, ids in self.known_runs(pieces, min(shortest, MIN_MATCH)):
             lengths, states = self.statistics(ids)
             for i, (size, state) in enumerate(zip(lengths, states)):
                 for number in self.endings[state]:
@@ -173,7 +200,7 @@ class Automaton:
                     for number, position in self.places[state]:
                         chains.add(number, offset + i + 1 - size, offset + i + 1, position + 1 - size, position + 1)
         labels = [label for label, _ in self.phrases + self.templates]
-        return base, [(first, end, labels[number], cover) for number, first, end, cover in chains.closed()]
+        return offset, base, [(first, end, labels[number], cover) for number, first, end, cover in chains.closed()]
 
 
 class _Chains:
@@ -239,13 +266,12 @@ def scan(documents: DataFrame, licences: Automaton | None = None, min_coverage:
     def work(ids: list, texts: list) -> Iterator[dict]:
         made = {name: [] for name in names}
         for doc, text in zip(ids, texts):
-            words = words_of(text)
-            base, spans = tool.scan(words)
+            n_words, base, spans = tool.scan(pieces_of(text))
             starts = [first for first, _, _ in base]
             covered = [s for s in spans if s[3] >= min_coverage]
             found = sorted({(a, b, label) for a, b, label, *_ in [*base, *covered]})
             row = (
-                doc, len(words), len(base), min(starts, default=None), max(starts, default=None),
+                doc, n_words, len(base), min(starts, default=None), max(starts, default=None),
                 ",".join(sorted({label for _, _, label in base})), ",".join(sorted({label for _, _, label in found})),
                 1.0 if base else max((s[3] for s in spans), default=0.0),
                 ",".join(f"{label}:{a}:{b}" for a, b, label in found),

@@ -11,6 +11,7 @@ A pair that meets under many variants is made once, under its first variant.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -25,26 +26,48 @@ BITS = 64
 SHINGLE_WORDS = 4
 MAX_DISTANCE = 4
 SEED = 42
-# Hashes of a long text are counted in pieces, which bounds the memory of a task.
-PIECE = 1 << 16
+# A long text is read in pieces of about so many bytes, which bounds the memory of a task.
+PIECE = 1 << 20
+
+_SPACE = re.compile(rb"[ \t-\r]")
+
+
+def _pieces(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, piece by piece; a piece ends at white space."""
+    at = 0
+    while at < len(text):
+        cut = _SPACE.search(text, at + PIECE)
+        end = cut.start() if cut else len(text)
+        yield text[at:end].lower().split()
+        at = end
 
 
 def fingerprint(text: bytes | None, words: int = SHINGLE_WORDS) -> int:
     """The signed 64-bit SimHash of a UTF-8 text; null or no word: zero."""
-    tokens = (text or b"").lower().split()
-    if not tokens:
-        return 0
+    counts, total, held = np.zeros(BITS, np.int64), 0, []
+    for piece in _pieces(text or b""):
+        held += piece
+        if len(held) >= words:
+            counts += _bit_counts(held, words)
+            total += len(held) - words + 1
+            # The next shingle starts within the last words of this piece.
+            held = held[len(held) - words + 1 :]
+    if not total:
+        if not held:
+            return 0
+        counts, total = _bit_counts(held, len(held)), 1
+    return int(np.packbits(2 * counts > total, bitorder="little").view("<i8")[0])
+
+
+def _bit_counts(tokens: list[bytes], words: int) -> np.ndarray:
+    """For each bit the shingles of ``tokens`` whose hash has it."""
     joined = b" ".join(tokens)
     ends = list(accumulate(map(len, tokens[1:]), lambda end, size: end + size + 1, initial=len(tokens[0])))
     starts = [0, *(end + 1 for end in ends[:-1])]
-    spans = list(zip(starts, ends[words - 1 :])) or [(0, len(joined))]
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros(BITS, np.int64)
-    for at in range(0, len(spans), PIECE):
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in spans[at : at + PIECE]], np.uint64)
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(spans), bitorder="little").view("<i8")[0])
+    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :])], np.uint64)
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64)
 
 
 def fingerprints(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

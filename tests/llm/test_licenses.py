@@ -43,7 +43,7 @@ def test_matching_statistics_against_search():
         for i, (size, state) in enumerate(zip(lengths, states)):
             want = {(n, p) for n, s in enumerate(sequences) for p in range(size - 1, len(s)) if s[p + 1 - size : p + 1] == words[i + 1 - size : i + 1]}
             assert set(tool.places[state]) == want
-        base, _ = tool.scan(words)
+        _, base, _ = tool.scan([words])
         text = b" " + b" ".join(words) + b" "
         assert len(base) == sum(
             words[i : i + len(p)] == p for _, p in tool.phrases for i in range(len(words))
@@ -78,6 +78,16 @@ def test_labels_of_templates(spark):
     assert rows[10].spans == "bsd:0:21"
 
 
+@pytest.mark.parametrize("piece", [1, 9, 64])
+def test_long_texts_in_pieces(monkeypatch, piece):
+    tool = licenses.automaton()
+    texts = [t or "" for _, t in ROWS if len(t or "") < 1000]
+    whole = [tool.scan(licenses.pieces_of(t)) for t in texts]
+    monkeypatch.setattr(licenses, "PIECE", piece)
+    assert [tool.scan(licenses.pieces_of(t)) for t in texts] == whole
+    assert [n for n, _, _ in whole] == [brute_base(t)[0] for t in texts]
+
+
 @pytest.mark.parametrize("folder", ["sf0.001"])
 def test_whole_table(spark, folder):
     docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")

@@ -73,6 +73,13 @@ def test_pairs_up_to_the_distance_are_all_found_once(spark):
     assert set(got) == want
 
 
+@pytest.mark.parametrize("piece", [1, 7, 50])
+def test_long_texts_in_pieces(monkeypatch, piece):
+    monkeypatch.setattr(simhash, "PIECE", piece)
+    for text in ("", " ", "a", "a b c", " a  b\tc\nd ", "word " * 40, "longer words " * 9 + "É\u00a0x", "x" * 200, "\x0b\x0c tab"):
+        assert simhash.fingerprint(text.encode()) % (1 << 64) == brute_print(text)
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, "a"), (1, "a"), (1, "a")]])
 def test_one_of_each_keeps_all_columns(spark, rows):
     kept = simhash.one_of_each(frame(spark, rows))
