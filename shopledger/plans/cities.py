@@ -87,30 +87,35 @@ def monthly_document(t: Tables, p: ReportParams, form: Form = Form()) -> DataFra
 
     Cities of the same name share one member of that object.
     """
-    best = _top_cities(_city_months(t, p, form))
     city = F.struct(
         F.col("city_id").alias("id"), F.col("city_code").alias("code"), F.col("city_name").alias("name"), "total_orders"
     )
     rank = F.struct(-F.col("total_orders"), F.col("city_id"))
-    cities = list_by(rank, city.alias("city"))
-    per_name = (
-        best.select("city_name", F.inline("months"))
-        .groupBy("order_month", "city_name")
-        .agg(F.sum("order_count").alias("orders"))
+    named = F.transform("months", lambda m: F.struct(m["order_month"].alias("month"), F.col("city_name").alias("name"), m["order_count"].alias("n")))
+    # Five rows, each with its months: one aggregate folds both lists.
+    folded = _top_cities(_city_months(t, p, form)).agg(
+        null_if_empty(F.transform(list_by(rank, city.alias("city")), lambda c: c["city"])).alias("cities"),
+        F.flatten(F.collect_list(named)).alias("counts"),
     )
-    # Five members at most.
-    members = F.sort_array(F.collect_list(F.struct("city_name", "orders")))
-    per_month = per_name.groupBy("order_month").agg(F.map_from_entries(members).alias("orders"))
-    listed = list_by(
-        F.col("order_month"),
-        month_name(F.col("order_month")).alias("month"),
-        iso_text(F.col("order_month")).alias("date"),
-        "orders",
+    months = F.sort_array(F.array_distinct(F.transform("counts", lambda c: c["month"])))
+    listed = F.transform(
+        months,
+        lambda month: F.struct(
+            month_name(month).alias("month"), iso_text(month).alias("date"), _orders_by_name(month).alias("orders")
+        ),
     )
     if not form.empty_list:
         listed = null_if_empty(listed)
-    # Five rows, read a second time for the list of cities.
-    top_list = best.agg(null_if_empty(F.transform(cities, lambda c: c["city"]))).scalar()
-    return per_month.agg(listed.alias("monthly_data")).select(
-        as_json(F.struct(top_list.alias("cities"), "monthly_data")).alias("result")
-    )
+    return folded.select(as_json(F.struct("cities", listed.alias("monthly_data"))).alias("result"))
+
+
+def _orders_by_name(month: Column) -> Column:
+    """Orders of a month by city name, names in order; five at most."""
+    own = F.filter("counts", lambda c: c["month"] == month)
+    names = F.sort_array(F.array_distinct(F.transform(own, lambda c: c["name"])))
+
+    def total(name: Column) -> Column:
+        counts = F.filter("counts", lambda c: (c["month"] == month) & c["name"].eqNullSafe(name))
+        return F.aggregate(counts, F.lit(0).cast("bigint"), lambda sum_, c: sum_ + c["n"])
+
+    return F.map_from_entries(F.transform(names, lambda name: F.struct(name, total(name))))
