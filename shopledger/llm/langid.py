@@ -32,6 +32,8 @@ FIT_ROWS = 6_000
 SHARDS = 8
 EPOCHS = 5
 MAX_LANGUAGES = 400
+# Characters of a long text that are counted at a time.
+PIECE = 1 << 20
 # FTRL: learning rate and its smoothing, L1 and L2 penalties.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 
@@ -50,22 +52,30 @@ def letters(text: bytes | None) -> str:
     return f" {found} " if has_letter(found) else ""
 
 
-def buckets(clean: str) -> np.ndarray:
-    """Bucket of each n-gram of the text, repeats included."""
+def counts(clean: str) -> np.ndarray:
+    """How often each bucket occurs among the n-grams of a text."""
+    total = np.zeros(BUCKETS, np.int64)
+    for at in range(0, len(clean), PIECE):
+        total += np.bincount(_buckets(clean[at : at + PIECE + max(NGRAMS) - 1], PIECE), minlength=BUCKETS)
+    return total
+
+
+def _buckets(clean: str, starts: int) -> np.ndarray:
+    """Bucket of each n-gram that starts within the first ``starts`` characters, repeats included."""
     codes = np.frombuffer(clean.encode("utf-32-le"), np.uint32)
     found, rolled = [], np.zeros(len(codes), np.uint32)
     for size in range(1, max(NGRAMS) + 1):
         rolled = rolled[: len(codes) - size + 1] * _STEP + codes[size - 1 :]
         if size in NGRAMS:
-            found.append(((rolled + np.uint32(size)) * _MIX) >> np.uint32(32 - BUCKET_BITS))
+            found.append(((rolled[:starts] + np.uint32(size)) * _MIX) >> np.uint32(32 - BUCKET_BITS))
     return np.concatenate(found)
 
 
 def features(clean: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and weights of a text: (1 + log count) x idf, scaled to length one."""
-    counts = np.bincount(buckets(clean), minlength=BUCKETS)
-    at = np.flatnonzero(counts)
-    weights = (1.0 + np.log(counts[at])) * idf[at]
+    found = counts(clean)
+    at = np.flatnonzero(found)
+    weights = (1.0 + np.log(found[at])) * idf[at]
     return at, weights / max(float(np.sqrt(weights @ weights)), 1e-12)
 
 
@@ -124,12 +134,12 @@ def document_frequencies(labelled: DataFrame) -> np.ndarray:
     """Rows that hold each bucket, over all rows; as many numbers as buckets."""
 
     def work(texts: list) -> Iterator[dict]:
-        counts = np.zeros(BUCKETS, np.int64)
+        total = np.zeros(BUCKETS, np.int64)
         for text in texts:
             if clean := letters(text):
-                counts[np.unique(buckets(clean)) if len(clean) < 1000 else np.flatnonzero(np.bincount(buckets(clean)))] += 1
-        at = np.flatnonzero(counts)
-        yield {"bucket": at, "n": counts[at]}
+                total += counts(clean) > 0
+        at = np.flatnonzero(total)
+        yield {"bucket": at, "n": total[at]}
 
     rows = by_batch(labelled, ["text"], work, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     found = np.zeros(BUCKETS)
@@ -138,15 +148,15 @@ def document_frequencies(labelled: DataFrame) -> np.ndarray:
     return found
 
 
-def _sample(labelled: DataFrame, counts: dict[str, int], fit_rows: int) -> DataFrame:
+def _sample(labelled: DataFrame, rows_of: dict[str, int], fit_rows: int) -> DataFrame:
     """About ``fit_rows`` rows, the same number of each language where it has them.
 
     Rows are chosen and dealt by a hash of text and id, so that copies count like other rows.
     """
-    share = fit_rows / max(1, len(counts))
+    share = fit_rows / max(1, len(rows_of))
     draw = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 20))
     limit = F.lit(0)
-    for language, n in counts.items():
+    for language, n in rows_of.items():
         limit = F.when(F.col("lang") == language, math.ceil(min(1.0, share / n) * (1 << 20))).otherwise(limit)
     slot = F.pmod(F.xxhash64("doc_id", "text", F.lit("slot")), F.lit(SHARDS + 2))
     return labelled.where(draw < limit).select("text", "lang", slot.cast("int").alias("slot"))
@@ -162,12 +172,12 @@ def train(documents: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     named = labelled.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
     if len(named) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    counts = {r["lang"]: r["count"] for r in named}
-    languages = sorted(counts)
+    rows_of = {r["lang"]: r["count"] for r in named}
+    languages = sorted(rows_of)
     if not languages:
         return Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), 1.0)
     frequencies = document_frequencies(labelled)
-    idf = np.log((1.0 + sum(counts.values())) / (1.0 + frequencies)) + 1.0
+    idf = np.log((1.0 + sum(rows_of.values())) / (1.0 + frequencies)) + 1.0
     number = {language: i for i, language in enumerate(languages)}
 
     def vectors(texts: list, langs: list, slots: list) -> Iterator[dict]:
@@ -179,7 +189,7 @@ def train(documents: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
                     made[name].append(value)
         yield made
 
-    chosen = _sample(labelled, counts, fit_rows)
+    chosen = _sample(labelled, rows_of, fit_rows)
     rows = stored(by_batch(chosen, ["text", "lang", "slot"], vectors, "label int, slot int, at array<int>, values array<double>"))
 
     def train_shard(shard: pd.DataFrame) -> pd.DataFrame:

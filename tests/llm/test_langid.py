@@ -63,6 +63,14 @@ def test_predictions_against_brute_force(spark, documents, model):
         assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-5) and 0 <= r.score <= 1
 
 
+@pytest.mark.parametrize("piece", [1, 3, 8, 1 << 20])
+def test_counts_against_whole_ngrams(monkeypatch, piece):
+    monkeypatch.setattr(langid, "PIECE", piece)
+    for clean in (" a ", " ab cd ", " été déjà vu ", " " + "xy " * 50):
+        found = langid.counts(clean)
+        assert {b: int(found[b]) for b in np.flatnonzero(found)} == brute_counts(clean)
+
+
 def test_document_frequencies_count_all_rows(documents):
     some = documents.limit(60)
     want = np.zeros(langid.BUCKETS)
