@@ -71,6 +71,8 @@ def components(links: DataFrame) -> DataFrame:
     Only linked nodes appear; ``root`` is the smallest node of the component. Alternating
     large and small stars (Kiveris et al., 2014): a logarithmic number of rounds, each
     with as many links as nodes at most in the end, and each written to the shared folder.
+    The smallest neighbours are written too, so that the joins with them stand between
+    exchanges and a node with very many neighbours is split.
     """
     edges = stored(
         links.where(F.col("a") != F.col("b"))
@@ -79,7 +81,7 @@ def components(links: DataFrame) -> DataFrame:
     )
     state = _state(edges)
     while True:
-        edges = stored(_small_star(_large_star(edges)))
+        edges = stored(_small_star(stored(_large_star(edges))))
         if (now := _state(edges)) == state:
             break
         state = now
@@ -97,7 +99,7 @@ def _state(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each neighbour larger than a node moves to the smallest node of the neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m"))
+    low = stored(both.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m")))
     return (
         both.join(low, F.col("u") == F.col("n"))
         .where(F.col("v") > F.col("u"))
@@ -108,7 +110,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node's smaller neighbours, and the node, move to the smallest of them."""
-    low = edges.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m"))
+    low = stored(edges.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m")))
     moved = (
         edges.join(low, F.col("u") == F.col("n"))
         .where(F.col("v") > F.col("m"))

@@ -271,13 +271,13 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, recall:
     found = stored(_linked(ordered, lines, min_cosine))
     classes = stored(components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     degrees = found.groupBy(F.col("node").alias("m")).agg(F.sum("n_links").alias("links"))
-    known = (
+    known = stored(
         distinct.drop("embedding")
         .join(classes.withColumnRenamed("node", "c"), F.col("node") == F.col("c"), "left")
         .join(degrees, F.col("node") == F.col("m"), "left")
         .select("h", "g", "first_id", "copies", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     )
-    names = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    names = stored(known.groupBy("root").agg(F.min("first_id").alias("component_id")))
     named = known.join(names, "root").select(
         F.col("h").alias("h2"), F.col("g").alias("g2"), "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links")
     )

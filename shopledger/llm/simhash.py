@@ -147,7 +147,7 @@ def classes(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     """
     marks = stored(prints.groupBy("fingerprint").agg(F.min("id").alias("first_id")))
     linked = stored(components(links(marks, distance)))
-    names = (
+    names = stored(
         linked.join(marks, F.col("node") == F.col("fingerprint"))
         .groupBy("root")
         .agg(F.min("first_id").alias("component_id"))
