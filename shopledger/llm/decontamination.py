@@ -2,9 +2,10 @@
 
 Texts become templates: numbers, names and units are replaced by a placeholder of their
 kind. Windows of five template tokens are joined by hash. A window that meets counts
-only if its slots are consistent: across all windows of a document and an item, what stands
-for one value of the item must be one value of the document. A document with enough of
-an item's windows holds that item. Items are also indexed with their names folded to
+only if its slots are consistent: what stands for one value of the item must be one value of
+the document, across all windows of the document or of one occurrence of the item in it; or
+the values must be the item's own. A document with enough of an item's windows holds that
+item. Items are also indexed with their names folded to
 lower case, so that a copy in lower or upper case, which shows no names, is met as well.
 
 Everything is built-in expressions. Windows of all documents are not shuffled: a bitmap of
@@ -24,6 +25,8 @@ MIN_LITERALS = 3
 # A document holds an item with this share of its windows, or with this many of them.
 MIN_COVERAGE = 0.5
 LONG_RUN = 20
+# Windows of a pair within about so many tokens of one diagonal (or half an item) are one occurrence.
+DRIFT = 16
 # Texts are cut into blocks of this many characters, which overlap by so many.
 BLOCK, OVERLAP = 1 << 16, 1 << 13
 # Words of the bitmap, of 64 bits each, at least and at most.
@@ -66,15 +69,15 @@ def _folded(token: Column) -> Column:
 
 
 def _blocks(texts: DataFrame, *keys: str) -> DataFrame:
-    """``keys, tokens``: the tokens of each block of ``text``."""
+    """``keys, start, tokens``: the tokens of each block of ``text``; positions from ``start`` differ between blocks."""
     length = F.length("text")
     starts = F.sequence(F.lit(0), F.floor((length - 1) / BLOCK).cast("int"))
     cut = F.transform(starts, lambda i: F.col("text").substr(i * BLOCK + 1, F.lit(BLOCK + OVERLAP)))
     blocks = F.when(length <= BLOCK + OVERLAP, F.array("text")).otherwise(cut)
     # Outer generators and no condition on an array, here and below: Spark would push such a
     # condition below the steps that make the array, and make it again there.
-    return texts.where(length > 0).select(*keys, F.explode_outer(blocks).alias("block")).select(
-        *keys, F.regexp_extract_all("block", F.lit(TOKEN), F.lit(0)).alias("tokens")
+    return texts.where(length > 0).select(*keys, F.posexplode_outer(blocks).alias("start", "block")).select(
+        *keys, (F.col("start").cast("long") * (BLOCK + OVERLAP)).alias("start"), F.regexp_extract_all("block", F.lit(TOKEN), F.lit(0)).alias("tokens")
     )
 
 
@@ -87,39 +90,43 @@ def _hashes(marks: str) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_id, item_hash, n_windows, place, hash, slots`` of each window with enough literal words.
+    """``item_id, item_hash, n_windows, span, rank, place, hash, slots`` of each window with enough literal words.
 
-    A template that an item repeats counts once, at its first place. Each place comes once more
+    ``rank`` numbers an item's windows by place, ``span`` is where the last one ends. A template that an item repeats counts once, at its first place. Each place comes once more
     with its names folded, where it has any.
     """
     item = ["item_id", "item_hash"]
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("item_hash"), "text").distinct()
     marked = _blocks(items, *item).select(
-        *item, "tokens",
+        *item, "start", "tokens",
         F.transform("tokens", lambda t: F.xxhash64(_template(t))).alias("marks"),
         F.transform("tokens", lambda t: F.xxhash64(_folded(t))).alias("plain"),
     )
     places = (
-        marked.select(*item, "tokens", _hashes("plain").alias("folded"), _hashes("marks").alias("hashes"))
-        .select(*item, "tokens", "folded", F.posexplode_outer("hashes").alias("place", "hash"))
+        marked.select(*item, "start", "tokens", _hashes("plain").alias("folded"), _hashes("marks").alias("hashes"))
+        .select(*item, "start", "tokens", "folded", F.posexplode_outer("hashes").alias("place", "hash"))
         .where(F.col("hash").isNotNull())
         .select(
-            *item, "place", "hash", F.get("folded", F.col("place")).alias("folded"),
+            *item, (F.col("start") + F.col("place")).alias("place"), "hash", F.get("folded", F.col("place")).alias("folded"),
             F.slice("tokens", F.col("place") + 1, F.lit(WINDOW)).alias("words"),
         )
         .where(F.size(F.filter("words", lambda t: _kind(t).isNull())) >= MIN_LITERALS)
         .groupBy(*item, "hash")
         .agg(F.min(F.struct("place", "words", "folded")).alias("first"))
-        .select(*item, "hash", "first.*")
+        .groupBy(*item)
+        .agg(F.sort_array(F.collect_list(F.struct("first.place", "hash", "first.words", "first.folded"))).alias("all"))
+        .select(
+            *item, F.size("all").cast("long").alias("n_windows"), (F.element_at("all", -1)["place"] + WINDOW).alias("span"),
+            F.posexplode_outer("all").alias("rank", "one"),
+        )
+        .select(*item, "n_windows", "span", "rank", "one.*")
     )
     both = F.array(
         F.struct("hash", _slots(F.col("words")).alias("slots")),
         F.struct(F.col("folded").alias("hash"), _slots(F.col("words"), names=False).alias("slots")),
     )
-    found = places.select(*item, "place", F.explode_outer(F.array_distinct(both)).alias("form")).select(*item, "place", "form.*")
-    sizes = places.groupBy(F.col("item_id").alias("i"), F.col("item_hash").alias("h")).agg(F.count("*").alias("n_windows"))
-    same = found["item_id"].eqNullSafe(sizes["i"]) & (found["item_hash"] == sizes["h"])
-    return found.join(sizes, same).drop("i", "h")
+    kept = [*item, "n_windows", "span", "rank", "place"]
+    return places.select(*kept, F.explode_outer(F.array_distinct(both)).alias("form")).select(*kept, "form.*")
 
 
 def _slots(words: Column, names: bool = True) -> Column:
@@ -145,7 +152,7 @@ def _bits(mark: Column, words: int) -> list[Column]:
 
 
 def hits(documents: DataFrame, index: DataFrame) -> DataFrame:
-    """Windows of documents that meet windows of the benchmark, with the slots of both."""
+    """Windows of documents that meet windows of the benchmark, with the slots and the places (``at``) of both."""
     count = index.count()
     words = LEAST_WORDS
     while words < MOST_WORDS and words * 4 < count:
@@ -158,22 +165,46 @@ def hits(documents: DataFrame, index: DataFrame) -> DataFrame:
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     marked = _blocks(texts, "doc_id", "text_hash").withColumn("marks", F.transform("tokens", lambda t: F.xxhash64(_template(t))))
     passed = (
-        marked.select("doc_id", "text_hash", "tokens", _hashes("marks").alias("hashes"))
-        .select("doc_id", "text_hash", "tokens", F.posexplode_outer("hashes").alias("at", "hash"))
+        marked.select("doc_id", "text_hash", "start", "tokens", _hashes("marks").alias("hashes"))
+        .select("doc_id", "text_hash", "start", "tokens", F.posexplode_outer("hashes").alias("at", "hash"))
         .where(passes)
-        .select("doc_id", "text_hash", "hash", _slots(F.slice("tokens", F.col("at") + 1, F.lit(WINDOW))).alias("doc_slots"))
+        .select(
+            "doc_id", "text_hash", "hash", (F.col("start") + F.col("at")).alias("at"),
+            _slots(F.slice("tokens", F.col("at") + 1, F.lit(WINDOW))).alias("doc_slots"),
+        )
         .distinct()
-    )
+    )
     return passed.join(index, "hash")
 
 
+def _parts(met: DataFrame) -> DataFrame:
+    """The hits of each part of a document: all of it (kind 0), and the occurrences of the item.
+
+    An occurrence is what lies near one diagonal, the place in the document less that in the
+    item: in cells of a grid and of one moved by half a cell, so that neither copies in a row
+    share a cell nor a copy with some words more or less is cut by both grids.
+    """
+    diagonal = F.col("at") - F.col("place")
+    half = F.floor(F.col("span") / 2)
+    near, cells = F.least(half, F.lit(DRIFT)), [F.struct(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("cell"))]
+    for kind, width in ((1, near), (3, half)):
+        for moved in (0, 1):
+            cell = F.floor((diagonal + moved * F.floor(width / 2)) / width)
+            cells.append(F.struct(F.lit(kind + moved).alias("kind"), cell.alias("cell")))
+    # Wide cells say nothing new about short items.
+    parts = F.when(half <= DRIFT, F.array(*cells[:3])).otherwise(F.array(*cells))
+    columns = [c for c in met.columns if c not in ("at", "place", "span", "hash")]
+    return met.select(*columns, F.explode(parts).alias("part")).select(*columns, "part.*").distinct()
+
+
 def _consistent(met: DataFrame) -> DataFrame:
-    """The hits whose slots agree with what stands for each value of the item in that document."""
-    pair = ["doc_id", "text_hash", "item_id", "item_hash"]
-    slotted = met.where(F.size("slots") > 0)
+    """Per pair and part: the ranks of the windows that agree with one binding, and of those with the item's own values."""
+    pair = ["doc_id", "text_hash", "item_id", "item_hash", "kind", "cell"]
+    met = stored(_parts(met))
     zipped = F.explode(F.zip_with("slots", "doc_slots", lambda a, b: F.struct(a.alias("theirs"), b.alias("ours"))))
     bound = (
-        slotted.select(*pair, zipped.alias("z"))
+        met.where(F.size("slots") > 0)
+        .select(*pair, zipped.alias("z"))
         .groupBy(*pair, F.col("z.theirs").alias("theirs"), F.col("z.ours").alias("ours"))
         .agg(F.count("*").alias("n"))
         # What stands for a value most often, the first in order among equals.
@@ -187,7 +218,17 @@ def _consistent(met: DataFrame) -> DataFrame:
         same &= F.col(f"m.{c}").eqNullSafe(F.col(f"b.{c}"))
     kept = met.alias("m").join(bound.alias("b"), same, "left")
     agree = F.forall(F.zip_with("slots", "doc_slots", lambda a, b: F.element_at("binding", a) == b), lambda ok: ok)
-    return kept.where((F.size("slots") == 0) | agree).select(*[f"m.{c}" for c in pair], "place", "n_windows")
+    agrees = (F.size("slots") == 0) | agree
+    own = F.col("slots") == F.col("doc_slots")
+    return (
+        kept.where(agrees | own)
+        .groupBy(*[F.col(f"m.{c}") for c in pair])
+        .agg(
+            F.collect_set(F.when(agrees, F.col("rank"))).alias("agreeing"),
+            F.collect_set(F.when(own, F.col("rank"))).alias("own"),
+            F.first("n_windows").alias("all_windows"),
+        )
+    )
 
 
 def contaminated(
@@ -205,9 +246,8 @@ def contaminated(
     index = stored(benchmark_windows(benchmark))
     pair = ["doc_id", "text_hash", "item_id", "item_hash"]
     found = (
-        _consistent(stored(hits(documents, index)))
-        .groupBy(*pair)
-        .agg(F.count_distinct("place").alias("n_windows"), F.first("n_windows").alias("all_windows"))
+        _consistent(hits(documents, index))
+        .select(*pair, F.greatest(F.size("agreeing"), F.size("own")).cast("long").alias("n_windows"), "all_windows")
         .withColumn("coverage", F.col("n_windows") / F.col("all_windows"))
         .where((F.col("coverage") >= min_coverage) | (F.col("n_windows") >= long_run))
     )

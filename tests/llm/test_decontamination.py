@@ -74,3 +74,15 @@ def test_planted_variants_against_sql(spark, duck, tmp_path):
         con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
     got, want = spark_rows(queries.op4_decontamination(spark, str(tmp_path))), duckdb_rows(con, oracles.decontamination())
     assert got == want and len(got[1]) >= 3
+
+
+def variant(name, number):
+    return QUESTION.replace("Tom", name).replace("12", str(number)).replace("km", "miles" if number % 2 else "km").replace("Anna", name + "a")
+
+
+def test_copies_with_other_values_in_one_document(spark):
+    copies = [variant(n, i) for n, i in (("Bert", 31), ("Carl", 44), ("Dora", 57), ("Emil", 68))]
+    docs = [(1, " ".join([*copies, QUESTION])), (2, " ".join(copies)), (3, "filler word " * 9000 + " ".join([copies[0], "and some more words", *copies[1:]]))]
+    frame = spark.createDataFrame([(d, t, "x", "y", 1) for d, t in docs], DOCS)
+    rows = {r.doc_id: (r.coverage, tuple(r["items"])) for r in decontamination.contaminated(frame, spark.createDataFrame([(100, QUESTION, 0)], ITEMS)).collect()}
+    assert rows == {d: (1.0, (100,)) for d in (1, 2, 3)}
