@@ -8,6 +8,10 @@ the values must be the item's own. A document with enough of an item's windows h
 item. Items are also indexed with their names folded to
 lower case, so that a copy in lower or upper case, which shows no names, is met as well.
 
+Items without a window (short ones, or with too many numbers and names) are met word by
+word: as a whole, in order, with their own values. Scripts without spaces are cut into
+characters for this.
+
 Everything is built-in expressions. Windows of all documents are not shuffled: a bitmap of
 the benchmark's window hashes, of bounded size, lets pass those that can meet, and few
 others; only these go into the join.
@@ -34,6 +38,9 @@ LEAST_WORDS, MOST_WORDS = 1 << 8, 1 << 18
 
 # A token is a run of letters, a number, or a sign of a unit.
 TOKEN = r"\p{L}+|\p{N}+(?:[.,]\p{N}+)*|[%$€£°]"
+# For items met word by word a letter of a script without spaces is a token of its own.
+SPACELESS = "".join(rf"\p{{Is{script}}}" for script in "Han Hiragana Katakana Thai Lao Khmer Myanmar Tibetan".split()) + "ー"
+WORD = rf"[{SPACELESS}]|[\p{{L}}&&[^{SPACELESS}]]+|\p{{N}}+(?:[.,]\p{{N}}+)*|[%$€£°]"
 NUMBER_WORDS = (
     "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
     "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
@@ -68,16 +75,16 @@ def _folded(token: Column) -> Column:
     return F.when(kind == "@", F.lower(token)).otherwise(F.coalesce(kind, F.lower(token)))
 
 
-def _blocks(texts: DataFrame, *keys: str) -> DataFrame:
+def _blocks(texts: DataFrame, *keys: str, token: str = TOKEN, overlap: int = OVERLAP) -> DataFrame:
     """``keys, start, tokens``: the tokens of each block of ``text``; positions from ``start`` differ between blocks."""
     length = F.length("text")
     starts = F.sequence(F.lit(0), F.floor((length - 1) / BLOCK).cast("int"))
-    cut = F.transform(starts, lambda i: F.col("text").substr(i * BLOCK + 1, F.lit(BLOCK + OVERLAP)))
-    blocks = F.when(length <= BLOCK + OVERLAP, F.array("text")).otherwise(cut)
+    cut = F.transform(starts, lambda i: F.col("text").substr(i * BLOCK + 1, F.lit(BLOCK + overlap)))
+    blocks = F.when(length <= BLOCK + overlap, F.array("text")).otherwise(cut)
     # Outer generators and no condition on an array, here and below: Spark would push such a
     # condition below the steps that make the array, and make it again there.
     return texts.where(length > 0).select(*keys, F.posexplode_outer(blocks).alias("start", "block")).select(
-        *keys, (F.col("start").cast("long") * (BLOCK + OVERLAP)).alias("start"), F.regexp_extract_all("block", F.lit(TOKEN), F.lit(0)).alias("tokens")
+        *keys, (F.col("start").cast("long") * (BLOCK + overlap)).alias("start"), F.regexp_extract_all("block", F.lit(token), F.lit(0)).alias("tokens")
     )
 
 
@@ -89,6 +96,10 @@ def _hashes(marks: str) -> Column:
     return F.when(F.size(marks) >= WINDOW, each)
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("item_hash"), "text").distinct()
+
+
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """``item_id, item_hash, n_windows, span, rank, place, hash, slots`` of each window with enough literal words.
 
@@ -96,8 +107,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     with its names folded, where it has any.
     """
     item = ["item_id", "item_hash"]
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("item_hash"), "text").distinct()
-    marked = _blocks(items, *item).select(
+    marked = _blocks(_items(benchmark), *item).select(
         *item, "start", "tokens",
         F.transform("tokens", lambda t: F.xxhash64(_template(t))).alias("marks"),
         F.transform("tokens", lambda t: F.xxhash64(_folded(t))).alias("plain"),
@@ -151,8 +161,8 @@ def _bits(mark: Column, words: int) -> list[Column]:
     return [F.pmod(mark, size), F.pmod(F.shiftright(mark, 32), size)]
 
 
-def hits(documents: DataFrame, index: DataFrame) -> DataFrame:
-    """Windows of documents that meet windows of the benchmark, with the slots and the places (``at``) of both."""
+def _passes(index: DataFrame) -> Column:
+    """Whether ``hash`` can be one of the index: all of its are let pass, and few others."""
     count = index.count()
     words = LEAST_WORDS
     while words < MOST_WORDS and words * 4 < count:
@@ -162,6 +172,12 @@ def hits(documents: DataFrame, index: DataFrame) -> DataFrame:
     for bit in _bits(F.col("hash"), words):
         word = F.get(bitmap, F.shiftright(bit, 6).cast("int"))
         passes &= F.call_function("getbit", word, bit.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1
+    return passes
+
+
+def hits(documents: DataFrame, index: DataFrame) -> DataFrame:
+    """Windows of documents that meet windows of the benchmark, with the slots and the places (``at``) of both."""
+    passes = _passes(index)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     marked = _blocks(texts, "doc_id", "text_hash").withColumn("marks", F.transform("tokens", lambda t: F.xxhash64(_template(t))))
     passed = (
@@ -177,6 +193,69 @@ def hits(documents: DataFrame, index: DataFrame) -> DataFrame:
     return passed.join(index, "hash")
 
 
+def _words(texts: DataFrame, *keys: str, overlap: int) -> DataFrame:
+    """``keys, marks``: hashes of the words of each block of ``text``, in lower case."""
+    blocks = _blocks(texts, *keys, token=WORD, overlap=overlap)
+    return blocks.select(*keys, F.transform("tokens", lambda t: F.xxhash64(F.lower(t))).alias("marks"))
+
+
+def benchmark_sequences(benchmark: DataFrame, index: DataFrame) -> DataFrame:
+    """``item_id, item_hash, n_chars, n_windows, size, head, hash, whole`` of each item that is met word by word.
+
+    ``hash`` is that of its first ``head`` words, ``whole`` that of all its ``size`` words.
+    """
+    item = ["item_id", "item_hash"]
+    many = index.select(F.col("item_id").alias("i"), F.col("item_hash").alias("h")).distinct()
+    same = F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_hash") == F.col("h"))
+    marks = F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), lambda t: F.xxhash64(F.lower(t)))
+    return (
+        _items(benchmark)
+        .join(many, same, "left_anti")
+        .select(*item, F.length("text").alias("n_chars"), F.lit(0).cast("long").alias("n_windows"), marks.alias("marks"))
+        .withColumn("size", F.size("marks"))
+        .withColumn("head", F.least("size", F.lit(WINDOW)))
+        .where(F.col("size") > 0)
+        .select(
+            *item, "n_chars", "n_windows", "size", "head",
+            F.xxhash64(F.slice("marks", F.lit(1), F.col("head"))).alias("hash"), F.xxhash64("marks").alias("whole"),
+        )
+    )
+
+
+def _verbatim(documents: DataFrame, sequences: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, item_id, item_hash, n_windows, coverage``: documents with all words of an item in order."""
+    pair = ["doc_id", "text_hash", "item_id", "item_hash"]
+    result = [*pair, "n_windows", F.lit(1.0).alias("coverage")]
+    sizes = sorted(tuple(r) for r in sequences.groupBy("head", "size").agg(F.max("n_chars")).collect())
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    if not sizes:
+        return texts.where(F.lit(False)).join(sequences).select(*result)
+    passes = _passes(sequences)
+    marked = _words(texts, "doc_id", "text_hash", overlap=max(OVERLAP, 2 * max(n_chars for _, _, n_chars in sizes)))
+
+    def heads(head: int) -> Column:
+        last = F.size("marks") - head
+        each = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice("marks", i + 1, F.lit(head))))
+        # An item of one word says nothing inside of a text; it must be all of the text.
+        return F.when(last == 0 if head == 1 else last >= 0, each)
+
+    found = None
+    for head in sorted({head for head, _, _ in sizes}):
+        longer = F.array(*[F.lit(size) for h, size, _ in sizes if h == head])
+        wholes = F.transform(
+            F.filter(longer, lambda n: n <= F.size("marks") - F.col("at")),
+            lambda n: F.xxhash64(F.slice("marks", F.col("at") + 1, n)),
+        )
+        passed = (
+            marked.select("doc_id", "text_hash", "marks", F.posexplode_outer(heads(head)).alias("at", "hash"))
+            .where(F.col("hash").isNotNull() & passes)
+            .select("doc_id", "text_hash", F.lit(head).alias("head"), F.explode_outer(wholes).alias("whole"))
+            .distinct()
+        )
+        found = passed if found is None else found.unionByName(passed)
+    return found.join(sequences, ["head", "whole"]).select(*result).distinct()
+
+
 def _parts(met: DataFrame) -> DataFrame:
     """The hits of each part of a document: all of it (kind 0), and the occurrences of the item.
 
@@ -238,8 +317,9 @@ def contaminated(
 
     ``items`` lists the ids of all items held; ``coverage`` and ``n_windows`` are the largest
     share and number of an item's windows found. An item is held with at least
-    ``min_coverage`` of its windows, or with ``long_run`` of them. An item of fewer than five
-    tokens, or without a window of three literal words, is never held. Null and empty texts
+    ``min_coverage`` of its windows, or with ``long_run`` of them. An item without a window (of
+    five tokens, three of them literal words) is held where all its words stand in order; one
+    of a single word where the document is nothing else. Null and empty texts
     hold nothing and are held by nothing. Repeated rows give one row; rows with a null id are
     told apart by their text. Other columns are ignored, whatever their names.
     """
@@ -250,6 +330,8 @@ def contaminated(
         .select(*pair, F.greatest(F.size("agreeing"), F.size("own")).cast("long").alias("n_windows"), "all_windows")
         .withColumn("coverage", F.col("n_windows") / F.col("all_windows"))
         .where((F.col("coverage") >= min_coverage) | (F.col("n_windows") >= long_run))
+        .select(*pair, "n_windows", "coverage")
+        .unionByName(_verbatim(documents, stored(benchmark_sequences(benchmark, index))))
     )
     return found.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_set("item_id")).alias("items"),

@@ -86,3 +86,17 @@ def test_copies_with_other_values_in_one_document(spark):
     frame = spark.createDataFrame([(d, t, "x", "y", 1) for d, t in docs], DOCS)
     rows = {r.doc_id: (r.coverage, tuple(r["items"])) for r in decontamination.contaminated(frame, spark.createDataFrame([(100, QUESTION, 0)], ITEMS)).collect()}
     assert rows == {d: (1.0, (100,)) for d in (1, 2, 3)}
+
+
+def test_items_without_windows_are_met_word_by_word(spark):
+    items = [
+        (1, "What is 15 % of 240 ?"), (2, "Compute 12 + 30 - 7 * 4"), (3, "Is Paris bigger than Rome?"), (4, "Who wrote Hamlet?"),
+        (5, "谁写了哈姆雷特"), (6, "Hamlet"), (7, "?!"), (None, "7 8 9 10 11 12 13 14"),
+    ]
+    docs = [
+        (1, "Quiz. what is 15% of 240? Think."), (2, "compute 12 + 30 - 7 * 4"), (3, "He asked: Is Paris bigger than\nRome? No."), (4, "Who wrote Hamlet? Who knows."),
+        (5, "请问谁写了哈姆雷特呢"), (6, "Hamlet."), (7, "Hamlet wrote. Who is Paris, 15 % of 241?"), (8, "long words " * 15000 + "7, 8, 9, 10, 11, 12, 13, 14, 15"),
+        (9, "is rome bigger than paris; 7 8 9 10 11 12 13 15"), (10, "谁写了哈姆雷"),
+    ]
+    want = {(1, (1,)), (2, (2,)), (3, (3,)), (4, (4,)), (5, (5,)), (6, (6,))}
+    assert flagged(spark, docs, items) == want | {(8, ())}
