@@ -8,7 +8,7 @@ the values must be the item's own. A document with enough of an item's windows h
 item. Items are also indexed with their names folded to
 lower case, so that a copy in lower or upper case, which shows no names, is met as well.
 
-Items without a window (short ones, or with too many numbers and names) are met word by
+Items with few windows (short ones, or with too many numbers and names) are met word by
 word: as a whole, in order, with their own values. Scripts without spaces are cut into
 characters for this.
 
@@ -26,9 +26,11 @@ from shopledger.llm.common import stored
 
 WINDOW = 5
 MIN_LITERALS = 3
-# A document holds an item with this share of its windows, or with this many of them.
+# A document holds an item with this share of its windows, or with this many that follow one another.
 MIN_COVERAGE = 0.5
 LONG_RUN = 20
+# Fewer windows than this are no evidence, whatever their share: items that have fewer are met word by word.
+LEAST_WINDOWS = 5
 # Windows of a pair within about so many tokens of one diagonal (or half an item) are one occurrence.
 DRIFT = 16
 # Texts are cut into blocks of this many characters, which overlap by so many.
@@ -205,16 +207,16 @@ def benchmark_sequences(benchmark: DataFrame, index: DataFrame) -> DataFrame:
     ``hash`` is that of its first ``head`` words, ``whole`` that of all its ``size`` words.
     """
     item = ["item_id", "item_hash"]
-    many = index.select(F.col("item_id").alias("i"), F.col("item_hash").alias("h")).distinct()
+    sizes = index.select(F.col("item_id").alias("i"), F.col("item_hash").alias("h"), F.col("n_windows").alias("n")).distinct()
     same = F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_hash") == F.col("h"))
     marks = F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), lambda t: F.xxhash64(F.lower(t)))
     return (
         _items(benchmark)
-        .join(many, same, "left_anti")
-        .select(*item, F.length("text").alias("n_chars"), F.lit(0).cast("long").alias("n_windows"), marks.alias("marks"))
+        .join(sizes, same, "left")
+        .select(*item, F.length("text").alias("n_chars"), F.coalesce("n", F.lit(0).cast("long")).alias("n_windows"), marks.alias("marks"))
         .withColumn("size", F.size("marks"))
         .withColumn("head", F.least("size", F.lit(WINDOW)))
-        .where(F.col("size") > 0)
+        .where((F.col("size") > 0) & (F.col("n_windows") < LEAST_WINDOWS))
         .select(
             *item, "n_chars", "n_windows", "size", "head",
             F.xxhash64(F.slice("marks", F.lit(1), F.col("head"))).alias("hash"), F.xxhash64("marks").alias("whole"),
@@ -310,6 +312,17 @@ def _consistent(met: DataFrame) -> DataFrame:
     )
 
 
+def _run(ranks: Column) -> Column:
+    """The most windows that follow one another; one changed word, which no window around it survives, does not end a run."""
+    start = F.struct(F.lit(0).alias("best"), F.lit(0).alias("now"), F.lit(-2 * WINDOW).alias("last"))
+
+    def step(so_far: Column, rank: Column) -> Column:
+        now = F.when(rank - so_far["last"] <= WINDOW + 1, so_far["now"] + 1).otherwise(F.lit(1))
+        return F.struct(F.greatest(so_far["best"], now).alias("best"), now.alias("now"), rank.alias("last"))
+
+    return F.aggregate(F.sort_array(ranks), start, step, lambda end: end["best"])
+
+
 def contaminated(
     documents: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE, long_run: int = LONG_RUN
 ) -> DataFrame:
@@ -317,19 +330,23 @@ def contaminated(
 
     ``items`` lists the ids of all items held; ``coverage`` and ``n_windows`` are the largest
     share and number of an item's windows found. An item is held with at least
-    ``min_coverage`` of its windows, or with ``long_run`` of them. An item without a window (of
-    five tokens, three of them literal words) is held where all its words stand in order; one
-    of a single word where the document is nothing else. Null and empty texts
+    ``min_coverage`` of its windows, at least ``LEAST_WINDOWS``, or with ``long_run`` that follow
+    one another in both. An item with fewer windows (of five tokens, three of them literal
+    words) is held where all its words stand in order; one of a single word where the document
+    is nothing else. Null and empty texts
     hold nothing and are held by nothing. Repeated rows give one row; rows with a null id are
     told apart by their text. Other columns are ignored, whatever their names.
     """
     index = stored(benchmark_windows(benchmark))
     pair = ["doc_id", "text_hash", "item_id", "item_hash"]
     found = (
-        _consistent(hits(documents, index))
-        .select(*pair, F.greatest(F.size("agreeing"), F.size("own")).cast("long").alias("n_windows"), "all_windows")
+        _consistent(hits(documents, index.where(F.col("n_windows") >= LEAST_WINDOWS)))
+        .select(
+            *pair, F.greatest(F.size("agreeing"), F.size("own")).cast("long").alias("n_windows"), "all_windows",
+            F.when(F.col("kind").isin(1, 2), F.greatest(_run(F.col("agreeing")), _run(F.col("own")))).otherwise(0).alias("run"),
+        )
         .withColumn("coverage", F.col("n_windows") / F.col("all_windows"))
-        .where((F.col("coverage") >= min_coverage) | (F.col("n_windows") >= long_run))
+        .where(((F.col("coverage") >= min_coverage) & (F.col("n_windows") >= LEAST_WINDOWS)) | (F.col("run") >= long_run))
         .select(*pair, "n_windows", "coverage")
         .unionByName(_verbatim(documents, stored(benchmark_sequences(benchmark, index))))
     )

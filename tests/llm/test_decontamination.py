@@ -100,3 +100,14 @@ def test_items_without_windows_are_met_word_by_word(spark):
     ]
     want = {(1, (1,)), (2, (2,)), (3, (3,)), (4, (4,)), (5, (5,)), (6, (6,))}
     assert flagged(spark, docs, items) == want | {(8, ())}
+
+
+def test_few_or_scattered_windows_are_no_evidence(spark):
+    long = " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(120))
+    words = long.split()
+    pieces = " ".join(" ".join([*words[i : i + 6], "filler words of another text entirely"]) for i in range(0, 120, 10))
+    docs = [
+        (1, "As we know Lyon is the capital of Gaul, said he."), (2, "Now: what is the capital of France? Paris."), (3, pieces),
+        (4, "filler " * 50 + " ".join(words[30:56]) + " filler" * 50), (5, " ".join([*words[30:42], "other", *words[43:60]])),
+    ]
+    assert flagged(spark, docs, [(1, "What is the capital of France?"), (2, long)]) == {(2, (1,)), (4, (2,)), (5, (2,))}
