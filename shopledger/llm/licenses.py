@@ -2,9 +2,10 @@
 
 The automaton holds every word sequence that occurs in any template. Streaming a file
 through it gives, per word, the length of the longest template sequence that ends there
-(matching statistics) and where in the templates it ends. Long matches that follow one
-another both in the file and in a template are chained; a chain that covers enough of its
-template is a span of that licence.
+(matching statistics) and where in the templates it ends; its suffixes end at further places.
+At each place a match is taken where the template goes on otherwise than the file. Long
+matches that follow one another both in the file and in a template are chained; a chain that
+covers enough of its template is a span of that licence, unless it is but a part of another.
 """
 
 from __future__ import annotations
@@ -101,6 +102,14 @@ class Automaton:
         for state in order:
             if (up := self.link[state]) > 0:
                 self.places[up] = sorted({*self.places[up], *self.places[state]})
+        # Per state and place: the length of the match there (0: that of the state), the place, and the template's next word.
+        after = [[self.ids[word] for word in words[1:]] + [-2] for words in sequences]
+        self.matches: list[list[tuple[int, int, int, int]]] = [[] for _ in self.length]
+        for state in reversed(order):
+            mine = [(0, n, p, after[n][p]) for n, p in self.places[state]]
+            up, held = self.link[state], {*self.places[state]}
+            further = [(size or self.length[up], n, p, word) for size, n, p, word in self.matches[up] if (n, p) not in held]
+            self.matches[state] = mine + [m for m in further if m[0] >= MIN_MATCH]
         own: dict[int, list[int]] = {}
         for number, (_, words) in enumerate(self.phrases):
             state = 0
@@ -182,8 +191,8 @@ class Automaton:
 
     def scan(
         self, pieces: Iterable[list[bytes]]
-    ) -> tuple[int, list[tuple[int, int, str]], list[tuple[int, int, str, float]]]:
-        """Number of words, base phrases ``(first, end, label)``, template spans ``(first, end, label, coverage)``."""
+    ) -> tuple[int, list[tuple[int, int, str]], list[tuple[int, int, str, float, tuple]]]:
+        """Number of words, base phrases ``(first, end, label)``, template spans ``(first, end, label, coverage, matched)``."""
         base: list[tuple[int, int, str]] = []
         offset = 0
         chains = _Chains([len(w) for _, w in self.phrases + self.templates])
@@ -195,12 +204,15 @@ class Automaton:
                     label, phrase = self.phrases[number]
                     if size >= len(phrase):
                         base.append((offset + i + 1 - len(phrase), offset + i + 1, label))
-                longest = i + 1 == len(ids) or lengths[i + 1] != size + 1
-                if longest and size >= MIN_MATCH:
-                    for number, position in self.places[state]:
-                        chains.add(number, offset + i + 1 - size, offset + i + 1, position + 1 - size, position + 1)
+                if size >= MIN_MATCH:
+                    following = ids[i + 1] if i + 1 < len(ids) else -1
+                    for length, number, position, word in self.matches[state]:
+                        # A match that goes on is taken where it ends.
+                        if word != following:
+                            length = length or size
+                            chains.add(number, offset + i + 1 - length, offset + i + 1, position + 1 - length, position + 1)
         labels = [label for label, _ in self.phrases + self.templates]
-        return offset, base, [(first, end, labels[number], cover) for number, first, end, cover in chains.closed()]
+        return offset, base, [(first, end, labels[number], *rest) for number, first, end, *rest in chains.closed()]
 
 
 class _Chains:
@@ -218,9 +230,9 @@ class _Chains:
             # A match that overlaps the chain counts by what it adds.
             over = max(0, chain[1] - first, chain[2] - t_first)
             if t_first - chain[2] <= MAX_GAP and over < end - first and (not grown or chain[3] > grown[3]):
-                grown = [chain[0], end, t_end, chain[3] + end - first - over]
+                grown = [chain[0], end, t_end, chain[3] + end - first - over, (*chain[4], (first + over, end))]
             live.append(chain)
-        live.append(grown or [first, end, t_end, end - first])
+        live.append(grown or [first, end, t_end, end - first, ((first, end),)])
         # Of chains that end at one place, the one with more coverage can only do better.
         best = {}
         for chain in live:
@@ -229,20 +241,40 @@ class _Chains:
                 best[key] = chain
         self.open[number] = list(best.values())
 
-    def closed(self) -> list[tuple[int, int, int, float]]:
-        """``(template, first, end, coverage)`` of the best chains that do not overlap."""
+    def closed(self) -> list[tuple[int, int, int, float, tuple]]:
+        """``(template, first, end, coverage, matched parts)`` of the best chains that do not overlap."""
         rest = [(n, *c) for n, chains in self.open.items() for c in chains]
         ranked = sorted(self.done + rest, key=lambda c: (-c[4] / self.sizes[c[0]], c[1], c[0]))
         spans, taken = [], {}
-        for number, first, end, _, covered in ranked:
+        for number, first, end, _, covered, matched in ranked:
             mine = taken.setdefault(number, [])
             at = bisect_left(mine, (first, end))
             if (at == 0 or mine[at - 1][1] <= first) and (at == len(mine) or end <= mine[at][0]):
                 mine.insert(at, (first, end))
-                spans.append((number, first, end, min(1.0, covered / self.sizes[number])))
+                spans.append((number, first, end, min(1.0, covered / self.sizes[number]), matched))
         return spans
 
 
+def own_spans(spans: list[tuple[int, int, str, float, tuple]]) -> list[tuple[int, int, str, float, tuple]]:
+    """The spans without those that are only a part of another.
+
+    Such a span has words left out or inserted, and all its words are in a span with more
+    words, or in one that covers more of its template. So the attribution licence is not found
+    in the text of the non-commercial one, which has a word more, nor the other way round.
+    """
+    kept, near = [], []
+    words = [{w for first, end in matched for w in range(first, end)} for *_, matched in spans]
+    # What holds a span starts before it, or there and has more words.
+    for i in sorted(range(len(spans)), key=lambda i: (spans[i][0], -len(words[i]), -spans[i][3])):
+        first, end, _, coverage, _ = spans[i]
+        near = [j for j in near if spans[j][1] > first]
+        exact = coverage == 1.0 and len(words[i]) == end - first
+        if exact or not any(words[i] < words[j] or (words[i] == words[j] and coverage < spans[j][3]) for j in near):
+            kept.append(spans[i])
+        near.append(i)
+    return kept
+
+
 def automaton(
     phrases: tuple[tuple[str, str], ...] = BASE_PHRASES, templates: tuple[tuple[str, str], ...] = TEMPLATES
 ) -> Automaton:
@@ -268,7 +300,7 @@ def scan(documents: DataFrame, licences: Automaton | None = None, min_coverage:
         for doc, text in zip(ids, texts):
             n_words, base, spans = tool.scan(pieces_of(text))
             starts = [first for first, _, _ in base]
-            covered = [s for s in spans if s[3] >= min_coverage]
+            covered = own_spans([s for s in spans if s[3] >= min_coverage])
             found = sorted({(a, b, label) for a, b, label, *_ in [*base, *covered]})
             row = (
                 doc, n_words, len(base), min(starts, default=None), max(starts, default=None),

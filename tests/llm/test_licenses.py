@@ -98,3 +98,37 @@ def test_whole_table(spark, folder):
 
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def labels(text, tool=None):
+    _, _, spans = (tool or licenses.automaton()).scan(licenses.pieces_of(text))
+    return {s[2] for s in licenses.own_spans([s for s in spans if s[3] >= licenses.MIN_COVERAGE])}
+
+
+def test_templates_that_share_words_each_get_their_match():
+    text = "This work is licensed under a Creative Commons Attribution{} 4.0 International License"
+    assert labels(text.format("-NonCommercial-ShareAlike")) == {"cc-by-nc", "cc-by-sa"}
+    assert labels(text.format("-NonCommercial")) == {"cc-by-nc"}
+    assert labels(text.format("")) == {"cc-by"}
+    # The longer match goes on in another template where this one ends.
+    tool = licenses.automaton((), (("a", "p q r s t u v w x y"), ("b", "p q r s t k l m n o")))
+    assert labels("p q r s t k u v w x y", tool) == {"a"}
+
+
+def test_matches_at_every_place_against_search():
+    rng = random.Random(2)
+    tool = licenses.automaton((), (("c", "x y z x x y x y z z y"), ("d", "z z x y y x y z"), ("e", "y x y z x y")))
+    sequences = [w for _, w in tool.templates]
+    for _ in range(100):
+        words = [rng.choice([b"x", b"y", b"z"]) for _ in range(30)]
+        lengths, states = tool.statistics([tool.ids[w] for w in words])
+        for i, (size, state) in enumerate(zip(lengths, states)):
+            got = {(n, p, length or size) for length, n, p, _ in tool.matches[state] if (length or size) >= licenses.MIN_MATCH}
+            want = set()
+            for n, s in enumerate(sequences):
+                for p in range(len(s)):
+                    k = 0
+                    while k <= min(i, p) and words[i - k] == s[p - k]:
+                        k += 1
+                    want |= {(n, p, k)} if k >= licenses.MIN_MATCH else set()
+            assert got == want
