@@ -3,9 +3,9 @@
 The standard library's streaming parser turns a page into lines, one per block. Each line
 has a text-to-tag ratio: its characters over the tags inside it, links counting as tags
 that hold no text. The ratios are smoothed with a Gaussian, and a threshold splits the
-lines into content and the rest. The content lines choose the region: the deepest
-element that holds nearly all of their text. All lines of the region are kept, short ones
-too, but for what is furniture by its element, role or name.
+lines into content and the rest. All content lines are kept, and with them the short lines of
+the region: the elements that hold the content lines, and few links. What is furniture by
+its element, role or name goes before.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ CONTENT = frozenset("main article".split())
 
 SIGMA = 1.0
 RADIUS = 3
-# The region holds this share of the text of the content lines.
+# The region holds this share of the text of the content lines; what is added to it has this share of text outside links.
 REGION_SHARE = 0.9
 # Elements nested deeper than this count as part of the one that holds them, as in browsers.
 MAX_DEPTH = 512
@@ -171,22 +171,40 @@ def ratios(lines: list[tuple[tuple[int, ...], str, int, int]]) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), mode="valid")
 
 
-def _region(lines: list[tuple[tuple[int, ...], str, int, int]], content: np.ndarray, kinds: dict[int, str]) -> set[int]:
-    """Elements whose lines are kept."""
+def _region(lines: list[tuple[tuple[int, ...], str, int, int]], content: np.ndarray, kinds: dict[int, str]) -> tuple[set[int], set[int]]:
+    """Elements whose lines are kept, and containers around them of which the lines in no further container are kept."""
     weight: dict[int, int] = {}
     depth: dict[int, int] = {}
+    size: dict[int, int] = {}
     total = 0
-    for (path, text, _, _), chosen in zip(lines, content):
-        if chosen:
-            total += len(text)
-            for level, number in enumerate(path):
+    free: dict[int, int] = {}
+    for (path, text, _, linked), chosen in zip(lines, content):
+        total += len(text) if chosen else 0
+        for level, number in enumerate(path):
+            size[number] = size.get(number, 0) + len(text)
+            free[number] = free.get(number, 0) + max(0, len(text) - linked)
+            if chosen:
                 weight[number] = weight.get(number, 0) + len(text)
                 depth[number] = level
     marked = {n for n in weight if kinds[n] in CONTENT}
     if marked and sum(weight[n] for n in _outermost(marked, lines)) >= 0.5 * total:
-        return marked
-    holders = [n for n in weight if kinds[n] in CONTAINERS and weight[n] >= REGION_SHARE * total]
-    return {max(holders, key=lambda n: depth[n])} if holders else set()
+        region = marked
+    else:
+        holders = [n for n in weight if kinds[n] in CONTAINERS and weight[n] >= REGION_SHARE * total]
+        region = {max(holders, key=lambda n: depth[n])} if holders else set()
+    # Content lines elsewhere bring the short lines around them: the widest element with few links beside the
+    # region; or the lines that stand with them around the region.
+    around = {n for path, _, _, _ in lines if not region.isdisjoint(path) for n in path}
+    beside, direct = set(), set()
+    for (path, _, _, _), chosen in zip(lines, content):
+        if region and chosen and region.isdisjoint(path):
+            beside.update([n for n in path if kinds[n] in CONTAINERS and n not in around and free[n] >= REGION_SHARE * size[n]][:1])
+            direct.update(around.intersection([_container(path, kinds)]))
+    return region | beside, direct
+
+
+def _container(path: tuple[int, ...], kinds: dict[int, str]) -> int | None:
+    return next((n for n in reversed(path) if kinds[n] in CONTAINERS), None)
 
 
 def _outermost(marked: set[int], lines: list[tuple[tuple[int, ...], str, int, int]]) -> set[int]:
@@ -202,9 +220,15 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     smooth = ratios(lines)
-    content = smooth >= min(smooth.std(), smooth.max())
-    region = _region(lines, content, parser.kinds)
-    kept = [text for path, text, _, _ in lines if not region or not region.isdisjoint(path)]
+    # A line of nothing but links has no text of its own, whatever stands beside it.
+    own = np.array([len(text) > linked for _, text, _, linked in lines])
+    content = (smooth >= min(smooth.std(), smooth.max())) & own
+    region, direct = _region(lines, content, parser.kinds)
+    kept = [
+        line[1]
+        for line, chosen, texts in zip(lines, content, own)
+        if chosen or not region or not region.isdisjoint(line[0]) or (texts and _container(line[0], parser.kinds) in direct)
+    ]
     return "\n".join(kept)
 
 

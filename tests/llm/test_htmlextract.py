@@ -56,3 +56,15 @@ def test_odd_rows(spark):
     assert {(1, "u", ""), (2, None, ""), (3, "u", "no markup"), (None, "v", "a\nb"), (5, "u", "deep"), (6, "u", "long text long text ")} <= got
     assert htmlextract.extract(frame).count() == len(rows)
     assert htmlextract.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("body", [12, 30, 120])
+@pytest.mark.parametrize("element", ["div", "article"])
+def test_lead_beside_the_body_stays(body, element):
+    lead = [f"Lead {i} " + "says a good many words. " * 7 for i in range(3)]
+    prose = [f"Paragraph {i} " + "has a good many words in it. " * 14 for i in range(body)]
+    blocks = lambda texts: "".join(f"<p>{x}</p>" for x in texts)
+    links = "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(20))
+    page = f"<body><ul>{links}</ul><div><div><h1>A title</h1>{blocks(lead)}</div><{element}>{blocks(prose)}<p>End.</p></{element}></div><ul>{links}</ul></body>"
+    assert main_text(page) == "\n".join(["A title", *(x.strip() for x in lead + prose), "End."])
+    assert main_text(page.replace("<div><h1>", "<h1>").replace("</p></div><" + element, "</p><" + element)).startswith("A title\nLead 0")
