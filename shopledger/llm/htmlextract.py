@@ -5,7 +5,8 @@ has a text-to-tag ratio: its characters over the tags inside it, links counting
 that hold no text. The ratios are smoothed with a Gaussian, and a threshold splits the
 lines into content and the rest. All content lines are kept, and with them the short lines of
 the region: the elements that hold the content lines, and few links. What is furniture by
-its element, role or name goes before.
+its element or role goes before, and what is by its name (class, id), unless it holds the
+main article, or most of the text and no link list.
 """
 
 from __future__ import annotations
@@ -44,33 +45,41 @@ FURNITURE = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 CONTENT = frozenset("main article".split())
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 
 SIGMA = 1.0
 RADIUS = 3
 # The region holds this share of the text of the content lines; what is added to it has this share of text outside links.
 REGION_SHARE = 0.9
+# An element with this share of the text is not furniture by its name, unless main or article elements elsewhere hold
+# so much of the text.
+NAMED_SHARE, ELSEWHERE_SHARE = 0.5, 0.2
 # Elements nested deeper than this count as part of the one that holds them, as in browsers.
 MAX_DEPTH = 512
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: ``(path of open elements, text, tags, characters inside links)``."""
+    """Lines of a page: ``(path of open elements, parts, tags)``, a part being ``(path of open named elements, text, inside a link)``.
+
+    Named elements are those that are furniture by their class or id, if at all.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[tuple[int, ...], str, int, int]] = []
+        self.lines: list[tuple[tuple[int, ...], list[tuple[tuple[int, ...], str, int]], int]] = []
         self.kinds: dict[int, str] = {}
         self.stack: list[tuple[str, int]] = []
         self.shut = 0  # open elements that are furniture
         self.shut_at: list[bool] = []
-        self.parts: list[str] = []
-        self.tags = self.linked = self.in_link = self.seen = 0
+        self.named: tuple[int, ...] = ()
+        self.names: set[int] = set()
+        self.parts: list[tuple[tuple[int, ...], str, int]] = []
+        self.tags = self.in_link = self.seen = 0
 
     def flush(self) -> None:
-        if self.parts and (text := " ".join("".join(self.parts).split())):
-            path = tuple(number for _, number in self.stack)
-            self.lines.append((path, text, self.tags, self.linked))
-        self.parts, self.tags, self.linked = [], 0, 0
+        if any(not text.isspace() for _, text, _ in self.parts):
+            self.lines.append((tuple(number for _, number in self.stack), self.parts, self.tags))
+        self.parts, self.tags = [], 0
 
     def _furniture(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in NEVER:
@@ -82,19 +91,32 @@ class _Lines(HTMLParser):
                 return True
             if name == "role" and value and value.lower() in ROLES:
                 return True
-            if name in ("class", "id") and value and not FURNITURE.isdisjoint(re.split("[^a-z0-9]+", value.lower())):
-                return True
         return False
 
+    def _named(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        return tag not in ("html", "body", "main") and any(
+            name in ("class", "id") and value and not FURNITURE.isdisjoint(re.split("[^a-z0-9]+", value.lower()))
+            for name, value in attrs
+        )
+
+    def _end_head(self) -> None:
+        """What a head cannot hold ends it, as its end tag may be left out."""
+        if self.stack and self.stack[-1][0] == "head":
+            self._close(len(self.stack) - 1)
+
     def _close(self, depth: int) -> None:
         """Closes open elements down to a depth."""
         while len(self.stack) > depth:
-            self.stack.pop()
+            _, number = self.stack.pop()
             self.shut -= self.shut_at.pop()
+            if self.named and self.named[-1] == number:
+                self.named = self.named[:-1]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag == "br":
-            self.parts.append(" ")
+            self.parts.append((self.named, " ", 0))
         self.tags += 1
         if tag in VOID and tag != "hr":
             return
@@ -107,16 +129,18 @@ class _Lines(HTMLParser):
             self._imply_ends(tag)
             self.tags = 1
             self.in_link = 0
-        elif not self._furniture(tag, attrs):
-            return
         furniture = self._furniture(tag, attrs)
-        if len(self.stack) >= MAX_DEPTH and not furniture:
+        named = not furniture and not self.shut and self._named(tag, attrs)
+        if not (tag in BLOCKS or furniture or named) or (len(self.stack) >= MAX_DEPTH and not furniture and not named):
             return
         self.seen += 1
         self.stack.append((tag, self.seen))
         self.kinds[self.seen] = tag
         self.shut_at.append(furniture)
         self.shut += furniture
+        if named:
+            self.names.add(self.seen)
+            self.named += (self.seen,)
 
     def _imply_ends(self, tag: str) -> None:
         """A block ends an open paragraph or heading; items and cells end their like."""
@@ -145,11 +169,11 @@ class _Lines(HTMLParser):
         self._close(at)
 
     def handle_data(self, data: str) -> None:
+        if self.shut and not data.isspace():
+            self._end_head()
         if self.shut and not self._title_of_article():
             return
-        self.parts.append(data)
-        if self.in_link:
-            self.linked += len(data)
+        self.parts.append((self.named, data, self.in_link))
 
     def _title_of_article(self) -> bool:
         """A heading in the header of an article belongs to the article."""
@@ -161,6 +185,50 @@ class _Lines(HTMLParser):
         self.flush()
 
 
+def _texts(parser: _Lines, gone: set[int]) -> list[tuple[tuple[int, ...], str, int, int]]:
+    """``(path of open elements, text, tags, characters inside links)`` of the lines, without the elements that are gone."""
+    lines = []
+    for path, parts, tags in parser.lines:
+        if gone:
+            parts = [part for part in parts if gone.isdisjoint(part[0])]
+        if text := " ".join("".join([data for _, data, _ in parts]).split()):
+            lines.append((path, text, tags, sum(len(data) for _, data, inside in parts if inside)))
+    return lines
+
+
+def _chosen(lines: list[tuple[tuple[int, ...], str, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Which lines are content, and which have text of their own."""
+    smooth = ratios(lines)
+    # A line of nothing but links has no text of its own, whatever stands beside it.
+    own = np.array([len(text) > linked for _, text, _, linked in lines])
+    return (smooth >= min(smooth.std(), smooth.max())) & own, own
+
+
+def _named_furniture(parser: _Lines) -> set[int]:
+    """The named elements that are furniture.
+
+    One that holds the largest main or article is not, nor one with most of the page's text
+    that the ratios do not reject, unless main or article elements elsewhere hold the text.
+    """
+    lines = _texts(parser, set())
+    if not parser.names or not lines:
+        return parser.names
+    total = sum(len(text) for _, text, _, _ in lines)
+    size: dict[int, int] = {}
+    weight: dict[int, int] = {}
+    for (path, text, _, _), chosen in zip(lines, _chosen(lines)[0]):
+        for number in path:
+            size[number] = size.get(number, 0) + len(text)
+            weight[number] = weight.get(number, 0) + len(text) * bool(chosen)
+    articles = [n for n in size if parser.kinds[n] in CONTENT and n not in parser.names]
+    largest = max(articles, key=lambda n: size[n], default=None)
+    holders = {n for path, _, _, _ in lines if largest in path for n in path[: path.index(largest)]}
+    wide = {n for n in parser.names - holders if size.get(n, 0) >= NAMED_SHARE * total and 2 * weight[n] >= size[n]}
+    if wide and sum(len(t) for p, t, _, _ in lines if wide.isdisjoint(p) and not set(articles).isdisjoint(p)) >= ELSEWHERE_SHARE * total:
+        wide = set()
+    return parser.names - holders - wide
+
+
 def ratios(lines: list[tuple[tuple[int, ...], str, int, int]]) -> np.ndarray:
     """Smoothed text-to-tag ratio of each line."""
     raw = np.array([max(0, len(text) - linked) / max(1, tags) for _, text, tags, linked in lines])
@@ -216,13 +284,10 @@ def main_text(html: str | None) -> str:
     parser = _Lines()
     parser.feed(html or "")
     parser.close()
-    lines = parser.lines
+    lines = _texts(parser, _named_furniture(parser))
     if not lines:
         return ""
-    smooth = ratios(lines)
-    # A line of nothing but links has no text of its own, whatever stands beside it.
-    own = np.array([len(text) > linked for _, text, _, linked in lines])
-    content = (smooth >= min(smooth.std(), smooth.max())) & own
+    content, own = _chosen(lines)
     region, direct = _region(lines, content, parser.kinds)
     kept = [
         line[1]

@@ -68,3 +68,22 @@ def test_lead_beside_the_body_stays(body, element):
     page = f"<body><ul>{links}</ul><div><div><h1>A title</h1>{blocks(lead)}</div><{element}>{blocks(prose)}<p>End.</p></{element}></div><ul>{links}</ul></body>"
     assert main_text(page) == "\n".join(["A title", *(x.strip() for x in lead + prose), "End."])
     assert main_text(page.replace("<div><h1>", "<h1>").replace("</p></div><" + element, "</p><" + element)).startswith("A title\nLead 0")
+
+
+def test_head_without_an_end_tag():
+    prose = "<p>A paragraph with a good many words in it.</p><p>Another one.</p>"
+    want = "A paragraph with a good many words in it.\nAnother one."
+    for start in ("<head><title>t</title><meta charset=utf-8><body>", "<head><title>t</title><div>", "<head><style>p {}</style>"):
+        assert main_text("<!doctype html><html>" + start + prose) == want
+    assert main_text("<head><title>t</title>Plain <b>text</b>") == "Plain text"
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "has-sidebar", "widget-area main-text"])
+def test_furniture_words_in_the_name_of_a_wrapper(name):
+    prose = "".join(f"<p>Paragraph {i} has a good many words in it, as prose has.</p>" for i in range(9))
+    want = "\n".join(f"Paragraph {i} has a good many words in it, as prose has." for i in range(9))
+    side = "<div class=sidebar><p>Other things to read, this week.</p></div><p>x <span class=share>Share me</span>y</p>"
+    comments = "<div id=comments>" + "".join(f"<article class=comment><p>Reader {i} says that this is a good text.</p></article>" for i in range(30)) + "</div>"
+    assert main_text(f"<body><div class='{name}'>{prose}{side}</div><div class=footer>Copyright</div></body>") == want + "\nx\ny"
+    assert main_text(f"<body><div class='{name}'><article>{prose}</article>{side[:60]}</div>{comments}</body>").startswith(want)
+    assert "Reader" not in main_text(f"<body><div class='{name}'><article>{prose}</article></div>{comments}</body>")
