@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from shopledger.llm import decontamination, langid, pieces, pii, queries, simhash
 from shopledger.llm.common import stored
 
-# Below this probability no learned language fits a text; short texts of a known one lie above.
+# Below this probability no learned language fits a text, if four are learned; short texts of a known one lie above.
 MIN_LANGUAGE_SCORE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or of no language learned from the labelled rows, go."""
-    return langid.identified(docs, langid.train(langid.labelled_part(docs)), MIN_LANGUAGE_SCORE)
+    model = langid.train(langid.labelled_part(docs))
+    return langid.identified(docs, model, langid.least_score(MIN_LANGUAGE_SCORE, len(model.languages)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,9 @@ BUCKETS = 1 << BUCKET_BITS
 FIT_ROWS = 6_000
 SHARDS = 8
 EPOCHS = 5
+# Labels learned on their own, the most frequent ones; beyond, the rest is learned as one label.
 MAX_LANGUAGES = 400
+OTHER = "other"
 # Characters of a long text that are counted at a time.
 PIECE = 1 << 20
 # FTRL: learning rate and its smoothing, L1 and L2 penalties.
@@ -167,12 +169,15 @@ def train(documents: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
 
     What the driver receives is bounded: one number per bucket, at most ``SHARDS`` x buckets x
     languages weights, and the calibration rows' logits, a fifth of ``fit_rows`` x languages.
+    With more than ``MAX_LANGUAGES`` labels the rarest are learned as one, ``OTHER``.
     """
     labelled = documents.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    named = labelled.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(named) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    named = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
     rows_of = {r["lang"]: r["count"] for r in named}
+    if len(named) > MAX_LANGUAGES:
+        own = [r["lang"] for r in named[: MAX_LANGUAGES - 1]]
+        labelled = labelled.withColumn("lang", F.when(F.col("lang").isin(own), F.col("lang")).otherwise(OTHER))
+        rows_of = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     languages = sorted(rows_of)
     if not languages:
         return Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), 1.0)
@@ -253,6 +258,12 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     return by_batch(chosen, ["doc_id", "held_out", "text"], work, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def least_score(of_four: float, languages: int) -> float:
+    """The score that lies as far above chance among so many languages as ``of_four`` does among four."""
+    above = (of_four - 0.25) / 0.75
+    return 1.0 / max(1, languages) * (1.0 - above) + above
+
+
 def identified(documents: DataFrame, model: Model, min_score: float) -> DataFrame:
     """The rows of ``documents``, with all columns, whose language is known with at least ``min_score``."""
 

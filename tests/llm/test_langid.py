@@ -104,3 +104,19 @@ def test_odd_rows_and_tables(spark):
     assert {(r.lang_pred, r.score) for r in langid.predict(frame, nothing).collect()} == {("und", 0.0)}
     kept = langid.identified(frame, langid.train(frame), 0.0)
     assert kept.columns == frame.columns and kept.count() == 6
+
+
+def test_more_labels_than_can_be_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    texts = {"aa": "alma beta gamma", "bb": "kilo lima mike", "cc": "xyz zyx", "dd": "qqq www", "ee": "rrr ttt"}
+    rows = [(i, texts[k], k) for i, k in enumerate(["aa"] * 40 + ["bb"] * 30 + ["cc"] * 9 + ["dd"] * 8 + ["ee"] * 7)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(frame)
+    assert model.languages == ["aa", "bb", "other"]
+    got = {(r.doc_id, r.lang_pred) for r in langid.predict(frame, model).collect()}
+    assert got == {(i, k if k in ("aa", "bb") else "other") for i, _, k in rows}
+
+
+def test_least_score_lies_above_chance():
+    assert langid.least_score(0.3, 4) == pytest.approx(0.3)
+    assert all(1 / n < langid.least_score(0.3, n) < 1 / n + 0.07 for n in range(2, 401)) and langid.least_score(0.3, 1) == 1.0
