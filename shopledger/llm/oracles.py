@@ -74,3 +74,58 @@ def warc() -> str:
         array_to_string(list_transform(range(8), lambda i: {letters}), '') as payload_digest,
         case when page_id is distinct from first then 'revisit' else 'response' end as record_type,
         case when page_id is distinct from first then first end as refers_to from firsts"""
+
+
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def collocations() -> str:
+    """Phrases counted as text, scored in 128-bit whole numbers."""
+    return f"""with pieces as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) as piece from (
+            select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), {_AZ}) as t from documents)),
+        words as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces),
+        totals as (select lang, sum(len(w))::hugeint as n from words group by lang),
+        grams as (select lang, size, array_to_string(w[i + 1 : i + size], ' ') as phrase from (
+            select *, unnest(range(len(w) - size + 1)) as i from (
+                select *, unnest([1, 2, 3, 4, 5]) as size from words) where len(w) >= size)),
+        counts as (select lang, size, phrase, count(*)::hugeint as a from grams group by all having count(*) >= 100),
+        listed as (select *, string_split(phrase, ' ') as w from counts where size > 1),
+        cuts as (select *, array_to_string(w[1 : k], ' ') as x, array_to_string(w[k + 1 :], ' ') as y from (
+            select *, unnest(range(1, size)) as k from listed)),
+        scores as (select c.lang, c.phrase, c.a, c.k, l.a as l, r.a as r, n, 1000 * c.a * n // (l.a * r.a) as score
+            from cuts c join counts l on l.lang = c.lang and l.phrase = x join counts r on r.lang = c.lang and r.phrase = y
+            join totals t on t.lang = c.lang),
+        worst as (select * from scores qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+        inner_phrases as (select lang, a, array_to_string(w[i + 1 : i + m], ' ') as phrase from (
+            select *, unnest(range(size - m + 1)) as i from (select *, unnest(range(2, size)) as m from listed))),
+        longest as (select lang, phrase, max(a) as longer from inner_phrases group by all),
+        kept as (select w.* from worst w left join longest o on o.lang = w.lang and o.phrase = w.phrase
+            where longer is null or 100 * longer < 100 * w.a)
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase,
+            a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+        from kept qualify rank <= 2000"""
+
+
+def divergence() -> str:
+    """Every kept term beside every source of its language."""
+    return f"""with docs as (select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+            regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w from documents),
+        places as (select d, lang, source, unnest(w) as term from docs),
+        kept as (select lang, term, count(*)::hugeint as c from places group by all having count(distinct d) >= 10),
+        langs as (select lang, count(*)::hugeint as v, sum(c)::hugeint as n from kept group by lang),
+        groups as (select distinct lang, source from docs),
+        counted as (select lang, source, term, count(*)::hugeint as c from places join kept using (lang, term) group by all),
+        cells as (select g.lang, g.source, k.term, coalesce(s.c, 0)::hugeint as c from groups g join kept k on k.lang = g.lang
+            left join counted s on s.lang = g.lang and s.source = g.source and s.term = k.term),
+        sizes as (select lang, source, sum(c)::hugeint as n from cells group by all),
+        shares as (select lang, source, term, cells.c as c, 1 + 1000000000 * (cells.c + 2) // (sizes.n + 2 * v) as p,
+                1 + 1000000000 * (kept.c + 2) // (langs.n + 2 * v) as q
+            from cells join sizes using (lang, source) join langs using (lang) join kept using (lang, term)),
+        pairs as (select g.lang, g.source, o.source as item from groups g join groups o on o.lang = g.lang and o.source <> g.source),
+        pair_values as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+            from shares a join shares b on b.lang = a.lang and b.term = a.term and b.source <> a.source group by all),
+        found as (select lang, source, 'pair' as part, item, coalesce(value, 0)::bigint as value
+            from pairs left join pair_values using (lang, source, item)
+            union all select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from shares where c > 0 and p > q)
+        select *, row_number() over (partition by lang, source, part order by value desc, item)::integer as rank
+        from found qualify part = 'pair' or rank <= 10"""

@@ -8,7 +8,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import decontamination, embeddings, htmlextract, langid, licenses, oracles, pieces, pii, sharding, simhash, warc
+from shopledger.llm import (
+    decontamination,
+    divergence,
+    embeddings,
+    htmlextract,
+    langid,
+    licenses,
+    oracles,
+    phrases,
+    pieces,
+    pii,
+    sharding,
+    simhash,
+    urlfilter,
+    warc,
+)
 from shopledger.llm.common import shared_folder
 
 
@@ -67,6 +82,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None
     return pieces.encode(_table(spark, sf_dir, "documents"), pieces.load(model_file or public_model()))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents")).drop("first_doc", "first_word")
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judged(_table(spark, sf_dir, "pages"), urlfilter.train(urlfilter.labelled(spark)))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
@@ -76,4 +103,6 @@ def all_oracles() -> dict[str, str]:
         "op4_decontamination": oracles.decontamination(),
         "op7_embeddings": oracles.embeddings(),
         "op8_warc": oracles.warc(),
+        "op11_collocations": oracles.collocations(),
+        "op12_divergence": oracles.divergence(),
     }

@@ -1,0 +1,119 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from shopledger.llm import queries, urlfilter
+from shopledger.llm.urlfilter import ALLOW, BLOCK, Rule
+
+SCHEMA = "page_id long, url string, host string, path string, verdict string"
+
+
+def brute_split(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url[url.index("://") + 3 :]
+    host = re.match("[^/?#]*", rest).group()
+    path = re.match("[^?#]*", rest[len(host) :]).group()
+    return re.sub("[A-Z]", lambda m: m.group().lower(), host), path
+
+
+def brute_rule(host, path):
+    rules = {("net", "/"): BLOCK, ("example.net", "/en/"): ALLOW, ("example.com", "/de/"): BLOCK, ("org", "/fr/"): ALLOW}
+    labels = host.split(".")
+    suffixes = {".".join(labels[i:]) for i in range(len(labels))}
+    fitting = [(h + p, v) for (h, p), v in rules.items() if h in suffixes and path.startswith(p)]
+    return max(fitting, key=lambda r: len(r[0]), default=(None, None))
+
+
+def made(spark, urls):
+    return spark.createDataFrame([(i, u, "h", "p", "v") for i, u in enumerate(urls)], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return urlfilter.train(urlfilter.labelled(spark))
+
+
+ODD = [
+    None, "", "no scheme", "://", "http://", "http://NET/", "http://net", "http://a.net?x/", "http://xnet/", "http://EXAMPLE.net/en/1",
+    "http://example.net/en", "http://aexample.net/en/1", "http://w.example.com/de/#f", "http://example.com/De/", "http://org/fr/",
+    "http://a.org/fr", "http://É.org/fr/ü", "a://b://c.net/", "http://a.net#/x", "http://.net/", "http://net./", "HTTP://u:p@h.net:80/",
+]
+
+
+def test_split_and_rules_against_brute_force(spark, model):
+    rng = random.Random(4)
+    signs = ["net", "org", "com", "example", ".", "/", "?", "#", "://", "en", "de", "fr", "/en/", "A"]
+    urls = ODD + ["http://" + "".join(rng.choice(signs) for _ in range(rng.randrange(9))) for _ in range(600)]
+    rows = {r.page_id: r for r in urlfilter.judged(made(spark, urls), model).collect()}
+    assert len(rows) == len(urls)
+    for i, url in enumerate(urls):
+        host, path = brute_split(url)
+        rule, verdict = brute_rule(host, path)
+        assert (rows[i].host, rows[i].path, rows[i].rule) == (host, path, rule)
+        assert rows[i].verdict == (verdict or (BLOCK if rows[i].score >= urlfilter.THRESHOLD else ALLOW))
+
+
+def test_unseen_names(spark):
+    """Names are left out of the table with all their urls."""
+    right = {True: [0, 0], False: [0, 0]}
+    names = [(n, True) for n in urlfilter.UNWANTED] + [(n, False) for n in urlfilter.WANTED]
+    table = urlfilter.labelled(spark)
+    for fold in range(3):
+        out = {n for i, (n, _) in enumerate(names) if i % 3 == fold}
+        host = r"://(?:www\.|blog\.|m\.)?([^.]*)\."
+        learned = urlfilter.train(table.where(~table.url.rlike(host) | ~F.regexp_extract("url", host, 1).isin(out)))
+        held = [(n, bad) for n, bad in names if n in out]
+        chances = learned.chances([urlfilter.split(f"http://{n}.example.com/en/5".encode()) for n, _ in held])
+        for (_, bad), chance in zip(held, chances):
+            right[bad][0] += (chance >= urlfilter.THRESHOLD) == bad
+            right[bad][1] += 1
+    assert right[True][0] / right[True][1] > 0.5
+    assert right[False][0] / right[False][1] > 0.95
+
+
+def test_whole_table(spark):
+    rows = queries.op13_urlfilter(spark, "/root/testdata/sf0.1").collect()
+    pages = {r.page_id: r.url for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()}
+    assert len(rows) == len(pages)
+    named = re.compile("adult|spam|pills|ads-|casino|bets")
+    for r in rows:
+        assert (r.host, r.path) == brute_split(pages[r.page_id])
+        rule, verdict = brute_rule(r.host, r.path)
+        assert r.rule == rule and (verdict is None or r.verdict == verdict)
+    free = [r for r in rows if r.rule is None]
+    bad = [r for r in free if named.search(r.host)]
+    clean = [r for r in free if not named.search(r.host)]
+    assert len(bad) > 20 and all(r.verdict == BLOCK for r in bad)
+    assert sum(r.verdict == ALLOW for r in clean) / len(clean) > 0.99
+
+
+def test_long_urls_are_read_whole(model, monkeypatch):
+    url = (b"h" * 50 + b"casino" + b"x" * 90, b"/p" * 70)
+    want = model.chances([url, (b"", b""), (b"a.b", b"/")])
+    monkeypatch.setattr(urlfilter, "PIECE", 16)
+    assert model.chances([url, (b"", b""), (b"a.b", b"/")]) == pytest.approx(want)
+    assert model.chances([]).tolist() == []
+
+
+def test_longest_rule_and_ties():
+    rules = [Rule(BLOCK, "b.c", "/x/"), Rule(ALLOW, "a.b.c", "/"), Rule(BLOCK, "c", "/x/yy"), Rule(ALLOW, "c", "/x/y")]
+    assert urlfilter.ruled(b"a.b.c", b"/x/yyy", rules).name == "a.b.c/"
+    assert urlfilter.ruled(b"b.c", b"/x/yyy", rules).name == "b.c/x/"
+    assert urlfilter.ruled(b"d.c", b"/x/yyy", rules).name == "c/x/yy"
+    assert urlfilter.ruled(b"dc", b"/x/yyy", rules) is None
+
+
+def test_nothing_to_learn(spark):
+    table = spark.createDataFrame([("http://a.com/", True), (None, False), ("http://b.com/", None)], "url string, blocked boolean")
+    for learned in (urlfilter.train(table), urlfilter.train(table.where("false"))):
+        rows = urlfilter.judged(made(spark, ["http://a.com/", None]), learned).collect()
+        assert [r.verdict for r in rows] == [ALLOW, ALLOW]
+    assert urlfilter.judged(made(spark, []), urlfilter.train(table)).count() == 0
+
+
+def test_repeated_training_gives_the_same_model(spark, model):
+    again = urlfilter.train(urlfilter.labelled(spark).repartition(7))
+    assert (again.weights == model.weights).all() and again.bias == model.bias
