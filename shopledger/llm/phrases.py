@@ -6,10 +6,10 @@ numpy and modulo 2^64. The lengths are counted one after the other: an n-gram is
 where the two shorter ones in it may be frequent, which a bitmap of bounded size tells
 (``sieve``). Fingerprints can only be too frequent, never too rare, so no phrase is lost.
 
-A last pass returns to the text. In each block the occurrences of a frequent fingerprint are
+A last pass returns to the text. In each task the occurrences of a frequent fingerprint are
 compared with the first one, word by word, and split where they differ; then the phrase is
-written out, once per block, with its count and a pointer to the occurrence. The shuffle adds
-up counts by the text itself, so collisions change no number, and only phrases whose
+written out, once per task or so, with its count and a pointer to an occurrence. The shuffle
+adds up counts by the text itself, so collisions change no number, and only phrases whose
 fingerprint is frequent are ever written out.
 """
 
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopledger.llm import sieve
+from shopledger.llm import sieve, tokens
 from shopledger.llm.common import by_batch, stored
 
 UNDETERMINED = "und"
@@ -33,59 +33,23 @@ MIN_COUNT = 100
 TOP = 2000
 # A phrase goes if a longer one has this share of its occurrences (in hundredths).
 COVERED = 100
-# Bytes of text whose n-grams are held at a time.
-BLOCK = 1 << 21
-# Fingerprints that are merged before they leave a task.
-MERGE = 1 << 22
 # The best phrases of a language are first found within so many parts of them.
 SALT = 64
 
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _GAP = re.compile(rb"[ \t.,;:!?\n-\r]")
 _WORD = re.compile(rb"[^ \t]+")
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(b" \t")] = 1
 _KIND[list(_BREAKS)] = 2
-# Words up to this length are compared column by column.
-_SHORT = 48
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    """1, base, base^2 ... modulo 2^64; kept by the task and longer when needed."""
-    held = _HELD.get(base)
-    if held is None or len(held) < n:
-        steps = np.full(max(n, BLOCK + 1), base, np.uint64)
-        steps[0] = 1
-        held = _HELD[base] = np.cumprod(steps)
-    return held[:n]
-
-
-_HELD: dict[int, np.ndarray] = {}
-
-
-def _mixed(values: np.ndarray) -> np.ndarray:
-    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
-        values = (values ^ (values >> np.uint64(33))) * np.uint64(factor)
-    return values ^ (values >> np.uint64(33))
-
-
-def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The polynomial of each range of ``values``, from one prefix polynomial over all of them."""
-    prefix = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * _powers(_BASE, len(values)), out=prefix[1:])
-    return (prefix[ends] - prefix[starts]) * _powers(_INVERSE, len(values) + 1)[starts]
 
 
 def parts(text: bytes, words: int) -> Iterator[tuple[bytes, int]]:
-    """A text in parts of about ``BLOCK`` bytes, each with the number of its leading words that
+    """A text in parts of about ``tokens.BLOCK`` bytes, each with the number of its leading words that
     belong to the part before; these are what an n-gram over the cut needs."""
     at, head, again = 0, b"", 0
     while True:
-        cut = _GAP.search(text, at + BLOCK) if len(text) - at > BLOCK else None
+        cut = _GAP.search(text, at + tokens.BLOCK) if len(text) - at > tokens.BLOCK else None
         part = head + text[at : cut.start() if cut else len(text)]
         yield part, again
         if cut is None:
@@ -99,7 +63,7 @@ def parts(text: bytes, words: int) -> Iterator[tuple[bytes, int]]:
 class Block:
     """The words of some texts: where they are, and which of them may be counted as the last of an n-gram."""
 
-    raw: bytes
+    text: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     piece: np.ndarray
@@ -111,20 +75,18 @@ class Block:
 
     @classmethod
     def of(cls, texts: list[bytes], again: list[int], before: list[int], langs: list[bytes]) -> Block:
-        joined = _LOWER[np.frombuffer(b"\n".join(texts), np.uint8)]
+        joined = tokens.LOWER[np.frombuffer(b"\n".join(texts), np.uint8)]
         kind = _KIND[joined]
-        edges = np.diff((kind == 0).view(np.int8), prepend=np.int8(0), append=np.int8(0))
-        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        starts, ends = tokens.edges(kind == 0)
         piece = np.searchsorted(np.flatnonzero(kind == 2), starts)
         heads = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
         part = np.searchsorted(heads, starts, "right") - 1
         within = np.arange(len(starts)) - np.searchsorted(starts, heads)[part]
         repeated = np.asarray(again)[part]
-        values = _mixed(_ranges(joined.astype(np.uint64) + np.uint64(1), starts, ends) + (ends - starts).astype(np.uint64))
         seeds = {lang: xxhash.xxh64_intdigest(lang) for lang in set(langs)}
         seed = np.array([seeds[lang] for lang in langs], np.uint64)[part]
         order = within - repeated + np.asarray(before)[part]
-        return cls(joined.tobytes(), starts, ends, piece, part, within >= repeated, order, values, seed)
+        return cls(joined, starts, ends, piece, part, within >= repeated, order, tokens.text_values(joined, starts, ends), seed)
 
     def whole(self, n: int) -> np.ndarray:
         """For each word, whether the ``n`` words from it lie in one piece."""
@@ -141,7 +103,7 @@ class Block:
 
     def fingerprints(self, n: int, at: np.ndarray) -> np.ndarray:
         """Of the n-grams that start at the given words; language and length take part."""
-        return _mixed(_ranges(self.values, at, at + n) + self.seeds[at] + np.uint64(n * 0x632BE59BD9B4E019 % (1 << 64)))
+        return tokens.mixed(tokens.polynomials(self.values, at, at + n) + self.seeds[at] + np.uint64(n * 0x632BE59BD9B4E019 % (1 << 64)))
 
     def possible(self, n: int, bits: np.ndarray) -> np.ndarray:
         """Places of n-grams to count: those whose two shorter n-grams may be frequent."""
@@ -152,49 +114,39 @@ class Block:
         frequent[shorter] = sieve.may_hold(bits, self.fingerprints(n - 1, shorter))
         return np.flatnonzero(self.new(n) & frequent[:-1] & frequent[1:])
 
-    def word_ids(self) -> np.ndarray:
-        """A number per word, the same for equal words only: values are checked against the text."""
-        _, first, number = np.unique(self.values, return_index=True, return_inverse=True)
-        if self._equal(first[number]):
-            return number
-        ids: dict[bytes, int] = {}
-        return np.array([ids.setdefault(self.raw[s:e], len(ids)) for s, e in zip(self.starts, self.ends)], np.int64)
-
-    def _equal(self, other: np.ndarray) -> bool:
-        """Whether each word is the same text as the word ``other`` of it."""
-        sizes, there = self.ends - self.starts, self.starts[other]
-        if (sizes != sizes[other]).any():
-            return False
-        text = np.frombuffer(self.raw, np.uint8)
-        differ = np.flatnonzero(self.starts != there)
-        for offset in range(min(_SHORT, int(sizes.max(initial=0)))):
-            differ = differ[sizes[differ] > offset]
-            if (text[self.starts[differ] + offset] != text[there[differ] + offset]).any():
-                return False
-        long = differ[sizes[differ] > _SHORT]
-        return all(self.raw[a : a + n] == self.raw[b : b + n] for a, b, n in zip(self.starts[long], there[long], sizes[long]))
-
-    def phrase(self, at: int, n: int) -> bytes:
-        """Words joined by one space."""
-        size = int((self.ends[at : at + n] - self.starts[at : at + n]).sum()) + n - 1
-        start, end = self.starts[at], self.ends[at + n - 1]
-        if end - start == size:
-            return self.raw[start:end].replace(b"\t", b" ")
-        return b" ".join(self.raw[s:e] for s, e in zip(self.starts[at : at + n], self.ends[at : at + n]))
-
-
-def _grouped(block: Block, n: int, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First place and count of each different n-gram among those at the given words."""
-    _, first, number, counts = np.unique(block.fingerprints(n, at), return_index=True, return_inverse=True, return_counts=True)
-    heads = at[first]
-    same = block.seeds[at] == block.seeds[heads[number]]
-    for t in range(n):
-        same &= ids[at + t] == ids[heads[number] + t]
-    if same.all():
-        return heads, counts
-    rows = np.stack([block.seeds[at].astype(np.int64)] + [ids[at + t] for t in range(n)])
-    _, first, counts = np.unique(rows, axis=1, return_index=True, return_counts=True)
-    return at[first], counts
+    def word_ids(self) -> tuple[np.ndarray, list[bytes]]:
+        """A number per word, by the text itself, and the text of each number."""
+        ids, words = tokens.encoded(self.text, _KIND[self.text] == 0, self.starts, self.ends)
+        return ids, words.to_pylist()
+
+
+@dataclass
+class Found:
+    """Occurrences of n-grams as rows: fingerprint, language, word numbers, count and a pointer each."""
+
+    keys: np.ndarray
+    langs: np.ndarray
+    words: np.ndarray  # rows x n
+    counts: np.ndarray
+    docs: np.ndarray
+    places: np.ndarray
+
+    def merged(self) -> Found:
+        """One row per different n-gram. Rows with equal fingerprints are compared with the first
+        of them, word by word, and told apart by the words where they differ."""
+        _, first, number = np.unique(self.keys, return_index=True, return_inverse=True)
+        heads = first[number]
+        if (self.langs != self.langs[heads]).any() or (self.words != self.words[heads]).any():
+            rows = np.column_stack([self.langs, self.words])
+            _, first, number = np.unique(rows, axis=0, return_index=True, return_inverse=True)
+            number = number.ravel()
+        counts = np.bincount(number, self.counts, minlength=len(first)).astype(np.int64)
+        return Found(self.keys[first], self.langs[first], self.words[first], counts, self.docs[first], self.places[first])
+
+    @classmethod
+    def all_of(cls, parts: list[Found]) -> Found:
+        names = ("keys", "langs", "words", "counts", "docs", "places")
+        return cls(*[np.concatenate([getattr(p, name) for p in parts]) for name in names])
 
 
 def _blocks(langs: list, texts: list, words: int) -> Iterator[tuple[Block, list[int]]]:
@@ -211,13 +163,13 @@ def _blocks(langs: list, texts: list, words: int) -> Iterator[tuple[Block, list[
     for row, text in enumerate(texts):
         seen = 0
         for part, repeated in parts(text or b"", words):
-            if held and size + len(part) > BLOCK:
+            if held and size + len(part) > tokens.BLOCK:
                 yield made()
                 rows, held, again, before, size = [], [], [], [], 0
             for column, value in zip((rows, held, again, before), (row, part, repeated, seen)):
                 column.append(value)
             size += len(part)
-            if len(text or b"") > BLOCK:
+            if len(text or b"") > tokens.BLOCK:
                 seen += sum(1 for p in re.split(rb"[.,;:!?\n-\r]", part) for _ in _WORD.finditer(p)) - repeated
     if held:
         yield made()
@@ -226,26 +178,23 @@ def _blocks(langs: list, texts: list, words: int) -> Iterator[tuple[Block, list[
 def _level(documents: DataFrame, n: int, bits: np.ndarray, min_count: int) -> DataFrame:
     """Fingerprints of length ``n`` with at least ``min_count`` occurrences in all texts."""
 
-    def merged(found: list[np.ndarray], counts: list[np.ndarray]) -> dict:
-        keys, number = np.unique(np.concatenate(found), return_inverse=True)
-        total = np.bincount(number, np.concatenate(counts)).astype(np.int64)
-        return {"key": keys.view(np.int64), "n": total}
-
-    def work(langs: list, texts: list) -> Iterator[dict]:
-        found: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
+    def counted(langs: list, texts: list) -> Iterator[tuple]:
         for block, _ in _blocks(langs, texts, n):
-            keys, number = np.unique(block.fingerprints(n, block.possible(n, bits)), return_counts=True)
-            found.append(keys)
-            counts.append(number)
-            if sum(map(len, found)) > MERGE:
-                yield merged(found, counts)
-                found, counts = [], []
-        if found:
-            yield merged(found, counts)
+            yield np.unique(block.fingerprints(n, block.possible(n, bits)), return_counts=True)
 
-    counted = by_batch(documents, ["lang", "text"], work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= min_count).select("key")
+    return tokens.frequent_keys(documents, ["lang", "text"], counted, min_count)
+
+
+def _written(n: int, found: Found, names: list[bytes], words: list[bytes], ids: list) -> dict:
+    """Phrases as text."""
+    return {
+        "lang": [names[x] for x in found.langs.tolist()],
+        "phrase": [b" ".join([words[w] for w in row]) for row in found.words.tolist()],
+        "words": [n] * len(found.keys),
+        "n": found.counts,
+        "first_doc": [ids[x] for x in found.docs.tolist()],
+        "first_word": found.places,
+    }
 
 
 def frequent(documents: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT) -> DataFrame:
@@ -266,29 +215,40 @@ def frequent(documents: DataFrame, max_words: int = MAX_WORDS, min_count: int =
     def work(ids: list, langs: list, texts: list) -> Iterator[dict]:
         order = sorted(range(len(ids)), key=lambda r: (ids[r] is None, ids[r] or 0))
         ids, langs, texts = ([column[r] for r in order] for column in (ids, langs, texts))
-        made: dict[str, list] = {"lang": [], "phrase": [], "words": [], "n": [], "first_doc": [], "first_word": []}
-
-        def add(*row) -> None:
-            for name, value in zip(made, row):
-                made[name].append(value)
-
+        names = sorted(set(langs))
+        lang_of = np.array([names.index(lang) for lang in langs], np.int64)
+        vocabulary: dict[bytes, int] = {}
+        totals = np.zeros(len(names), np.int64)
+        found: dict[int, list[Found]] = {n: [] for n in range(1, longest + 1)}
+        held = 0
         for block, rows in _blocks(langs, texts, max(1, longest)):
-            own = np.bincount(block.part[block.counted], minlength=len(rows))
-            totals: dict[bytes, int] = {}
-            for row, count in zip(rows, own.tolist()):
-                totals[langs[row]] = totals.get(langs[row], 0) + count
-            for lang, count in totals.items():
-                add(lang, b"", 0, count, None, None)
-            numbers = block.word_ids()
-            for n in range(1, longest + 1):
+            row = np.asarray(rows)[block.part]
+            totals += np.bincount(lang_of[row[block.counted]], minlength=len(names))
+            numbers, words = block.word_ids()
+            numbers = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int64)[numbers]
+            for n in found:
                 at = block.possible(n, bits)
-                at = at[sieve.may_hold(bits, block.fingerprints(n, at))]
-                heads, counts = _grouped(block, n, at, numbers)
-                for head, count in zip(heads.tolist(), counts.tolist()):
-                    row = rows[block.part[head]]
-                    add(langs[row], block.phrase(head, n), n, count, ids[row], int(block.order[head]))
-            yield made
-            made.update({name: [] for name in made})
+                keys = block.fingerprints(n, at)
+                fine = sieve.may_hold(bits, keys)
+                at, keys = at[fine], keys[fine]
+                grams = np.column_stack([numbers[at + t] for t in range(n)])
+                here = Found(keys, lang_of[row[at]], grams, np.ones(len(at), np.int64), row[at], block.order[at]).merged()
+                found[n].append(here)
+                held += len(here.keys) * (n + 5)
+            if held > tokens.MERGE * 4:
+                found = {n: [Found.all_of(parts).merged()] for n, parts in found.items()}
+                held = sum(len(p[0].keys) * (n + 5) for n, p in found.items())
+                if held > tokens.MERGE * 2:
+                    for n, parts in found.items():
+                        yield _written(n, parts[0], names, list(vocabulary), ids)
+                    found, vocabulary, held = {n: [] for n in found}, {}, 0
+        yield {
+            "lang": names, "phrase": [b""] * len(names), "words": [0] * len(names), "n": totals,
+            "first_doc": [None] * len(names), "first_word": [None] * len(names),
+        }
+        for n, parts in found.items():
+            if parts:
+                yield _written(n, Found.all_of(parts).merged(), names, list(vocabulary), ids)
 
     schema = "lang binary, phrase binary, words int, n long, first_doc long, first_word long"
     found = by_batch(chosen, ["doc_id", "lang", "text"], work, schema)

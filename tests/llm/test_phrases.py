@@ -6,7 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from shopledger.llm import phrases, queries, sieve
+from shopledger.llm import phrases, queries, sieve, tokens
 from shopledger_checks.compare import duckdb_rows, spark_rows
 
 SMALL = "/root/testdata/sf0.01"
@@ -73,7 +73,7 @@ def test_against_brute_force(spark, seed):
 
 
 def test_long_texts_are_cut_without_loss(spark, monkeypatch):
-    monkeypatch.setattr(phrases, "BLOCK", 64)
+    monkeypatch.setattr(tokens, "BLOCK", 64)
     rows = random_rows(3, 12) + [("en", "cc the " * 400), ("en", "w" * 500 + " cc the w. the w")]
     for text in (r[1].encode() for r in rows):
         parts = list(phrases.parts(text, 5))
@@ -85,25 +85,34 @@ def test_long_texts_are_cut_without_loss(spark, monkeypatch):
         got = Counter()
         for block, owners in phrases._blocks(langs, texts, n):
             for at in np.flatnonzero(block.new(n)):
-                got[block.phrase(at, n).decode()] += 1
-                place = [w for w in re.findall("[^ \t.,;:!?\n-\r]+", lower(rows[owners[block.part[at]]][1]))]
-                assert place[block.order[at] : block.order[at] + n] == block.phrase(at, n).decode().split(" ")
+                phrase = [block.text[block.starts[at + t] : block.ends[at + t]].tobytes().decode() for t in range(n)]
+                got[" ".join(phrase)] += 1
+                place = re.findall("[^ \t.,;:!?\n-\r]+", lower(rows[owners[block.part[at]]][1]))
+                assert place[block.order[at] : block.order[at] + n] == phrase
         assert got == want
 
 
-def test_colliding_words_and_phrases_are_told_apart(monkeypatch):
-    weak = lambda values: values & np.uint64(0x0300000000000003)
-    monkeypatch.setattr(phrases, "_mixed", weak)
-    rows = random_rows(5, 30)
-    texts = [r[1].encode() for r in rows]
-    (block, _), = phrases._blocks([b"en"] * len(rows), texts, 3)
-    ids = block.word_ids()
-    shown = [block.raw[s:e] for s, e in zip(block.starts, block.ends)]
-    assert len(set(ids.tolist())) == len(set(shown)) == len({*zip(ids.tolist(), shown)})
-    at = np.flatnonzero(block.new(3))
-    heads, counts = phrases._grouped(block, 3, at, ids)
-    got = {block.phrase(h, 3): c for h, c in zip(heads, counts)}
-    assert got == Counter(block.phrase(a, 3) for a in at) and len(got) == len(heads)
+def test_colliding_phrases_are_told_apart(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    words, langs = rng.integers(0, 4, (500, 3)), rng.integers(0, 2, 500)
+    for bits in (0, 1, 7):
+        keys = (words.sum(axis=1) & bits).astype(np.uint64)
+        got = phrases.Found(keys, langs, words, np.full(500, 2), np.arange(500), np.arange(500)).merged()
+        want = Counter((lang, *row) for lang, row in zip(langs.tolist(), words.tolist()))
+        assert {(lang, *row): n // 2 for lang, row, n in zip(got.langs.tolist(), got.words.tolist(), got.counts)} == want
+        assert len(got.keys) == len(want)
+    # Tasks run in processes of their own, which copy the weakened function.
+    rows = random_rows(5, 40)
+    weak = lambda self, n, at: tokens.polynomials(self.values, at, at + n) & np.uint64(0xFF << 56 | 3)
+    monkeypatch.setattr(phrases.Block, "fingerprints", weak)
+    assert found(made(spark, rows), 3) == brute(rows, 3)
+
+
+def test_little_memory_gives_the_same(spark, monkeypatch):
+    rows = random_rows(6, 60)
+    monkeypatch.setattr(tokens, "MERGE", 20)
+    monkeypatch.setattr(tokens, "BLOCK", 128)
+    assert found(made(spark, rows), 4) == brute(rows, 4)
 
 
 def test_bitmap_holds_its_keys_and_little_else(spark):
