@@ -5,24 +5,23 @@ prefix, and the documents that hold each prefix are counted. A prefix held by to
 documents can have no kept term behind it and is discarded; what is left is extended by the
 next level. A term shorter than a level's prefix is complete there. It ends when no kept
 prefix can be extended. What passed a level reaches the tasks as a bitmap of bounded size
-(``sieve``), which may let a little more through; the last pass counts whole terms exactly.
+(``sieve``), which may let a little more through; the last pass counts whole terms by their text.
 
 Probabilities are smoothed counts in whole billionths, so every figure is exact.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopledger.llm import sieve
+from shopledger.llm import sieve, tokens
 from shopledger.llm.common import by_batch, stored
 
 MIN_DOCS = 10
@@ -30,72 +29,139 @@ TOP_TERMS = 10
 SCALE = 1_000_000_000
 # Bytes of the first level's prefixes; each level doubles them.
 FIRST_PREFIX = 4
-# Characters of a long text that are read at a time.
-PIECE = 1 << 20
 # Cells (terms x sources) of a block of the comparison of sources.
 CELLS = 1 << 19
 
-_TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
-_BETWEEN = re.compile(rb"[^A-Za-z\x80-\xff]")
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
+_INNER = "lang", "source", "term"
 
 
-def terms(text: bytes | None) -> Iterator[list[bytes]]:
-    """The lower-cased terms of a text, piece by piece."""
-    text, at = text or b"", 0
-    while at < len(text):
-        cut = _BETWEEN.search(text, at + PIECE) if len(text) - at > PIECE else None
-        end = cut.start() if cut else len(text)
-        yield _TERM.findall(text[at:end].lower())
-        at = end
+def _read(documents: DataFrame) -> DataFrame:
+    return documents.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
 
 
-def _key(lang: bytes, prefix: bytes, level: int) -> int:
-    """As Spark's ``xxhash64(lang, prefix, level)``, unsigned."""
-    seed = xxhash.xxh64_intdigest(prefix, xxhash.xxh64_intdigest(lang, 42))
-    return xxhash.xxh64_intdigest(level.to_bytes(4, "little"), seed)
+def _cut(text: bytes) -> Iterator[bytes]:
+    """A text in parts of about ``tokens.BLOCK`` bytes that end at a term's end."""
+    at = 0
+    while len(text) - at > tokens.BLOCK:
+        end = at + tokens.BLOCK
+        while end < len(text) and _LETTER[text[end]]:
+            rest = np.frombuffer(text, np.uint8, min(tokens.BLOCK, len(text) - end), end)
+            outside = np.flatnonzero(~_LETTER[rest])
+            end += int(outside[0]) if len(outside) else len(rest)
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def _blocks(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Rows and texts, packed into blocks of bounded size; a long text comes in several."""
+    rows: list[int] = []
+    held: list[bytes] = []
+    size = 0
+    for row, text in enumerate(texts):
+        for part in _cut(text):
+            if held and size + len(part) > tokens.BLOCK:
+                yield rows, held
+                rows, held, size = [], [], 0
+            rows.append(row)
+            held.append(part)
+            size += len(part)
+    if held:
+        yield rows, held
+
+
+def _terms_of(rows: list[int], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.BinaryArray]:
+    """The terms of a block in order: row and number of each, and the different terms by number."""
+    joined = tokens.LOWER[np.frombuffer(b"\n".join(texts), np.uint8)]
+    letters = _LETTER[joined]
+    starts, ends = tokens.edges(letters)
+    heads = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+    row = np.asarray(rows)[np.searchsorted(heads, starts, "right") - 1]
+    numbers, words = tokens.encoded(joined, letters, starts, ends)
+    return row, numbers, words
+
+
+def _flat(words: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, starts and ends of an array of terms."""
+    if not len(words):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    offsets = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, words.offset * 4).astype(np.int64)
+    return np.frombuffer(words.buffers()[2], np.uint8), offsets[:-1], offsets[1:]
+
+
+def _level_of(sizes: np.ndarray) -> np.ndarray:
+    """The level at which terms of these sizes are complete."""
+    level = np.zeros(len(sizes), np.int64)
+    while (open_ := sizes >= (FIRST_PREFIX << level)).any():
+        level += open_
+    return level
 
 
-def _read(documents: DataFrame) -> DataFrame:
-    return documents.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+def _keys(values: np.ndarray, langs: np.ndarray, level: np.ndarray | int) -> np.ndarray:
+    """Keys of prefixes from the values of their text; language and level take part."""
+    step = np.asarray(level, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return tokens.mixed(values + langs + step)
 
 
-def _passed(bits: np.ndarray, keys: list[tuple[bytes, bytes, int]]) -> np.ndarray:
-    return sieve.may_hold(bits, np.array([_key(*k) for k in keys], np.uint64))
+def _seeds(langs: list[bytes]) -> np.ndarray:
+    known = {lang: xxhash.xxh64_intdigest(lang, 42) for lang in set(langs)}
+    return np.array([known[lang] for lang in langs], np.uint64)
 
 
-def _level_of(term: bytes) -> int:
-    """The level at which the term is complete."""
-    level = 0
-    while len(term) >= FIRST_PREFIX << level:
-        level += 1
-    return level
+def _distinct(*columns: np.ndarray) -> list[np.ndarray]:
+    """The different rows of small whole numbers, sorted."""
+    joint, sizes = np.zeros(len(columns[0]), np.int64), [int(c.max(initial=0)) + 1 for c in columns]
+    for column, size in zip(columns, sizes):
+        joint = joint * size + column
+    joint = np.unique(joint)
+    found = []
+    for size in reversed(sizes):
+        found.append(joint % size)
+        joint = joint // size
+    return found[::-1]
 
 
 def _prefixes(documents: DataFrame, level: int, bits: np.ndarray, min_docs: int) -> DataFrame:
-    """``key, open``: the prefixes of a level that enough documents hold; ``open`` ones may be extended."""
+    """``key``: the prefixes of a level that at least ``min_docs`` documents of a language hold.
+
+    A prefix is known by its key; keys that collide and texts that span blocks only make a
+    count larger. The lowest bit of a key is set if the prefix has the level's full size, so
+    that it may be extended. ``bits`` tells which prefixes of the level before are.
+    """
     size = FIRST_PREFIX << level
-    least = size // 2 if level else 1
-
-    def work(langs: list, texts: list) -> Iterator[dict]:
-        holders: dict[bytes, Counter] = defaultdict(Counter)
-        for lang, text in zip(langs, texts):
-            found: set[bytes] = set()
-            for piece in terms(text):
-                found.update([t[:size] for t in set(piece) if len(t) >= least])
-            holders[lang].update(found)
-        rows = [(lang, prefix, n) for lang, held in holders.items() for prefix, n in held.items()]
-        if level:
-            fine = _passed(bits, [(lang, prefix[:least], level - 1) for lang, prefix, _ in rows])
-            rows = [r for r, ok in zip(rows, fine) if ok]
-        yield {"lang": [r[0] for r in rows], "prefix": [r[1] for r in rows], "docs": [r[2] for r in rows]}
-
-    found = by_batch(documents, ["lang", "text"], work, "lang binary, prefix binary, docs long")
-    summed = found.groupBy("lang", "prefix").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
-    return summed.select(F.xxhash64("lang", "prefix", F.lit(level)).alias("key"), (F.length("prefix") == size).alias("open"))
+
+    def counted(langs: list, texts: list) -> Iterator[tuple]:
+        names = sorted(set(langs))
+        seeds, lang_of = _seeds(names), np.array([names.index(lang) for lang in langs], np.int64)
+        for rows, held in _blocks(texts):
+            row, number, words = _terms_of(rows, held)
+            text, starts, ends = _flat(words)
+            long = ends - starts >= (size // 2 if level else 1)
+            fine = long[number]
+            row, number = row[fine], number[fine]
+            if level:
+                before = tokens.text_values(text, starts, np.minimum(ends, starts + size // 2))
+                pairs = _distinct(lang_of[row], number)
+                passed = np.zeros((len(names), len(words)), bool)
+                passed[pairs[0], pairs[1]] = sieve.may_hold(bits, _keys(before[pairs[1]], seeds[pairs[0]], level - 1))
+                fine = passed[lang_of[row], number]
+                row, number = row[fine], number[fine]
+            values = tokens.text_values(text, starts, np.minimum(ends, starts + size))
+            _, prefix = np.unique(values, return_inverse=True)
+            first = np.zeros(int(prefix.max(initial=-1)) + 1, np.int64)
+            first[prefix] = np.arange(len(prefix))
+            row, number = _distinct(row, prefix[number])
+            keys = _keys(values[first[number]], seeds[lang_of[row]], level) & np.uint64((1 << 64) - 2)
+            yield np.unique(keys | (ends - starts >= size)[first[number]].astype(np.uint64), return_counts=True)
+
+    return tokens.frequent_keys(documents, ["lang", "text"], counted, min_docs)
 
 
 def kept_terms(documents: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``lang, source, term, count``: occurrences per source of the terms that enough documents of the language hold.
+    """``lang, source, term, count, total``: occurrences per source, and in all, of the terms that at
+    least ``min_docs`` documents of the language hold.
 
     A null lang or source is read as empty, a null text too.
     """
@@ -103,40 +169,94 @@ def kept_terms(documents: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     bits, level, more = sieve.empty(), 0, True
     while more:
         prefixes = stored(_prefixes(chosen, level, bits, min_docs))
-        bits |= sieve.bitmap(prefixes.select("key"))
-        more = bool(prefixes.where("open").take(1))
+        bits |= sieve.bitmap(prefixes)
+        more = bool(prefixes.where("key & 1 = 1").take(1))
         level += 1
+    buckets = tokens.buckets_of(chosen)
 
     def work(langs: list, sources: list, texts: list) -> Iterator[dict]:
-        counts: dict[tuple[bytes, bytes], Counter] = defaultdict(Counter)
-        docs: dict[tuple[bytes, bytes], Counter] = defaultdict(Counter)
-        for lang, source, text in zip(langs, sources, texts):
-            here: Counter = Counter()
-            for piece in terms(text):
-                here.update(piece)
-            counts[lang, source].update(here)
-            docs[lang, source].update(here.keys())
-        names = defaultdict(set)
-        for (lang, _), held in docs.items():
-            names[lang].update(held)
-        for lang, words in names.items():
-            ordered = list(words)
-            fine = _passed(bits, [(lang, t, _level_of(t)) for t in ordered])
-            names[lang] = {t for t, ok in zip(ordered, fine) if ok}
-        rows = [(*group, t, docs[group][t], counts[group][t]) for group in docs for t in docs[group] if t in names[group[0]]]
-        columns = zip(*rows) if rows else [[]] * 5
-        yield dict(zip(("lang", "source", "term", "docs", "count"), map(list, columns)))
-
-    schema = "lang binary, source binary, term binary, docs long, count long"
-    found = by_batch(chosen, ["lang", "source", "text"], work, schema)
-    per_source = stored(
-        found.groupBy("lang", "source", "term")
-        .agg(F.sum("docs").alias("docs"), F.sum("count").alias("count"))
-        .select(*[F.col(c).cast("string").alias(c) for c in ("lang", "source", "term")], "docs", "count")
-    )
-    total = per_source.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("total"))
-    kept = total.where(F.col("docs") >= min_docs).select("lang", "term", "total")
-    return per_source.join(kept, ["lang", "term"]).select("lang", "source", "term", "count", "total")
+        names = sorted(set(zip(langs, sources)))
+        place = {name: i for i, name in enumerate(names)}
+        group_of = np.array([place[g] for g in zip(langs, sources)], np.int64)
+        seeds = _seeds([lang for lang, _ in names])
+        made: list[pa.Table] = []
+        last, seen = -1, set()
+        for rows, held in _blocks(texts):
+            row, number, words = _terms_of(rows, held)
+            text, starts, ends = _flat(words)
+            values, levels = tokens.text_values(text, starts, ends), _level_of(ends - starts)
+            joint, counts = np.unique(number.astype(np.int64) * len(texts) + row, return_counts=True)
+            number, row = joint // len(texts), joint % len(texts)
+            fine = sieve.may_hold(bits, _keys(values[number], seeds[group_of[row]], levels[number]))
+            number, row, counts = number[fine], row[fine], counts[fine]
+            # A document that spans blocks holds a term once.
+            new = np.ones(len(row), np.int64)
+            if rows[0] == last:
+                for i in np.flatnonzero(row == last).tolist():
+                    new[i] = words[int(number[i])].as_py() not in seen
+            else:
+                seen = set()
+            if rows[-1] != last:
+                last, seen = rows[-1], set()
+            if len(texts[last]) > tokens.BLOCK:
+                seen.update(words.take(pa.array(number[row == last])).to_pylist())
+            heads = np.flatnonzero(np.diff(number * len(names) + group_of[row], prepend=-1))
+            if len(heads):
+                made.append(
+                    pa.table(
+                        {
+                            "group": group_of[row[heads]],
+                            "value": values[number[heads]],
+                            "term": words.take(pa.array(number[heads])),
+                            "docs": np.add.reduceat(new, heads),
+                            "count": np.add.reduceat(counts, heads),
+                        }
+                    )
+                )
+        if made:
+            yield _sent(_added(pa.concat_tables(made), ["group", "value", "term"]), names, seeds, buckets)
+
+    def decided(bucket: pa.Table) -> pa.Table:
+        parts = [pa.ipc.open_stream(rows).read_all() for rows in bucket["rows"].to_pylist()]
+        per_source = _added(pa.concat_tables(parts).unify_dictionaries(), list(_INNER))
+        total = per_source.group_by(["lang", "term"]).aggregate([("docs", "sum"), ("count", "sum")])
+        total = total.filter(pa.compute.greater_equal(total["docs_sum"], min_docs)).select(["lang", "term", "count_sum"])
+        kept = per_source.join(total.rename_columns(["lang", "term", "total"]), ["lang", "term"], join_type="inner")
+        return kept.select([*_INNER, "count", "total"])
+
+    sent = by_batch(chosen, ["lang", "source", "text"], work, "bucket int, rows binary")
+    found = sent.groupBy("bucket").applyInArrow(decided, "lang binary, source binary, term binary, count long, total long")
+    return found.select(*[F.col(c).cast("string").alias(c) for c in _INNER], "count", "total")
+
+
+def _added(rows: pa.Table, keys: list[str]) -> pa.Table:
+    summed = rows.group_by(keys).aggregate([("docs", "sum"), ("count", "sum")])
+    return summed.rename_columns([*keys, "docs", "count"])
+
+
+def _sent(rows: pa.Table, names: list[tuple[bytes, bytes]], seeds: np.ndarray, buckets: int) -> dict:
+    """Rows packed per bucket of language and term, so that a bucket decides about its terms alone."""
+    group = rows["group"].to_numpy()
+    key = tokens.mixed(rows["value"].to_numpy() + seeds[group])
+    order = np.argsort(key)
+    at = tokens.bounds(key[order], buckets)
+    group = group[order]
+    whole = pa.table(
+        {
+            "lang": pa.array([lang for lang, _ in names], pa.binary()).take(pa.array(group)),
+            "source": pa.array([source for _, source in names], pa.binary()).take(pa.array(group)),
+            **{c: rows[c].take(pa.array(order)) for c in ("term", "docs", "count")},
+        }
+    ).combine_chunks()
+    made: dict[str, list] = {"bucket": [], "rows": []}
+    for b in np.flatnonzero(np.diff(at)).tolist():
+        part = whole.slice(at[b], at[b + 1] - at[b])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema) as writer:
+            writer.write_table(part)
+        made["bucket"].append(b)
+        made["rows"].append(sink.getvalue().to_pybytes())
+    return made
 
 
 def _share(count: Column, all_counts: Column, vocabulary: Column) -> Column:

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import duckdb
 import pytest
 
-from shopledger.llm import divergence, queries
+from shopledger.llm import divergence, queries, tokens
 from shopledger_checks.compare import duckdb_rows, spark_rows
 
 SMALL = "/root/testdata/sf0.01"
@@ -46,6 +46,10 @@ def found(frame, min_docs):
     return sorted(map(tuple, divergence.audit(frame, min_docs).collect()), key=str)
 
 
+def found_with(spark, rows, min_docs):
+    return found(made(spark, rows), min_docs)
+
+
 def random_rows(seed, docs=80):
     rng = random.Random(seed)
     words = ["a", "A", "ab", "abc", "abcd", "abcde", "abcdefgh", "abcdefghi", "é", "été", "x1y", "Zz", "l" * 40, "l" * 41, "don't", "日本"]
@@ -59,17 +63,26 @@ def random_rows(seed, docs=80):
 def test_against_brute_force(spark, seed, min_docs):
     rows = random_rows(seed) + [("en", "s9", None), ("de", "s1", "one"), ("de", "s2", ""), ("it", "s1", "1 2")]
     rows += rows[:10]
-    assert found(made(spark, rows), min_docs) == brute(rows, min_docs)
+    assert found_with(spark, rows, min_docs) == brute(rows, min_docs)
 
 
 def test_small_blocks_and_pieces(spark, monkeypatch):
     monkeypatch.setattr(divergence, "CELLS", 8)
     rows = random_rows(3, 120)
-    assert found(made(spark, rows), 3) == brute(rows, 3)
-    monkeypatch.setattr(divergence, "PIECE", 10)
+    assert found_with(spark, rows, 3) == brute(rows, 3)
+
+
+def test_long_texts_are_cut_without_loss(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK", 16)
     text = b"Ab " * 30 + b"q" * 50 + b" ab1cd"
-    assert [t for piece in divergence.terms(text) for t in piece] == [b"ab"] * 30 + [b"q" * 50, b"ab", b"cd"]
-    assert list(divergence.terms(None)) == []
+    assert b"".join(divergence._cut(text)) == text
+    found = []
+    for rows, held in divergence._blocks([b"", text, b"x y", b"z" * 40, b""]):
+        row, number, words = divergence._terms_of(rows, held)
+        found += [(r, words[n].as_py()) for r, n in zip(row.tolist(), number.tolist())]
+    assert found == [(1, b"ab")] * 30 + [(1, b"q" * 50), (1, b"ab"), (1, b"cd"), (2, b"x"), (2, b"y"), (3, b"z" * 40)]
+    rows = random_rows(4, 60) + [("en", "s1", "abc zz " * 40), ("fr", "s2", "zz " * 7 + "a" * 90 + " zz a " * 9)]
+    assert found_with(spark, rows, 5) == brute(rows, 5)
 
 
 def test_levels_keep_what_is_frequent_and_drop_prefixes(spark):
@@ -80,11 +93,6 @@ def test_levels_keep_what_is_frequent_and_drop_prefixes(spark):
     assert {r.term for r in divergence.kept_terms(made(spark, rows), 3).collect()} == {"common", "prefixed"} | names
 
 
-def test_keys_are_those_of_spark(spark):
-    row = spark.sql("select xxhash64('en', cast('é' as binary), 3) as k").first()
-    assert divergence._key(b"en", "é".encode(), 3) == row.k % (1 << 64)
-
-
 def test_empty_table(spark):
     assert found(made(spark, []), 1) == []
 
