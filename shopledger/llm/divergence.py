@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -217,8 +218,7 @@ def kept_terms(documents: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
             yield _sent(_added(pa.concat_tables(made), ["group", "value", "term"]), names, seeds, buckets)
 
     def decided(bucket: pa.Table) -> pa.Table:
-        parts = [pa.ipc.open_stream(rows).read_all() for rows in bucket["rows"].to_pylist()]
-        per_source = _added(pa.concat_tables(parts).unify_dictionaries(), list(_INNER))
+        per_source = _added(tokens.unpacked(bucket), list(_INNER))
         total = per_source.group_by(["lang", "term"]).aggregate([("docs", "sum"), ("count", "sum")])
         total = total.filter(pa.compute.greater_equal(total["docs_sum"], min_docs)).select(["lang", "term", "count_sum"])
         kept = per_source.join(total.rename_columns(["lang", "term", "total"]), ["lang", "term"], join_type="inner")
@@ -237,26 +237,14 @@ def _added(rows: pa.Table, keys: list[str]) -> pa.Table:
 def _sent(rows: pa.Table, names: list[tuple[bytes, bytes]], seeds: np.ndarray, buckets: int) -> dict:
     """Rows packed per bucket of language and term, so that a bucket decides about its terms alone."""
     group = rows["group"].to_numpy()
-    key = tokens.mixed(rows["value"].to_numpy() + seeds[group])
-    order = np.argsort(key)
-    at = tokens.bounds(key[order], buckets)
-    group = group[order]
     whole = pa.table(
         {
             "lang": pa.array([lang for lang, _ in names], pa.binary()).take(pa.array(group)),
             "source": pa.array([source for _, source in names], pa.binary()).take(pa.array(group)),
-            **{c: rows[c].take(pa.array(order)) for c in ("term", "docs", "count")},
+            **{c: rows[c] for c in ("term", "docs", "count")},
         }
-    ).combine_chunks()
-    made: dict[str, list] = {"bucket": [], "rows": []}
-    for b in np.flatnonzero(np.diff(at)).tolist():
-        part = whole.slice(at[b], at[b + 1] - at[b])
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, part.schema) as writer:
-            writer.write_table(part)
-        made["bucket"].append(b)
-        made["rows"].append(sink.getvalue().to_pybytes())
-    return made
+    )
+    return tokens.packed_rows(whole, tokens.mixed(rows["value"].to_numpy() + seeds[group]), buckets)
 
 
 def _share(count: Column, all_counts: Column, vocabulary: Column) -> Column:

@@ -20,6 +20,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,6 +61,11 @@ def parts(text: bytes, words: int) -> Iterator[tuple[bytes, int]]:
         head, again, at = b" ".join(last) + b" ", len(last), cut.start()
 
 
+def _seeds(langs: list[bytes]) -> np.ndarray:
+    known = {lang: xxhash.xxh64_intdigest(lang) for lang in set(langs)}
+    return np.array([known[lang] for lang in langs], np.uint64)
+
+
 @dataclass
 class Block:
     """The words of some texts: where they are, and which of them may be counted as the last of an n-gram."""
@@ -83,8 +90,7 @@ class Block:
         part = np.searchsorted(heads, starts, "right") - 1
         within = np.arange(len(starts)) - np.searchsorted(starts, heads)[part]
         repeated = np.asarray(again)[part]
-        seeds = {lang: xxhash.xxh64_intdigest(lang) for lang in set(langs)}
-        seed = np.array([seeds[lang] for lang in langs], np.uint64)[part]
+        seed = _seeds(langs)[part]
         order = within - repeated + np.asarray(before)[part]
         return cls(joined, starts, ends, piece, part, within >= repeated, order, tokens.text_values(joined, starts, ends), seed)
 
@@ -185,16 +191,18 @@ def _level(documents: DataFrame, n: int, bits: np.ndarray, min_count: int) -> Da
     return tokens.frequent_keys(documents, ["lang", "text"], counted, min_count)
 
 
-def _written(n: int, found: Found, names: list[bytes], words: list[bytes], ids: list) -> dict:
+def _written(n: int, found: Found, names: list[bytes], words: list[bytes], ids: list) -> pa.Table:
     """Phrases as text."""
-    return {
-        "lang": [names[x] for x in found.langs.tolist()],
-        "phrase": [b" ".join([words[w] for w in row]) for row in found.words.tolist()],
-        "words": [n] * len(found.keys),
-        "n": found.counts,
-        "first_doc": [ids[x] for x in found.docs.tolist()],
-        "first_word": found.places,
-    }
+    return pa.table(
+        {
+            "lang": pa.array(names, pa.binary()).take(pa.array(found.langs)),
+            "phrase": pa.array([b" ".join([words[w] for w in row]) for row in found.words.tolist()], pa.binary()),
+            "words": np.full(len(found.keys), n, np.int32),
+            "n": found.counts,
+            "first_doc": pa.array(ids, pa.int64()).take(pa.array(found.docs)),
+            "first_word": found.places,
+        }
+    )
 
 
 def frequent(documents: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT) -> DataFrame:
@@ -212,6 +220,8 @@ def frequent(documents: DataFrame, max_words: int = MAX_WORDS, min_count: int =
         bits |= level
         longest = n
 
+    buckets = tokens.buckets_of(chosen)
+
     def work(ids: list, langs: list, texts: list) -> Iterator[dict]:
         order = sorted(range(len(ids)), key=lambda r: (ids[r] is None, ids[r] or 0))
         ids, langs, texts = ([column[r] for r in order] for column in (ids, langs, texts))
@@ -220,7 +230,12 @@ def frequent(documents: DataFrame, max_words: int = MAX_WORDS, min_count: int =
         vocabulary: dict[bytes, int] = {}
         totals = np.zeros(len(names), np.int64)
         found: dict[int, list[Found]] = {n: [] for n in range(1, longest + 1)}
+        zeros = np.zeros(len(names), np.int64)
         held = 0
+
+        def sent(n: int, rows: Found, words: list[bytes]) -> dict:
+            return tokens.packed_rows(_written(n, rows, names, words, ids), rows.keys, buckets)
+
         for block, rows in _blocks(langs, texts, max(1, longest)):
             row = np.asarray(rows)[block.part]
             totals += np.bincount(lang_of[row[block.counted]], minlength=len(names))
@@ -240,29 +255,26 @@ def frequent(documents: DataFrame, max_words: int = MAX_WORDS, min_count: int =
                 held = sum(len(p[0].keys) * (n + 5) for n, p in found.items())
                 if held > tokens.MERGE * 2:
                     for n, parts in found.items():
-                        yield _written(n, parts[0], names, list(vocabulary), ids)
+                        yield sent(n, parts[0], list(vocabulary))
                     found, vocabulary, held = {n: [] for n in found}, {}, 0
-        yield {
-            "lang": names, "phrase": [b""] * len(names), "words": [0] * len(names), "n": totals,
-            "first_doc": [None] * len(names), "first_word": [None] * len(names),
-        }
+        yield sent(0, Found(_seeds(names), np.arange(len(names)), np.zeros((len(names), 0), int), totals, *[zeros] * 2), [])
         for n, parts in found.items():
             if parts:
-                yield _written(n, Found.all_of(parts).merged(), names, list(vocabulary), ids)
-
+                yield sent(n, Found.all_of(parts).merged(), list(vocabulary))
+
+    def summed(bucket: pa.Table) -> pa.Table:
+        rows = tokens.unpacked(bucket).sort_by([("first_doc", "ascending"), ("first_word", "ascending")])
+        first = pa.compute.ScalarAggregateOptions(skip_nulls=False)
+        parts = [("n", "sum"), ("first_doc", "first", first), ("first_word", "first", first)]
+        added = rows.group_by(["lang", "phrase", "words"], use_threads=False).aggregate(parts)
+        added = added.rename_columns(["lang", "phrase", "words", "n", "first_doc", "first_word"])
+        enough = pa.compute.or_(pa.compute.equal(added["words"], 0), pa.compute.greater_equal(added["n"], min_count))
+        return added.filter(enough)
+
+    packed = by_batch(chosen, ["doc_id", "lang", "text"], work, "bucket int, rows binary")
     schema = "lang binary, phrase binary, words int, n long, first_doc long, first_word long"
-    found = by_batch(chosen, ["doc_id", "lang", "text"], work, schema)
-    summed = found.groupBy("lang", "phrase", "words").agg(
-        F.sum("n").alias("n"), F.min(F.struct("first_doc", "first_word")).alias("first")
-    )
-    return summed.where((F.col("words") == 0) | (F.col("n") >= min_count)).select(
-        F.col("lang").cast("string").alias("lang"),
-        F.col("phrase").cast("string").alias("phrase"),
-        "words",
-        "n",
-        "first.first_doc",
-        "first.first_word",
-    )
+    texts = [F.col(c).cast("string").alias(c) for c in ("lang", "phrase")]
+    return packed.groupBy("bucket").applyInArrow(summed, schema).select(*texts, "words", "n", "first_doc", "first_word")
 
 
 def _times(*columns: str):
@@ -285,7 +297,10 @@ def scored(phrases: DataFrame) -> DataFrame:
     )
     for side, count in (("left", "l"), ("right", "r")):
         cuts = cuts.join(counts.select("lang", F.col("_part").alias(side), F.col("_count").alias(count)), ["lang", side])
-    whole = cuts.join(totals, "lang").withColumn("above", (_times("a", "n") * F.lit(1000).cast("decimal(4,0)")).cast("decimal(38,0)"))
+    # A language with most of the phrases is dealt over many tasks.
+    dealt = totals.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    salted = cuts.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(SALT)).cast("int"))
+    whole = salted.join(dealt, ["lang", "_salt"]).withColumn("above", (_times("a", "n") * F.lit(1000).cast("decimal(4,0)")).cast("decimal(38,0)"))
     score = whole.withColumn("below", _times("l", "r")).withColumn("score", F.expr("above div below"))
     return (
         score.groupBy("lang", "phrase", "words", "a", "n")

@@ -17,7 +17,7 @@ from shopledger.llm.common import by_batch
 # Bytes of text that are held as words at a time.
 BLOCK = 1 << 19
 # Keys that are merged before they leave a task.
-MERGE = 1 << 20
+MERGE = 1 << 21
 # Buckets of the key space per partition of the input, so that a bucket stays small at any size.
 BUCKETS_PER_PARTITION = 8
 
@@ -85,7 +85,7 @@ def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[heads], np.add.reduceat(counts, heads) if len(keys) else counts
+    return keys[heads], np.add.reduceat(counts, heads, dtype=counts.dtype) if len(keys) else counts
 
 
 def frequent_keys(frame: DataFrame, columns: list[str], counted: Callable[..., Iterator[tuple]], least: int) -> DataFrame:
@@ -99,7 +99,7 @@ def frequent_keys(frame: DataFrame, columns: list[str], counted: Callable[..., I
         return {
             "bucket": held,
             "keys": [keys[at[b] : at[b + 1]].tobytes() for b in held],
-            "counts": [total[at[b] : at[b + 1]].astype(np.uint32).tobytes() for b in held],
+            "counts": [total[at[b] : at[b + 1]].tobytes() for b in held],
         }
 
     def work(*lists: list) -> Iterator[dict]:
@@ -107,10 +107,13 @@ def frequent_keys(frame: DataFrame, columns: list[str], counted: Callable[..., I
         counts: list[np.ndarray] = []
         for keys, n in counted(*lists):
             found.append(keys)
-            counts.append(n)
+            counts.append(n.astype(np.uint32))
             if sum(map(len, found)) > MERGE:
-                yield packed(found, counts)
-                found, counts = [], []
+                keys, n = _sums(np.concatenate(found), np.concatenate(counts))
+                found, counts = [keys], [n]
+                if len(keys) > MERGE // 2:
+                    yield packed(found, counts)
+                    found, counts = [], []
         if found:
             yield packed(found, counts)
 
@@ -122,3 +125,24 @@ def frequent_keys(frame: DataFrame, columns: list[str], counted: Callable[..., I
 
     sent = by_batch(frame, columns, work, "bucket int, keys binary, counts binary")
     return sent.groupBy("bucket").applyInArrow(summed, "key long")
+
+
+def packed_rows(rows: pa.Table, keys: np.ndarray, buckets: int) -> dict:
+    """``bucket, rows``: a table cut by the bucket of each row's key, as Arrow streams."""
+    order = np.argsort(keys, kind="stable")
+    at = bounds(keys[order], buckets)
+    whole = rows.take(pa.array(order)).combine_chunks()
+    made: dict[str, list] = {"bucket": [], "rows": []}
+    for b in np.flatnonzero(np.diff(at)).tolist():
+        part = whole.slice(at[b], at[b + 1] - at[b])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema) as writer:
+            writer.write_table(part)
+        made["bucket"].append(b)
+        made["rows"].append(sink.getvalue().to_pybytes())
+    return made
+
+
+def unpacked(bucket: pa.Table) -> pa.Table:
+    """All rows sent to a bucket by ``packed_rows``."""
+    return pa.concat_tables([pa.ipc.open_stream(rows).read_all() for rows in bucket["rows"].to_pylist()])
