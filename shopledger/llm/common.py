@@ -19,10 +19,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__package__])
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``, which driver and executors share.
 
-    Where a session has no such setting (tests on one machine) a temporary folder is used.
+    Where a session on one machine has no such setting (tests) a temporary folder is used. On a
+    cluster that would be a folder of each machine's own, so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{(root or tempfile.mkdtemp(prefix='shopledger-')).rstrip('/')}/{uuid.uuid4().hex}"
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="shopledger-")
+    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def stored(frame: DataFrame) -> DataFrame:

@@ -62,6 +62,11 @@ def luhn(digits: str) -> bool:
     return (sum(map(int, digits[-1::-2])) + sum(doubled)) % 10 == 0
 
 
+def _small(digits: str) -> bool:
+    """Whether a number without leading zeros is at most 255; it may have any number of digits."""
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def _iban_ok(value: str) -> bool:
     plain = value.replace(" ", "")
     return 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
@@ -83,7 +88,7 @@ def find(text: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int, int]
             if at >= read["ip"]:
                 if quad := _QUAD.match(text, at):
                     read["ip"] = quad.end()
-                    if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in quad.groups()):
+                    if all(_small(p.lstrip("0")) for p in quad.groups()):
                         spans["ip"].append(quad.span())
                 else:
                     # No later start in these digits can do better.
@@ -140,7 +145,7 @@ def personal_data(documents: DataFrame) -> DataFrame:
     def work(ids: list, texts: list) -> Iterator[dict]:
         made = {"doc_id": ids, **{f"n_{k}": [] for k in BASE_KINDS}, "base_sha256": [], "spans": []}
         for text in texts:
-            spans = find((text or b"").decode(), anchors)
+            spans = find((text or b"").decode("utf-8", "replace"), anchors)
             base = [s for s in spans if s[0] in BASE_KINDS]
             for kind in BASE_KINDS:
                 made[f"n_{kind}"].append(sum(s[0] == kind for s in base))

@@ -83,3 +83,22 @@ def test_redaction_leaves_clean_rows(spark):
     assert texts.count("clean words, nothing else. Token of thanks") == 2 and None in texts and "" in texts
     assert "Mail [EMAIL] or é [PHONE], [CARD] from [IP].1" in texts
     assert pii.personal_data(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_numbers_of_any_length(spark):
+    zeros = "0" * 5000
+    texts = [f"ip {'.'.join(parts)} end" for i in range(4) for parts in [[zeros * (i == k) + str(k + 1) for k in range(4)]]]
+    texts += [f"ip 1.2.3.{zeros}", f"ip 1.2.3.{'9' * 5000}", f"card {zeros}", f"+{zeros}", "IBAN DE" + zeros]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = {r.doc_id: r.n_ip for r in pii.personal_data(frame).collect()}
+    assert [counts[i] for i in range(len(texts))] == [1, 1, 1, 1, 1, 0, 0, 0, 0]
+    docs = frame.selectExpr("*", "length(text) as n_chars")
+    assert {r.text for r in pii.redacted(docs).collect()} >= {"ip [IP] end"}
+
+
+def test_random_digits_and_signs_never_raise():
+    rng, anchors = random.Random(9), pii._anchors()
+    for _ in range(20000):
+        text = "".join(rng.choice(["0" * 30, "1", "25", "256", ".", "@", "+", " ", "-", "IBAN ", "key=", "://u:p@", "é", "a.b"]) for _ in range(rng.randrange(12)))
+        for kind, start, end in pii.find(text, anchors):
+            assert 0 <= start < end <= len(text)
