@@ -397,19 +397,15 @@ def _scan(large: DataFrame, vocabulary: Vocabulary, chunk: int) -> DataFrame:
     """Long texts, chunk by chunk."""
     context = vocabulary.longest - 1
     spaced = F.concat(F.lit(" "), F.col("text"))
-    places = F.sequence(F.lit(0), F.floor((F.length(spaced) - 1) / chunk).cast("int"))
-    cut = large.select("doc_id", F.expr("uuid()").alias("row"), spaced.alias("text")).select(
-        "doc_id", "row", "text", F.explode(places).alias("part")
-    )
-    first = F.col("part") * chunk
-    begin = F.greatest(first - context, F.lit(0))
-    chunks = stored(
-        cut.select(
-            "doc_id", "row", "part",
-            F.col("text").substr(begin + 1, first - begin).alias("before"),
-            F.col("text").substr(first + 1, F.lit(chunk)).alias("chunk"),
-        )
+    # Cut once per text by one expression, so that the time grows with the length only. What stands
+    # before a chunk comes from the chunks before it.
+    cut = large.select(
+        "doc_id", F.expr("uuid()").alias("row"), F.regexp_extract_all(spaced, F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0)).alias("cut")
     )
+    reach = -(-context // chunk)
+    before = f"array_join(slice(cut, greatest(i + 1 - {reach}, 1), least(i, {reach})), '')" if reach else "''"
+    parts = F.expr(f"transform(cut, (c, i) -> struct(i as part, right({before}, {context}) as before, c as chunk))")
+    chunks = stored(cut.select("doc_id", "row", F.explode(parts).alias("p")).select("doc_id", "row", "p.part", "p.before", "p.chunk"))
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
