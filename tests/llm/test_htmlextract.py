@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 import pytest
 
@@ -87,3 +89,53 @@ def test_furniture_words_in_the_name_of_a_wrapper(name):
     assert main_text(f"<body><div class='{name}'>{prose}{side}</div><div class=footer>Copyright</div></body>") == want + "\nx\ny"
     assert main_text(f"<body><div class='{name}'><article>{prose}</article>{side[:60]}</div>{comments}</body>").startswith(want)
     assert "Reader" not in main_text(f"<body><div class='{name}'><article>{prose}</article></div>{comments}</body>")
+
+
+PROSE = "".join(f"<p>Paragraph {i} has a good many words in it, as prose has, again and again.</p>" for i in range(8))
+TEXT = "\n".join(f"Paragraph {i} has a good many words in it, as prose has, again and again." for i in range(8))
+
+
+def test_article_inside_a_form():
+    menu = "<div class=menu><a href=/a>A</a><a href=/b>B</a></div>"
+    assert main_text(f"<body><form action=x>{menu}<article>{PROSE}</article><input name=q></form></body>") == TEXT
+    assert main_text(f"<body><form action=x><div id=content>{PROSE}</div></form><form><p>Mail me news</p></form></body>") == TEXT
+
+
+def test_open_furniture_ends_at_the_article():
+    links = "".join(f"<li><a href=/{i}>Link {i}</a>" for i in range(5))
+    assert main_text(f"<body><nav><ul>{links}</ul><article>{PROSE}</article></body>") == TEXT
+    assert main_text(f"<body><article>{PROSE}</article><aside><article><p>Another article, teased here.</p></article></aside></body>") == TEXT
+
+
+def test_comments_under_a_plain_heading():
+    comments = "<section><h2>3 Comments</h2><p>I liked it, and a lot of it, too, as I always do with such texts.</p></section>"
+    assert main_text(f"<body><div id=c>{PROSE}</div>{comments}</body>") == TEXT
+    assert main_text(f"<body><article><h2>Comments</h2>{PROSE}</article></body>") == "Comments\n" + TEXT
+
+
+def test_title_in_a_named_header_of_the_article():
+    page = f"<body><div class='post-header'><h1>Title</h1><span>by me</span></div><div class=post-body>{PROSE}</div></body>"
+    assert main_text(page) == "Title\n" + TEXT
+
+
+def test_end_tags_of_deep_elements():
+    deep = "<div>" * 600
+    assert main_text(f"<article><p>One long line of text.</p>{deep}x{'</div>' * 600}<p>Two long lines of text.</p></article>").endswith("x\nTwo long lines of text.")
+
+
+@pytest.mark.parametrize("mark", ["<a ", "<!--", "<![", "<!", "&#", "&#x", "</", "<?", '<a x="', "<a x='", "<a '>", '<a "b>', "<", "&", "<script>",
+                                  "<title>", "<div>", "<p>x", "<td>x", "</p>", "<a x=y", "&#1", "<div>x", "</div", "<div class=ad>x",
+                                  "<form>x", "<pre><div></pre>", "<main>x", "<blockquote>x", "<section><h2>Comments</h2>"])
+@pytest.mark.parametrize("end", ["", ">", "-->", '">', "</article>"])
+def test_a_megabyte_of_anything_ends_soon(mark, end):
+    started = time.monotonic()
+    main_text(f"<article><p>Text</p>{mark * (1_000_000 // len(mark))}{end}")
+    assert time.monotonic() - started < 8
+
+
+def test_declarations_and_references_never_raise():
+    assert main_text("<article><p>One <![foo[x]]>two &#" + "9" * 6000 + "; three &#0000000065; &#x" + "0" * 50 + "42;</p></article>") == "One two � three A B"
+    rng = random.Random(11)
+    signs = ["<", ">", "!", "[", "]", "--", "&#", "&", ";", "/", "a", "p", "div", "script", "<p>", "</p>", "'", '"', "=", " ", "9" * 20, "x", "\0", "?", "퟿", "<!", "<!["]
+    for _ in range(20000):
+        assert isinstance(main_text("".join(rng.choice(signs) for _ in range(rng.randrange(25)))), str)
