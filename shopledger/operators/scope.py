@@ -103,11 +103,11 @@ def in_periods(frame: DataFrame, time_column: str, *periods: Period) -> DataFram
     return kept
 
 
-def until(frame: DataFrame, time_column: str, period: Period) -> DataFrame:
-    """Rows up to the end of the period, however old."""
-    kept = frame.where(F.col(time_column) <= ntz(period.end))
+def before(frame: DataFrame, time_column: str, period: Period) -> DataFrame:
+    """Rows from before the period, however old."""
+    kept = frame.where(F.col(time_column) < ntz(period.start))
     if MONTH_COLUMN in frame.columns:
-        kept = kept.where(F.col(MONTH_COLUMN) <= F.lit(period.end.date().replace(day=1)))
+        kept = kept.where(F.col(MONTH_COLUMN) <= F.lit(period.start.date().replace(day=1)))
     return kept
 
 

@@ -1,8 +1,10 @@
 """New and existing customers among the buyers of a period.
 
-Every form is one pass over the invoices and one aggregate per customer. The
-aggregate combines before the shuffle, so customers (or walk-in sales without a
-customer) that hold a large part of all invoices are no burden.
+The buyers come first: one aggregate over the invoices of the period, so customers (or
+walk-in sales without a customer) that hold a large part of them are no burden. Then those
+are looked for in the history. The history's rows of other customers are dropped right
+above the scan; or the history is a table with one row per customer and store, kept up to
+date month by month (``plans/history.py``).
 """
 
 from __future__ import annotations
@@ -11,83 +13,74 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.functions.amounts import signed
-from shopledger.functions.calendar import ntz, within
+from shopledger.functions.calendar import ntz
+from shopledger.operators.keyfilter import may_match
 from shopledger.operators.ranking import largest_first
-from shopledger.operators.scope import all_of, among, companies_of, company_scope, scope, takes, until
+from shopledger.operators.scope import before, companies_of, company_scope, in_periods, scope, scoped_invoices, takes
 from shopledger.operators.stores import store_ids, with_store
 from shopledger.params import ReportParams
 from shopledger.plans.views import customer_loyalty
 from shopledger.sources.tables import Tables
 
 
-def _time() -> Column:
-    return F.col("invoice_date_time")
-
-
 def _label(existing: Column) -> Column:
     return F.when(existing, F.lit("Existing Customer")).otherwise(F.lit("New Customer"))
 
 
-def _per_customer(rows: DataFrame, counted: Column, earlier: Column) -> DataFrame:
-    """Buyers with a ``counted`` invoice; ``had_earlier`` if any of their rows is ``earlier``."""
-    return (
-        rows.where(counted | earlier)
-        .groupBy("customer_id")
-        .agg(
-            F.sum(F.when(counted, signed(F.col("net_amount")))).alias("sales"),
-            F.count(F.when(counted, F.lit(1))).alias("_invoices"),
-            F.coalesce(F.max(earlier), F.lit(False)).alias("had_earlier"),
-        )
-        .where(F.col("_invoices") > 0)
-    )
+def _buyers(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("customer_id").agg(F.sum(signed(F.col("net_amount"))).alias("sales"))
+
 
+def _with_earlier(buyers: DataFrame, earlier: DataFrame) -> DataFrame:
+    """Buyers with ``had_earlier``: a row of ``earlier`` has their customer; never for a NULL customer."""
+    held = may_match(earlier.select("customer_id"), ["customer_id"], buyers).distinct()
+    return buyers.join(held.withColumn("had_earlier", F.lit(True)), "customer_id", "left")
 
-def _before(p: ReportParams) -> Column:
-    return _time() < ntz(p.period.start)
+
+def _labelled(buyers: DataFrame) -> DataFrame:
+    existing = F.coalesce(F.col("had_earlier"), F.lit(False))
+    return buyers.select("customer_id", "sales", _label(existing).alias("customertype"))
 
 
 @takes("legal_entity_ids", "store_ids", "region_ids")
 def pie_by_earlier_invoice(t: Tables, p: ReportParams) -> DataFrame:
     """Existing if there is an earlier invoice in the same scope; never for a NULL customer."""
-    rows = with_store(until(scope(t.invoices, p), "invoice_date_time", p.period), store_ids(t.stores, p))
-    buyers = _per_customer(rows, within(_time(), p.period), _before(p))
-    existing = F.col("had_earlier") & F.col("customer_id").isNotNull()
-    return buyers.select("customer_id", _label(existing).alias("customertype"), "sales")
+    stores = store_ids(t.stores, p)
+    buyers = _buyers(with_store(scoped_invoices(t.invoices, p), stores))
+    earlier = with_store(before(scope(t.invoices, p), "invoice_date_time", p.period), stores)
+    return _labelled(_with_earlier(buyers, earlier)).select("customer_id", "customertype", "sales")
 
 
 @takes("legal_entity_ids", "store_ids", "region_ids")
 def pie_by_earlier_invoice_loose(t: Tables, p: ReportParams) -> DataFrame:
     """As above, but the earlier invoice need not have a store or the legal entity."""
-    rows = until(company_scope(t.invoices, p), "invoice_date_time", p.period)
-    known = store_ids(t.stores, p).withColumn("_known_store", F.lit(True))
-    counted = all_of(
-        [
-            within(_time(), p.period),
-            F.coalesce(F.col("_known_store"), F.lit(False)),
-            among("legal_entity_id", p.legal_entity_ids),
-            among("store_id", p.store_ids),
-        ]
-    )
-    buyers = _per_customer(rows.join(known, "store_id", "left"), counted, _before(p))
-    existing = F.col("had_earlier") & F.col("customer_id").isNotNull()
-    return buyers.select("customer_id", "sales", _label(existing).alias("customertype"))
+    buyers = _buyers(with_store(scoped_invoices(t.invoices, p), store_ids(t.stores, p)))
+    earlier = before(company_scope(t.invoices, p), "invoice_date_time", p.period)
+    return _labelled(_with_earlier(buyers, earlier))
 
 
 @takes("region_ids")
-def pie_by_first_date(t: Tables, p: ReportParams) -> DataFrame:
+def pie_by_first_date(t: Tables, p: ReportParams, first: DataFrame | None = None) -> DataFrame:
     """Existing if the customer's first invoice in any company or tenant is earlier.
 
     Invoices without a customer count as one customer here. Only company and period
-    restrict the buyers; history is read over every scope, so it is one aggregate
-    over all invoices up to the end of the period.
+    restrict the buyers; history is read over every scope. ``first`` is the history as
+    one row per customer and store (``history.first_purchases``); without it the
+    invoices before the period are read.
     """
-    rows = with_store(until(t.invoices, "invoice_date_time", p.period), store_ids(t.stores, p))
-    counted = within(_time(), p.period) & companies_of(p)
-    return (
-        _per_customer(rows, counted, _before(p))
-        .select("customer_id", "sales", _label(F.col("had_earlier")).alias("customertype"))
-        .orderBy(largest_first("customer_id"))
-    )
+    stores = store_ids(t.stores, p)
+    in_period = in_periods(t.invoices, "invoice_date_time", p.period).where(companies_of(p))
+    buyers = _buyers(with_store(in_period, stores))
+    if first is None:
+        earlier = before(t.invoices, "invoice_date_time", p.period)
+    else:
+        earlier = first.where(F.col("first_purchase_date") < ntz(p.period.start))
+    earlier = with_store(earlier, stores)
+    # The one customer that NULL stands for, beside those that have an id.
+    nobody = earlier.where(F.col("customer_id").isNull()).agg((F.count(F.lit(1)) > 0).alias("earlier")).scalar()
+    existing = F.when(F.col("customer_id").isNull(), nobody).otherwise(F.col("had_earlier"))
+    found = _with_earlier(buyers, earlier).withColumn("had_earlier", existing)
+    return _labelled(found).orderBy(largest_first("customer_id"))
 
 
 def invoice_first_dates(t: Tables) -> DataFrame:

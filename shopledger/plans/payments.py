@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopledger.functions.amounts import RETURNS, or_zero
 from shopledger.functions.ratios import percent
+from shopledger.operators.keyfilter import may_match
 from shopledger.operators.ranking import largest_first, smallest_first
 from shopledger.operators.scope import of_scoped_invoices, scoped_invoices, settled, takes
 from shopledger.operators.stores import in_regions, store_ids, with_store
@@ -26,6 +29,21 @@ def _paid(payments: DataFrame) -> DataFrame:
     return payments.where(F.col("transaction_status") == "PAID")
 
 
+def _payments_of(t: Tables, p: ReportParams) -> DataFrame:
+    """Payments that may belong to the invoices in the scope and period.
+
+    A layout tells them by their directories. On plain files a scope is selective as a rule, so
+    payments that cannot meet its invoices are dropped right above the scan and are not
+    exchanged. Neither groups payments, so an invoice with very many of them is still summed
+    map-side. Without a scope every payment is needed, or may be.
+    """
+    payments = of_scoped_invoices(t.payments, p)
+    if payments is not t.payments or not any((p.company_ids, p.tenant_ids, p.legal_entity_ids, p.store_ids, p.allowed_company_ids is not None)):
+        return payments
+    ids = scoped_invoices(t.invoices, p).select(F.col("id").alias("sales_invoice_header_id"))
+    return may_match(payments, ["sales_invoice_header_id"], ids)
+
+
 def _for_invoices(invoices: DataFrame, payments: DataFrame) -> DataFrame:
     header = invoices.select(F.col("id").alias("sales_invoice_header_id"), "invoice_type", "change_amount")
     return header.join(payments, "sales_invoice_header_id")
@@ -54,7 +72,7 @@ def _less_change(amount: Column) -> Column:
 @takes("legal_entity_ids", "store_ids", "region_ids")
 def share_per_group(t: Tables, p: ReportParams) -> DataFrame:
     """Change comes off once per invoice and cash method, after its payments are added up."""
-    grouped = _paid(of_scoped_invoices(t.payments, p)).groupBy("sales_invoice_header_id", *_METHOD).agg(F.sum("amount").alias("paid"))
+    grouped = _paid(_payments_of(t, p)).groupBy("sales_invoice_header_id", *_METHOD).agg(F.sum("amount").alias("paid"))
     invoices = with_store(settled(scoped_invoices(t.invoices, p)), store_ids(t.stores, p))
     amount = F.when(_cash(), _less_change(F.col("paid"))).otherwise(F.col("paid"))
     return _share(t, _for_invoices(invoices, grouped).select(*_METHOD, amount.alias("amount")))
@@ -67,7 +85,7 @@ def share_every_cash_row(t: Tables, p: ReportParams, *, settled_only: bool) -> D
     if settled_only:
         invoices = settled(invoices)
     amount = F.when(_cash(), _less_change(F.col("amount"))).otherwise(F.col("amount"))
-    payments = _paid(of_scoped_invoices(t.payments, p))
+    payments = _paid(_payments_of(t, p))
     return _share(t, _for_invoices(invoices, payments).select(*_METHOD, amount.alias("amount")))
 
 
@@ -80,7 +98,7 @@ def share_first_cash_row(t: Tables, p: ReportParams, *, negative_returns: bool)
     is merged map-side; the window then sees one row per method of an invoice.
     """
     paid = F.col("transaction_status") == "PAID"
-    per_method = of_scoped_invoices(t.payments, p).groupBy("sales_invoice_header_id", *_METHOD).agg(
+    per_method = _payments_of(t, p).groupBy("sales_invoice_header_id", *_METHOD).agg(
         F.sum(F.when(paid, F.col("amount"))).alias("paid"),
         F.sum(F.when(paid, F.abs(F.col("amount")))).alias("paid_size"),
         F.count(F.when(paid, F.lit(1))).alias("paid_rows"),
@@ -100,19 +118,20 @@ def share_first_cash_row(t: Tables, p: ReportParams, *, negative_returns: bool)
     return _share(t, ranked.where(F.col("paid_rows") > 0).select(*_METHOD, amount.alias("amount")))
 
 
-def reconciliation(t: Tables) -> DataFrame:
-    """Invoices whose amount with tax differs from their payments by more than a cent.
+def mismatches(invoices: DataFrame, payments: DataFrame, also: Sequence[Column] = ()) -> DataFrame:
+    """``gap, change_amount`` of the invoices whose amount with tax differs from their payments by more than a cent.
 
     An unknown tax makes the difference unknown, and the invoice is left out.
     """
-    paid = (
-        _paid(t.payments)
-        .groupBy(F.col("sales_invoice_header_id").alias("id"))
-        .agg(F.sum("amount").alias("paid"))
-    )
+    paid = _paid(payments).groupBy(F.col("sales_invoice_header_id").alias("id")).agg(F.sum("amount").alias("paid"))
     gap = F.col("net_amount") + F.col("tax") - F.col("paid")
-    compared = t.invoices.join(paid, "id").select(gap.alias("gap"), "change_amount")
-    return compared.where(F.abs(F.col("gap")) > F.lit("0.01").cast("decimal(3,2)")).agg(
+    compared = invoices.join(paid, "id").select(gap.alias("gap"), "change_amount", *also)
+    return compared.where(F.abs(F.col("gap")) > F.lit("0.01").cast("decimal(3,2)"))
+
+
+def reconciliation(t: Tables) -> DataFrame:
+    """How many invoices differ from their payments, and by how much."""
+    return mismatches(t.invoices, t.payments).agg(
         F.count(F.lit(1)).alias("total_mismatches"),
         F.sum("gap").alias("total_gap_amount"),
         F.sum("change_amount").alias("total_change_given"),
@@ -120,7 +139,7 @@ def reconciliation(t: Tables) -> DataFrame:
 
 
 def _collected(t: Tables, p: ReportParams) -> DataFrame:
-    return _for_invoices(scoped_invoices(t.invoices, p), _paid(of_scoped_invoices(t.payments, p)))
+    return _for_invoices(scoped_invoices(t.invoices, p), _paid(_payments_of(t, p)))
 
 
 @takes("legal_entity_ids", "store_ids")

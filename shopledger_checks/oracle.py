@@ -855,6 +855,11 @@ def all_oracles() -> dict[str, str]:
         **LOGS,
         **KEYED,
     }
+    # Published tables hold what the plain writes and reports give.
+    found["stores_insert_published"] = KEYED["stores_insert_if_absent"]
+    found["customers_update_published"] = KEYED["customers_update_touch"]
+    found["customer_pie_folded_history"] = customer_pie_first_date(REPORTS["customer_pie_first_date"][1])
+    found["payment_reconciliation_monthly"] = payment_reconciliation()
     for key, oracle in SCOPED.items():
         _, whole, narrow = REPORTS[key]
         found[key] = oracle(whole)

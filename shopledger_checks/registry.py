@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -13,8 +15,10 @@ from shopledger_checks.fixtures import fixture_tables, source
 from shopledger import ReportParams, Tables
 from shopledger.functions.calendar import ntz
 from shopledger.operators.ranking import preview
-from shopledger.operators.upsert import insert_if_absent, update_touch
-from shopledger.plans import catalog, cities, customers, delivery, loyalty, payments, querylog, sales, views
+from shopledger.operators.upsert import insert_if_absent, insert_published, update_published, update_touch
+from shopledger.plans import catalog, cities, customers, delivery, history, loyalty, payments, querylog, sales, views
+from shopledger.sources.published import Published
+from shopledger.sources.schemas import SCHEMAS
 
 Report = Callable[[Tables, ReportParams], DataFrame]
 
@@ -114,21 +118,67 @@ def _enable_busy_brands(t: Tables, spark: SparkSession, directory: str) -> DataF
     return update_touch(flags, busy, ["feature_name"], P.TOUCHED)
 
 
+def _named_stores(t: Tables) -> DataFrame:
+    """The stores that invoices name."""
+    return t.invoices.select(F.col("store_id").alias("id"), F.lit("from invoices").alias("name")).distinct()
+
+
 def _missing_stores(t: Tables, spark: SparkSession, directory: str) -> DataFrame:
     """Add the stores that invoices name and the store table lacks."""
-    named = t.invoices.select(F.col("store_id").alias("id"), F.lit("from invoices").alias("name")).distinct()
-    return insert_if_absent(t.stores, named, ["id"])
+    return insert_if_absent(t.stores, _named_stores(t), ["id"])
+
+
+def _returns_per_customer(t: Tables) -> DataFrame:
+    returns = t.invoices.where(F.col("invoice_type") == "RETURNS").groupBy(F.col("customer_id").alias("id"))
+    return returns.agg(F.count(F.lit(1)).cast("int").alias("customer_class_id"))
 
 
 def _reclass_buyers(t: Tables, spark: SparkSession, directory: str) -> DataFrame:
     """Set the class of every customer to their number of returns, where there is one."""
-    returns = (
-        t.invoices.where(F.col("invoice_type") == "RETURNS")
-        .groupBy(F.col("customer_id").alias("id"))
-        .agg(F.count(F.lit(1)).cast("int").alias("customer_class_id"))
-    )
     customers_ = t.customers.withColumn("updated_at", ntz(P.CREATED))
-    return update_touch(customers_, returns, ["id"], P.TOUCHED)
+    return update_touch(customers_, _returns_per_customer(t), ["id"], P.TOUCHED)
+
+
+# --- the same writes, and history, through published tables --------------------------------
+
+
+def _published(spark: SparkSession, schema: str, *partitions: str) -> Published:
+    """A new table in the folder that driver and executors share; a temporary one on a single machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="shopledger-")
+    return Published(spark, f"{root.rstrip('/')}/{uuid.uuid4().hex}", schema, partitions)
+
+
+def _publish_missing_stores(t: Tables, spark: SparkSession, directory: str) -> DataFrame:
+    table = _published(spark, SCHEMAS["ent_stores"])
+    table.replace(t.stores)
+    insert_published(table, _named_stores(t), ["id"], job="stores of invoices")
+    return table.read()
+
+
+def _publish_reclassed_buyers(t: Tables, spark: SparkSession, directory: str) -> DataFrame:
+    table = _published(spark, SCHEMAS["ent_customer"] + ", updated_at timestamp_ntz", "company_id", "tenant_id")
+    table.replace(t.customers.withColumn("updated_at", ntz(P.CREATED)))
+    update_published(table, _returns_per_customer(t), ["id"], P.TOUCHED, job="classes of buyers")
+    return table.read()
+
+
+def _pie_over_folded_history(t: Tables, spark: SparkSession, directory: str) -> DataFrame:
+    """History folded in two steps, the later one first; the report reads it and its period."""
+    table = _published(spark, history.FIRST_SCHEMA, "bucket")
+    start = ntz(P.SPLIT.period.start)
+    history.fold_first_purchases(table, t.invoices.where(F.col("invoice_date_time") >= start), job="period")
+    history.fold_first_purchases(table, t.invoices.where(F.col("invoice_date_time") < start), job="before")
+    return loyalty.pie_by_first_date(t, P.SPLIT, first=history.read_first(table))
+
+
+def _reconciliation_by_month(t: Tables, spark: SparkSession, directory: str) -> DataFrame:
+    table = _published(spark, history.MISMATCH_SCHEMA, "month_part")
+    history.refresh_mismatches(table, t)
+    return history.reconciliation_total(table.read())
 
 
 WRITES = {
@@ -136,6 +186,10 @@ WRITES = {
     "feature_flags_update_touch": _enable_busy_brands,
     "stores_insert_if_absent": _missing_stores,
     "customers_update_touch": _reclass_buyers,
+    "stores_insert_published": _publish_missing_stores,
+    "customers_update_published": _publish_reclassed_buyers,
+    "customer_pie_folded_history": _pie_over_folded_history,
+    "payment_reconciliation_monthly": _reconciliation_by_month,
 }
 
 UNSCOPED: dict[str, Callable[[Tables], DataFrame]] = {

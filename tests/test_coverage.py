@@ -7,7 +7,7 @@ COVERED = {
     # scans, sources, sinks
     "S1": "sales_data_kpis category_sales_top5 payment_share_preagg customer_counts_cte top_cities_monthly",
     "S2": "sales_data_invoice_rows", "S3": " ".join(f"preview_{v}" for v in VIEWS), "S4": "financial_summary_weekday",
-    "S5": "financial_summary_json total_deliveries_weekday", "S6": "feature_flags_insert_if_absent stores_insert_if_absent",
+    "S5": "financial_summary_json total_deliveries_weekday", "S6": "feature_flags_insert_if_absent stores_insert_if_absent stores_insert_published",
     # views
     "V1": "v_product_sales_enriched", "V2": "view_sales_graph_analytics", "V3": "view_sales_invoice_analytics",
     "V4": "view_dashboard_lost_sales", "V5": "view_sales_by_customer_rows", "V6": "view_category_sales_rows",
@@ -20,8 +20,8 @@ COVERED = {
     "R1c": "sales_data_net_raw", "R1d": "lost_sales_total", "R1e": "gross_sales_total", "R1f": "gross_returns_net",
     "R1g": "sales_data_year_over_year", "R2a": "payment_share_preagg",
     "R2b": "payment_share_view_v1 payment_share_view_v2 payment_share_view_v3", "R2c": "payment_share_raw",
-    "R2d": "payment_reconciliation", "R2e": "net_cash_collected", "R2f": "collection_breakdown",
-    "R3a": "customer_pie_exists", "R3b": "customer_pie_first_date", "R3c": "customer_pie_exists_loose",
+    "R2d": "payment_reconciliation payment_reconciliation_monthly", "R2e": "net_cash_collected", "R2f": "collection_breakdown",
+    "R3a": "customer_pie_exists", "R3b": "customer_pie_first_date customer_pie_folded_history", "R3c": "customer_pie_exists_loose",
     "R3d": "customer_invoice_first_date", "R4a": "customer_counts_cte", "R4b1": "customer_base_counts",
     "R4b2": "customer_activity_counts", "R4c": "customer_counts_activity_view view_customer_activity_summary",
     "R4d": "customer_counts_subqueries", "R5a": "category_sales_header_amount", "R5b": "category_sales_top5",
@@ -71,7 +71,8 @@ COVERED = {
     "C16": "top_cities_monthly", "C17": "top_cities_monthly_json", "C18": "avg_delivery_time_json", "C19": "log_rows_per_call log_db_cache",
     "C20": "log_db_cache_one feature_flags_update_touch",
     # writes and query log
-    "M1": "feature_flags_insert_if_absent stores_insert_if_absent", "M2": "feature_flags_update_touch customers_update_touch",
+    "M1": "feature_flags_insert_if_absent stores_insert_if_absent stores_insert_published",
+    "M2": "feature_flags_update_touch customers_update_touch customers_update_published",
     "H1": "log_cache_hit", "H2": "log_temp_spill", "H3": "log_total_time", "H4": "log_io_wait", "H5": "log_rows_per_call",
     "H6": "log_db_cache log_db_cache_one", "H7": "log_scan",
 }
