@@ -8,9 +8,10 @@ the values must be the item's own. A document with enough of an item's windows h
 item. Items are also indexed with their names folded to
 lower case, so that a copy in lower or upper case, which shows no names, is met as well.
 
-Items with few windows (short ones, or with too many numbers and names) are met word by
-word: as a whole, in order, with their own values. Scripts without spaces are cut into
-characters for this.
+Items with few windows (short ones, or with too many numbers and names) are met as a whole,
+all their words in order: with their own values, or, if they have at least two literal words,
+with other numbers and units in consistent slots. Names count as words there, since a short
+item's first word cannot be told from one. Scripts without spaces are cut into characters.
 
 Everything is built-in expressions. Windows of all documents are not shuffled: a bitmap of
 the benchmark's window hashes, of bounded size, lets pass those that can meet, and few
@@ -29,8 +30,10 @@ MIN_LITERALS = 3
 # A document holds an item with this share of its windows, or with this many that follow one another.
 MIN_COVERAGE = 0.5
 LONG_RUN = 20
-# Fewer windows than this are no evidence, whatever their share: items that have fewer are met word by word.
+# Fewer windows than this are no evidence, whatever their share: items that have fewer are met as a whole.
 LEAST_WINDOWS = 5
+# Words of such an item that are neither numbers nor units, if its slots may hold other values.
+LEAST_WORDS_AROUND_SLOTS = 2
 # Windows of a pair within about so many tokens of one diagonal (or half an item) are one occurrence.
 DRIFT = 16
 # Texts are cut into blocks of this many characters, which overlap by so many.
@@ -195,45 +198,59 @@ def hits(documents: DataFrame, index: DataFrame) -> DataFrame:
     return passed.join(index, "hash")
 
 
-def _words(texts: DataFrame, *keys: str, overlap: int) -> DataFrame:
-    """``keys, marks``: hashes of the words of each block of ``text``, in lower case."""
-    blocks = _blocks(texts, *keys, token=WORD, overlap=overlap)
-    return blocks.select(*keys, F.transform("tokens", lambda t: F.xxhash64(F.lower(t))).alias("marks"))
+def _forms(tokens: Column | str) -> dict[str, Column]:
+    """Hashes of the words in lower case, and of the template in which only numbers and units are placeholders."""
+    return {
+        "own": F.transform(tokens, lambda t: F.xxhash64(F.lower(t))),
+        "template": F.transform(tokens, lambda t: F.xxhash64(_folded(t))),
+    }
 
 
 def benchmark_sequences(benchmark: DataFrame, index: DataFrame) -> DataFrame:
-    """``item_id, item_hash, n_chars, n_windows, size, head, hash, whole`` of each item that is met word by word.
+    """``item_id, item_hash, n_chars, n_windows, size, form, slots, head, hash, whole`` of each item that is met as a whole.
 
-    ``hash`` is that of its first ``head`` words, ``whole`` that of all its ``size`` words.
+    ``hash`` is that of its first ``head`` words in its form, ``whole`` that of all its ``size`` words.
     """
     item = ["item_id", "item_hash"]
     sizes = index.select(F.col("item_id").alias("i"), F.col("item_hash").alias("h"), F.col("n_windows").alias("n")).distinct()
     same = F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_hash") == F.col("h"))
-    marks = F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), lambda t: F.xxhash64(F.lower(t)))
+    slots = _slots(F.col("tokens"), names=False)
+    none = F.array().cast("array<string>")
+    forms = [
+        F.struct(F.lit(name).alias("form"), (none if name == "own" else slots).alias("slots"), marks.alias("marks"))
+        for name, marks in _forms("tokens").items()
+    ]
+    around = F.size("tokens") - F.size("slots")
     return (
         _items(benchmark)
         .join(sizes, same, "left")
-        .select(*item, F.length("text").alias("n_chars"), F.coalesce("n", F.lit(0).cast("long")).alias("n_windows"), marks.alias("marks"))
-        .withColumn("size", F.size("marks"))
+        .where(F.coalesce("n", F.lit(0).cast("long")) < LEAST_WINDOWS)
+        .select(
+            *item, F.length("text").alias("n_chars"), F.coalesce("n", F.lit(0).cast("long")).alias("n_windows"),
+            F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("tokens"),
+        )
+        .select(*item, "n_chars", "n_windows", "tokens", F.explode(F.array(*forms)).alias("f"))
+        .select(*item, "n_chars", "n_windows", "tokens", F.size("tokens").alias("size"), "f.*")
         .withColumn("head", F.least("size", F.lit(WINDOW)))
-        .where((F.col("size") > 0) & (F.col("n_windows") < LEAST_WINDOWS))
+        .where((F.col("size") > 0) & ((F.col("form") == "own") | ((F.size("slots") > 0) & (around >= LEAST_WORDS_AROUND_SLOTS))))
         .select(
-            *item, "n_chars", "n_windows", "size", "head",
+            *item, "n_chars", "n_windows", "size", "form", "slots", "head",
             F.xxhash64(F.slice("marks", F.lit(1), F.col("head"))).alias("hash"), F.xxhash64("marks").alias("whole"),
         )
     )
 
 
-def _verbatim(documents: DataFrame, sequences: DataFrame) -> DataFrame:
+def _as_a_whole(documents: DataFrame, sequences: DataFrame) -> DataFrame:
     """``doc_id, text_hash, item_id, item_hash, n_windows, coverage``: documents with all words of an item in order."""
     pair = ["doc_id", "text_hash", "item_id", "item_hash"]
     result = [*pair, "n_windows", F.lit(1.0).alias("coverage")]
-    sizes = sorted(tuple(r) for r in sequences.groupBy("head", "size").agg(F.max("n_chars")).collect())
+    sizes = sorted(tuple(r) for r in sequences.groupBy("form", "head", "size").agg(F.max("n_chars")).collect())
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     if not sizes:
         return texts.where(F.lit(False)).join(sequences).select(*result)
     passes = _passes(sequences)
-    marked = _words(texts, "doc_id", "text_hash", overlap=max(OVERLAP, 2 * max(n_chars for _, _, n_chars in sizes)))
+    overlap = max(OVERLAP, 2 * max(n_chars for *_, n_chars in sizes))
+    blocks = _blocks(texts, "doc_id", "text_hash", token=WORD, overlap=overlap)
 
     def heads(head: int) -> Column:
         last = F.size("marks") - head
@@ -242,20 +259,27 @@ def _verbatim(documents: DataFrame, sequences: DataFrame) -> DataFrame:
         return F.when(last == 0 if head == 1 else last >= 0, each)
 
     found = None
-    for head in sorted({head for head, _, _ in sizes}):
-        longer = F.array(*[F.lit(size) for h, size, _ in sizes if h == head])
+    for form, head in sorted({(form, head) for form, head, _, _ in sizes}):
+        marked = blocks.select("doc_id", "text_hash", "tokens", _forms("tokens")[form].alias("marks"))
+        longer = F.array(*[F.lit(size) for f, h, size, _ in sizes if (f, h) == (form, head)])
+        values = _slots(F.col("tokens"), names=False) if form == "template" else F.array().cast("array<string>")
         wholes = F.transform(
             F.filter(longer, lambda n: n <= F.size("marks") - F.col("at")),
-            lambda n: F.xxhash64(F.slice("marks", F.col("at") + 1, n)),
+            lambda n: F.struct(F.xxhash64(F.slice("marks", F.col("at") + 1, n)).alias("whole"), n.alias("size")),
         )
         passed = (
-            marked.select("doc_id", "text_hash", "marks", F.posexplode_outer(heads(head)).alias("at", "hash"))
+            marked.select("doc_id", "text_hash", "tokens", "marks", F.posexplode_outer(heads(head)).alias("at", "hash"))
             .where(F.col("hash").isNotNull() & passes)
-            .select("doc_id", "text_hash", F.lit(head).alias("head"), F.explode_outer(wholes).alias("whole"))
+            .select("doc_id", "text_hash", "tokens", "at", F.explode_outer(wholes).alias("w"))
+            .withColumn("tokens", F.slice("tokens", F.col("at") + 1, F.col("w.size")))
+            .select("doc_id", "text_hash", F.lit(form).alias("form"), F.lit(head).alias("head"), F.col("w.whole").alias("whole"), values.alias("ours"))
             .distinct()
         )
         found = passed if found is None else found.unionByName(passed)
-    return found.join(sequences, ["head", "whole"]).select(*result).distinct()
+    # One value of the item is one value of the document.
+    bound = F.arrays_zip(F.col("slots").alias("theirs"), F.col("ours"))
+    consistent = F.size(F.array_distinct(bound)) == F.size(F.array_distinct("slots"))
+    return found.join(sequences, ["form", "head", "whole"]).where(consistent).select(*result).distinct()
 
 
 def _parts(met: DataFrame) -> DataFrame:
@@ -332,8 +356,8 @@ def contaminated(
     share and number of an item's windows found. An item is held with at least
     ``min_coverage`` of its windows, at least ``LEAST_WINDOWS``, or with ``long_run`` that follow
     one another in both. An item with fewer windows (of five tokens, three of them literal
-    words) is held where all its words stand in order; one of a single word where the document
-    is nothing else. Null and empty texts
+    words) is held where all its words stand in order, numbers and units possibly others in
+    consistent slots; one of a single word where the document is nothing else. Null and empty texts
     hold nothing and are held by nothing. Repeated rows give one row; rows with a null id are
     told apart by their text. Other columns are ignored, whatever their names.
     """
@@ -348,7 +372,7 @@ def contaminated(
         .withColumn("coverage", F.col("n_windows") / F.col("all_windows"))
         .where(((F.col("coverage") >= min_coverage) & (F.col("n_windows") >= LEAST_WINDOWS)) | (F.col("run") >= long_run))
         .select(*pair, "n_windows", "coverage")
-        .unionByName(_verbatim(documents, stored(benchmark_sequences(benchmark, index))))
+        .unionByName(_as_a_whole(documents, stored(benchmark_sequences(benchmark, index))))
     )
     return found.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_set("item_id")).alias("items"),

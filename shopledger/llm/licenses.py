@@ -25,8 +25,18 @@ BASE_PHRASES = (
     ("apache-2", "apache license version 2"),
     ("cc-by-nc", "cc by nc"),
 )
-# Sentences and paragraphs that licences ask to be kept with a work.
+# Sentences and paragraphs that licences ask to be kept with a work, and tags. A licence that differs
+# from another by a word has a template of its own, whose span then holds the other's.
 TEMPLATES = (
+    ("mit", "SPDX-License-Identifier: MIT"),
+    ("apache-2", "SPDX-License-Identifier: Apache-2.0"),
+    ("bsd", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("mpl-2", "SPDX-License-Identifier: MPL-2.0"),
+    ("gpl-2", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("gpl-3", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("lgpl-3", "SPDX-License-Identifier: LGPL-3.0-only"),
+    ("agpl-3", "SPDX-License-Identifier: AGPL-3.0-only"),
+    ("isc", "SPDX-License-Identifier: ISC"),
     ("mit", "Released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files, to deal in the Software without restriction, including without limitation the rights to "
@@ -38,12 +48,26 @@ TEMPLATES = (
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("cc-by-nc-nd", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    ("cc0", "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to "
+            "this software to the public domain worldwide"),
+    ("cc0", "CC0 1.0 Universal Public Domain Dedication"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
+    ("lgpl-3", "This work is licensed under the GNU Lesser General Public License, version 3"),
+    ("agpl-3", "This work is licensed under the GNU Affero General Public License, version 3"),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
             "Public License as published by the Free Software Foundation"),
+    ("lgpl", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+             "Public License as published by the Free Software Foundation"),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+             "Public License as published by the Free Software Foundation"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
             "the following conditions are met"),
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("epl-2", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
             "granted, provided that the above copyright notice and this permission notice appear in all copies"),
 )

@@ -111,3 +111,15 @@ def test_few_or_scattered_windows_are_no_evidence(spark):
         (4, "filler " * 50 + " ".join(words[30:56]) + " filler" * 50), (5, " ".join([*words[30:42], "other", *words[43:60]])),
     ]
     assert flagged(spark, docs, [(1, "What is the capital of France?"), (2, long)]) == {(2, (1,)), (4, (2,)), (5, (2,))}
+
+
+def test_short_items_with_other_numbers(spark):
+    items = [
+        (1, "What is 15 % of 240 ?"), (2, "Compute the sum of 12 and 30 ."), (3, "What is the capital of France?"), (4, "Add 7 to 7 and halve it"),
+        (5, "Compute 12 + 30"),
+    ]
+    docs = [
+        (1, "So: What is 20 % of 310 ? Well."), (2, "compute the sum of 44 and 51."), (3, "Lyon is the capital of Gaul"), (4, "add 9 to 9 and halve it"),
+        (5, "add 9 to 8 and halve it"), (6, "Compute 44 + 51"), (7, "what is 20 of 310"), (8, "WHAT IS 3.5 km OF 9"), (9, "x " * 60000 + "what is 1 € of 2"),
+    ]
+    assert flagged(spark, docs, items) == {(1, (1,)), (2, (2,)), (4, (4,)), (8, (1,)), (9, (1,))}

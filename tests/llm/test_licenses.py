@@ -107,7 +107,10 @@ def labels(text, tool=None):
 
 def test_templates_that_share_words_each_get_their_match():
     text = "This work is licensed under a Creative Commons Attribution{} 4.0 International License"
-    assert labels(text.format("-NonCommercial-ShareAlike")) == {"cc-by-nc", "cc-by-sa"}
+    assert labels(text.format("-NonCommercial-ShareAlike")) == {"cc-by-nc-sa"}
+    # Without a template of its own the one is found in parts as both.
+    known = [t for t in licenses.TEMPLATES if t[0] in ("cc-by-nc", "cc-by-sa")]
+    assert labels(text.format("-NonCommercial-ShareAlike"), licenses.automaton((), tuple(known))) == {"cc-by-nc", "cc-by-sa"}
     assert labels(text.format("-NonCommercial")) == {"cc-by-nc"}
     assert labels(text.format("")) == {"cc-by"}
     # The longer match goes on in another template where this one ends.
@@ -132,3 +135,18 @@ def test_matches_at_every_place_against_search():
                         k += 1
                     want |= {(n, p, k)} if k >= licenses.MIN_MATCH else set()
             assert got == want
+
+
+def test_every_template_has_its_own_label_and_no_other():
+    tool = licenses.automaton()
+
+    def labels(text):
+        spans = tool.scan(licenses.pieces_of(text.encode()))[2]
+        return {s[2] for s in licenses.own_spans([s for s in spans if s[3] >= licenses.MIN_COVERAGE])}
+
+    for label, text in licenses.TEMPLATES:
+        assert labels(text) == {label}, text
+        assert labels(f"Some words before. {text.upper()}, and some after it.") == {label}, text
+    licence = "This work is licensed under a Creative Commons Attribution-{} 4.0 International License."
+    for kind, label in (("NoDerivatives", "cc-by-nd"), ("NonCommercial-NoDerivatives", "cc-by-nc-nd"), ("NonCommercial-ShareAlike", "cc-by-nc-sa")):
+        assert labels(licence.format(kind)) == {label}
