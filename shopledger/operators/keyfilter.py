@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Longs of the bitmap: half a megabyte. It does not grow with the keys; beyond some millions of
+# Longs of the bitmap: a quarter of a megabyte. It does not grow with the keys; beyond some millions of
 # them it lets most rows through, and whatever follows does the work it did without it.
-WORDS = 1 << 16
+WORDS = 1 << 15
 
 
 def may_match(frame: DataFrame, keys: Sequence[str], wanted: DataFrame, words: int = WORDS) -> DataFrame:

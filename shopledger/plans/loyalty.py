@@ -9,6 +9,8 @@ date month by month (``plans/history.py``).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +33,13 @@ def _buyers(rows: DataFrame) -> DataFrame:
     return rows.groupBy("customer_id").agg(F.sum(signed(F.col("net_amount"))).alias("sales"))
 
 
-def _with_earlier(buyers: DataFrame, earlier: DataFrame) -> DataFrame:
-    """Buyers with ``had_earlier``: a row of ``earlier`` has their customer; never for a NULL customer."""
-    held = may_match(earlier.select("customer_id"), ["customer_id"], buyers).distinct()
-    return buyers.join(held.withColumn("had_earlier", F.lit(True)), "customer_id", "left")
+def _with_earlier(buyers: DataFrame, sold: DataFrame, earlier: DataFrame, keys: Sequence[str] = ("customer_id",)) -> DataFrame:
+    """Buyers with ``had_earlier``: a row of ``earlier`` has their keys; never for a NULL key.
+
+    ``sold`` has the rows that the buyers were summed from, and may have more.
+    """
+    held = may_match(earlier.select(*keys), keys, sold).distinct()
+    return buyers.join(held.withColumn("had_earlier", F.lit(True)), list(keys), "left")
 
 
 def _labelled(buyers: DataFrame) -> DataFrame:
@@ -46,17 +51,17 @@ def _labelled(buyers: DataFrame) -> DataFrame:
 def pie_by_earlier_invoice(t: Tables, p: ReportParams) -> DataFrame:
     """Existing if there is an earlier invoice in the same scope; never for a NULL customer."""
     stores = store_ids(t.stores, p)
-    buyers = _buyers(with_store(scoped_invoices(t.invoices, p), stores))
+    sold = scoped_invoices(t.invoices, p)
     earlier = with_store(before(scope(t.invoices, p), "invoice_date_time", p.period), stores)
-    return _labelled(_with_earlier(buyers, earlier)).select("customer_id", "customertype", "sales")
+    return _labelled(_with_earlier(_buyers(with_store(sold, stores)), sold, earlier)).select("customer_id", "customertype", "sales")
 
 
 @takes("legal_entity_ids", "store_ids", "region_ids")
 def pie_by_earlier_invoice_loose(t: Tables, p: ReportParams) -> DataFrame:
     """As above, but the earlier invoice need not have a store or the legal entity."""
-    buyers = _buyers(with_store(scoped_invoices(t.invoices, p), store_ids(t.stores, p)))
+    sold = scoped_invoices(t.invoices, p)
     earlier = before(company_scope(t.invoices, p), "invoice_date_time", p.period)
-    return _labelled(_with_earlier(buyers, earlier))
+    return _labelled(_with_earlier(_buyers(with_store(sold, store_ids(t.stores, p))), sold, earlier))
 
 
 @takes("region_ids")
@@ -69,17 +74,17 @@ def pie_by_first_date(t: Tables, p: ReportParams, first: DataFrame | None = None
     invoices before the period are read.
     """
     stores = store_ids(t.stores, p)
-    in_period = in_periods(t.invoices, "invoice_date_time", p.period).where(companies_of(p))
-    buyers = _buyers(with_store(in_period, stores))
+    sold = in_periods(t.invoices, "invoice_date_time", p.period).where(companies_of(p))
     if first is None:
         earlier = before(t.invoices, "invoice_date_time", p.period)
     else:
         earlier = first.where(F.col("first_purchase_date") < ntz(p.period.start))
-    earlier = with_store(earlier, stores)
-    # The one customer that NULL stands for, beside those that have an id.
-    nobody = earlier.where(F.col("customer_id").isNull()).agg((F.count(F.lit(1)) > 0).alias("earlier")).scalar()
-    existing = F.when(F.col("customer_id").isNull(), nobody).otherwise(F.col("had_earlier"))
-    found = _with_earlier(buyers, earlier).withColumn("had_earlier", existing)
+    # The one customer that NULL stands for is a key like the others.
+    nobody, somebody = F.col("customer_id").isNull().alias("_nobody"), F.coalesce("customer_id", F.lit(0).cast("bigint")).alias("_customer")
+    buyers = _buyers(with_store(sold, stores)).withColumns({"_nobody": nobody, "_customer": somebody})
+    found = _with_earlier(
+        buyers, sold.select(nobody, somebody), with_store(earlier, stores).select(nobody, somebody), ("_nobody", "_customer")
+    )
     return _labelled(found).orderBy(largest_first("customer_id"))
 
 

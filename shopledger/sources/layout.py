@@ -114,3 +114,23 @@ def write_months(tables: Tables, directory: str) -> None:
     for name, key in INVOICE_KEYS.items():
         own = tables[name].join(ids, F.col(key) == F.col("_invoice"), "left_semi")
         write_of_invoices(own, key, tables.invoices, f"{directory}/{name}", replace_all=False)
+
+
+def write_bucketed(tables: Tables, database: str, buckets: int) -> None:
+    """Invoices, lines and payments as catalog tables bucketed and sorted by invoice, the others as they are.
+
+    A join of invoices with their lines or payments then needs no exchange. That has a price: a
+    join without an exchange is not split by the adaptive planner, so an invoice with very many
+    lines or payments is one task's work again. Meant for data known to have no such invoice;
+    nothing uses it by itself. Read with ``Tables.from_catalog``.
+    """
+    from shopledger.sources.schemas import SCHEMAS
+
+    keys = {"sales_invoice_header": "id", **INVOICE_KEYS}
+    for name in SCHEMAS:
+        writer = tables[name].write.mode("overwrite").format("parquet")
+        if name in keys:
+            # One task per bucket writes one file per bucket.
+            writer = tables[name].repartition(buckets, keys[name]).write.mode("overwrite").format("parquet")
+            writer = writer.bucketBy(buckets, keys[name]).sortBy(keys[name])
+        writer.saveAsTable(f"{database}.{name}")
