@@ -31,9 +31,10 @@ BUCKETS = 1 << BUCKET_BITS
 FIT_ROWS = 6_000
 SHARDS = 8
 EPOCHS = 5
-# Labels learned on their own, the most frequent ones; beyond, the rest is learned as one label.
-MAX_LANGUAGES = 400
-OTHER = "other"
+# Labels that are trained together, which bounds a task's memory; with more, each group learns its labels against the rest.
+GROUP = 400
+# Labels that the fitted sample has rows of, the most frequent ones. Rarer ones are not learned, and so never predicted.
+MAX_LANGUAGES = 1_000
 # Characters of a long text that are counted at a time.
 PIECE = 1 << 20
 # FTRL: learning rate and its smoothing, L1 and L2 penalties.
@@ -157,32 +158,32 @@ def _sample(labelled: DataFrame, rows_of: dict[str, int], fit_rows: int) -> Data
     """
     share = fit_rows / max(1, len(rows_of))
     draw = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 20))
-    limit = F.lit(0)
-    for language, n in rows_of.items():
-        limit = F.when(F.col("lang") == language, math.ceil(min(1.0, share / n) * (1 << 20))).otherwise(limit)
+    limits = [(language, math.ceil(min(1.0, share / n) * (1 << 20))) for language, n in rows_of.items()]
+    # One row per learned label, a thousand at most.
+    limited = labelled.join(F.broadcast(labelled.sparkSession.createDataFrame(limits, "lang string, limit int")), "lang")
     slot = F.pmod(F.xxhash64("doc_id", "text", F.lit("slot")), F.lit(SHARDS + 2))
-    return labelled.where(draw < limit).select("text", "lang", slot.cast("int").alias("slot"))
+    return limited.where(draw < F.col("limit")).select("text", "lang", slot.cast("int").alias("slot"))
 
 
 def train(documents: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """A model of the labelled rows ``(doc_id, text, lang)``: those with a text and a language.
 
-    What the driver receives is bounded: one number per bucket, at most ``SHARDS`` x buckets x
-    languages weights, and the calibration rows' logits, a fifth of ``fit_rows`` x languages.
-    With more than ``MAX_LANGUAGES`` labels the rarest are learned as one, ``OTHER``.
+    What the driver receives is bounded: one number per bucket, the weights that are not zero as
+    one packed row per shard and language, and the calibration rows' logits, a fifth of
+    ``fit_rows`` x languages. The sample has rows of ``MAX_LANGUAGES`` labels at most; document
+    frequencies are counted over all labelled rows. With more than ``GROUP`` labels, groups of
+    them are trained on the whole sample, each against one class for all other labels, whose
+    weights are taken off; all labels then share one softmax.
     """
     labelled = documents.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    named = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
+    named = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     rows_of = {r["lang"]: r["count"] for r in named}
-    if len(named) > MAX_LANGUAGES:
-        own = [r["lang"] for r in named[: MAX_LANGUAGES - 1]]
-        labelled = labelled.withColumn("lang", F.when(F.col("lang").isin(own), F.col("lang")).otherwise(OTHER))
-        rows_of = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     languages = sorted(rows_of)
     if not languages:
         return Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), 1.0)
     frequencies = document_frequencies(labelled)
-    idf = np.log((1.0 + sum(rows_of.values())) / (1.0 + frequencies)) + 1.0
+    all_rows = labelled.count() if len(languages) == MAX_LANGUAGES else sum(rows_of.values())
+    idf = np.log((1.0 + all_rows) / (1.0 + frequencies)) + 1.0
     number = {language: i for i, language in enumerate(languages)}
 
     def vectors(texts: list, langs: list, slots: list) -> Iterator[dict]:
@@ -197,16 +198,27 @@ def train(documents: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     chosen = _sample(labelled, rows_of, fit_rows)
     rows = stored(by_batch(chosen, ["text", "lang", "slot"], vectors, "label int, slot int, at array<int>, values array<double>"))
 
-    def train_shard(shard: pd.DataFrame) -> pd.DataFrame:
+    firsts = range(0, len(languages), GROUP)
+
+    def train_shard(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
         order = sorted(zip(shard["label"], shard["at"], shard["values"]), key=lambda r: (zlib.crc32(r[2].tobytes()), r[0]))
-        found = ftrl(order, len(languages))
-        at, label = np.nonzero(found)
-        return pd.DataFrame({"at": at.astype(np.int32), "label": label.astype(np.int32), "weight": found[at, label]})
-
-    trained = rows.where(F.col("slot") < SHARDS).groupBy("slot").applyInPandas(train_shard, "at int, label int, weight double")
-    weights = np.zeros((BUCKETS, len(languages)))
-    for at, label, total in trained.groupBy("at", "label").agg((F.sum("weight") / SHARDS).alias("w")).collect():
-        weights[at, label] = total
+        first = key[1]
+        size = min(GROUP, len(languages) - first)
+        # One more class stands for the labels of other groups.
+        own = [(label - first if first <= label < first + size else size, at, values) for label, at, values in order]
+        found = ftrl(own, size + (len(firsts) > 1))
+        if len(firsts) > 1:
+            found = found[:, :size] - found[:, size:]
+        at = [np.flatnonzero(found[:, i]).astype(np.int32) for i in range(size)]
+        made = {"slot": key[0], "label": range(first, first + size), "at": at, "weight": [found[x, i] for i, x in enumerate(at)]}
+        return pd.DataFrame(made)
+
+    grouped = rows.where(F.col("slot") < SHARDS).withColumn("first", F.explode(F.array(*[F.lit(i) for i in firsts])))
+    packed = "slot int, label int, at array<int>, weight array<double>"
+    trained = grouped.groupBy("slot", "first").applyInPandas(train_shard, packed).collect()
+    weights = np.zeros((BUCKETS, len(languages)), np.float32 if len(firsts) > 1 else np.float64)
+    for _, label, at, weight in sorted(trained, key=lambda r: (r["slot"], r["label"])):
+        weights[at, label] += np.asarray(weight) / SHARDS
     unseen = rows.where(F.col("slot") >= SHARDS)
     return Model(languages, idf, weights.astype(np.float32), _temperature(unseen, weights))
 

