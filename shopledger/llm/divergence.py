@@ -30,6 +30,8 @@ TOP_TERMS = 10
 SCALE = 1_000_000_000
 # Bytes of the first level's prefixes; each level doubles them.
 FIRST_PREFIX = 4
+# A bit of the keys that are sent and that the bitmap does not read.
+OPEN = 1 << 16
 # Cells (terms x sources) of a block of the comparison of sources.
 CELLS = 1 << 19
 
@@ -128,7 +130,7 @@ def _prefixes(documents: DataFrame, level: int, bits: np.ndarray, min_docs: int)
     """``key``: the prefixes of a level that at least ``min_docs`` documents of a language hold.
 
     A prefix is known by its key; keys that collide and texts that span blocks only make a
-    count larger. The lowest bit of a key is set if the prefix has the level's full size, so
+    count larger. The bit ``OPEN`` of a key is set if the prefix has the level's full size, so
     that it may be extended. ``bits`` tells which prefixes of the level before are.
     """
     size = FIRST_PREFIX << level
@@ -154,8 +156,8 @@ def _prefixes(documents: DataFrame, level: int, bits: np.ndarray, min_docs: int)
             first = np.zeros(int(prefix.max(initial=-1)) + 1, np.int64)
             first[prefix] = np.arange(len(prefix))
             row, number = _distinct(row, prefix[number])
-            keys = _keys(values[first[number]], seeds[lang_of[row]], level) & np.uint64((1 << 64) - 2)
-            yield np.unique(keys | (ends - starts >= size)[first[number]].astype(np.uint64), return_counts=True)
+            keys = _keys(values[first[number]], seeds[lang_of[row]], level) & np.uint64((1 << 64) - 1 - OPEN)
+            yield np.unique(keys | (ends - starts >= size)[first[number]].astype(np.uint64) * np.uint64(OPEN), return_counts=True)
 
     return tokens.frequent_keys(documents, ["lang", "text"], counted, min_docs)
 
@@ -171,7 +173,7 @@ def kept_terms(documents: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     while more:
         prefixes = stored(_prefixes(chosen, level, bits, min_docs))
         bits |= sieve.bitmap(prefixes)
-        more = bool(prefixes.where("key & 1 = 1").take(1))
+        more = bool(prefixes.where(F.col("key").bitwiseAND(F.lit(OPEN).cast("long")) != 0).take(1))
         level += 1
     buckets = tokens.buckets_of(chosen)
 
