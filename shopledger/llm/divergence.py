@@ -30,6 +30,8 @@ TOP_TERMS = 10
 SCALE = 1_000_000_000
 # Bytes of the first level's prefixes; each level doubles them.
 FIRST_PREFIX = 4
+# Prefixes that are merged before they leave a task.
+MERGE = 1 << 19
 # A bit of the keys that are sent and that the bitmap does not read.
 OPEN = 1 << 16
 # Cells (terms x sources) of a block of the comparison of sources.
@@ -159,7 +161,7 @@ def _prefixes(documents: DataFrame, level: int, bits: np.ndarray, min_docs: int)
             keys = _keys(values[first[number]], seeds[lang_of[row]], level) & np.uint64((1 << 64) - 1 - OPEN)
             yield np.unique(keys | (ends - starts >= size)[first[number]].astype(np.uint64) * np.uint64(OPEN), return_counts=True)
 
-    return tokens.frequent_keys(documents, ["lang", "text"], counted, min_docs)
+    return tokens.frequent_keys(documents, ["lang", "text"], counted, min_docs, MERGE)
 
 
 def kept_terms(documents: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:

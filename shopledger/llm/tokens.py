@@ -92,12 +92,14 @@ def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[heads], np.add.reduceat(counts, heads, dtype=counts.dtype) if len(keys) else counts
 
 
-def frequent_keys(frame: DataFrame, columns: list[str], counted: Callable[..., Iterator[tuple]], least: int) -> DataFrame:
+def frequent_keys(
+    frame: DataFrame, columns: list[str], counted: Callable[..., Iterator[tuple]], least: int, merge: int | None = None
+) -> DataFrame:
     """``key``: the keys whose counts, over all that ``counted(*lists)`` yields, sum to at least ``least``.
 
     Keys are cut to their high 48 bits and counted as such, so none is lost and few others are let through.
     """
-    buckets = buckets_of(frame)
+    buckets, merge = buckets_of(frame), merge or MERGE
 
     def packed(found: list[np.ndarray], counts: list[np.ndarray]) -> dict:
         keys, total = _sums(np.concatenate(found), np.concatenate(counts))
@@ -116,10 +118,10 @@ def frequent_keys(frame: DataFrame, columns: list[str], counted: Callable[..., I
         for keys, n in counted(*lists):
             found.append(keys & _CUT)
             counts.append(n.astype(np.uint32))
-            if sum(map(len, found)) > MERGE:
+            if sum(map(len, found)) > merge:
                 keys, n = _sums(np.concatenate(found), np.concatenate(counts))
                 found, counts = [keys], [n]
-                if len(keys) > MERGE // 2:
+                if len(keys) > merge // 2:
                     yield packed(found, counts)
                     found, counts = [], []
         if found:
