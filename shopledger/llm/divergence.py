@@ -32,10 +32,12 @@ SCALE = 1_000_000_000
 FIRST_PREFIX = 4
 # Prefixes that are merged before they leave a task.
 MERGE = 1 << 19
+# Terms of groups that are held before they leave a task.
+HELD = 1 << 19
 # A bit of the keys that are sent and that the bitmap does not read.
 OPEN = 1 << 16
 # Cells (terms x sources) of a block of the comparison of sources.
-CELLS = 1 << 19
+CELLS = 1 << 17
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -218,14 +220,19 @@ def kept_terms(documents: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
                         }
                     )
                 )
+            if sum(map(len, made)) > HELD:
+                made = [_added(pa.concat_tables(made), ["group", "value", "term"])]
+                if len(made[0]) > HELD // 2:
+                    yield _sent(made[0], names, seeds, buckets)
+                    made = []
         if made:
             yield _sent(_added(pa.concat_tables(made), ["group", "value", "term"]), names, seeds, buckets)
 
     def decided(bucket: pa.Table) -> pa.Table:
         per_source = _added(tokens.unpacked(bucket), list(_INNER))
-        total = per_source.group_by(["lang", "term"]).aggregate([("docs", "sum"), ("count", "sum")])
+        total = per_source.group_by(["lang", "term"], use_threads=False).aggregate([("docs", "sum"), ("count", "sum")])
         total = total.filter(pa.compute.greater_equal(total["docs_sum"], min_docs)).select(["lang", "term", "count_sum"])
-        kept = per_source.join(total.rename_columns(["lang", "term", "total"]), ["lang", "term"], join_type="inner")
+        kept = per_source.join(total.rename_columns(["lang", "term", "total"]), ["lang", "term"], join_type="inner", use_threads=False)
         return kept.select([*_INNER, "count", "total"])
 
     sent = by_batch(chosen, ["lang", "source", "text"], work, "bucket int, rows binary")
@@ -234,7 +241,8 @@ def kept_terms(documents: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 
 def _added(rows: pa.Table, keys: list[str]) -> pa.Table:
-    summed = rows.group_by(keys).aggregate([("docs", "sum"), ("count", "sum")])
+    # One thread, as a task has one core; each further one would build tables of its own.
+    summed = rows.group_by(keys, use_threads=False).aggregate([("docs", "sum"), ("count", "sum")])
     return summed.rename_columns([*keys, "docs", "count"])
 
 
