@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shopledger.llm import decontamination as d
+from shopledger.llm import sharding as s
 
 
 def _list(words: list[str]) -> str:
@@ -76,6 +77,15 @@ def warc() -> str:
         case when page_id is distinct from first then first end as refers_to from firsts"""
 
 
+def sharding() -> str:
+    """The slot by the digest of the id's text, and the filled table beside it as a literal."""
+    shards = ",".join(map(str, s.lookup_table(s.names())))
+    return f"""with filled as (select unnest(range({s.SLOTS})) as slot, unnest(string_split('{shards}', ','))::integer as shard),
+        placed as (select doc_id, ('0x' || substr(md5(coalesce(doc_id::bigint::varchar, '')), 1, 15))::bigint % {s.SLOTS} as slot
+            from documents)
+        select doc_id, slot, shard from placed join filled using (slot)"""
+
+
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 

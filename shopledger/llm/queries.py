@@ -100,6 +100,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def all_oracles() -> dict[str, str]:
     return {
+        "op3_sharding": oracles.sharding(),
         "op4_decontamination": oracles.decontamination(),
         "op7_embeddings": oracles.embeddings(),
         "op8_warc": oracles.warc(),

@@ -7,7 +7,7 @@ from shopledger.llm import queries
 from shopledger_checks.compare import duckdb_rows, spark_rows
 
 SMALL = "/root/testdata/sf0.01"
-TABLE = {"op7_embeddings": "embeddings", "op8_warc": "pages"}
+TABLE = {"op3_sharding": "documents", "op7_embeddings": "embeddings", "op8_warc": "pages"}
 
 
 def both(spark, key, folder, files):
