@@ -1,12 +1,13 @@
 """The shared derived tables.
 
 Each takes base frames and returns a frame; a caller that has a scope or a period
-filters the base frame first. ``register`` publishes them as temporary views.
+filters the base frame first. ``keep`` names further columns of the base rows that come last.
+``register`` publishes them as temporary views.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from shopledger.functions.amounts import (
 )
 from shopledger.functions.calendar import month_start
 from shopledger.functions.flags import full_name
+from shopledger.operators.ranking import PLACE, first_rows
 from shopledger.operators.stores import store_ids, with_store
 from shopledger.sources.tables import Tables
 
@@ -134,7 +136,7 @@ _LINE_SCOPE = ("store_id", "invoice_date_time", "company_id", "tenant_id", "lega
 _HEADER_ORDER = ("store_id", "customer_id", "invoice_date_time", "payment_status", "company_id", "tenant_id", "legal_entity_id")
 
 
-def service_product_sales(invoices: DataFrame, lines: DataFrame, products: DataFrame) -> DataFrame:
+def service_product_sales(invoices: DataFrame, lines: DataFrame, products: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per invoice line of a service product; returned quantities stay positive."""
     services = products.where(F.col("product_classification") == "SERVICE_PRODUCT").select(
         F.col("id").alias("product_id"),
@@ -147,11 +149,13 @@ def service_product_sales(invoices: DataFrame, lines: DataFrame, products: DataF
     return (
         _invoice_lines(invoices, lines)
         .join(services, "product_id")
-        .select(*services.columns, *_LINE_SCOPE, signed(_net()).alias("net_amount"), "quantity")
+        .select(*services.columns, *_LINE_SCOPE, signed(_net()).alias("net_amount"), "quantity", *keep)
     )
 
 
-def category_sales(invoices: DataFrame, lines: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
+def category_sales(
+    invoices: DataFrame, lines: DataFrame, products: DataFrame, categories: DataFrame, keep: Sequence[str] = ()
+) -> DataFrame:
     """One row per invoice line of a standard product; a return takes its returned quantity off."""
     standard = products.where(F.col("product_classification") == "STANDARD_PRODUCT").select(
         F.col("id").alias("product_id"), F.col("product_category_id").alias("category_id")
@@ -169,6 +173,7 @@ def category_sales(invoices: DataFrame, lines: DataFrame, products: DataFrame, c
             *_HEADER_ORDER,
             signed(_net()).alias("net_amount"),
             signed(F.col("quantity"), F.col("return_quantity")).alias("quantity"),
+            *keep,
         )
     )
 
@@ -176,7 +181,7 @@ def category_sales(invoices: DataFrame, lines: DataFrame, products: DataFrame, c
 # --- customers ------------------------------------------------------------------
 
 
-def customer_sales(invoices: DataFrame, customers: DataFrame, stores: DataFrame) -> DataFrame:
+def customer_sales(invoices: DataFrame, customers: DataFrame, stores: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per invoice with a known customer and store, of whatever invoice type."""
     people = customers.select(
         F.col("id").alias("customer_id"),
@@ -185,7 +190,7 @@ def customer_sales(invoices: DataFrame, customers: DataFrame, stores: DataFrame)
     )
     places = stores.select(F.col("id").alias("store_id"), "region_id")
     sold = invoices.select(
-        "customer_id", *SCOPE_COLUMNS, "pos_id", "invoice_date_time", "payment_status", signed(_net()).alias("amount")
+        "customer_id", *SCOPE_COLUMNS, "pos_id", "invoice_date_time", "payment_status", signed(_net()).alias("amount"), *keep
     )
     return (
         sold.join(places, "store_id")
@@ -200,31 +205,35 @@ def customer_sales(invoices: DataFrame, customers: DataFrame, stores: DataFrame)
             "amount",
             "customer_class_id",
             "region_id",
+            *keep,
         )
     )
 
 
-def customer_loyalty(invoices: DataFrame, stores: DataFrame) -> DataFrame:
+def customer_loyalty(
+    invoices: DataFrame, stores: DataFrame, history: DataFrame | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """Every stored invoice with the customer's first invoice time over all companies.
 
     The first time comes from an aggregate joined back, not from a window: walk-in
     sales share one (NULL) customer, and a window would sort all of them in one
     task, while the aggregate combines them before the shuffle and the join can be
-    split. Invoices without a customer share one first time (null-safe join).
+    split. Invoices without a customer share one first time (null-safe join). ``history``
+    has the invoices that decide the first time, if ``invoices`` are not all.
     """
     sold = with_store(invoices, store_ids(stores)).select(
-        "customer_id",
-        *SCOPE_COLUMNS,
-        "invoice_date_time",
-        signed(_net()).alias("effective_amount"),
+        "customer_id", *SCOPE_COLUMNS, "invoice_date_time", signed(_net()).alias("effective_amount"), *keep
     )
-    first = sold.groupBy(F.col("customer_id").alias("_customer")).agg(
+    past = sold if history is None else with_store(history, store_ids(stores))
+    first = past.groupBy(F.col("customer_id").alias("_customer")).agg(
         F.min("invoice_date_time").alias("first_purchase_date")
     )
-    return sold.join(first, F.col("customer_id").eqNullSafe(F.col("_customer"))).drop("_customer")
+    return sold.join(first, F.col("customer_id").eqNullSafe(F.col("_customer"))).select(
+        "customer_id", *SCOPE_COLUMNS, "invoice_date_time", "effective_amount", "first_purchase_date", *keep
+    )
 
 
-def customer_activity(customers: DataFrame, invoices: DataFrame) -> DataFrame:
+def customer_activity(customers: DataFrame, invoices: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Every customer beside each of their invoices (one row of NULLs if there is none).
 
     Company and tenant are the customer's: customers without invoices count too. An
@@ -233,7 +242,7 @@ def customer_activity(customers: DataFrame, invoices: DataFrame) -> DataFrame:
     """
     visits = invoices.select("customer_id", "invoice_date_time", "payment_status").where(F.col("customer_id").isNotNull())
     people = customers.select(
-        F.col("id").alias("customer_id"), "is_deleted", "customer_created_on", "company_id", "tenant_id"
+        F.col("id").alias("customer_id"), "is_deleted", "customer_created_on", "company_id", "tenant_id", *keep
     )
     idle = people.join(visits.select("customer_id").distinct(), "customer_id", "left_anti")
     return people.join(visits, "customer_id").unionByName(idle, allowMissingColumns=True)
@@ -281,6 +290,7 @@ def payment_rows(
     methods: DataFrame,
     sub_methods: DataFrame,
     version: str,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per payment with its effective amount.
 
@@ -325,6 +335,7 @@ def payment_rows(
         "legal_entity_id",
         "payment_status",
         "transaction_status",
+        *keep,
     )
 
 
@@ -353,6 +364,48 @@ VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
     "view_dashboard_master_analytics_with_lost": lambda t: master_with_lost(t.invoices, t.orders),
 }
 
+_LINE = ("invoice_id", "product_id", "net_amount", "quantity", "return_quantity")
+
+
+def _of_these(invoices: DataFrame, rows: DataFrame, customer: str) -> DataFrame:
+    """The invoices of the customers of a few held rows; no customer counts as one."""
+    wanted = F.broadcast(rows.select(F.col(customer).alias("_wanted")).distinct())
+    return invoices.join(wanted, F.col("customer_id").eqNullSafe(F.col("_wanted")), "left_semi")
+
+
+def _first_payments(version: str) -> Callable[[Tables], DataFrame]:
+    # The smallest payment ids hold the first cash payment of each invoice of which they hold one.
+    return lambda t: first_rows(
+        t.payments,
+        ("id",),
+        lambda rows: payment_rows(t.invoices, rows, t.payment_methods, t.sub_payment_methods, version, keep=(PLACE,)),
+    )
+
+
+# A look at each view that joins: its first rows by the keys of the table whose rows it lists.
+FIRST: dict[str, Callable[[Tables], DataFrame]] = {
+    "v_product_sales_enriched": lambda t: first_rows(
+        t.lines.select(*_LINE), _LINE, lambda rows: service_product_sales(t.invoices, rows, t.products, keep=(PLACE,))
+    ),
+    "view_category_sales_rows": lambda t: first_rows(
+        t.lines.select(*_LINE), _LINE, lambda rows: category_sales(t.invoices, rows, t.products, t.categories, keep=(PLACE,))
+    ),
+    "view_sales_by_customer_rows": lambda t: first_rows(
+        t.invoices, ("id",), lambda rows: customer_sales(rows, t.customers, t.stores, keep=(PLACE,))
+    ),
+    "view_customer_loyalty_analytics": lambda t: first_rows(
+        t.invoices,
+        ("id",),
+        lambda rows: customer_loyalty(rows, t.stores, _of_these(t.invoices, rows, "customer_id"), keep=(PLACE,)),
+    ),
+    "view_customer_activity_summary": lambda t: first_rows(
+        t.customers, ("id",), lambda rows: customer_activity(rows, _of_these(t.invoices, rows, "id"), keep=(PLACE,))
+    ),
+    "view_sales_by_payment_rows_v1": _first_payments("v1"),
+    "view_sales_by_payment_rows_v2": _first_payments("v2"),
+    "view_sales_by_payment_rows_v3": _first_payments("v3"),
+}
+
 # The name without a version stands for the definition in force.
 CURRENT = {"view_sales_by_payment_rows": "view_sales_by_payment_rows_v2"}
 

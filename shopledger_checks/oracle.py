@@ -670,6 +670,44 @@ VIEWS = {
 }
 
 
+# --- first rows of the views that join, by the keys of the table whose rows they list -----------------
+
+_FIRST_LINES = "order by sold.id, sold.product_id, line_net, sold.quantity, sold.return_quantity"
+
+
+def _first_payments(version):
+    cash = "p.payment_method_type = 'CASH'"
+    if version != "v1":
+        cash += """ and p.id = (select min(f.id) from payment_transactions f
+            where f.sales_invoice_header_id = p.sales_invoice_header_id and f.payment_method_type = 'CASH')"""
+    refund = "when invoice_type = 'RETURNS' then -abs(p.amount)" if version == "v3" else ""
+    return build(
+        f"""select case when p.payment_method_type = 'CARD' and b.name is not null then b.name
+            when p.payment_method_type <> 'CARD' then p.payment_method_type else 'CARD' end as name,
+        case when p.payment_method_type = 'CARD' and b.name is not null then b.image
+            when p.payment_method_type <> 'CARD' then m.image else '' end as image,
+        {num(f"case {refund} when {cash} then p.amount - coalesce(change_amount, 0) else p.amount end")} as amount,
+        store_id, customer_id, invoice_date_time, company_id, tenant_id, legal_entity_id, payment_status, transaction_status
+        from payment_transactions p join sales_invoice_header s on s.id = p.sales_invoice_header_id
+        left join ent_payment_methods m on m.id = p.payment_method_id
+        left join ent_sub_payment_method b on b.id = p.sub_payment_method_id order by p.id limit 10"""
+    )
+
+
+FIRST = {
+    "v_product_sales_enriched": f"{VIEWS['v_product_sales_enriched']} {_FIRST_LINES} limit 10",
+    "view_category_sales_rows": f"{VIEWS['view_category_sales_rows']} {_FIRST_LINES} limit 10",
+    "view_sales_by_customer_rows": f"{VIEWS['view_sales_by_customer_rows']} order by i.id limit 10",
+    "view_customer_loyalty_analytics": build(
+        f"select * exclude (id, amount), {num('amount')} as effective_amount from loyal order by id limit 10",
+        _LOYAL.replace("select customer_id", "select id, customer_id"),
+    ),
+    "view_customer_activity_summary": f"""{VIEWS["view_customer_activity_summary"]} order by customer_id, is_deleted nulls last, customer_created_on nulls last,
+        company_id, tenant_id, invoice_date_time nulls last, payment_status nulls last limit 10""",
+    **{f"view_sales_by_payment_rows_{v}": _first_payments(v) for v in ("v1", "v2", "v3")},
+}
+
+
 def preview(sql: str, columns: list[str]) -> str:
     order = ", ".join(f'"{c}" asc nulls last' for c in columns)
     return f"select * from ({sql}) order by {order} limit 10"
@@ -852,6 +890,7 @@ def all_oracles() -> dict[str, str]:
         "customer_invoice_first_date": loyalty_rows(),
         **VIEWS,
         **{f"preview_{name}": preview(sql, VIEW_COLUMNS[name]) for name, sql in VIEWS.items()},
+        **{f"first_{name}": sql for name, sql in FIRST.items()},
         **LOGS,
         **KEYED,
     }

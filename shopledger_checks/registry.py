@@ -205,6 +205,7 @@ UNSCOPED: dict[str, Callable[[Tables], DataFrame]] = {
     "log_scan": querylog.statements,
     **views.VIEWS,
     **{f"preview_{name}": (lambda t, build=build: preview(build(t))) for name, build in views.VIEWS.items()},
+    **{f"first_{name}": look for name, look in views.FIRST.items()},
 }
 
 
