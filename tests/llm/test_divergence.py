@@ -72,6 +72,13 @@ def test_small_blocks_and_pieces(spark, monkeypatch):
     assert found_with(spark, rows, 3) == brute(rows, 3)
 
 
+def test_terms_that_leave_a_task_in_many_tables(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK", 16)
+    monkeypatch.setattr(divergence, "HELD", 4)
+    rows = random_rows(7) + [("en", "s1", "abc abcd " * 50 + "été")] * 3
+    assert found_with(spark, rows, 3) == brute(rows, 3)
+
+
 def test_long_texts_are_cut_without_loss(spark, monkeypatch):
     monkeypatch.setattr(tokens, "BLOCK", 16)
     text = b"Ab " * 30 + b"q" * 50 + b" ab1cd"
