@@ -83,8 +83,8 @@ def _folded(token: Column) -> Column:
 def _blocks(texts: DataFrame, *keys: str, token: str = TOKEN, overlap: int = OVERLAP) -> DataFrame:
     """``keys, start, tokens``: the tokens of each block of ``text``; positions from ``start`` differ between blocks."""
     length = F.length("text")
-    starts = F.sequence(F.lit(0), F.floor((length - 1) / BLOCK).cast("int"))
-    cut = F.transform(starts, lambda i: F.col("text").substr(i * BLOCK + 1, F.lit(BLOCK + overlap)))
+    # One walk over the text: each match moves on by a block, and looks ahead over the overlap too.
+    cut = F.regexp_extract_all("text", F.lit(rf"(?s)(?=(.{{1,{BLOCK + overlap}}}+)).{{1,{BLOCK}}}+"), F.lit(1))
     blocks = F.when(length <= BLOCK + overlap, F.array("text")).otherwise(cut)
     # Outer generators and no condition on an array, here and below: Spark would push such a
     # condition below the steps that make the array, and make it again there.

@@ -123,3 +123,17 @@ def test_short_items_with_other_numbers(spark):
         (5, "add 9 to 8 and halve it"), (6, "Compute 44 + 51"), (7, "what is 20 of 310"), (8, "WHAT IS 3.5 km OF 9"), (9, "x " * 60000 + "what is 1 € of 2"),
     ]
     assert flagged(spark, docs, items) == {(1, (1,)), (2, (2,)), (4, (4,)), (8, (1,)), (9, (1,))}
+
+
+def test_blocks_of_long_texts_are_cut_by_code_points(spark, monkeypatch):
+    block, overlap = 4096, 512
+    monkeypatch.setattr(decontamination, "BLOCK", block)
+    texts = {1: "aé😀 b\n" * 4000, 2: "x" * block, 3: "ab " * 700, 4: "y " * 2300 + "z", 5: "漢字。\r\n  " * 3000, 6: "", 7: None}
+    frame = spark.createDataFrame(list(texts.items()), "id long, text string")
+    got = {(r.id, r.start): r.tokens for r in decontamination._blocks(frame, "id", token="(?s).", overlap=overlap).collect()}
+    want = {}
+    for key, text in texts.items():
+        whole = text and len(text) <= block + overlap
+        for i, at in enumerate(range(0, 1 if whole else len(text or ""), block)):
+            want[key, i * (block + overlap)] = list(text[at : at + block + overlap])
+    assert got == want
