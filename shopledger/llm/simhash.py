@@ -7,6 +7,12 @@ four. Each segment is indexed under one variant per bit, with that bit deleted.
 segments that differ in at most one bit share a variant, so an equality join on the
 variants meets every pair within the distance; the pair is then verified on all 64 bits.
 A pair that meets under many variants is made once, under its first variant.
+
+Classes need no pair inside a group that is known to hang together. So each fingerprint is
+first linked to the smallest one with which it shares a whole segment, if within the
+distance: at most one link per fingerprint and segment, which joins a crowd of near
+fingerprints into one group. The join on the variants then gives links between different
+groups only, one row per two groups.
 """
 
 from __future__ import annotations
@@ -103,7 +109,7 @@ def _mask(first: int, width: int) -> int:
 
 
 def variants(marks: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
-    """``(place, kept, fingerprint)``: per bit, its segment without that bit."""
+    """``place, kept`` per bit, its segment without that bit, beside the columns of ``marks``."""
     made = [
         F.struct(
             F.lit(bit).alias("place"),
@@ -112,7 +118,7 @@ def variants(marks: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
         for first, width in _segments(distance)
         for bit in range(first, first + width)
     ]
-    return marks.select(F.explode(F.array(*made)).alias("v"), "fingerprint").select("v.*", "fingerprint")
+    return marks.select(F.explode(F.array(*made)).alias("v"), *marks.columns).select("v.*", *marks.columns)
 
 
 def links(marks: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
@@ -120,6 +126,11 @@ def links(marks: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
 
     ``marks`` has a column ``fingerprint`` of distinct values. Copies are no pairs here.
     """
+    return _met(marks.select("fingerprint"), distance).select(F.col("x.fingerprint").alias("a"), F.col("y.fingerprint").alias("b"))
+
+
+def _met(marks: DataFrame, distance: int) -> DataFrame:
+    """Rows ``x`` and ``y`` of ``marks`` within the distance, each pair once."""
     index = variants(marks, distance)
     x, y = index.alias("x"), index.alias("y")
     differ = F.col("x.fingerprint").bitwiseXOR(F.col("y.fingerprint"))
@@ -137,7 +148,47 @@ def links(marks: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
         & (F.col("x.fingerprint") < F.col("y.fingerprint"))
         & (F.bit_count(differ) <= distance)
         & first_meeting,
-    ).select(F.col("x.fingerprint").alias("a"), F.col("y.fingerprint").alias("b"))
+    )
+
+
+def stars(marks: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
+    """``(a, b)``: each fingerprint and the smallest with the same segment, for each segment, if within the distance."""
+    made = [
+        F.struct(F.lit(first).alias("place"), F.col("fingerprint").bitwiseAND(_signed(_mask(first, width))).alias("kept"))
+        for first, width in _segments(distance)
+    ]
+    each = marks.select(F.explode(F.array(*made)).alias("v"), "fingerprint").select("v.*", "fingerprint")
+    # Stored, so that the join stands between exchanges and splits a segment that very many share.
+    low = stored(each.groupBy("place", "kept").agg(F.min("fingerprint").alias("low")))
+    near = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("low"))) <= distance
+    return (
+        each.join(low, ["place", "kept"])
+        .where(near & (F.col("fingerprint") != F.col("low")))
+        .select(F.col("low").alias("a"), F.col("fingerprint").alias("b"))
+        .distinct()
+    )
+
+
+def links_between(marks: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
+    """Pairs ``(a, b)`` of different groups with fingerprints within the distance, each once.
+
+    ``marks`` has columns ``fingerprint``, of distinct values, and ``member``, its group.
+    """
+    met = _met(marks.select("fingerprint", "member"), distance).where(F.col("x.member") != F.col("y.member"))
+    return met.select(
+        F.least("x.member", "y.member").alias("a"), F.greatest("x.member", "y.member").alias("b")
+    ).distinct()
+
+
+def groups(marks: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
+    """The rows of ``marks`` with ``root``: equal where a chain of links joins two fingerprints."""
+    starred = stored(components(stars(marks, distance)))
+    member = F.coalesce("root", "fingerprint").alias("member")
+    known = stored(marks.join(starred, F.col("fingerprint") == F.col("node"), "left").select(*marks.columns, member))
+    joined = stored(components(links_between(known, distance)))
+    return known.join(joined, F.col("member") == F.col("node"), "left").select(
+        *marks.columns, F.coalesce("root", "member").alias("root")
+    )
 
 
 def classes(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
@@ -146,20 +197,10 @@ def classes(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     Equal fingerprints are linked. A class of rows without any id has a null component.
     """
     marks = stored(prints.groupBy("fingerprint").agg(F.min("id").alias("first_id")))
-    linked = stored(components(links(marks, distance)))
-    names = stored(
-        linked.join(marks, F.col("node") == F.col("fingerprint"))
-        .groupBy("root")
-        .agg(F.min("first_id").alias("component_id"))
-    )
-    named = linked.join(names, "root").select("node", "component_id")
+    grouped = stored(groups(marks, distance))
+    names = stored(grouped.groupBy("root").agg(F.min("first_id").alias("component_id")))
     # Stored, so that the last join stands between exchanges and splits a fingerprint of very many copies.
-    known = stored(
-        marks.join(named, F.col("fingerprint") == F.col("node"), "left").select(
-            F.col("fingerprint").alias("mark"),
-            F.when(F.col("node").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"),
-        )
-    )
+    known = stored(grouped.join(names, "root").select(F.col("fingerprint").alias("mark"), "component_id"))
     return prints.join(known, F.col("fingerprint") == F.col("mark")).drop("mark")
 
 

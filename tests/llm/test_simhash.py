@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -38,6 +39,14 @@ def brute(rows):
     return found
 
 
+def signed(marks):
+    return sorted(m - (1 << 64) if m >> 63 else m for m in marks)
+
+
+def near(a, b):
+    return ((a ^ b) % (1 << 64)).bit_count() <= 4
+
+
 def frame(spark, rows):
     return spark.createDataFrame([(d, t, "x", 7, 1) for d, t in rows], SCHEMA)
 
@@ -65,14 +74,49 @@ def test_pairs_up_to_the_distance_are_all_found_once(spark):
             for k in range(d):
                 m ^= 1 << (i + k * 11) % 64
             marks.add(m)
-    signed = sorted(m - (1 << 64) if m >> 63 else m for m in marks)
-    frame = spark.createDataFrame([(m,) for m in signed], "fingerprint long")
+    values = signed(marks)
+    frame = spark.createDataFrame([(m,) for m in values], "fingerprint long")
     got = [tuple(r) for r in simhash.links(frame).collect()]
-    want = {(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) % (1 << 64)).bit_count() <= 4}
+    want = {(a, b) for i, a in enumerate(values) for b in values[i + 1 :] if near(a, b)}
     assert len(got) == len(set(got))
     assert set(got) == want
 
 
+def test_a_crowd_needs_no_row_per_pair(spark):
+    crowd = {0x0F1E2D3C4B5A6978 ^ (1 << i) ^ (1 << j) for i in range(64) for j in range(i + 1)}
+    marks = spark.createDataFrame([(m,) for m in signed(crowd)], "fingerprint long")
+    assert simhash.stars(marks).count() <= 3 * len(crowd)
+    starred = {r.node: r.root for r in simhash.components(simhash.stars(marks)).collect()}
+    member = spark.createDataFrame([(m, starred.get(m, m)) for m in signed(crowd)], "fingerprint long, member long")
+    assert simhash.links_between(member).count() < len(crowd)
+    assert simhash.groups(marks).select("root").distinct().count() == 1
+
+
+def test_groups_against_all_pairs(spark):
+    draw = random.Random(5)
+    marks = {draw.getrandbits(64) for _ in range(60)}
+    # Chains and crowds of steps of one to six bits: some within the distance, some just beyond.
+    for _ in range(600):
+        mark = draw.choice(sorted(marks))
+        for bit in draw.sample(range(64), draw.randint(1, 6)):
+            mark ^= 1 << bit
+        marks.add(mark)
+    values = signed(marks)
+    root = {m: m for m in values}
+
+    def find(m):
+        while root[m] != m:
+            m = root[m]
+        return m
+
+    for i, a in enumerate(values):
+        for b in values[i + 1 :]:
+            if near(a, b):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    got = simhash.groups(spark.createDataFrame([(m,) for m in values], "fingerprint long")).collect()
+    assert {r.fingerprint: r.root for r in got} == {m: find(m) for m in values}
+
+
 @pytest.mark.parametrize("piece", [1, 7, 50])
 def test_long_texts_in_pieces(monkeypatch, piece):
     monkeypatch.setattr(simhash, "PIECE", piece)
