@@ -7,7 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +59,22 @@ def by_batch(
     return frame.select(*columns).mapInArrow(run, schema)
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in order, in parts whose texts have up to ``most`` bytes together, or of one row.
+
+    What a task makes of a part at a time is then bounded, however many rows a batch has and
+    however long they are.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        ends, at = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64), 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def _plain(column: pa.Array) -> list:
     """Values as Python objects; text as UTF-8 bytes, which skips a decoding nobody may need."""
     if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):

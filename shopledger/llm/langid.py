@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import by_batch, stored
+from shopledger.llm.common import by_batch, in_parts, stored
 
 UNDETERMINED = "und"
 NGRAMS = (1, 2, 3)
@@ -282,7 +282,7 @@ def identified(documents: DataFrame, model: Model, min_score: float) -> DataFram
     def keep(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in in_parts(batches, "text"):
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
             found = [model.predict(t) for t in texts]
             yield batch.filter(pa.array([lang != UNDETERMINED and score >= min_score for lang, score in found], pa.bool_()))

@@ -27,17 +27,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import stored
+from shopledger.llm.common import in_parts, stored
 
 # Characters in a chunk, and matrices multiplied by one task at a time.
 CHUNK = 1 << 16
 FAN_IN = 64
-# Words up to this length are solved many at a time, and kept for the next text.
+# Words up to this length are solved many at a time.
 SHORT = 40
 TOGETHER = 2_048
-MEMO_WORDS = 300_000
-# Texts whose words are solved together.
-TEXTS = 500
+# Words kept for the next texts, and their characters; with more, all are forgotten.
+MEMO_WORDS = 100_000
+MEMO_CHARACTERS = 1 << 22
+# Bytes of the texts whose words are solved together.
+TEXTS = 1 << 19
 SPACE = "▁"
 LOW = -1e18
 
@@ -97,6 +99,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.memo: dict[str, bytes] = {}
+        self.held = 0  # characters of the words in the memory
         self._index()
 
     # --- words, many at a time -------------------------------------------------------
@@ -209,9 +212,11 @@ class Encoder:
     def _learn(self, texts: list[list[str]]) -> None:
         """Solves the words of several texts that are not in the memory yet."""
         words = set(chain.from_iterable(texts))
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
         new = words.difference(self.memo)
+        if new and (len(self.memo) > MEMO_WORDS or self.held > MEMO_CHARACTERS):
+            self.memo.clear()
+            self.held, new = 0, words
+        self.held += sum(map(len, new))
         by_size: dict[int, list[str]] = {}
         for word in new:
             by_size.setdefault(len(word), []).append(word)
@@ -382,13 +387,11 @@ def _batch(ids: list, parts: list, tokens: list[np.ndarray], exact: list) -> pa.
 def _whole(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
-        for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(at, TEXTS)
-                ids, texts = part.column(0).to_pylist(), [" " + t if t else "" for t in part.column(1).to_pylist()]
-                tokens = encoder.encode(texts)
-                exact = [encoder.decode(i) == t.encode() for i, t in zip(tokens, texts)]
-                yield _batch(ids, [0] * len(ids), tokens, exact)
+        for part in in_parts(batches, "text", TEXTS):
+            ids, texts = part.column("doc_id").to_pylist(), [" " + t if t else "" for t in part.column("text").to_pylist()]
+            tokens = encoder.encode(texts)
+            exact = [encoder.decode(i) == t.encode() for i, t in zip(tokens, texts)]
+            yield _batch(ids, [0] * len(ids), tokens, exact)
 
     return run
 
@@ -409,13 +412,11 @@ def _scan(large: DataFrame, vocabulary: Vocabulary, chunk: int) -> DataFrame:
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
-        for batch in batches:
-            texts = list(zip(*[batch.column(n).to_pylist() for n in ("before", "chunk")]))
-            found = []
-            for at in range(0, len(texts), FAN_IN):
-                encoder.learn([b + c for b, c in texts[at : at + FAN_IN]])
-                found += [encoder.transfer(b, c).tobytes() for b, c in texts[at : at + FAN_IN]]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("part"), pa.array(found, pa.binary())], ["row", "place", "matrix"])
+        for some in in_parts(batches, "chunk", TEXTS):
+            texts = list(zip(*[some.column(n).to_pylist() for n in ("before", "chunk")]))
+            encoder.learn([b + c for b, c in texts])
+            found = [encoder.transfer(b, c).tobytes() for b, c in texts]
+            yield pa.RecordBatch.from_arrays([some.column("row"), some.column("part"), pa.array(found, pa.binary())], ["row", "place", "matrix"])
 
     levels = [stored(chunks.select("row", "part", "before", "chunk").mapInArrow(matrices, "row string, place int, matrix binary"))]
     most = levels[0].agg(F.max("place")).first()[0] or 0
@@ -428,9 +429,9 @@ def _scan(large: DataFrame, vocabulary: Vocabulary, chunk: int) -> DataFrame:
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
-        for batch in batches:
+        for some in in_parts(batches, "chunk", TEXTS):
             names = ("doc_id", "part", "before", "chunk", "enter", "leave")
-            ids, parts, *rest = [batch.column(n).to_pylist() for n in names]
+            ids, parts, *rest = [some.column(n).to_pylist() for n in names]
             texts = [b[len(b) - s :] + c[: len(c) - t] for b, c, s, t in zip(*rest)]
             tokens = encoder.encode(texts)
             yield _batch(ids, parts, tokens, [encoder.decode(i) == t.encode() for i, t in zip(tokens, texts)])

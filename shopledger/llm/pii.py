@@ -16,7 +16,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import by_batch
+from shopledger.llm.common import by_batch, in_parts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("login", "iban", "account", "secret")
@@ -178,7 +178,7 @@ def redacted(documents: DataFrame) -> DataFrame:
     def clean(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in in_parts(batches, "text"):
             texts, counts = batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
             for i, text in enumerate(texts):
                 if text and (spans := find(text, anchors)):

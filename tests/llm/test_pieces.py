@@ -1,11 +1,14 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2
 
 from shopledger.llm import pieces, queries
+from shopledger.llm.common import in_parts
 
 SCHEMA = "doc_id long, text string, part string, token_ids int, row int"
 
@@ -131,3 +134,44 @@ def test_empty_table_and_null_ids(spark, vocabulary):
     frame = spark.createDataFrame([(1, 0, None)], "doc_id long, part int, token_ids array<int>")
     assert pieces.decode(frame, vocabulary).collect()[0].text is None
     assert np.array_equal(pieces.Encoder(vocabulary).encode([""])[0], [])
+
+
+def _memory_of(work):
+    """Bytes that ``work`` holds at most beyond what was there before."""
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        work()
+        return tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_does_not_grow_with_a_batch_of_long_texts(vocabulary):
+    # 300 texts of 20,000 characters, no word twice.
+    texts = [" ".join(f"{i}x{k}" for k in range(3_000))[:20_000] for i in range(300)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": texts})
+    rows = []
+    assert _memory_of(lambda: rows.extend(b.num_rows for b in pieces._whole(vocabulary)(iter([batch])))) < 100 << 20
+    assert sum(rows) == 300
+
+
+def test_memory_of_words_is_bounded_by_their_characters(vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces, "MEMO_CHARACTERS", 1_000)
+    encoder = pieces.Encoder(vocabulary)
+    texts = [f" {i}" + "long" * 50 for i in range(40)]
+    for text in texts:
+        assert encoder.encode([text])[0].tolist() == pieces.Encoder(vocabulary).encode([text])[0].tolist()
+    assert sum(map(len, encoder.memo)) <= 1_000 + max(map(len, texts))
+    # Known words never clear the memory.
+    known = dict(encoder.memo)
+    encoder.encode([texts[-1]])
+    assert encoder.memo == known
+
+
+def test_parts_hold_few_texts_and_every_row():
+    texts = ["a" * 30, None, "", "é" * 20, "b" * 500, "c", None]
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string()), "n": list(range(7))}), pa.RecordBatch.from_pydict({"text": pa.array([], pa.string()), "n": []})]
+    parts = [p.to_pydict() for p in in_parts(iter([batches[0].slice(1), *batches]), "text", 71)]
+    assert [r for p in parts for r in zip(p["text"], p["n"])] == [*zip(texts[1:], range(1, 7)), *zip(texts, range(7))]
+    assert [p["n"] for p in parts] == [[1, 2, 3], [4], [5, 6], [0, 1, 2, 3], [4], [5, 6]]
